@@ -1,0 +1,17 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after its row count is measured against a bound; otherwise the
+join stays a shuffle join (and AQE may still switch it at runtime from real sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

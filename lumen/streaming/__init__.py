@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference processes no streams (no watermark, window, state store or late data), so
+there is nothing to re-express with Structured Streaming.  The iteration it does have (a
+recursive frontier) is a batch loop, see ``lumen.operators.iterate``.
+"""
