@@ -73,7 +73,8 @@ def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
          .rowsBetween(Window.unboundedPreceding, -1))
     scanned = cut(both.withColumn("__best", F.min("cand").over(w)))
     found = scanned.where("rank = 1")
-    heads = scanned.where("rank = 0").groupBy("k", b).agg(F.min("cand").alias("__head"))
+    # one row per (key, bucket) seen on either side; null head where a bucket has no candidate
+    heads = scanned.groupBy("k", b).agg(F.min("cand").alias("__head"))
     wk = Window.partitionBy("k").orderBy(F.desc(b)).rowsBetween(Window.unboundedPreceding, -1)
     later = heads.select("k", b, F.min("__head").over(wk).alias("__later"))
     ok = found.where(F.col("__best").isNotNull())
