@@ -8,6 +8,7 @@ and serve as the correctness check.  Loops become recursive CTEs; the keyed draw
 from __future__ import annotations
 
 from lumen.functions.draws import sql_keyed_uniform as U
+from lumen.functions.numeric import sql_exact_avg, sql_exact_sum
 from lumen.functions.numeric import sql_snap as S
 from lumen.plans import queries as Q
 
@@ -17,11 +18,11 @@ K = Q.JOURNEY_HOPS
 
 
 def _dsum(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(18,2))) AS DOUBLE)"
+    return sql_exact_sum(col)
 
 
 def _davg(col: str) -> str:
-    return f"({_dsum(col)} / count({col}))"
+    return sql_exact_avg(col)
 
 
 JOURNEYS = f"""
@@ -280,13 +281,13 @@ FROM customer GROUP BY 1
 WITH r AS (
   SELECT CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'view' THEN 'view' WHEN 'click' THEN 'click'
               ELSE 'other' END AS route,
-         CASE event_type WHEN 'purchase' THEN CAST(value AS DECIMAL(18,2)) * 0.7
-                         WHEN 'view' THEN CAST(value AS DECIMAL(18,2)) * 0.01
-                         WHEN 'click' THEN 0.05
+         CASE event_type WHEN 'purchase' THEN round(value * 100.0)::BIGINT * 70
+                         WHEN 'view' THEN round(value * 100.0)::BIGINT
+                         WHEN 'click' THEN 500
                          ELSE 0 END AS amount
   FROM events
 )
-SELECT route, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total FROM r GROUP BY route
+SELECT route, count(*) AS n, CAST(sum(amount) AS DOUBLE) / 10000.0 AS total FROM r GROUP BY route
 """,
 
     "group_averages": f"""

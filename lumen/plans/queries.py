@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lumen.functions import vectors as V
 from lumen.functions.draws import by_cut_points, keyed_index, keyed_uniform
-from lumen.functions.numeric import MONEY, exact_avg, exact_sum, snap
+from lumen.functions.numeric import cents, exact_avg, exact_sum, snap
 from lumen.functions.shapes import (guarded_inverse, guarded_sqrt, parity_even, quantize_sqrt,
                                     six_sector)
 from lumen.operators.assemble import global_line_numbers, ordered_concat
@@ -347,14 +347,15 @@ def q_guarded_metrics(spark, sf_dir):
 
 def q_route_and_union(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "event_type", "value")
-    val = F.col("value").cast(MONEY)
-    amt = "decimal(24,4)"
+    # amounts in exact integer units of 1/10000 (value has two decimals)
+    c = cents("value")
     routed = route(ev, [
-        ("purchase", F.col("event_type") == "purchase", (val * F.lit(0.7).cast("decimal(2,1)")).cast(amt)),
-        ("view", F.col("event_type") == "view", (val * F.lit(0.01).cast("decimal(3,2)")).cast(amt)),
-        ("click", F.col("event_type") == "click", F.lit(0.05).cast(amt)),
-    ], default=("other", F.lit(0).cast(amt)))
-    return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("total"))
+        ("purchase", F.col("event_type") == "purchase", c * F.lit(70)),      # value * 0.7
+        ("view", F.col("event_type") == "view", c),                          # value * 0.01
+        ("click", F.col("event_type") == "click", F.lit(500).cast("bigint")),  # 0.05 flat
+    ], default=("other", F.lit(0).cast("bigint")))
+    return routed.groupBy("route").agg(
+        F.count(F.lit(1)).alias("n"), (F.sum("amount").cast("double") / F.lit(10000.0)).alias("total"))
 
 
 def q_group_averages(spark, sf_dir):
