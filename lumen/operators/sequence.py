@@ -83,3 +83,22 @@ def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
     out = ok.unionByName(miss)
     return out.select(F.col("k").alias(key), F.col("pid").alias(probe_id), F.col("pts").alias(probe_ts),
                       F.col("__best.cid").alias("match_id"), F.col("__best.cts").alias("match_ts"))
+
+
+def with_positions(df: DataFrame, key: str, ts: str, tiebreak: str, *, bucket_seconds: int = DAY,
+                   name: str = "pos") -> DataFrame:
+    """Add ``name``: the 0-based position of each row within its key in (ts, tiebreak) order.
+
+    Row numbers are taken inside (key, bucket) partitions; each bucket's offset is the row
+    count of the key's earlier buckets, ranked over the per-(key, bucket) counts only.
+    """
+    b = "__bucket"
+    rows = df.withColumn(b, time_bucket(ts, bucket_seconds))
+    w = Window.partitionBy(key, b).orderBy(ts, tiebreak)
+    rows = rows.withColumn("__rn", F.row_number().over(w) - 1)
+    sizes = (df.groupBy(F.col(key), time_bucket(ts, bucket_seconds).alias(b))
+             .agg(F.count(F.lit(1)).alias("__n")))
+    wk = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(key, b, F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__off"))
+    out = rows.join(offsets, [key, b])
+    return out.select(*df.columns, (F.col("__rn") + F.col("__off")).cast("bigint").alias(name))

@@ -8,7 +8,7 @@ Timestamps leave as ISO text, doubles that depend on summation order are snapped
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumen.functions import vectors as V
@@ -19,9 +19,10 @@ from lumen.functions.shapes import (guarded_inverse, guarded_sqrt, parity_even,
 from lumen.operators.assemble import global_line_numbers, ordered_concat
 from lumen.operators.broadcast import maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
+from lumen.operators.lineage import cut
 from lumen.operators.match import nearest_match
 from lumen.operators.route import route
-from lumen.operators.sequence import first_match_after, with_next_row
+from lumen.operators.sequence import first_match_after, with_next_row, with_positions
 from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max, top_per_key
 from lumen.sources.tables import load
 
@@ -58,24 +59,28 @@ def _day(col: str):
 
 # ---- O1 / O20: frontier loop over next events -------------------------------------------
 
-def journeys(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
-    """All journey rows: (journey_id, user_id, depth, event_id, active, weight)."""
+def _journey_factor(type_col: str):
+    factor = F.lit(1.0)
+    for etype, f in JOURNEY_FACTORS.items():
+        factor = F.when(F.col(type_col) == etype, F.lit(f)).otherwise(factor)
+    return factor
+
+
+def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
+    """All journey rows (journey_id, user_id, depth, event_id, active, weight) by the
+    frontier loop: each round joins the active rows to their next event."""
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # next event per event, computed once; hash-partitioned on event_id so each round only
     # shuffles the frontier to meet it
-    edges = (with_next_row(ev, "user_id", "ts", "event_id", ["event_type"])
-             .select("event_id", "next_event_id", "next_event_type")
-             .where(F.col("next_event_id").isNotNull())
-             .repartition(n_parts, "event_id"))
-    edges = edges.checkpoint(eager=True)
+    edges = cut(with_next_row(ev, "user_id", "ts", "event_id", ["event_type"])
+                .select("event_id", "next_event_id", "next_event_type")
+                .where(F.col("next_event_id").isNotNull())
+                .repartition(n_parts, "event_id"))
     seed = (ev.where(F.col("event_type") == "signup")
             .select(F.col("event_id").alias("journey_id"), "user_id", F.lit(0).alias("depth"), "event_id",
                     F.lit(True).alias("active"), F.lit(1.0).alias("weight")))
-
-    factor = F.lit(1.0)
-    for etype, f in JOURNEY_FACTORS.items():
-        factor = F.when(F.col("next_event_type") == etype, F.lit(f)).otherwise(factor)
+    factor = _journey_factor("next_event_type")
 
     def step(frontier: DataFrame, _r: int) -> DataFrame:
         moving = frontier.where(F.col("depth") < hops).join(edges, "event_id")
@@ -92,8 +97,51 @@ def journeys(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> Data
     return frontier_loop(seed, step, active=F.col("active"), max_rounds=hops + 1)
 
 
+def journeys_unrolled(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
+    """The same rows as :func:`journeys_loop` in one declarative plan.
+
+    The step of the loop only follows a fixed successor chain, so the whole frontier can
+    be unrolled: every signup fans out to its K+1 positions in its user's sequence, one
+    equi-join on (user, position) fetches the events, and a window over each journey
+    (at most K+1 rows, so no hot partition) carries the weight and cuts at the first stop.
+    """
+    ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    seq = with_positions(ev, "user_id", "ts", "event_id")
+    starts = seq.where(F.col("event_type") == "signup").select(
+        F.col("event_id").alias("journey_id"), "user_id", F.col("pos").alias("pos0"))
+    fan = starts.select("journey_id", "user_id", "pos0",
+                        F.explode(F.sequence(F.lit(0), F.lit(hops))).alias("depth"))
+    fan = fan.withColumn("pos", F.col("pos0") + F.col("depth"))
+    hit = fan.join(seq.select("user_id", "pos", "event_id", "event_type"), ["user_id", "pos"])
+    w = Window.partitionBy("journey_id").orderBy("depth")
+    stop = (F.col("depth") > 0) & (F.col("event_type") == JOURNEY_STOP)
+    factor = F.when(F.col("depth") > 0, _journey_factor("event_type")).otherwise(F.lit(1.0))
+    hit = hit.withColumns({
+        "stop": stop,
+        "stops_before": F.coalesce(F.sum(stop.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                   F.lit(0)),
+        "factors": F.collect_list(factor).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+    }).where(F.col("stops_before") == 0)
+    weight = F.when(F.col("stop"), F.lit(0.0)).otherwise(F.aggregate("factors", F.lit(1.0), lambda acc, x: acc * x))
+    row = F.struct(F.col("depth").alias("depth"), F.col("event_id").alias("event_id"),
+                   (~F.col("stop")).alias("active"), weight.alias("weight"))
+    # a path still active at depth K also emits its terminal row, in the same pass
+    term = F.struct(F.lit(hops + 1).alias("depth"), F.lit(None).cast("bigint").alias("event_id"),
+                    F.lit(False).alias("active"), F.lit(0.0).alias("weight"))
+    out = F.when((F.col("depth") == hops) & ~F.col("stop"), F.array(row, term)).otherwise(F.array(row))
+    return hit.select("journey_id", "user_id", F.inline(out))
+
+
+def journeys(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, strategy: str = "unrolled") -> DataFrame:
+    if strategy == "loop":
+        return journeys_loop(spark, sf_dir, hops)
+    if strategy == "unrolled":
+        return journeys_unrolled(spark, sf_dir, hops)
+    raise ValueError(f"unknown strategy {strategy!r}")
+
+
 def q_journey_trace(spark, sf_dir):
-    return journeys(spark, sf_dir).select("journey_id", "depth", "event_id", "active", "weight")
+    return journeys(spark, sf_dir, strategy="loop").select("journey_id", "depth", "event_id", "active", "weight")
 
 
 def q_journey_score(spark, sf_dir):
