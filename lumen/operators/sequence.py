@@ -1,11 +1,20 @@
-"""Next row in a per-key sequence, without one task per key.
+"""Next row / position in a per-key sequence, without one task per key.
 
 A window partitioned by the key alone sends every row of a key to one task; with one user
-holding a third of all events that task holds a third of the data.  Both operators here
-partition by (key, time bucket) instead, then repair the only rows a bucket cannot answer
-(the tail of each bucket) from a per-bucket summary holding one row per (key, bucket).
-That summary is the only thing ranked per key, and its size is the number of buckets a key
-spans, not the number of its rows.
+holding a third of all events that task holds a third of the data.  The operators here
+cut each key's sequence into *splits* and run their windows per (key, split); they then
+repair the only rows a split cannot answer (its tail, its offset) from a summary holding
+one row per (key, split).  The summary is the only thing ranked per key; its size is the
+number of splits a key spans, not the number of its rows.
+
+Two ways to cut:
+
+* ``split="range"`` (default): a global range partitioning on (key, order...), whose bounds
+  Spark samples from the data, so a hot key is spread over as many splits as its volume
+  needs and every (key, split) group is bounded by one range partition.  Costs one extra
+  shuffle; holds for any skew, even a key whose rows share one timestamp.
+* ``split="time"``: fixed time buckets (``bucket_seconds``).  One shuffle fewer; a key
+  can still crowd one bucket if its rows are dense in time.
 """
 
 from __future__ import annotations
@@ -16,6 +25,7 @@ from pyspark.sql import functions as F
 from lumen.operators.lineage import cut
 
 DAY = 86_400
+SPLIT = "__split"
 
 
 def time_bucket(ts_col: str, bucket_seconds: int):
@@ -23,32 +33,61 @@ def time_bucket(ts_col: str, bucket_seconds: int):
     return F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
 
 
+def add_split(df: DataFrame, key: str, order: list[str], *, split: str = "range", bucket_seconds: int = DAY,
+              n_splits: int | None = None) -> DataFrame:
+    """Add ``__split``: a number that is monotone in ``order`` within each key."""
+    if split == "time":
+        return df.withColumn(SPLIT, time_bucket(order[0], bucket_seconds))
+    if split != "range":
+        raise ValueError(f"unknown split {split!r}")
+    n = n_splits or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the partition id of a range partitioning is monotone in (key, order); checkpointing
+    # pins the sampled bounds so every later read sees the same split numbers
+    return cut(df.repartitionByRange(n, key, *order).withColumn(SPLIT, F.spark_partition_id().cast("bigint")))
+
+
 def with_next_row(df: DataFrame, key: str, ts: str, tiebreak: str, carry: list[str], *,
-                  bucket_seconds: int = DAY, prefix: str = "next_") -> DataFrame:
+                  split: str = "range", bucket_seconds: int = DAY, prefix: str = "next_") -> DataFrame:
     """Add ``prefix + c`` for c in [ts, tiebreak, *carry]: the following row of the same key
     in (ts, tiebreak) order, null for the last row of a key."""
     fields = [ts, tiebreak, *carry]
-    b = "__bucket"
-    rows = df.withColumn(b, time_bucket(ts, bucket_seconds))
-    w = Window.partitionBy(key, b).orderBy(ts, tiebreak)
+    rows = add_split(df, key, [ts, tiebreak], split=split, bucket_seconds=bucket_seconds)
+    w = Window.partitionBy(key, SPLIT).orderBy(ts, tiebreak)
     rows = cut(rows.withColumn("__next", F.lead(F.struct(*fields)).over(w))
                .withColumn("__first", F.row_number().over(w) == 1))
-    # one row per (key, bucket): the first row of the bucket, then per key the first row
-    # of the following non-empty bucket
-    heads = rows.where("__first").select(key, b, F.struct(*fields).alias("__head"))
-    wk = Window.partitionBy(key).orderBy(b)
-    next_heads = heads.select(key, b, F.lead("__head").over(wk).alias("__next_head"))
+    # one row per (key, split): the first row of the split, then per key the first row
+    # of the following non-empty split
+    heads = rows.where("__first").select(key, SPLIT, F.struct(*fields).alias("__head"))
+    wk = Window.partitionBy(key).orderBy(SPLIT)
+    next_heads = heads.select(key, SPLIT, F.lead("__head").over(wk).alias("__next_head"))
     inner = rows.where(F.col("__next").isNotNull())
     tails = (rows.where(F.col("__next").isNull()).drop("__next")
-             .join(next_heads, [key, b], "left")
+             .join(next_heads, [key, SPLIT], "left")
              .withColumnRenamed("__next_head", "__next"))
     out = inner.unionByName(tails)
     return out.select(*df.columns, *[F.col("__next." + f).alias(prefix + f) for f in fields])
 
 
+def with_positions(df: DataFrame, key: str, ts: str, tiebreak: str, *, split: str = "range",
+                   bucket_seconds: int = DAY, name: str = "pos") -> DataFrame:
+    """Add ``name``: the 0-based position of each row within its key in (ts, tiebreak) order.
+
+    Row numbers are taken inside (key, split) partitions; each split's offset is the row
+    count of the key's earlier splits, ranked over the per-(key, split) counts only.
+    """
+    rows = add_split(df, key, [ts, tiebreak], split=split, bucket_seconds=bucket_seconds)
+    w = Window.partitionBy(key, SPLIT).orderBy(ts, tiebreak)
+    rows = rows.withColumn("__rn", F.row_number().over(w) - 1)
+    sizes = rows.groupBy(key, SPLIT).agg(F.count(F.lit(1)).alias("__n"))
+    wk = Window.partitionBy(key).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(key, SPLIT, F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__off"))
+    out = rows.join(offsets, [key, SPLIT])
+    return out.select(*df.columns, (F.col("__rn") + F.col("__off")).cast("bigint").alias(name))
+
+
 def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
                       probe_ts: str, probe_id: str, cand_ts: str, cand_id: str,
-                      min_gap_us: int = 0, bucket_seconds: int = DAY) -> DataFrame:
+                      min_gap_us: int = 0, split: str = "range", bucket_seconds: int = DAY) -> DataFrame:
     """For each probe row, the first candidate of the same key with
     ``cand_ts - probe_ts > min_gap_us`` (microseconds), earliest by (cand_ts, cand_id).
 
@@ -65,40 +104,20 @@ def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
                           (F.col(cand_ts) - shift).alias("st"), F.lit(0).alias("rank"),
                           F.struct((F.col(cand_ts) - shift).alias("st"), F.col(cand_id).cast("bigint").alias("cid"),
                                    F.col(cand_ts).alias("cts")).alias("cand"))
-    b = "__bucket"
-    both = p.unionByName(c).withColumn(b, time_bucket("st", bucket_seconds))
+    both = add_split(p.unionByName(c), "k", ["st", "rank"], split=split, bucket_seconds=bucket_seconds)
     # descending sort time; at equal sort time the probe comes first, so a candidate with
     # the same sort time (gap exactly min_gap) is not counted as after it
-    w = (Window.partitionBy("k", b).orderBy(F.desc("st"), F.desc("rank"))
+    w = (Window.partitionBy("k", SPLIT).orderBy(F.desc("st"), F.desc("rank"))
          .rowsBetween(Window.unboundedPreceding, -1))
     scanned = cut(both.withColumn("__best", F.min("cand").over(w)))
     found = scanned.where("rank = 1")
-    # one row per (key, bucket) seen on either side; null head where a bucket has no candidate
-    heads = scanned.groupBy("k", b).agg(F.min("cand").alias("__head"))
-    wk = Window.partitionBy("k").orderBy(F.desc(b)).rowsBetween(Window.unboundedPreceding, -1)
-    later = heads.select("k", b, F.min("__head").over(wk).alias("__later"))
+    # one row per (key, split) seen on either side; null head where a split has no candidate
+    heads = scanned.groupBy("k", SPLIT).agg(F.min("cand").alias("__head"))
+    wk = Window.partitionBy("k").orderBy(F.desc(SPLIT)).rowsBetween(Window.unboundedPreceding, -1)
+    later = heads.select("k", SPLIT, F.min("__head").over(wk).alias("__later"))
     ok = found.where(F.col("__best").isNotNull())
     miss = (found.where(F.col("__best").isNull()).drop("__best")
-            .join(later, ["k", b], "left").withColumnRenamed("__later", "__best"))
+            .join(later, ["k", SPLIT], "left").withColumnRenamed("__later", "__best"))
     out = ok.unionByName(miss)
     return out.select(F.col("k").alias(key), F.col("pid").alias(probe_id), F.col("pts").alias(probe_ts),
                       F.col("__best.cid").alias("match_id"), F.col("__best.cts").alias("match_ts"))
-
-
-def with_positions(df: DataFrame, key: str, ts: str, tiebreak: str, *, bucket_seconds: int = DAY,
-                   name: str = "pos") -> DataFrame:
-    """Add ``name``: the 0-based position of each row within its key in (ts, tiebreak) order.
-
-    Row numbers are taken inside (key, bucket) partitions; each bucket's offset is the row
-    count of the key's earlier buckets, ranked over the per-(key, bucket) counts only.
-    """
-    b = "__bucket"
-    rows = df.withColumn(b, time_bucket(ts, bucket_seconds))
-    w = Window.partitionBy(key, b).orderBy(ts, tiebreak)
-    rows = rows.withColumn("__rn", F.row_number().over(w) - 1)
-    sizes = (df.groupBy(F.col(key), time_bucket(ts, bucket_seconds).alias(b))
-             .agg(F.count(F.lit(1)).alias("__n")))
-    wk = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(key, b, F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__off"))
-    out = rows.join(offsets, [key, b])
-    return out.select(*df.columns, (F.col("__rn") + F.col("__off")).cast("bigint").alias(name))

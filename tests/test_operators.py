@@ -36,10 +36,14 @@ def _events(spark, n=400, users=5, hot_share=0.6, seed=7):
 
 # ---- sequence operators -----------------------------------------------------------------
 
-def test_with_next_row_matches_lead(spark):
+SPLITS = [dict(split="range"), dict(split="time", bucket_seconds=60)]
+
+
+@pytest.mark.parametrize("how", SPLITS)
+def test_with_next_row_matches_lead(spark, how):
     df, rows = _events(spark)
     got = {r.event_id: r.next_event_id for r in
-           with_next_row(df, "user_id", "ts", "event_id", ["kind"], bucket_seconds=60).collect()}
+           with_next_row(df, "user_id", "ts", "event_id", ["kind"], **how).collect()}
     by_user = {}
     for r in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
         by_user.setdefault(r[2], []).append(r[0])
@@ -50,9 +54,10 @@ def test_with_next_row_matches_lead(spark):
     assert got == want
 
 
-def test_with_positions_matches_row_number(spark):
+@pytest.mark.parametrize("how", SPLITS)
+def test_with_positions_matches_row_number(spark, how):
     df, rows = _events(spark)
-    got = {r.event_id: r.pos for r in with_positions(df, "user_id", "ts", "event_id", bucket_seconds=60).collect()}
+    got = {r.event_id: r.pos for r in with_positions(df, "user_id", "ts", "event_id", **how).collect()}
     want = {}
     by_user = {}
     for r in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
@@ -63,13 +68,14 @@ def test_with_positions_matches_row_number(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("how", SPLITS)
 @pytest.mark.parametrize("gap_s", [0, 60, 600])
-def test_first_match_after_matches_brute_force(spark, gap_s):
+def test_first_match_after_matches_brute_force(spark, gap_s, how):
     df, rows = _events(spark, n=300)
     probes = df.where("kind = 'a'")
     cands = df.where("kind = 'b'")
     out = first_match_after(probes, cands, "user_id", probe_ts="ts", probe_id="event_id", cand_ts="ts",
-                            cand_id="event_id", min_gap_us=gap_s * 1_000_000, bucket_seconds=120)
+                            cand_id="event_id", min_gap_us=gap_s * 1_000_000, **how)
     got = {r.event_id: r.match_id for r in out.collect()}
     want = {}
     for p in rows:
