@@ -64,11 +64,14 @@ def remove_direction(v, n, c: float = 1.0) -> Column:
     return F.zip_with(v, n, lambda x, y: x - k * y)
 
 
-def mean_vector(v, n_dims: int) -> Column:
-    """Aggregate: element-wise mean of an array column with ``n_dims`` entries.
+def mean_vectors(df, keys: list[str], v, name: str = "centroid"):
+    """DataFrame (keys..., name): element-wise mean of the vectors of each key.
 
-    One ``avg`` per dimension keeps the aggregation hash-based with partial (map-side)
-    combine; ``n_dims`` is a schema constant, not data-dependent.
+    Vectors are exploded to (key, dim, x) and averaged per (key, dim) in one hash
+    aggregation with map-side combine, then reassembled in dim order; works for any
+    dimension without one aggregate expression per dim.
     """
-    v = _c(v)
-    return F.array(*[F.avg(F.element_at(v, i + 1)) for i in range(n_dims)])
+    per_dim = (df.select(*keys, F.posexplode(_c(v)).alias("__i", "__x"))
+               .groupBy(*keys, "__i").agg(F.avg("__x").alias("__m")))
+    return (per_dim.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__i", "__m"))).alias("__s"))
+            .select(*keys, F.transform("__s", lambda e: e["__m"]).alias(name)))

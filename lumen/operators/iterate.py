@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumen.operators.lineage import cut
+from lumen.operators.lineage import write_round
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -36,45 +36,53 @@ def frontier_loop(seed: DataFrame, step: Callable[[DataFrame, int], DataFrame],
     The frontier of round r is the rows of round r-1 for which ``active`` holds.  The loop
     stops early when a round emits no active row.  Every round's output has the seed's
     columns.  ``step`` is responsible for any terminal rows (rows it emits inactive).
+    Each round is one job: its rows are written to the shared checkpoint folder while the
+    active rows are counted (see :func:`lumen.operators.lineage.write_round`).
     """
     cols = seed.columns
-    current = cut(seed)
+    current, n_active = write_round(seed.select(*cols), active)
     rounds = [current]
     for r in range(1, max_rounds + 1):
-        frontier = current.where(active)
-        if frontier.isEmpty():
+        if n_active == 0:
             break
-        current = cut(step(frontier, r).select(*cols))
+        current, n_active = write_round(step(current.where(active), r).select(*cols), active)
         rounds.append(current)
     return union_all(rounds)
 
 
 def redraw_until_accepted(keys: DataFrame, key: str, *, draw: Callable[[Column], Column],
                           accept: Callable[[DataFrame], DataFrame], batch: int = 4,
-                          max_rounds: int = 10_000) -> DataFrame:
+                          max_batch: int = 256, max_rounds: int = 10_000) -> DataFrame:
     """First accepted draw per key.
 
-    ``draw(i)`` returns the candidate for draw number ``i`` (a Column over ``key``);
-    ``accept(df)`` receives rows ``(key, draw_no, candidate)`` and adds a boolean column
-    ``accepted`` (typically a join against the eligible catalogue).  Returns
-    ``(key, draws, candidate)`` where ``draws`` is the number of the accepted draw, counting
-    from 1.  Every key is kept: the loop runs until all keys are accepted and raises rather
-    than return a truncated answer if ``max_rounds`` batches are not enough.
+    ``keys`` holds each key once (a primary key).  ``draw(i)`` returns the candidate for
+    draw number ``i`` (a Column over ``key``); ``accept(df)`` receives rows
+    ``(key, draw_no, candidate)`` and adds a boolean column ``accepted`` (typically a join
+    against the eligible catalogue).  Returns ``(key, draws, candidate)`` where ``draws`` is
+    the number of the accepted draw, counting from 1.
+
+    Round r tests the next ``batch * 2^r`` draws (capped at ``max_batch``) of every key still
+    rejected: the frontier shrinks geometrically, so later rounds can afford wider batches,
+    and the number of rounds (jobs, shuffles) stays small.  The answer does not depend on
+    the batch sizes.  Every key is kept: the loop runs until all keys are accepted and raises
+    rather than return a truncated answer if ``max_rounds`` rounds are not enough.
     """
-    frontier = cut(keys.select(key).distinct())
+    frontier = keys.select(key)
     done = []
+    lo = 1
     for r in range(max_rounds):
-        if frontier.isEmpty():
-            return union_all(done) if done else keys.sparkSession.createDataFrame(
-                [], f"{key} bigint, draws int, candidate bigint")
-        lo = r * batch + 1
+        if r > 0 and n_left == 0:
+            return union_all(done)
+        width = min(batch << r, max_batch)
         tries = (frontier
-                 .select(key, F.explode(F.sequence(F.lit(lo), F.lit(lo + batch - 1))).alias("draw_no"))
+                 .select(key, F.explode(F.sequence(F.lit(lo), F.lit(lo + width - 1))).alias("draw_no"))
                  .withColumn("candidate", draw(F.col("draw_no"))))
+        lo += width
         judged = accept(tries)
-        best = cut(judged.groupBy(key).agg(
-            F.min(F.when(F.col("accepted"), F.struct("draw_no", "candidate"))).alias("best")))
+        best, n_left = write_round(judged.groupBy(key).agg(
+            F.min(F.when(F.col("accepted"), F.struct("draw_no", "candidate"))).alias("best")),
+            F.col("best").isNull())
         done.append(best.where(F.col("best").isNotNull())
                     .select(key, F.col("best.draw_no").alias("draws"), F.col("best.candidate").alias("candidate")))
         frontier = best.where(F.col("best").isNull()).select(key)
-    raise RuntimeError(f"redraw_until_accepted: keys still rejected after {max_rounds * batch} draws")
+    raise RuntimeError(f"redraw_until_accepted: keys still rejected after {lo - 1} draws")

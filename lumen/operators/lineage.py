@@ -1,14 +1,26 @@
 """Cutting lineage reliably.
 
-Loops that feed a DataFrame back into itself grow their plan every round.  We cut it with
-``DataFrame.checkpoint()``, which writes to the shared ``spark.checkpoint.dir`` the cluster
-names, so an executor lost later cannot force a recompute of earlier rounds (and never with
-``localCheckpoint``, whose blocks die with the executor).
+Loops that feed a DataFrame back into itself grow their plan every round.  We cut it by
+writing to the shared ``spark.checkpoint.dir`` the cluster names, so an executor lost
+later cannot force a recompute of earlier rounds (never ``localCheckpoint``, whose blocks
+die with the executor, and never a machine-local folder).
+
+* ``cut``: ``DataFrame.checkpoint()``.
+* ``write_round``: writes the rows as a parquet table under the checkpoint folder and
+  reads it back, while an ``Observation`` counts rows in the same job; a loop gets its
+  lineage cut *and* its stop test from one job instead of two.
+* ``co_partitioned``: a checkpointed table re-partitioned and sorted on a join key and
+  cached, so a join against it each round only shuffles the other side.  A checkpoint
+  alone reports unknown partitioning; the cached copy keeps it, and a lost cached block
+  is rebuilt from the checkpoint files, not from the original plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from lumen.session import ensure_checkpoint_dir
 
@@ -16,3 +28,21 @@ from lumen.session import ensure_checkpoint_dir
 def cut(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_round(df: DataFrame, counted: Column | None = None) -> tuple[DataFrame, int]:
+    """Persist ``df`` as parquet in the shared checkpoint folder; return the re-read frame
+    and the number of rows for which ``counted`` holds (all rows when None)."""
+    spark = df.sparkSession
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/lumen-round-{uuid.uuid4().hex}"
+    obs = Observation(f"round_{uuid.uuid4().hex[:12]}")
+    cond = F.lit(True) if counted is None else F.coalesce(counted, F.lit(False))
+    df.observe(obs, F.count(F.when(cond, 1)).alias("n")).write.mode("overwrite").parquet(path)
+    n = obs.get["n"]
+    return spark.read.schema(df.schema).parquet(path), int(n)
+
+
+def co_partitioned(df: DataFrame, key: str, n_partitions: int | None = None) -> DataFrame:
+    spark = df.sparkSession
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df).repartition(n, key).sortWithinPartitions(key).cache()

@@ -19,7 +19,7 @@ from lumen.functions.shapes import (guarded_inverse, guarded_sqrt, parity_even,
 from lumen.operators.assemble import global_line_numbers, ordered_concat
 from lumen.operators.broadcast import maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
-from lumen.operators.lineage import cut
+from lumen.operators.lineage import co_partitioned, cut
 from lumen.operators.match import nearest_match
 from lumen.operators.route import route
 from lumen.operators.sequence import first_match_after, with_next_row, with_positions
@@ -71,12 +71,11 @@ def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) ->
     frontier loop: each round joins the active rows to their next event."""
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # next event per event, computed once; hash-partitioned on event_id so each round only
-    # shuffles the frontier to meet it
-    edges = cut(with_next_row(ev, "user_id", "ts", "event_id", ["event_type"])
-                .select("event_id", "next_event_id", "next_event_type")
-                .where(F.col("next_event_id").isNotNull())
-                .repartition(n_parts, "event_id"))
+    # next event per event, computed once, checkpointed, then kept hash-partitioned and
+    # sorted on event_id so each round only shuffles the frontier to meet it
+    edges = co_partitioned(with_next_row(ev, "user_id", "ts", "event_id", ["event_type"])
+                           .select("event_id", "next_event_id", "next_event_type")
+                           .where(F.col("next_event_id").isNotNull()), "event_id", n_parts)
     seed = (ev.where(F.col("event_type") == "signup")
             .select(F.col("event_id").alias("journey_id"), "user_id", F.lit(0).alias("depth"), "event_id",
                     F.lit(True).alias("active"), F.lit(1.0).alias("weight")))
@@ -239,9 +238,11 @@ def q_default_members_union(spark, sf_dir):
            .select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("name"),
                    F.coalesce("r_name", F.lit(DEFAULT_REGION)).alias("region_name"),
                    F.lit(False).alias("is_default")))
-    defaults = spark.createDataFrame(
-        [(k, name, DEFAULT_REGION, True) for k, name in DEFAULT_MEMBERS],
-        "nation_id int, name string, region_name string, is_default boolean")
+    # fixed members as a JVM-side inline table (no Python rows to ship)
+    members = F.array(*[F.struct(F.lit(k).alias("nation_id"), F.lit(name).alias("name"),
+                                 F.lit(DEFAULT_REGION).alias("region_name"), F.lit(True).alias("is_default"))
+                        for k, name in DEFAULT_MEMBERS])
+    defaults = spark.range(1).select(F.inline(members))
     return dim.unionByName(defaults)
 
 
@@ -254,8 +255,9 @@ def q_param_join(spark, sf_dir):
 
 # ---- O10-O15: pairing and per-key operators ---------------------------------------------
 
-def _centroids(emb: DataFrame, n_dims: int) -> DataFrame:
-    return emb.groupBy("label").agg(V.mean_vector(V.as_double("embedding"), n_dims).alias("centroid"))
+def _centroids(emb: DataFrame) -> DataFrame:
+    """Per-label mean vector, materialised once: it is size-checked, then joined."""
+    return cut(V.mean_vectors(emb.select("label", V.as_double("embedding").alias("v")), ["label"], "v"))
 
 
 def q_line_ball_entry(spark, sf_dir):
@@ -266,8 +268,8 @@ def q_line_ball_entry(spark, sf_dir):
     rlen = F.sqrt(F.col("rx") * F.col("rx") + F.col("ry") * F.col("ry") + F.col("rz") * F.col("rz"))
     tracks = (tracks.withColumn("rlen", rlen).where(F.col("rlen") > 0)
               .select("vec_id", "ox", "oy", "oz", *[(F.col(f"r{a}") / F.col("rlen")).alias(f"d{a}") for a in "xyz"]))
-    zones = emb.groupBy(F.col("label").alias("ball")).agg(
-        *[F.avg(e[i]).alias(f"c{a}") for i, a in enumerate("xyz")])
+    zones = cut(emb.groupBy(F.col("label").alias("ball")).agg(
+        *[F.avg(e[i]).alias(f"c{a}") for i, a in enumerate("xyz")]))
     r = F.lit(BALL_RADIUS)
 
     def pair(df):
@@ -298,7 +300,7 @@ def q_line_ball_entry(spark, sf_dir):
 
 def q_nearest_centroid(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
-    cents = _centroids(emb, EMBED_DIMS).select(F.col("label").alias("nearest"), "centroid")
+    cents = _centroids(emb).select(F.col("label").alias("nearest"), "centroid")
     probes = emb.select("vec_id", "label", V.as_double("embedding").alias("v"))
 
     def pair(df):
@@ -349,7 +351,7 @@ def q_vec_normalize(spark, sf_dir):
 
 def q_vec_remove_direction(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
-    dirs = _centroids(emb, EMBED_DIMS).select("label", V.normalize("centroid").alias("n"))
+    dirs = _centroids(emb).select("label", V.normalize("centroid").alias("n"))
     j = emb.select("vec_id", "label", V.as_double("embedding").alias("v")).join(maybe_broadcast(dirs), "label")
     j = j.withColumn("w", V.remove_direction("v", "n", 1.0))
     return j.select("vec_id",
@@ -362,9 +364,8 @@ def q_vec_remove_direction(spark, sf_dir):
 def q_plane_projection(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     e = V.as_double("embedding")
-    two = emb.where(F.col("label").isin(0, 1)).agg(
-        *[F.array(*[F.avg(F.when(F.col("label") == lab, e[i])) for i in range(EMBED_DIMS)]).alias(f"c{lab}")
-          for lab in (0, 1)])
+    cents = V.mean_vectors(emb.where(F.col("label").isin(0, 1)).select("label", e.alias("v")), ["label"], "v")
+    two = cents.agg(*[F.max(F.when(F.col("label") == lab, F.col("centroid"))).alias(f"c{lab}") for lab in (0, 1)])
     # Gram-Schmidt: e1 along c0, e2 the unit part of c1 orthogonal to e1
     basis = (two.withColumn("e1", V.normalize("c0"))
              .withColumn("e2", V.normalize(V.remove_direction("c1", "e1", 1.0)))
