@@ -107,12 +107,14 @@ def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
     both = add_split(p.unionByName(c), "k", ["st", "rank"], split=split, bucket_seconds=bucket_seconds)
     # descending sort time; at equal sort time the probe comes first, so a candidate with
     # the same sort time (gap exactly min_gap) is not counted as after it
-    w = (Window.partitionBy("k", SPLIT).orderBy(F.desc("st"), F.desc("rank"))
-         .rowsBetween(Window.unboundedPreceding, -1))
-    scanned = cut(both.withColumn("__best", F.min("cand").over(w)))
+    ws = Window.partitionBy("k", SPLIT).orderBy(F.desc("st"), F.desc("rank"))
+    w = ws.rowsBetween(Window.unboundedPreceding, -1)
+    scanned = cut(both.withColumns({"__best": F.min("cand").over(w),
+                                    "__last": F.lead(F.lit(1)).over(ws).isNull()}))
     found = scanned.where("rank = 1")
-    # one row per (key, split) seen on either side; null head where a split has no candidate
-    heads = scanned.groupBy("k", SPLIT).agg(F.min("cand").alias("__head"))
+    # one row per (key, split) seen on either side: the split's last row in the scan order
+    # holds the minimum over the whole split (null where the split has no candidate)
+    heads = scanned.where("__last").select("k", SPLIT, F.least("__best", "cand").alias("__head"))
     wk = Window.partitionBy("k").orderBy(F.desc(SPLIT)).rowsBetween(Window.unboundedPreceding, -1)
     later = heads.select("k", SPLIT, F.min("__head").over(wk).alias("__later"))
     ok = found.where(F.col("__best").isNotNull())

@@ -93,7 +93,9 @@ def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) ->
             F.lit(None).cast("bigint").alias("event_id"), F.lit(False).alias("active"), F.lit(0.0).alias("weight"))
         return moved.unionByName(terminal)
 
-    return frontier_loop(seed, step, active=F.col("active"), max_rounds=hops + 1)
+    rows = frontier_loop(seed, step, active=F.col("active"), max_rounds=hops + 1)
+    edges.unpersist()      # every round is written out; the cached copy is no longer read
+    return rows
 
 
 def journeys_unrolled(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:

@@ -254,3 +254,31 @@ def test_ordered_concat_and_line_numbers(spark):
     numbered = global_line_numbers(big, ["k"], n_partitions=7)
     rows = sorted((r.k, r.line_no) for r in numbered.collect())
     assert [ln for _, ln in rows] == list(range(1, 5001))
+
+
+def test_redraw_nested_in_frontier_step(spark):
+    """A frontier step that itself runs a redraw loop (recursion inside a recursive step):
+    each round, every active walker redraws until it gets an even candidate, then moves."""
+    seed = spark.range(20).select(F.col("id").alias("k"), F.lit(0).alias("depth"), F.lit(0).alias("pos"),
+                                  F.lit(True).alias("active"))
+
+    def step(fr, r):
+        keys = fr.select((F.col("k") * 100 + F.col("depth")).alias("dk"), "k", "depth", "pos")
+        got = redraw_until_accepted(
+            keys.select("dk"), "dk",
+            draw=lambda i: F.floor(keyed_uniform("nest", F.col("dk"), i) * 10).cast("bigint"),
+            accept=lambda t: t.withColumn("accepted", F.col("candidate") % 2 == 0), batch=2)
+        moved = keys.join(got, "dk")
+        return moved.select("k", (F.col("depth") + 1).alias("depth"), (F.col("pos") + F.col("candidate")).alias("pos"),
+                            (F.col("depth") + 1 < 3).alias("active"))
+
+    out = frontier_loop(seed, step, active=F.col("active"), max_rounds=5).collect()
+    assert len(out) == 20 * 4
+    for k in range(20):
+        pos = 0
+        for d in range(3):
+            dk, i = k * 100 + d, 1
+            while math.floor(_py_uniform("nest", dk, i) * 10) % 2:
+                i += 1
+            pos += math.floor(_py_uniform("nest", dk, i) * 10)
+        assert [r.pos for r in out if r.k == k and r.depth == 3] == [pos]
