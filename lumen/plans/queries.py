@@ -17,7 +17,7 @@ from lumen.functions.numeric import cents, exact_avg, exact_sum, snap
 from lumen.functions.shapes import (guarded_inverse, guarded_sqrt, parity_even, quantize_sqrt,
                                     six_sector)
 from lumen.operators.assemble import global_line_numbers, ordered_concat
-from lumen.operators.broadcast import maybe_broadcast
+from lumen.operators.broadcast import broadcast_or_copartition, maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
 from lumen.operators.lineage import co_partitioned, cut
 from lumen.operators.match import nearest_match
@@ -160,8 +160,9 @@ def q_redraw_until_accept(spark, sf_dir):
     cust = load(spark, sf_dir, "customer", "c_custkey")
     part = load(spark, sf_dir, "part", "p_partkey", "p_size")
     n = part.agg(F.max("p_partkey") + 1).first()[0] or 0
-    eligible = maybe_broadcast(part.select(F.col("p_partkey").alias("candidate"),
-                                           (F.col("p_size") <= REDRAW_MAX_SIZE).alias("ok")))
+    # joined once per round: broadcast when checked small, else co-partitioned on the key
+    eligible = broadcast_or_copartition(part.select(F.col("p_partkey").alias("candidate"),
+                                                    (F.col("p_size") <= REDRAW_MAX_SIZE).alias("ok")), "candidate")
 
     def accept(tries):
         return (tries.join(eligible, "candidate", "left")

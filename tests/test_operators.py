@@ -282,3 +282,24 @@ def test_redraw_nested_in_frontier_step(spark):
                 i += 1
             pos += math.floor(_py_uniform("nest", dk, i) * 10)
         assert [r.pos for r in out if r.k == k and r.depth == 3] == [pos]
+
+
+def test_frontier_null_state_is_inactive(spark):
+    seed = spark.createDataFrame([(1, 0, None), (2, 0, True)], "k int, depth int, active boolean")
+
+    def step(fr, r):
+        return fr.select("k", (F.col("depth") + 1).alias("depth"), F.lit(False).alias("active"))
+
+    got = sorted((r.k, r.depth) for r in frontier_loop(seed, step, active=F.col("active"), max_rounds=3).collect())
+    assert got == [(1, 0), (2, 0), (2, 1)]
+
+
+def test_zero_radius_and_negative_zero(spark):
+    from lumen.functions.numeric import exact_sum
+    probes, balls = _lines_and_balls(spark)
+    balls = balls.union(spark.createDataFrame([(20, 0.0, 1.0, 0.0)], balls.schema))
+    out = nearest_match(probes, balls, ["pid"], pair=_pair, valid=F.col("t").isNotNull(),
+                        order=[F.col("t").asc(), F.col("ball").asc()], catalogue_order=["ball"])
+    assert {r.pid: r.ball for r in out.collect()}[1] == 20      # touching a point ball at t = 1
+    df = spark.createDataFrame([(-0.0,), (0.0,), (-0.0,)], "x double")
+    assert repr(df.agg(exact_sum("x").alias("s")).first().s) == "0.0"
