@@ -1,11 +1,12 @@
 """Nearest valid match between probe rows and a catalogue (theta join + top-1 per probe).
 
 The catalogue is broadcast only after its row count is checked.  Up to ``max_broadcast_rows``
-it goes whole; beyond that it is cut into exact chunks of at most ``max_broadcast_rows`` rows
+it goes whole.  Beyond that, an index join supplied by the caller (for geometry: the grid
+of :mod:`lumen.operators.spatial`) produces only the pairs that can match, as an equi-join.
+Without one (e.g. nearest centroid in 64 dimensions, where every centroid is a candidate by
+definition) the catalogue is cut into exact chunks of at most ``max_broadcast_rows`` rows
 (by global row number, so the bound is proven, not hoped for) and each chunk is broadcast in
-turn.  Every chunk yields each probe's best candidate; the final top-1 per probe runs over
-their union.  The pair work (probes x catalogue) is what the question asks for; only its
-memory footprint is bounded here.
+turn; the final top-1 per probe runs over their union.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumen.operators.assemble import global_line_numbers
+from lumen.operators.broadcast import fits
 from lumen.operators.topk import top_per_key
 
 MAX_BROADCAST_ROWS = 20_000
@@ -33,13 +35,23 @@ def catalogue_chunks(catalogue: DataFrame, order: list[str], max_rows: int) -> l
 
 def nearest_match(probes: DataFrame, catalogue: DataFrame, probe_key: list[str], *,
                   pair: Callable[[DataFrame], DataFrame], valid: Column, order: list[Column],
-                  catalogue_order: list[str], max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                  catalogue_order: list[str], max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                  candidates: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """For each probe, the catalogue row with the smallest ``order`` among pairs where
     ``valid`` holds.  ``pair`` adds pair columns to probe x catalogue rows.  Probes with no
-    valid pair produce no row (like an inner join)."""
+    valid pair produce no row (like an inner join).
+
+    Up to ``max_broadcast_rows`` catalogue rows the catalogue is broadcast.  Beyond that,
+    ``candidates(probes, catalogue)`` — an index join that returns a superset of the valid
+    pairs, e.g. :func:`lumen.operators.spatial.grid_candidates` — is used when given;
+    otherwise the catalogue is broadcast in exact chunks.
+    """
+    if candidates is not None and not fits(catalogue, max_broadcast_rows):
+        pairs = pair(candidates(probes, catalogue)).where(valid)
+        return top_per_key(pairs, probe_key, order)
     per_chunk = []
     for chunk in catalogue_chunks(catalogue, catalogue_order, max_broadcast_rows):
         pairs = pair(probes.crossJoin(F.broadcast(chunk))).where(valid)
         per_chunk.append(pairs)
-    candidates = reduce(lambda a, b: a.unionByName(b), per_chunk)
-    return top_per_key(candidates, probe_key, order)
+    found = reduce(lambda a, b: a.unionByName(b), per_chunk)
+    return top_per_key(found, probe_key, order)

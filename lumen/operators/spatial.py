@@ -1,0 +1,91 @@
+"""Candidate pairs for a line x ball theta join through a uniform grid (no all-pairs).
+
+Used by ``nearest_match`` when the catalogue of balls is too large to broadcast.  Both
+sides are exploded to grid cells and meet in an equi-join on the cell, so a track only
+meets the balls that share a cell with it:
+
+* a ball covers the cells of its bounding box (padded by a hair, so a track grazing a
+  cell boundary still meets it);
+* a track is clipped to the bounding box of all balls (slab method) and covers the cells
+  its segment passes through: the parameters where it crosses cell planes are listed per
+  axis, sorted, and the cell of each sub-interval's midpoint is taken.
+
+Every ball a track hits shares at least the cell of the hit point with it, so the exact
+test applied afterwards sees every true hit; duplicates (a pair sharing several cells)
+are removed.  Everything is built-in array functions: no Python per row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+AXES = "xyz"
+
+
+def _cell(x: Column, g: float) -> Column:
+    return F.floor(x / F.lit(g)).cast("bigint")
+
+
+def _plane_crossing(o: Column, d: Column, g: float):
+    def at(k):
+        return (k * F.lit(g) - o) / d
+    return at
+
+
+def ball_cells(balls: DataFrame, g: float, center=("cx", "cy", "cz"), radius: str = "r") -> DataFrame:
+    pad = g * 1e-9
+    out = balls
+    for a, c in zip(AXES, center):
+        lo = _cell(F.col(c) - F.col(radius) - F.lit(pad), g)
+        hi = _cell(F.col(c) + F.col(radius) + F.lit(pad), g)
+        out = out.withColumn(f"__c{a}", F.explode(F.sequence(lo, hi)))
+    return out
+
+
+def track_cells(tracks: DataFrame, g: float, box: dict[str, tuple[float, float]], t_min: float,
+                origin=("ox", "oy", "oz"), direction=("dx", "dy", "dz")) -> DataFrame:
+    big = F.lit(float("inf"))
+    enter, exit_ = F.lit(float(t_min)), big
+    for a, o, d in zip(AXES, origin, direction):
+        lo, hi = box[a]
+        o, d = F.col(o), F.col(d)
+        t_lo = (F.lit(lo) - o) / d
+        t_hi = (F.lit(hi) - o) / d
+        inside = (o >= F.lit(lo)) & (o <= F.lit(hi))
+        a_in = F.when(d == 0, F.when(inside, -big).otherwise(big)).otherwise(F.least(t_lo, t_hi))
+        a_out = F.when(d == 0, F.when(inside, big).otherwise(-big)).otherwise(F.greatest(t_lo, t_hi))
+        enter, exit_ = F.greatest(enter, a_in), F.least(exit_, a_out)
+    t = tracks.withColumns({"__t0": enter, "__t1": exit_}).where(F.col("__t0") <= F.col("__t1"))
+    crossings = []
+    for o, d in zip(origin, direction):
+        o, d = F.col(o), F.col(d)
+        k0 = _cell(o + d * F.col("__t0"), g)
+        k1 = _cell(o + d * F.col("__t1"), g)
+        ks = F.when(d != 0, F.sequence(F.least(k0, k1) + 1, F.greatest(k0, k1))).otherwise(F.array().cast("array<bigint>"))
+        crossings.append(F.transform(ks, _plane_crossing(o, d, g)))
+    ts = F.array_sort(F.concat(F.array(F.col("__t0")), *crossings, F.array(F.col("__t1"))))
+    mids = F.transform(F.slice(ts, 2, F.size(ts)), lambda b, i: (F.element_at(ts, i + 1) + b) / 2)
+    mids = F.when(F.size(ts) > 1, mids).otherwise(F.array(F.col("__t0")))
+    cells = F.array_distinct(F.transform(mids, lambda m: F.struct(
+        *[_cell(F.col(o) + F.col(d) * m, g).alias(f"__c{a}") for a, o, d in zip(AXES, origin, direction)])))
+    return t.select(*tracks.columns, F.inline(cells)).drop("__t0", "__t1")
+
+
+def grid_candidates(tracks: DataFrame, balls: DataFrame, track_key: list[str], ball_key: list[str], *,
+                    t_min: float, cell: float | None = None, center=("cx", "cy", "cz"), radius: str = "r",
+                    origin=("ox", "oy", "oz"), direction=("dx", "dy", "dz")) -> DataFrame:
+    """Track x ball rows for every pair that shares a grid cell (each pair once)."""
+    aggs = []
+    for a, c in zip(AXES, center):
+        aggs += [F.min(F.col(c) - F.col(radius)).alias(f"lo{a}"), F.max(F.col(c) + F.col(radius)).alias(f"hi{a}")]
+    stats = balls.agg(*aggs, F.avg(radius).alias("r_avg")).first()
+    if stats is None or stats["r_avg"] is None:
+        return tracks.crossJoin(balls).where(F.lit(False))
+    g = float(cell or max(2.0 * stats["r_avg"], 1e-12))
+    box = {a: (stats[f"lo{a}"], stats[f"hi{a}"]) for a in AXES}
+    tc = track_cells(tracks, g, box, t_min, origin, direction)
+    bc = ball_cells(balls, g, center, radius)
+    cells = [f"__c{a}" for a in AXES]
+    pairs = tc.join(bc, cells).drop(*cells)
+    return pairs.dropDuplicates(track_key + ball_key)

@@ -8,6 +8,8 @@ Timestamps leave as ISO text, doubles that depend on summation order are snapped
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,8 @@ from lumen.operators.assemble import global_line_numbers, ordered_concat
 from lumen.operators.broadcast import broadcast_or_copartition, maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
 from lumen.operators.lineage import co_partitioned, cut
-from lumen.operators.match import nearest_match
+from lumen.operators.match import MAX_BROADCAST_ROWS, nearest_match
+from lumen.operators.spatial import grid_candidates
 from lumen.operators.route import route
 from lumen.operators.sequence import first_match_after, with_next_row, with_positions
 from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max, top_per_key
@@ -263,7 +266,7 @@ def _centroids(emb: DataFrame) -> DataFrame:
     return cut(V.mean_vectors(emb.select("label", V.as_double("embedding").alias("v")), ["label"], "v"))
 
 
-def q_line_ball_entry(spark, sf_dir):
+def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     e = V.as_double("embedding")
     tracks = emb.select("vec_id", *[e[i].alias(f"o{a}") for i, a in enumerate("xyz")],
@@ -290,8 +293,11 @@ def q_line_ball_entry(spark, sf_dir):
         t = F.when(r1 > F.lit(T_MIN), r1).when(r2 > F.lit(T_MIN), r2)
         return df.withColumn("t", t)
 
+    zones = zones.withColumn("r", r)
+    grid = partial(grid_candidates, track_key=["vec_id"], ball_key=["ball"], t_min=T_MIN)
     hits = nearest_match(tracks, zones, ["vec_id"], pair=pair, valid=F.col("t").isNotNull(),
-                         order=[F.col("t").asc(), F.col("ball").asc()], catalogue_order=["ball"])
+                         order=[F.col("t").asc(), F.col("ball").asc()], catalogue_order=["ball"],
+                         max_broadcast_rows=max_broadcast_rows, candidates=grid)
     p = {a: F.col(f"o{a}") + F.col(f"d{a}") * F.col("t") for a in "xyz"}
     nrm = {a: (p[a] - F.col(f"c{a}")) / r for a in "xyz"}
     front = (F.col("dx") * nrm["x"] + F.col("dy") * nrm["y"] + F.col("dz") * nrm["z"]) < 0

@@ -303,3 +303,39 @@ def test_zero_radius_and_negative_zero(spark):
     assert {r.pid: r.ball for r in out.collect()}[1] == 20      # touching a point ball at t = 1
     df = spark.createDataFrame([(-0.0,), (0.0,), (-0.0,)], "x double")
     assert repr(df.agg(exact_sum("x").alias("s")).first().s) == "0.0"
+
+
+def test_grid_candidates_equal_broadcast_on_random_scene(spark):
+    from functools import partial
+
+    from lumen.operators.spatial import grid_candidates
+    rnd = random.Random(3)
+    balls = spark.createDataFrame(
+        [(i, rnd.uniform(-5, 5), rnd.uniform(-5, 5), rnd.uniform(-5, 5), rnd.uniform(0.05, 0.6)) for i in range(300)],
+        "ball int, cx double, cy double, cz double, r double")
+    rays = []
+    for i in range(250):
+        d = [rnd.gauss(0, 1) for _ in range(3)]
+        n = math.sqrt(sum(x * x for x in d))
+        d = [x / n for x in d]
+        if i % 25 == 0:
+            d = [1.0, 0.0, 0.0]                      # axis-parallel rays (zero direction parts)
+        rays.append((i, rnd.uniform(-6, 6), rnd.uniform(-6, 6), rnd.uniform(-6, 6), *d))
+    tracks = spark.createDataFrame(rays, "vec_id int, ox double, oy double, oz double, dx double, dy double, dz double")
+
+    def pair(df):
+        oc = [F.col(f"o{a}") - F.col(f"c{a}") for a in "xyz"]
+        hb = sum((oc[i] * F.col(f"d{a}") for i, a in enumerate("xyz")), F.lit(0.0))
+        c = sum((x * x for x in oc), F.lit(0.0)) - F.col("r") * F.col("r")
+        disc = hb * hb - c
+        sq = F.when(disc >= 0, F.sqrt(disc))
+        r1, r2 = -hb - sq, -hb + sq
+        return df.withColumn("t", F.when(r1 > 0.001, r1).when(r2 > 0.001, r2))
+
+    kw = dict(pair=pair, valid=F.col("t").isNotNull(), order=[F.col("t").asc(), F.col("ball").asc()],
+              catalogue_order=["ball"])
+    grid = partial(grid_candidates, track_key=["vec_id"], ball_key=["ball"], t_min=0.001)
+    a = {r.vec_id: (r.ball, r.t) for r in nearest_match(tracks, balls, ["vec_id"], **kw).collect()}
+    b = {r.vec_id: (r.ball, r.t) for r in
+         nearest_match(tracks, balls, ["vec_id"], max_broadcast_rows=10, candidates=grid, **kw).collect()}
+    assert len(a) > 20 and a == b
