@@ -50,18 +50,28 @@ def sub(a, b) -> Column:
     return F.zip_with(_c(a), _c(b), lambda x, y: x - y)
 
 
-def normalize(v, length=None) -> Column:
-    """Unit vector; null for the zero vector (division is guarded, never raises)."""
+def normalize(v) -> Column:
+    """Unit vector; null for the zero vector (division is guarded, never raises).
+
+    The squared length is the accumulator of one ``aggregate`` and the scaled vector is
+    built in its finish step, so the length is computed once per row.  (A scalar written
+    inside an array lambda is re-evaluated for every element: O(d^2) per row.)
+    """
     v = _c(v)
-    n = norm(v) if length is None else _c(length)
-    return F.when(n > 0, F.transform(v, lambda x: x / n))
+    return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x,
+                       lambda ss: F.when(ss > 0, F.transform(v, lambda x: x / F.sqrt(ss))))
 
 
 def remove_direction(v, n, c: float = 1.0) -> Column:
-    """v - c * n (n . v) for a unit n; c = 1 projects n out, c = 2 reflects across the plane."""
+    """v - c * n (n . v) for a unit n; c = 1 projects n out, c = 2 reflects across the plane.
+
+    n . v is computed once per row (accumulator of one ``aggregate``), then used by the
+    element-wise step in the finish lambda.
+    """
     v, n = _c(v), _c(n)
-    k = dot(n, v) * F.lit(float(c))
-    return F.zip_with(v, n, lambda x, y: x - k * y)
+    cc = F.lit(float(c))
+    return F.aggregate(F.zip_with(n, v, lambda y, x: y * x), F.lit(0.0), lambda acc, p: acc + p,
+                       lambda d: F.zip_with(v, n, lambda x, y: x - (d * cc) * y))
 
 
 def mean_vectors(df, keys: list[str], v, name: str = "centroid"):

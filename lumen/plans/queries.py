@@ -353,9 +353,8 @@ def q_dedup_by_key(spark, sf_dir):
 def q_vec_normalize(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding")
     v = V.dims(V.as_double("embedding"), 1, TRUNCATE_DIMS)
-    t = emb.select("vec_id", v.alias("v")).withColumn("len_before", V.norm("v"))
-    t = t.withColumn("u", V.normalize("v", F.col("len_before")))
-    return t.select("vec_id", snap("len_before").alias("len_before"), snap(V.norm("u")).alias("len_after"))
+    t = emb.select("vec_id", v.alias("v"))
+    return t.select("vec_id", snap(V.norm("v")).alias("len_before"), snap(V.norm(V.normalize("v"))).alias("len_after"))
 
 
 def q_vec_remove_direction(spark, sf_dir):
