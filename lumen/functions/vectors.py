@@ -85,3 +85,21 @@ def mean_vectors(df, keys: list[str], v, name: str = "centroid"):
                .groupBy(*keys, "__i").agg(F.avg("__x").alias("__m")))
     return (per_dim.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__i", "__m"))).alias("__s"))
             .select(*keys, F.transform("__s", lambda e: e["__m"]).alias(name)))
+
+
+def cross3(a, b) -> Column:
+    """3-d cross product a x b (the frame built from two directions)."""
+    a, b = _c(a), _c(b)
+
+    def e(v, i):
+        return F.element_at(v, i)
+
+    return F.array(e(a, 2) * e(b, 3) - e(a, 3) * e(b, 2),
+                   e(a, 3) * e(b, 1) - e(a, 1) * e(b, 3),
+                   e(a, 1) * e(b, 2) - e(a, 2) * e(b, 1))
+
+
+def orient(n, v) -> Column:
+    """``n`` turned to face against ``v``: n when n . v < 0, else -n (front-face normal)."""
+    n, v = _c(n), _c(v)
+    return F.when(dot(n, v) < 0, n).otherwise(F.transform(n, lambda x: -x))

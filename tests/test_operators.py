@@ -339,3 +339,15 @@ def test_grid_candidates_equal_broadcast_on_random_scene(spark):
     b = {r.vec_id: (r.ball, r.t) for r in
          nearest_match(tracks, balls, ["vec_id"], max_broadcast_rows=10, candidates=grid, **kw).collect()}
     assert len(a) > 20 and a == b
+
+
+def test_cross_and_orient(spark):
+    df = spark.createDataFrame([([1.0, 0.0, 0.0], [0.0, 1.0, 0.0]), ([2.0, 3.0, 4.0], [5.0, 6.0, 7.0])],
+                               "a array<double>, b array<double>")
+    out = df.select(V.cross3("a", "b").alias("c"), V.orient("a", "b").alias("o"),
+                    V.dot(V.cross3("a", "b"), "a").alias("ca")).collect()
+    assert out[0].c == [0.0, 0.0, 1.0]
+    assert out[1].c == [3 * 7 - 4 * 6, 4 * 5 - 2 * 7, 2 * 6 - 3 * 5]
+    assert all(r.ca == 0.0 for r in out)
+    assert out[0].o == [1.0, 0.0, 0.0] or out[0].o == [-1.0, -0.0, -0.0]
+    assert out[1].o == [-2.0, -3.0, -4.0]
