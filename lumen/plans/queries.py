@@ -110,6 +110,7 @@ def journeys_unrolled(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS
     (at most K+1 rows, so no hot partition) carries the weight and cuts at the first stop.
     """
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    # read twice below (signups and join target): the second read reuses the shuffle files
     seq = with_positions(ev, "user_id", "ts", "event_id")
     starts = seq.where(F.col("event_type") == "signup").select(
         F.col("event_id").alias("journey_id"), "user_id", F.col("pos").alias("pos0"))
