@@ -27,10 +27,10 @@ def ordered_concat(df: DataFrame, keys: list[str], order: str, text: Column, sep
 def global_line_numbers(df: DataFrame, order: list[str], *, start: int = 1, n_partitions: int | None = None,
                         name: str = "line_no") -> DataFrame:
     """Add ``name`` = position of each row in the total order ``order`` (starting at ``start``)."""
-    spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # checkpoint pins the range split: the counts and the numbering read the same partitions
-    ranged = cut(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # (AQE may merge adjacent ranges when no count is given; the order is kept)
+    by_range = df.repartitionByRange(n_partitions, *order) if n_partitions else df.repartitionByRange(*order)
+    ranged = cut(by_range.sortWithinPartitions(*order)
                  .withColumn("__pid", F.spark_partition_id())
                  .withColumn("__mid", F.monotonically_increasing_id()))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))

@@ -42,7 +42,20 @@ def write_round(df: DataFrame, counted: Column | None = None) -> tuple[DataFrame
     return spark.read.schema(df.schema).parquet(path), int(n)
 
 
-def co_partitioned(df: DataFrame, key: str, n_partitions: int | None = None) -> DataFrame:
+ROWS_PER_PARTITION = 2_000_000
+
+
+def co_partitioned(df: DataFrame, key: str, n_partitions: int | None = None,
+                   rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Checkpoint, hash-partition on ``key``, sort within partitions, cache.
+
+    A cached side keeps a fixed partition count that AQE cannot coalesce, so unless one is
+    given it is sized from the row count (about ``rows_per_partition`` rows per partition),
+    capped by ``spark.sql.shuffle.partitions``.
+    """
     spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return cut(df).repartition(n, key).sortWithinPartitions(key).cache()
+    fixed = cut(df)
+    if not n_partitions:
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n_partitions = max(1, min(cap, -(-fixed.count() // rows_per_partition)))
+    return fixed.repartition(n_partitions, key).sortWithinPartitions(key).cache()

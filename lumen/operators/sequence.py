@@ -40,10 +40,11 @@ def add_split(df: DataFrame, key: str, order: list[str], *, split: str = "range"
         return df.withColumn(SPLIT, time_bucket(order[0], bucket_seconds))
     if split != "range":
         raise ValueError(f"unknown split {split!r}")
-    n = n_splits or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the partition id of a range partitioning is monotone in (key, order); checkpointing
-    # pins the sampled bounds so every later read sees the same split numbers
-    return cut(df.repartitionByRange(n, key, *order).withColumn(SPLIT, F.spark_partition_id().cast("bigint")))
+    # the partition id of a range partitioning is monotone in (key, order); without an
+    # explicit count AQE may merge adjacent ranges of small inputs, which keeps it monotone.
+    # Checkpointing pins the sampled bounds so every later read sees the same split numbers.
+    ranged = df.repartitionByRange(n_splits, key, *order) if n_splits else df.repartitionByRange(key, *order)
+    return cut(ranged.withColumn(SPLIT, F.spark_partition_id().cast("bigint")))
 
 
 def with_next_row(df: DataFrame, key: str, ts: str, tiebreak: str, carry: list[str], *,
