@@ -1,0 +1,65 @@
+"""Randomised checks of the sequence operators against brute force (hypothesis).
+
+Timestamps are drawn from a handful of values so ties are frequent; the number of range
+splits is forced small and large so keys straddle split boundaries.
+"""
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from lumen.operators.sequence import first_match_after, with_next_row, with_positions
+
+T0 = dt.datetime(2024, 1, 1)
+rows_st = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 12), st.sampled_from("ab")), min_size=1, max_size=60)
+CFG = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _frame(spark, raw):
+    rows = [(i, T0 + dt.timedelta(seconds=30 * t), u, k) for i, (u, t, k) in enumerate(raw)]
+    return spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, kind string"), rows
+
+
+@CFG
+@given(raw=rows_st, n_splits=st.sampled_from([1, 3, 11]))
+def test_next_and_positions_random(spark, raw, n_splits):
+    from lumen.operators import sequence as S
+    df, rows = _frame(spark, raw)
+    order = sorted(rows, key=lambda r: (r[2], r[1], r[0]))
+    want_next, want_pos, by_user = {}, {}, {}
+    for r in order:
+        by_user.setdefault(r[2], []).append(r[0])
+    for ids in by_user.values():
+        for i, e in enumerate(ids):
+            want_pos[e] = i
+            want_next[e] = ids[i + 1] if i + 1 < len(ids) else None
+    orig = S.add_split
+
+    def forced(d, key, order_cols, **kw):
+        kw["n_splits"] = n_splits
+        return orig(d, key, order_cols, **kw)
+
+    S.add_split = forced
+    try:
+        got_next = {r.event_id: r.next_event_id for r in with_next_row(df, "user_id", "ts", "event_id", []).collect()}
+        got_pos = {r.event_id: r.pos for r in with_positions(df, "user_id", "ts", "event_id").collect()}
+    finally:
+        S.add_split = orig
+    assert got_next == want_next
+    assert got_pos == want_pos
+
+
+@CFG
+@given(raw=rows_st, gap=st.sampled_from([0, 30, 90]))
+def test_first_match_after_random(spark, raw, gap):
+    df, rows = _frame(spark, raw)
+    out = first_match_after(df.where("kind = 'a'"), df.where("kind = 'b'"), "user_id", probe_ts="ts",
+                            probe_id="event_id", cand_ts="ts", cand_id="event_id", min_gap_us=gap * 1_000_000)
+    got = {r.event_id: r.match_id for r in out.collect()}
+    want = {}
+    for p in rows:
+        if p[3] == "a":
+            c = [r for r in rows if r[3] == "b" and r[2] == p[2] and (r[1] - p[1]).total_seconds() > gap]
+            want[p[0]] = min(c, key=lambda r: (r[1], r[0]))[0] if c else None
+    assert got == want
