@@ -351,3 +351,20 @@ def test_cross_and_orient(spark):
     assert all(r.ca == 0.0 for r in out)
     assert out[0].o == [1.0, 0.0, 0.0] or out[0].o == [-1.0, -0.0, -0.0]
     assert out[1].o == [-2.0, -3.0, -4.0]
+
+
+def test_frontier_loop_empty_seed(spark):
+    seed = spark.createDataFrame([], "k int, depth int, active boolean")
+
+    def step(fr, r):
+        raise AssertionError("no round should run")
+
+    out = frontier_loop(seed, step, active=F.col("active"), max_rounds=3)
+    assert out.count() == 0 and out.columns == ["k", "depth", "active"]
+
+
+def test_redraw_empty_keys(spark):
+    keys = spark.createDataFrame([], "k bigint")
+    out = redraw_until_accepted(keys, "k", draw=lambda i: F.lit(0).cast("bigint"),
+                                accept=lambda t: t.withColumn("accepted", F.lit(True)))
+    assert out.count() == 0
