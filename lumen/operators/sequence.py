@@ -124,3 +124,36 @@ def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
     out = ok.unionByName(miss)
     return out.select(F.col("k").alias(key), F.col("pid").alias(probe_id), F.col("pts").alias(probe_ts),
                       F.col("__best.cid").alias("match_id"), F.col("__best.cts").alias("match_ts"))
+
+
+def with_following(df: DataFrame, key: str, ts: str, tiebreak: str, k: int, carry: list[str], *,
+                   where=None, split: str = "range", bucket_seconds: int = DAY,
+                   name: str = "following") -> DataFrame:
+    """Add ``name``: the next ``k`` rows of the same key in (ts, tiebreak) order, as an array
+    of structs (ts, tiebreak, *carry); shorter at the end of a key.
+
+    A bounded window frame (1 to k following) per (key, split) answers every row whose k
+    successors lie in its own split.  For the rest, each split contributes its first k rows
+    to a summary with one row per (key, split), and a frame over the following k splits of
+    that summary gives the continuation (each split holds at least one row, so k splits
+    always suffice).  Only rows matching ``where`` (default: all) are returned, and only
+    they and the split heads are materialised.
+    """
+    item = F.struct(*[F.col(c) for c in [ts, tiebreak, *carry]])
+    rows = add_split(df, key, [ts, tiebreak], split=split, bucket_seconds=bucket_seconds)
+    w = Window.partitionBy(key, SPLIT).orderBy(ts, tiebreak)
+    keep = F.lit(True) if where is None else where
+    rows = rows.withColumns({"__ahead": F.collect_list(item).over(w.rowsBetween(1, k)),
+                             "__first": F.row_number().over(w) == 1,
+                             "__keep": F.coalesce(keep, F.lit(False))})
+    needed = cut(rows.where(F.col("__keep") | F.col("__first")).withColumn("__item", item))
+    heads = needed.where("__first").select(
+        key, SPLIT, F.slice(F.concat(F.array("__item"), "__ahead"), 1, k).alias("__head"))
+    wk = Window.partitionBy(key).orderBy(SPLIT).rowsBetween(1, k)
+    conts = heads.select(key, SPLIT, F.slice(F.flatten(F.collect_list("__head").over(wk)), 1, k).alias("__cont"))
+    out = needed.where("__keep")
+    full = out.where(F.size("__ahead") == k).withColumn(name, F.col("__ahead"))
+    short = (out.where(F.size("__ahead") < k).join(conts, [key, SPLIT], "left")
+             .withColumn(name, F.when(F.col("__cont").isNull(), F.col("__ahead"))
+                         .otherwise(F.slice(F.concat("__ahead", "__cont"), 1, k))))
+    return full.unionByName(short.drop("__cont")).select(*df.columns, name)

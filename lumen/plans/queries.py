@@ -25,7 +25,7 @@ from lumen.operators.lineage import co_partitioned, cut
 from lumen.operators.match import MAX_BROADCAST_ROWS, nearest_match
 from lumen.operators.spatial import grid_candidates
 from lumen.operators.route import route
-from lumen.operators.sequence import first_match_after, with_next_row, with_positions
+from lumen.operators.sequence import first_match_after, with_following, with_next_row, with_positions
 from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max, top_per_key
 from lumen.sources.tables import load
 
@@ -136,11 +136,54 @@ def journeys_unrolled(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS
     return hit.select("journey_id", "user_id", F.inline(out))
 
 
-def journeys(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, strategy: str = "unrolled") -> DataFrame:
+def journeys_windowed(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
+    """The same rows as :func:`journeys_loop` from one bounded window.
+
+    Each signup gets its next K events as an array (``with_following``: a frame of K rows
+    per (user, split), continued across splits from a per-split summary).  The path is then
+    row-local: the first stop cuts it, and the weights are the running products of the
+    factors, multiplied in the same order as the loop does.
+    """
+    ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    starts = with_following(ev, "user_id", "ts", "event_id", hops, ["event_type"],
+                            where=F.col("event_type") == "signup", name="nxt")
+    nxt = F.col("nxt")
+    stop = F.array_position(F.transform(nxt, lambda e: e["event_type"] == JOURNEY_STOP), F.lit(True))  # 1-based, 0: none
+    cum = F.aggregate(nxt, F.array(F.lit(1.0)),
+                      lambda acc, e: F.concat(acc, F.array(F.element_at(acc, -1) * _factor_of(e["event_type"]))))
+    t = starts.select(F.col("event_id").alias("journey_id"), "user_id", nxt.alias("nxt"),
+                      stop.cast("int").alias("stop"), cum.alias("cum"))
+    last = F.when(F.col("stop") > 0, F.col("stop")).otherwise(F.size("nxt"))
+    depth_rows = F.transform(F.sequence(F.lit(0), last), lambda d: F.struct(
+        d.alias("depth"),
+        F.when(d == 0, F.col("journey_id")).otherwise(F.element_at("nxt", F.greatest(d, F.lit(1)))["event_id"])
+        .alias("event_id"),
+        (~_stops_at(d)).alias("active"),
+        F.when(_stops_at(d), F.lit(0.0)).otherwise(F.element_at("cum", d + 1)).alias("weight")))
+    term = F.array(F.struct(F.lit(hops + 1).alias("depth"), F.lit(None).cast("bigint").alias("event_id"),
+                            F.lit(False).alias("active"), F.lit(0.0).alias("weight")))
+    all_rows = F.when((F.col("stop") == 0) & (F.size("nxt") == hops), F.concat(depth_rows, term)).otherwise(depth_rows)
+    return t.select("journey_id", "user_id", F.inline(all_rows))
+
+
+def _stops_at(d):
+    return (F.col("stop") > 0) & (d == F.col("stop"))
+
+
+def _factor_of(etype):
+    factor = F.lit(1.0)
+    for name, f in JOURNEY_FACTORS.items():
+        factor = F.when(etype == name, F.lit(f)).otherwise(factor)
+    return factor
+
+
+def journeys(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, strategy: str = "windowed") -> DataFrame:
     if strategy == "loop":
         return journeys_loop(spark, sf_dir, hops)
     if strategy == "unrolled":
         return journeys_unrolled(spark, sf_dir, hops)
+    if strategy == "windowed":
+        return journeys_windowed(spark, sf_dir, hops)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 

@@ -9,7 +9,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from lumen.operators.sequence import first_match_after, with_next_row, with_positions
+from lumen.operators.sequence import first_match_after, with_following, with_next_row, with_positions
 
 T0 = dt.datetime(2024, 1, 1)
 rows_st = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 12), st.sampled_from("ab")), min_size=1, max_size=60)
@@ -63,3 +63,26 @@ def test_first_match_after_random(spark, raw, gap):
             c = [r for r in rows if r[3] == "b" and r[2] == p[2] and (r[1] - p[1]).total_seconds() > gap]
             want[p[0]] = min(c, key=lambda r: (r[1], r[0]))[0] if c else None
     assert got == want
+
+
+@CFG
+@given(raw=rows_st, n_splits=st.sampled_from([1, 4, 13]), k=st.integers(1, 4))
+def test_following_random(spark, raw, n_splits, k):
+    from lumen.operators import sequence as S
+    df, rows = _frame(spark, raw)
+    by_user = {}
+    for r in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
+        by_user.setdefault(r[2], []).append(r[0])
+    want = {}
+    for ids in by_user.values():
+        for i, e in enumerate(ids):
+            if rows[e][3] == "a":
+                want[e] = ids[i + 1:i + 1 + k]
+    orig = S.add_split
+    S.add_split = lambda d, key, order_cols, **kw: orig(d, key, order_cols, **{**kw, "n_splits": n_splits})
+    try:
+        out = with_following(df, "user_id", "ts", "event_id", k, ["kind"], where=df.kind == "a", name="nx")
+        got = {r.event_id: [x.event_id for x in r.nx] for r in out.collect()}
+    finally:
+        S.add_split = orig
+    assert got == want

@@ -10,9 +10,9 @@ from tests.helpers import rows_of
 
 
 def test_journey_strategies_agree(spark):
-    a = Q.journeys(spark, SF001, strategy="loop")
-    b = Q.journeys(spark, SF001, strategy="unrolled")
-    assert rows_of(a) == rows_of(b)
+    a = rows_of(Q.journeys(spark, SF001, strategy="loop"))
+    assert a == rows_of(Q.journeys(spark, SF001, strategy="unrolled"))
+    assert a == rows_of(Q.journeys(spark, SF001, strategy="windowed"))
 
 
 def test_journey_properties(spark):
