@@ -54,8 +54,8 @@ def co_partitioned(df: DataFrame, key: str, n_partitions: int | None = None,
     capped by ``spark.sql.shuffle.partitions``.
     """
     spark = df.sparkSession
-    fixed = cut(df)
+    fixed, n_rows = write_round(df)          # lineage cut and row count in one job
     if not n_partitions:
         cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n_partitions = max(1, min(cap, -(-fixed.count() // rows_per_partition)))
+        n_partitions = max(1, min(cap, -(-n_rows // rows_per_partition)))
     return fixed.repartition(n_partitions, key).sortWithinPartitions(key).cache()
