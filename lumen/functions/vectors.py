@@ -32,6 +32,21 @@ def dot(a, b) -> Column:
     return vsum(F.zip_with(_c(a), _c(b), lambda x, y: x * y))
 
 
+def sqdist(a, b) -> Column:
+    """Squared euclidean distance, summed left to right."""
+    return vsum(F.zip_with(_c(a), _c(b), lambda x, y: (x - y) * (x - y)))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Expressions inside higher-order-function lambdas are not shared, so a value used
+    several times there would be recomputed each time; binding it through a one-element
+    ``transform`` computes it once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def norm(v) -> Column:
     v = _c(v)
     return F.sqrt(dot(v, v))

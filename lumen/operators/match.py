@@ -17,11 +17,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumen.functions.vectors import let
 from lumen.operators.assemble import global_line_numbers
 from lumen.operators.broadcast import fits
 from lumen.operators.topk import top_per_key
 
 MAX_BROADCAST_ROWS = 20_000
+FOLD_MAX_ROWS = 2_000
 
 
 def catalogue_chunks(catalogue: DataFrame, order: list[str], max_rows: int) -> list[DataFrame]:
@@ -55,3 +57,32 @@ def nearest_match(probes: DataFrame, catalogue: DataFrame, probe_key: list[str],
         per_chunk.append(pairs)
     found = reduce(lambda a, b: a.unionByName(b), per_chunk)
     return top_per_key(found, probe_key, order)
+
+
+def nearest_by_fold(probes: DataFrame, catalogue: DataFrame, *, order_key: str,
+                    score: Callable[[Column], Column], name: str = "best") -> DataFrame:
+    """For each probe row, the catalogue row with the smallest ``score`` (ties: smallest
+    ``order_key``), as struct column ``name`` = (score, item); null when no score is valid.
+
+    The catalogue (checked small by the caller) is packed into one array sorted by
+    ``order_key`` and attached to every probe as a one-row broadcast; each row then folds
+    over the array with ``aggregate``.  No probe x catalogue rows are materialised and
+    nothing is shuffled: the nearest match is a narrow map.  ``score(item)`` receives the
+    catalogue entry as a struct and may use the probe's columns; null means "no match".
+    """
+    cols = catalogue.columns
+    packed = catalogue.agg(F.array_sort(F.collect_list(F.struct(F.col(order_key).alias("__k"), *cols)))
+                           .alias("__cat"))
+    packed = packed.select(F.transform("__cat", lambda e: F.struct(*[e[c].alias(c) for c in cols])).alias("__cat"))
+    items = F.col("__cat")
+    item_type = ",".join(f"{c}:{t}" for c, t in catalogue.dtypes)
+    start = F.lit(None).cast(f"struct<score:double,item:struct<{item_type}>>")
+
+    def merge(acc, item):
+        def pick(s):
+            better = s.isNotNull() & (acc.isNull() | (s < acc["score"]))
+            return F.when(better, F.struct(s.alias("score"), item.alias("item"))).otherwise(acc)
+        return let(score(item), pick)
+
+    out = probes.crossJoin(F.broadcast(packed))      # one row, size checked by the caller
+    return out.withColumn(name, F.aggregate(items, start, merge)).drop("__cat")

@@ -22,7 +22,8 @@ from lumen.operators.assemble import global_line_numbers, ordered_concat
 from lumen.operators.broadcast import broadcast_or_copartition, maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
 from lumen.operators.lineage import co_partitioned, cut
-from lumen.operators.match import MAX_BROADCAST_ROWS, nearest_match
+from lumen.operators.broadcast import fits
+from lumen.operators.match import FOLD_MAX_ROWS, MAX_BROADCAST_ROWS, nearest_by_fold, nearest_match
 from lumen.operators.spatial import grid_candidates
 from lumen.operators.route import route
 from lumen.operators.sequence import first_match_after, with_following, with_next_row, with_positions
@@ -309,7 +310,8 @@ def _centroids(emb: DataFrame) -> DataFrame:
     return cut(V.mean_vectors(emb.select("label", V.as_double("embedding").alias("v")), ["label"], "v"))
 
 
-def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS):
+def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                      fold_max_rows: int = FOLD_MAX_ROWS):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     e = V.as_double("embedding")
     tracks = emb.select("vec_id", *[e[i].alias(f"o{a}") for i, a in enumerate("xyz")],
@@ -318,31 +320,35 @@ def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROW
     tracks = (tracks.withColumn("rlen", rlen).where(F.col("rlen") > 0)
               .select("vec_id", "ox", "oy", "oz", *[(F.col(f"r{a}") / F.col("rlen")).alias(f"d{a}") for a in "xyz"]))
     zones = cut(emb.groupBy(F.col("label").alias("ball")).agg(
-        *[F.avg(e[i]).alias(f"c{a}") for i, a in enumerate("xyz")]))
-    r = F.lit(BALL_RADIUS)
+        *[F.avg(e[i]).alias(f"c{a}") for i, a in enumerate("xyz")]).withColumn("r", F.lit(BALL_RADIUS)))
 
-    def pair(df):
-        ocx, ocy, ocz = (F.col(f"o{a}") - F.col(f"c{a}") for a in "xyz")
+    def entry_t(cx, cy, cz, r):
+        ocx, ocy, ocz = F.col("ox") - cx, F.col("oy") - cy, F.col("oz") - cz
         dx, dy, dz = (F.col(f"d{a}") for a in "xyz")
-        a = dx * dx + dy * dy + dz * dz
-        half_b = ocx * dx + ocy * dy + ocz * dz
-        c = (ocx * ocx + ocy * ocy + ocz * ocz) - r * r
-        df = df.withColumns({"qa": a, "qb": half_b, "qc": c})
-        df = df.withColumn("disc", F.col("qb") * F.col("qb") - F.col("qa") * F.col("qc"))
-        sq = F.when(F.col("disc") >= 0, F.sqrt(F.col("disc")))
-        r1 = (-F.col("qb") - sq) / F.col("qa")
-        r2 = (-F.col("qb") + sq) / F.col("qa")
+        qa = dx * dx + dy * dy + dz * dz
+        qb = ocx * dx + ocy * dy + ocz * dz
+        qc = (ocx * ocx + ocy * ocy + ocz * ocz) - r * r
+        disc = qb * qb - qa * qc
+        sq = F.when(disc >= 0, F.sqrt(disc))
+        r1 = (-qb - sq) / qa
+        r2 = (-qb + sq) / qa
         # nearer root above t_min, else the farther one (a track starting inside a zone)
-        t = F.when(r1 > F.lit(T_MIN), r1).when(r2 > F.lit(T_MIN), r2)
-        return df.withColumn("t", t)
-
-    zones = zones.withColumn("r", r)
-    grid = partial(grid_candidates, track_key=["vec_id"], ball_key=["ball"], t_min=T_MIN)
-    hits = nearest_match(tracks, zones, ["vec_id"], pair=pair, valid=F.col("t").isNotNull(),
-                         order=[F.col("t").asc(), F.col("ball").asc()], catalogue_order=["ball"],
-                         max_broadcast_rows=max_broadcast_rows, candidates=grid)
+        return F.when(r1 > F.lit(T_MIN), r1).when(r2 > F.lit(T_MIN), r2)
+
+    if fits(zones, fold_max_rows):
+        best = nearest_by_fold(tracks, zones, order_key="ball",
+                               score=lambda z: entry_t(z["cx"], z["cy"], z["cz"], z["r"]))
+        hits = best.where(F.col("best").isNotNull()).select(
+            "vec_id", "ox", "oy", "oz", "dx", "dy", "dz", F.col("best.score").alias("t"),
+            *[F.col(f"best.item.{c}").alias(c) for c in ("ball", "cx", "cy", "cz", "r")])
+    else:
+        grid = partial(grid_candidates, track_key=["vec_id"], ball_key=["ball"], t_min=T_MIN)
+        hits = nearest_match(tracks, zones, ["vec_id"],
+                             pair=lambda df: df.withColumn("t", entry_t(F.col("cx"), F.col("cy"), F.col("cz"), F.col("r"))),
+                             valid=F.col("t").isNotNull(), order=[F.col("t").asc(), F.col("ball").asc()],
+                             catalogue_order=["ball"], max_broadcast_rows=max_broadcast_rows, candidates=grid)
     p = {a: F.col(f"o{a}") + F.col(f"d{a}") * F.col("t") for a in "xyz"}
-    nrm = {a: (p[a] - F.col(f"c{a}")) / r for a in "xyz"}
+    nrm = {a: (p[a] - F.col(f"c{a}")) / F.col("r") for a in "xyz"}
     front = (F.col("dx") * nrm["x"] + F.col("dy") * nrm["y"] + F.col("dz") * nrm["z"]) < 0
     return hits.select("vec_id", "ball", snap("t").alias("t"),
                        *[snap(p[a]).alias(f"p{a}") for a in "xyz"],
@@ -350,17 +356,22 @@ def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROW
                        front.alias("front"))
 
 
-def q_nearest_centroid(spark, sf_dir):
+def q_nearest_centroid(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                       fold_max_rows: int = FOLD_MAX_ROWS):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     cents = _centroids(emb).select(F.col("label").alias("nearest"), "centroid")
     probes = emb.select("vec_id", "label", V.as_double("embedding").alias("v"))
 
-    def pair(df):
-        diff = V.sub("v", "centroid")
-        return df.withColumn("d2", V.dot(diff, diff))
+    def d2(c):
+        return V.sqdist("v", c)
 
-    best = nearest_match(probes, cents, ["vec_id"], pair=pair, valid=F.lit(True),
-                         order=[F.col("d2").asc(), F.col("nearest").asc()], catalogue_order=["nearest"])
+    if fits(cents, fold_max_rows):
+        best = nearest_by_fold(probes, cents, order_key="nearest", score=lambda c: d2(c["centroid"]))
+        best = best.select("label", F.col("best.item.nearest").alias("nearest"))
+    else:
+        best = nearest_match(probes, cents, ["vec_id"], pair=lambda df: df.withColumn("d2", d2(F.col("centroid"))),
+                             valid=F.lit(True), order=[F.col("d2").asc(), F.col("nearest").asc()],
+                             catalogue_order=["nearest"], max_broadcast_rows=max_broadcast_rows)
     return best.groupBy("label", "nearest").agg(F.count(F.lit(1)).alias("n"))
 
 

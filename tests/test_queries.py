@@ -65,10 +65,17 @@ def test_framed_export_lines(spark, tmp_path):
 def test_line_ball_entry_grid_path_matches_oracle(spark, duck):
     from tests.conftest import SF01
     from tests.helpers import canon
-    df = Q.q_line_ball_entry(spark, SF01, max_broadcast_rows=1)     # forces the grid join
+    df = Q.q_line_ball_entry(spark, SF01, max_broadcast_rows=1, fold_max_rows=0)     # forces the grid join
     cols = sorted(df.columns)
     got = sorted(tuple(canon(r[c]) for c in cols) for r in df.collect())
     rel = duck.execute(E.oracle_sql()["line_ball_entry"])
     dcols = [d[0] for d in rel.description]
     idx = [dcols.index(c) for c in cols]
     assert got == sorted(tuple(canon(r[i]) for i in idx) for r in rel.fetchall())
+
+
+def test_nearest_centroid_all_paths_agree(spark):
+    from tests.conftest import SF01
+    fold = rows_of(Q.q_nearest_centroid(spark, SF01))
+    assert fold == rows_of(Q.q_nearest_centroid(spark, SF01, fold_max_rows=0))                        # one broadcast
+    assert fold == rows_of(Q.q_nearest_centroid(spark, SF01, fold_max_rows=0, max_broadcast_rows=3))  # chunks
