@@ -252,13 +252,12 @@ def q_grid_cells(spark, sf_dir):
     h = _hours_since_epoch("ts")
     cells = (ev.select(F.pmod(h, F.lit(24)).alias("col"), F.floor(h / F.lit(24.0)).cast("bigint").alias("row"), "value")
              .groupBy("col", "row").agg(F.count(F.lit(1)).alias("n"), exact_avg("value").alias("avg_value")))
-    # one row (max row); broadcasting it is bounded by construction
-    n_rows = cells.agg((F.max("row") + 1).alias("n_rows"))
-    out = cells.crossJoin(F.broadcast(n_rows))
-    return out.select("col", "row",
-                      ((F.col("col") + F.lit(0.5)) / F.lit(24.0)).alias("u"),
-                      ((F.col("row") + F.lit(0.5)) / F.col("n_rows")).alias("v"),
-                      "n", "avg_value")
+    # grid height as an uncorrelated scalar subquery: evaluated once, inlined as a literal
+    n_rows = cells.agg(F.max("row") + 1).scalar()
+    return cells.select("col", "row",
+                        ((F.col("col") + F.lit(0.5)) / F.lit(24.0)).alias("u"),
+                        ((F.col("row") + F.lit(0.5)) / n_rows).alias("v"),
+                        "n", "avg_value")
 
 
 def q_keyed_uniform(spark, sf_dir):
@@ -298,8 +297,9 @@ def q_default_members_union(spark, sf_dir):
 
 def q_param_join(spark, sf_dir):
     o = load(spark, sf_dir, "orders", "o_orderpriority", "o_totalprice")
-    params = o.agg((exact_avg("o_totalprice") * F.lit(THRESHOLD_FACTOR)).alias("threshold"))
-    j = o.crossJoin(F.broadcast(params)).where(F.col("o_totalprice") > F.col("threshold"))
+    # the one-row parameter as an uncorrelated scalar subquery (evaluated once)
+    threshold = o.agg(exact_avg("o_totalprice") * F.lit(THRESHOLD_FACTOR)).scalar()
+    j = o.withColumn("threshold", threshold).where(F.col("o_totalprice") > F.col("threshold"))
     return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_above"), F.max("threshold").alias("threshold"))
 
 
@@ -439,8 +439,10 @@ def q_plane_projection(spark, sf_dir):
 def q_linear_blend(spark, sf_dir):
     p = load(spark, sf_dir, "part", "p_brand", "p_size", "p_retailprice")
     p = p.select("p_brand", F.col("p_size").cast("double").alias("s"), F.col("p_retailprice").alias("pr"))
-    lim = p.agg(F.min("s").alias("s0"), F.max("s").alias("s1"), F.min("pr").alias("p0"), F.max("pr").alias("p1"))
-    j = p.crossJoin(F.broadcast(lim))       # one row
+    # the limits as one uncorrelated scalar subquery (evaluated once, reused)
+    lim = p.agg(F.struct(F.min("s").alias("s0"), F.max("s").alias("s1"),
+                         F.min("pr").alias("p0"), F.max("pr").alias("p1"))).scalar()
+    j = p.withColumns({c: lim[c] for c in ("s0", "s1", "p0", "p1")})
     s_norm = F.when(F.col("s1") > F.col("s0"), (F.col("s") - F.col("s0")) / (F.col("s1") - F.col("s0")))
     p_norm = F.when(F.col("p1") > F.col("p0"), (F.col("pr") - F.col("p0")) / (F.col("p1") - F.col("p0")))
     score = F.lit(BLEND[0]) * s_norm + F.lit(BLEND[1]) * p_norm
@@ -479,9 +481,8 @@ def q_group_averages(spark, sf_dir):
 
 def q_quantize_histogram(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem", "l_extendedprice")
-    mx = li.agg(F.max("l_extendedprice").alias("mx"))
-    j = li.crossJoin(F.broadcast(mx))       # one row
-    return (j.select(quantize_sqrt("l_extendedprice", "mx", QUANT_LEVELS).alias("level"))
+    mx = li.agg(F.max("l_extendedprice")).scalar()      # scalar subquery, evaluated once
+    return (li.select(quantize_sqrt("l_extendedprice", mx, QUANT_LEVELS).alias("level"))
             .groupBy("level").agg(F.count(F.lit(1)).alias("n")))
 
 
