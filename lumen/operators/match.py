@@ -60,9 +60,13 @@ def nearest_match(probes: DataFrame, catalogue: DataFrame, probe_key: list[str],
 
 
 def nearest_by_fold(probes: DataFrame, catalogue: DataFrame, *, order_key: str,
-                    score: Callable[[Column], Column], name: str = "best") -> DataFrame:
+                    score: Callable[[Column], Column], name: str = "best",
+                    drop_unmatched: bool = False) -> DataFrame:
     """For each probe row, the catalogue row with the smallest ``score`` (ties: smallest
     ``order_key``), as struct column ``name`` = (score, item); null when no score is valid.
+    With ``drop_unmatched`` probes without a valid score are dropped (inner-join meaning);
+    that is done with a generator, not a filter, because a filter on the fold's result would
+    be pushed below the projection and evaluate the fold twice.
 
     The catalogue (checked small by the caller) is packed into one array sorted by
     ``order_key`` and attached to every probe as a one-row broadcast; each row then folds
@@ -85,4 +89,8 @@ def nearest_by_fold(probes: DataFrame, catalogue: DataFrame, *, order_key: str,
         return let(score(item), pick)
 
     out = probes.crossJoin(F.broadcast(packed))      # one row, size checked by the caller
-    return out.withColumn(name, F.aggregate(items, start, merge)).drop("__cat")
+    best = F.aggregate(items, start, merge)
+    if drop_unmatched:
+        found = F.filter(F.array(best), lambda b: b.isNotNull())
+        return out.select(*probes.columns, F.explode(found).alias(name))
+    return out.withColumn(name, best).drop("__cat")

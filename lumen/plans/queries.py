@@ -336,9 +336,9 @@ def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROW
         return F.when(r1 > F.lit(T_MIN), r1).when(r2 > F.lit(T_MIN), r2)
 
     if fits(zones, fold_max_rows):
-        best = nearest_by_fold(tracks, zones, order_key="ball",
+        best = nearest_by_fold(tracks, zones, order_key="ball", drop_unmatched=True,
                                score=lambda z: entry_t(z["cx"], z["cy"], z["cz"], z["r"]))
-        hits = best.where(F.col("best").isNotNull()).select(
+        hits = best.select(
             "vec_id", "ox", "oy", "oz", "dx", "dy", "dz", F.col("best.score").alias("t"),
             *[F.col(f"best.item.{c}").alias(c) for c in ("ball", "cx", "cy", "cz", "r")])
     else:
