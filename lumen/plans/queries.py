@@ -85,18 +85,21 @@ def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) ->
     factor = _journey_factor("next_event_type")
 
     def step(frontier: DataFrame, _r: int) -> DataFrame:
-        moving = frontier.where(F.col("depth") < hops).join(edges, "event_id")
+        moving = frontier.join(edges, "event_id")            # the frontier holds depth < K only
         stop = F.col("next_event_type") == JOURNEY_STOP
-        moved = moving.select(
-            "journey_id", "user_id", (F.col("depth") + 1).alias("depth"),
-            F.col("next_event_id").alias("event_id"), (~stop).alias("active"),
-            F.when(stop, F.lit(0.0)).otherwise(F.col("weight") * factor).alias("weight"))
-        terminal = frontier.where(F.col("depth") >= hops).select(
-            "journey_id", "user_id", (F.col("depth") + 1).alias("depth"),
-            F.lit(None).cast("bigint").alias("event_id"), F.lit(False).alias("active"), F.lit(0.0).alias("weight"))
-        return moved.unionByName(terminal)
-
-    rows = frontier_loop(seed, step, active=F.col("active"), max_rounds=hops + 1)
+        row = F.struct((F.col("depth") + 1).alias("depth"), F.col("next_event_id").alias("event_id"),
+                       (~stop).alias("active"),
+                       F.when(stop, F.lit(0.0)).otherwise(F.col("weight") * factor).alias("weight"))
+        # a path still active when it reaches depth K ends with its terminal row in the same round
+        term = F.struct(F.lit(hops + 1).alias("depth"), F.lit(None).cast("bigint").alias("event_id"),
+                        F.lit(False).alias("active"), F.lit(0.0).alias("weight"))
+        rows = F.when((F.col("depth") + 1 == hops) & ~stop, F.array(row, term)).otherwise(F.array(row))
+        return moving.select("journey_id", "user_id", F.inline(rows))
+
+    if hops < 1:
+        raise ValueError("hops must be at least 1")
+    # continue from active rows below the cap; rows at depth K already carry their terminal row
+    rows = frontier_loop(seed, step, active=F.col("active") & (F.col("depth") < hops), max_rounds=hops)
     edges.unpersist()      # every round is written out; the cached copy is no longer read
     return rows
 
