@@ -325,22 +325,35 @@ def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROW
     zones = cut(emb.groupBy(F.col("label").alias("ball")).agg(
         *[F.avg(e[i]).alias(f"c{a}") for i, a in enumerate("xyz")]).withColumn("r", F.lit(BALL_RADIUS)))
 
-    def entry_t(cx, cy, cz, r):
+    def entry_t(cx, cy, cz, r, bind: bool = False):
+        """Entry parameter t of the track into zone (c, r), null when it misses.
+
+        With ``bind`` the shared terms are computed once through lambda bindings (inside the
+        fold's lambdas nothing is shared otherwise); the arithmetic is the same either way.
+        """
         ocx, ocy, ocz = F.col("ox") - cx, F.col("oy") - cy, F.col("oz") - cz
         dx, dy, dz = (F.col(f"d{a}") for a in "xyz")
-        qa = dx * dx + dy * dy + dz * dz
-        qb = ocx * dx + ocy * dy + ocz * dz
-        qc = (ocx * ocx + ocy * ocy + ocz * ocz) - r * r
-        disc = qb * qb - qa * qc
-        sq = F.when(disc >= 0, F.sqrt(disc))
-        r1 = (-qb - sq) / qa
-        r2 = (-qb + sq) / qa
-        # nearer root above t_min, else the farther one (a track starting inside a zone)
-        return F.when(r1 > F.lit(T_MIN), r1).when(r2 > F.lit(T_MIN), r2)
+        q = {"a": dx * dx + dy * dy + dz * dz, "b": ocx * dx + ocy * dy + ocz * dz,
+             "c": (ocx * ocx + ocy * ocy + ocz * ocz) - r * r}
+
+        def roots(q, sq):
+            r1 = (-q["b"] - sq) / q["a"]
+            r2 = (-q["b"] + sq) / q["a"]
+            # nearer root above t_min, else the farther one (a track starting inside a zone)
+            return F.when(r1 > F.lit(T_MIN), r1).when(r2 > F.lit(T_MIN), r2)
+
+        def with_q(q):
+            disc = q["b"] * q["b"] - q["a"] * q["c"]
+            sq = F.when(disc >= 0, F.sqrt(disc))
+            return V.let(sq, lambda s: roots(q, s)) if bind else roots(q, sq)
+
+        if bind:
+            return V.let(F.struct(*[v.alias(k) for k, v in q.items()]), with_q)
+        return with_q(q)
 
     if fits(zones, fold_max_rows):
         best = nearest_by_fold(tracks, zones, order_key="ball", drop_unmatched=True,
-                               score=lambda z: entry_t(z["cx"], z["cy"], z["cz"], z["r"]))
+                               score=lambda z: entry_t(z["cx"], z["cy"], z["cz"], z["r"], bind=True))
         hits = best.select(
             "vec_id", "ox", "oy", "oz", "dx", "dy", "dz", F.col("best.score").alias("t"),
             *[F.col(f"best.item.{c}").alias(c) for c in ("ball", "cx", "cy", "cz", "r")])
