@@ -221,6 +221,7 @@ def q_redraw_until_accept(spark, sf_dir):
     out = redraw_until_accepted(cust, "c_custkey",
                                 draw=lambda i: keyed_index("redraw", F.lit(n), F.col("c_custkey"), i),
                                 accept=accept, batch=4)
+    eligible.unpersist()   # all rounds are written out; a cached copy (large catalogue) is done
     return out.select("c_custkey", "draws", F.col("candidate").alias("p_partkey"))
 
 
@@ -431,12 +432,12 @@ def q_vec_remove_direction(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     dirs = _centroids(emb).select("label", V.normalize("centroid").alias("n"))
     j = emb.select("vec_id", "label", V.as_double("embedding").alias("v")).join(maybe_broadcast(dirs), "label")
-    j = j.withColumn("w", V.remove_direction("v", "n", 1.0))
+    j = j.withColumns({"w": V.remove_direction("v", "n", 1.0), "dv": V.dot("n", "v")})
     return j.select("vec_id",
-                    snap(V.dot("n", "v")).alias("dot_before"),
+                    snap("dv").alias("dot_before"),
                     snap(V.dot("n", "w")).alias("dot_after"),
                     snap(V.norm("w")).alias("len_after"),
-                    (V.dot("n", "v") < 0).alias("flipped"))
+                    (F.col("dv") < 0).alias("flipped"))
 
 
 def q_plane_projection(spark, sf_dir):
