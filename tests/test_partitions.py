@@ -7,7 +7,8 @@ from tests.conftest import SF001
 from tests.helpers import rows_of
 
 NAMES = ["journey_score", "journey_trace", "redraw_until_accept", "next_event_after", "latest_per_key",
-         "framed_export", "keyed_uniform", "line_ball_entry", "ordered_documents"]
+         "rows_at_group_max", "dedup_by_key", "framed_export", "keyed_uniform", "line_ball_entry",
+         "nearest_centroid", "ordered_documents", "group_averages", "date_spine_counts"]
 
 
 @pytest.mark.parametrize("name", NAMES)
