@@ -12,7 +12,8 @@ Two ways to cut:
 * ``split="range"`` (default): a global range partitioning on (key, order...), whose bounds
   Spark samples from the data, so a hot key is spread over as many splits as its volume
   needs and every (key, split) group is bounded by one range partition.  Costs one extra
-  shuffle; holds for any skew, even a key whose rows share one timestamp.
+  shuffle (and a sampling job); holds for any skew, even a key whose rows share one
+  timestamp.
 * ``split="time"``: fixed time buckets (``bucket_seconds``).  One shuffle fewer; a key
   can still crowd one bucket if its rows are dense in time.
 """
@@ -34,17 +35,22 @@ def time_bucket(ts_col: str, bucket_seconds: int):
 
 
 def add_split(df: DataFrame, key: str, order: list[str], *, split: str = "range", bucket_seconds: int = DAY,
-              n_splits: int | None = None) -> DataFrame:
-    """Add ``__split``: a number that is monotone in ``order`` within each key."""
+              n_splits: int | None = None, materialize: bool = False) -> DataFrame:
+    """Add ``__split``: a number that is monotone in ``order`` within each key.
+
+    The partition id of a range partitioning is monotone in (key, order); without an
+    explicit count AQE may merge adjacent ranges of small inputs, which keeps it monotone.
+    The sampled bounds are fixed once in the shuffle dependency, so a retried task reads the
+    same range.  ``materialize`` checkpoints the result, for callers that read it in more
+    than one job; a single consumer (a window that is materialised next) does not need it.
+    """
     if split == "time":
         return df.withColumn(SPLIT, time_bucket(order[0], bucket_seconds))
     if split != "range":
         raise ValueError(f"unknown split {split!r}")
-    # the partition id of a range partitioning is monotone in (key, order); without an
-    # explicit count AQE may merge adjacent ranges of small inputs, which keeps it monotone.
-    # Checkpointing pins the sampled bounds so every later read sees the same split numbers.
     ranged = df.repartitionByRange(n_splits, key, *order) if n_splits else df.repartitionByRange(key, *order)
-    return cut(ranged.withColumn(SPLIT, F.spark_partition_id().cast("bigint")))
+    out = ranged.withColumn(SPLIT, F.spark_partition_id().cast("bigint"))
+    return cut(out) if materialize else out
 
 
 def with_next_row(df: DataFrame, key: str, ts: str, tiebreak: str, carry: list[str], *,
@@ -76,7 +82,7 @@ def with_positions(df: DataFrame, key: str, ts: str, tiebreak: str, *, split: st
     Row numbers are taken inside (key, split) partitions; each split's offset is the row
     count of the key's earlier splits, ranked over the per-(key, split) counts only.
     """
-    rows = add_split(df, key, [ts, tiebreak], split=split, bucket_seconds=bucket_seconds)
+    rows = add_split(df, key, [ts, tiebreak], split=split, bucket_seconds=bucket_seconds, materialize=True)
     w = Window.partitionBy(key, SPLIT).orderBy(ts, tiebreak)
     rows = rows.withColumn("__rn", F.row_number().over(w) - 1)
     sizes = rows.groupBy(key, SPLIT).agg(F.count(F.lit(1)).alias("__n"))
