@@ -25,8 +25,13 @@ def snap(x, digits: int = 6) -> Column:
 
 
 def cents(x) -> Column:
-    """A 2-decimal double as an exact integer number of hundredths."""
-    return F.round(_c(x) * F.lit(100.0)).cast("bigint")
+    """A 2-decimal double as an exact integer number of hundredths.
+
+    ``floor(x * 100 + 0.5)``: x * 100 lies within a few ulps of an integer, so this is the
+    nearest integer; plain double arithmetic (``round`` goes through BigDecimal and is
+    about a third slower here).
+    """
+    return F.floor(_c(x) * F.lit(100.0) + F.lit(0.5))
 
 
 def exact_sum(x) -> Column:
@@ -41,7 +46,7 @@ def exact_avg(x) -> Column:
 
 
 def sql_cents(expr: str) -> str:
-    return f"round(({expr}) * 100.0)::BIGINT"
+    return f"floor(({expr}) * 100.0 + 0.5)::BIGINT"
 
 
 def sql_exact_sum(expr: str) -> str:

@@ -281,8 +281,8 @@ FROM customer GROUP BY 1
 WITH r AS (
   SELECT CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'view' THEN 'view' WHEN 'click' THEN 'click'
               ELSE 'other' END AS route,
-         CASE event_type WHEN 'purchase' THEN round(value * 100.0)::BIGINT * 70
-                         WHEN 'view' THEN round(value * 100.0)::BIGINT
+         CASE event_type WHEN 'purchase' THEN floor(value * 100.0 + 0.5)::BIGINT * 70
+                         WHEN 'view' THEN floor(value * 100.0 + 0.5)::BIGINT
                          WHEN 'click' THEN 500
                          ELSE 0 END AS amount
   FROM events

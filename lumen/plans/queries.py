@@ -376,17 +376,17 @@ def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROW
 def q_nearest_centroid(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                        fold_max_rows: int = FOLD_MAX_ROWS):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
-    cents = _centroids(emb).select(F.col("label").alias("nearest"), "centroid")
+    centroids = _centroids(emb).select(F.col("label").alias("nearest"), "centroid")
     probes = emb.select("vec_id", "label", V.as_double("embedding").alias("v"))
 
     def d2(c):
         return V.sqdist("v", c)
 
-    if fits(cents, fold_max_rows):
-        best = nearest_by_fold(probes, cents, order_key="nearest", score=lambda c: d2(c["centroid"]))
+    if fits(centroids, fold_max_rows):
+        best = nearest_by_fold(probes, centroids, order_key="nearest", score=lambda c: d2(c["centroid"]))
         best = best.select("label", F.col("best.item.nearest").alias("nearest"))
     else:
-        best = nearest_match(probes, cents, ["vec_id"], pair=lambda df: df.withColumn("d2", d2(F.col("centroid"))),
+        best = nearest_match(probes, centroids, ["vec_id"], pair=lambda df: df.withColumn("d2", d2(F.col("centroid"))),
                              valid=F.lit(True), order=[F.col("d2").asc(), F.col("nearest").asc()],
                              catalogue_order=["nearest"], max_broadcast_rows=max_broadcast_rows)
     return best.groupBy("label", "nearest").agg(F.count(F.lit(1)).alias("n"))
@@ -443,8 +443,8 @@ def q_vec_remove_direction(spark, sf_dir):
 def q_plane_projection(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     e = V.as_double("embedding")
-    cents = V.mean_vectors(emb.where(F.col("label").isin(0, 1)).select("label", e.alias("v")), ["label"], "v")
-    two = cents.agg(*[F.max(F.when(F.col("label") == lab, F.col("centroid"))).alias(f"c{lab}") for lab in (0, 1)])
+    pair_means = V.mean_vectors(emb.where(F.col("label").isin(0, 1)).select("label", e.alias("v")), ["label"], "v")
+    two = pair_means.agg(*[F.max(F.when(F.col("label") == lab, F.col("centroid"))).alias(f"c{lab}") for lab in (0, 1)])
     # Gram-Schmidt: e1 along c0, e2 the unit part of c1 orthogonal to e1
     basis = (two.withColumn("e1", V.normalize("c0"))
              .withColumn("e2", V.normalize(V.remove_direction("c1", "e1", 1.0)))
