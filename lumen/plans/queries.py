@@ -27,7 +27,7 @@ from lumen.operators.match import FOLD_MAX_ROWS, MAX_BROADCAST_ROWS, nearest_by_
 from lumen.operators.spatial import grid_candidates
 from lumen.operators.route import route
 from lumen.operators.sequence import first_match_after, with_following, with_next_row, with_positions
-from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max, top_per_key
+from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max
 from lumen.sources.tables import load
 
 # ---- fixed values of the queries -------------------------------------------------------
@@ -63,10 +63,12 @@ def _day(col: str):
 
 # ---- O1 / O20: frontier loop over next events -------------------------------------------
 
-def _journey_factor(type_col: str):
+def _journey_factor(event_type):
+    """Weight factor of a step onto an event of this type (1 for types without one)."""
+    etype_col = F.col(event_type) if isinstance(event_type, str) else event_type
     factor = F.lit(1.0)
     for etype, f in JOURNEY_FACTORS.items():
-        factor = F.when(F.col(type_col) == etype, F.lit(f)).otherwise(factor)
+        factor = F.when(etype_col == etype, F.lit(f)).otherwise(factor)
     return factor
 
 
@@ -140,23 +142,29 @@ def journeys_unrolled(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS
     return hit.select("journey_id", "user_id", F.inline(out))
 
 
-def journeys_windowed(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
-    """The same rows as :func:`journeys_loop` from one bounded window.
+def journey_paths(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
+    """One row per journey: (journey_id, user_id, nxt, stop, cum).
 
-    Each signup gets its next K events as an array (``with_following``: a frame of K rows
-    per (user, split), continued across splits from a per-split summary).  The path is then
-    row-local: the first stop cuts it, and the weights are the running products of the
-    factors, multiplied in the same order as the loop does.
+    ``nxt`` holds the signup's next K events (``with_following``: a frame of K rows per
+    (user, split), continued across splits from a per-split summary); ``stop`` is the
+    1-based position of the first stop in ``nxt`` (0: none); ``cum`` the running weights
+    for depths 0..len(nxt), multiplied in the same order as the loop does.
     """
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     starts = with_following(ev, "user_id", "ts", "event_id", hops, ["event_type"],
                             where=F.col("event_type") == "signup", name="nxt")
     nxt = F.col("nxt")
-    stop = F.array_position(F.transform(nxt, lambda e: e["event_type"] == JOURNEY_STOP), F.lit(True))  # 1-based, 0: none
+    stop = F.array_position(F.transform(nxt, lambda e: e["event_type"] == JOURNEY_STOP), F.lit(True))
     cum = F.aggregate(nxt, F.array(F.lit(1.0)),
-                      lambda acc, e: F.concat(acc, F.array(F.element_at(acc, -1) * _factor_of(e["event_type"]))))
-    t = starts.select(F.col("event_id").alias("journey_id"), "user_id", nxt.alias("nxt"),
-                      stop.cast("int").alias("stop"), cum.alias("cum"))
+                      lambda acc, e: F.concat(acc, F.array(F.element_at(acc, -1) * _journey_factor(e["event_type"]))))
+    return starts.select(F.col("event_id").alias("journey_id"), "user_id", nxt.alias("nxt"),
+                         stop.cast("int").alias("stop"), cum.alias("cum"))
+
+
+def journeys_windowed(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
+    """The same rows as :func:`journeys_loop`, exploded from :func:`journey_paths`: the first
+    stop cuts the path, a path still active after K steps gets its terminal row."""
+    t = journey_paths(spark, sf_dir, hops)
     last = F.when(F.col("stop") > 0, F.col("stop")).otherwise(F.size("nxt"))
     depth_rows = F.transform(F.sequence(F.lit(0), last), lambda d: F.struct(
         d.alias("depth"),
@@ -170,15 +178,20 @@ def journeys_windowed(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS
     return t.select("journey_id", "user_id", F.inline(all_rows))
 
 
-def _stops_at(d):
-    return (F.col("stop") > 0) & (d == F.col("stop"))
+def journey_last_states(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
+    """(journey_id, user_id, depth, weight) of each journey's last row, read off its path
+    arrays without exploding them: the stop row, else the terminal row after K active
+    steps, else the last event reached."""
+    t = journey_paths(spark, sf_dir, hops)
+    n = F.size("nxt")
+    stopped, capped = F.col("stop") > 0, n == hops
+    depth = F.when(stopped, F.col("stop")).when(capped, F.lit(hops + 1)).otherwise(n)
+    weight = F.when(stopped | capped, F.lit(0.0)).otherwise(F.element_at("cum", n + 1))
+    return t.select("journey_id", "user_id", depth.alias("depth"), weight.alias("weight"))
 
 
-def _factor_of(etype):
-    factor = F.lit(1.0)
-    for name, f in JOURNEY_FACTORS.items():
-        factor = F.when(etype == name, F.lit(f)).otherwise(factor)
-    return factor
+def _stops_at(d):
+    return (F.col("stop") > 0) & (d == F.col("stop"))
 
 
 def journeys(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, strategy: str = "windowed") -> DataFrame:
@@ -196,8 +209,8 @@ def q_journey_trace(spark, sf_dir):
 
 
 def q_journey_score(spark, sf_dir):
-    rows = journeys(spark, sf_dir)
-    last = top_per_key(rows, ["journey_id"], [F.col("depth").desc()])
+    # last state per journey straight from its path arrays: no per-row explosion, no ranking
+    last = journey_last_states(spark, sf_dir)
     return last.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_journeys"),
         snap(F.avg("weight")).alias("avg_weight"),

@@ -79,3 +79,12 @@ def test_nearest_centroid_all_paths_agree(spark):
     fold = rows_of(Q.q_nearest_centroid(spark, SF01))
     assert fold == rows_of(Q.q_nearest_centroid(spark, SF01, fold_max_rows=0))                        # one broadcast
     assert fold == rows_of(Q.q_nearest_centroid(spark, SF01, fold_max_rows=0, max_broadcast_rows=3))  # chunks
+
+
+def test_last_states_equal_last_rows(spark):
+    from pyspark.sql import functions as F
+
+    from lumen.operators.topk import top_per_key
+    rows = Q.journeys(spark, SF001, strategy="loop")
+    last = top_per_key(rows, ["journey_id"], [F.col("depth").desc()]).select("journey_id", "user_id", "depth", "weight")
+    assert rows_of(last) == rows_of(Q.journey_last_states(spark, SF001))
