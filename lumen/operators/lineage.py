@@ -46,15 +46,20 @@ ROWS_PER_PARTITION = 2_000_000
 
 
 def co_partitioned(df: DataFrame, key: str, n_partitions: int | None = None,
-                   rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+                   rows_per_partition: int = ROWS_PER_PARTITION, materialize: bool = True) -> DataFrame:
     """Checkpoint, hash-partition on ``key``, sort within partitions, cache.
 
     A cached side keeps a fixed partition count that AQE cannot coalesce, so unless one is
     given it is sized from the row count (about ``rows_per_partition`` rows per partition),
-    capped by ``spark.sql.shuffle.partitions``.
+    capped by ``spark.sql.shuffle.partitions``.  ``materialize=False`` skips the write for
+    input that is itself a cheap step away from a checkpoint (lost cache blocks are rebuilt
+    from there); its rows are then only counted.
     """
     spark = df.sparkSession
-    fixed, n_rows = write_round(df)          # lineage cut and row count in one job
+    if materialize:
+        fixed, n_rows = write_round(df)      # lineage cut and row count in one job
+    else:
+        fixed, n_rows = df, (df.count() if not n_partitions else 0)
     if not n_partitions:
         cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
         n_partitions = max(1, min(cap, -(-n_rows // rows_per_partition)))

@@ -76,11 +76,11 @@ def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) ->
     """All journey rows (journey_id, user_id, depth, event_id, active, weight) by the
     frontier loop: each round joins the active rows to their next event."""
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
-    # next event per event, computed once, checkpointed, then kept hash-partitioned and
-    # sorted on event_id so each round only shuffles the frontier to meet it
+    # next event per event (with_next_row checkpoints its window output), kept hash-partitioned
+    # and sorted on event_id in cache so each round only shuffles the frontier to meet it
     edges = co_partitioned(with_next_row(ev, "user_id", "ts", "event_id", ["event_type"])
                            .select("event_id", "next_event_id", "next_event_type")
-                           .where(F.col("next_event_id").isNotNull()), "event_id")
+                           .where(F.col("next_event_id").isNotNull()), "event_id", materialize=False)
     seed = (ev.where(F.col("event_type") == "signup")
             .select(F.col("event_id").alias("journey_id"), "user_id", F.lit(0).alias("depth"), "event_id",
                     F.lit(True).alias("active"), F.lit(1.0).alias("weight")))
