@@ -13,7 +13,8 @@ from lumen.operators.sequence import first_match_after, with_following, with_nex
 
 T0 = dt.datetime(2024, 1, 1)
 rows_st = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 12), st.sampled_from("ab")), min_size=1, max_size=60)
-CFG = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+CFG = settings(max_examples=6, deadline=None, derandomize=True, database=None,
+               suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def _frame(spark, raw):
