@@ -19,7 +19,8 @@ from lumen.functions.numeric import cents, exact_avg, exact_sum, snap
 from lumen.functions.shapes import (guarded_inverse, guarded_sqrt, parity_even, quantize_sqrt,
                                     six_sector)
 from lumen.operators.assemble import global_line_numbers, ordered_concat
-from lumen.operators.broadcast import broadcast_or_copartition, maybe_broadcast
+from lumen.operators.broadcast import MAX_BROADCAST_ROWS as MAX_LOOKUP_ROWS
+from lumen.operators.broadcast import maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
 from lumen.operators.lineage import co_partitioned, cut
 from lumen.operators.broadcast import fits
@@ -219,13 +220,15 @@ def q_journey_score(spark, sf_dir):
 
 # ---- O2: redraw until accepted ----------------------------------------------------------
 
-def q_redraw_until_accept(spark, sf_dir):
+def q_redraw_until_accept(spark, sf_dir, max_lookup_rows: int = MAX_LOOKUP_ROWS):
     cust = load(spark, sf_dir, "customer", "c_custkey")
     part = load(spark, sf_dir, "part", "p_partkey", "p_size")
-    n = part.agg(F.max("p_partkey") + 1).first()[0] or 0
-    # joined once per round: broadcast when checked small, else co-partitioned on the key
-    eligible = broadcast_or_copartition(part.select(F.col("p_partkey").alias("candidate"),
-                                                    (F.col("p_size") <= REDRAW_MAX_SIZE).alias("ok")), "candidate")
+    # one scan gives the draw range (max key + 1) and the exact size of the lookup
+    stats = part.agg(F.max("p_partkey"), F.count(F.lit(1))).first()
+    n = (stats[0] + 1) if stats[0] is not None else 0
+    lookup = part.select(F.col("p_partkey").alias("candidate"), (F.col("p_size") <= REDRAW_MAX_SIZE).alias("ok"))
+    # joined once per round: broadcast when its counted size is small, else co-partitioned
+    eligible = F.broadcast(lookup) if stats[1] <= max_lookup_rows else co_partitioned(lookup, "candidate")
 
     def accept(tries):
         return (tries.join(eligible, "candidate", "left")

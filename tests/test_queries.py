@@ -88,3 +88,8 @@ def test_last_states_equal_last_rows(spark):
     rows = Q.journeys(spark, SF001, strategy="loop")
     last = top_per_key(rows, ["journey_id"], [F.col("depth").desc()]).select("journey_id", "user_id", "depth", "weight")
     assert rows_of(last) == rows_of(Q.journey_last_states(spark, SF001))
+
+
+def test_redraw_lookup_paths_agree(spark):
+    broadcast = rows_of(Q.q_redraw_until_accept(spark, SF001))
+    assert broadcast == rows_of(Q.q_redraw_until_accept(spark, SF001, max_lookup_rows=10))   # co-partitioned copy
