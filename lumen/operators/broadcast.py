@@ -19,11 +19,3 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def broadcast_or_copartition(df: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """For a table joined on ``key`` many times (once per loop round): broadcast it when its
-    size is checked small, else keep one checkpointed copy hash-partitioned and sorted on
-    ``key`` so each later join shuffles only the other side."""
-    from lumen.operators.lineage import co_partitioned
-    return F.broadcast(df) if fits(df, max_rows) else co_partitioned(df, key)
