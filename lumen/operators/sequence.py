@@ -138,8 +138,8 @@ def with_following(df: DataFrame, key: str, ts: str, tiebreak: str, k: int, carr
     """Add ``name``: the next ``k`` rows of the same key in (ts, tiebreak) order, as an array
     of structs (ts, tiebreak, *carry); shorter at the end of a key.
 
-    A bounded window frame (1 to k following) per (key, split) answers every row whose k
-    successors lie in its own split.  For the rest, each split contributes its first k rows
+    k ``lead`` offsets per (key, split) answer every row whose k successors lie in its own
+    split.  For the rest, each split contributes its first k rows
     to a summary with one row per (key, split), and a frame over the following k splits of
     that summary gives the continuation (each split holds at least one row, so k splits
     always suffice).  Only rows matching ``where`` (default: all) are returned, and only
@@ -149,10 +149,15 @@ def with_following(df: DataFrame, key: str, ts: str, tiebreak: str, k: int, carr
     rows = add_split(df, key, [ts, tiebreak], split=split, bucket_seconds=bucket_seconds)
     w = Window.partitionBy(key, SPLIT).orderBy(ts, tiebreak)
     keep = F.lit(True) if where is None else where
-    rows = rows.withColumns({"__ahead": F.collect_list(item).over(w.rowsBetween(1, k)),
-                             "__first": F.row_number().over(w) == 1,
+    # k offset lookups per row (no per-row array); the arrays are built after the filter,
+    # only for the rows that are kept and the split heads
+    leads = {f"__l{j}": F.lead(item, j).over(w) for j in range(1, k + 1)}
+    rows = rows.withColumns({**leads, "__first": F.row_number().over(w) == 1,
                              "__keep": F.coalesce(keep, F.lit(False))})
-    needed = cut(rows.where(F.col("__keep") | F.col("__first")).withColumn("__item", item))
+    kept = rows.where(F.col("__keep") | F.col("__first"))
+    needed = cut(kept.withColumns({
+        "__ahead": F.filter(F.array(*[F.col(c) for c in leads]), lambda x: x.isNotNull()),
+        "__item": item}).drop(*leads))
     heads = needed.where("__first").select(
         key, SPLIT, F.slice(F.concat(F.array("__item"), "__ahead"), 1, k).alias("__head"))
     wk = Window.partitionBy(key).orderBy(SPLIT).rowsBetween(1, k)
