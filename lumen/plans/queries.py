@@ -22,8 +22,7 @@ from lumen.operators.assemble import global_line_numbers, ordered_concat
 from lumen.operators.broadcast import MAX_BROADCAST_ROWS as MAX_LOOKUP_ROWS
 from lumen.operators.broadcast import maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
-from lumen.operators.lineage import co_partitioned, cut
-from lumen.operators.broadcast import fits
+from lumen.operators.lineage import co_partitioned, write_round
 from lumen.operators.match import FOLD_MAX_ROWS, MAX_BROADCAST_ROWS, nearest_by_fold, nearest_match
 from lumen.operators.spatial import grid_candidates
 from lumen.operators.route import route
@@ -325,9 +324,10 @@ def q_param_join(spark, sf_dir):
 
 # ---- O10-O15: pairing and per-key operators ---------------------------------------------
 
-def _centroids(emb: DataFrame) -> DataFrame:
-    """Per-label mean vector, materialised once: it is size-checked, then joined."""
-    return cut(V.mean_vectors(emb.select("label", V.as_double("embedding").alias("v")), ["label"], "v"))
+def _centroids(emb: DataFrame) -> tuple[DataFrame, int]:
+    """Per-label mean vectors, materialised once with their row count (one job): the count
+    decides how they are matched, then they are read from the checkpoint folder."""
+    return write_round(V.mean_vectors(emb.select("label", V.as_double("embedding").alias("v")), ["label"], "v"))
 
 
 def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
@@ -339,7 +339,8 @@ def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROW
     rlen = F.sqrt(F.col("rx") * F.col("rx") + F.col("ry") * F.col("ry") + F.col("rz") * F.col("rz"))
     tracks = (tracks.withColumn("rlen", rlen).where(F.col("rlen") > 0)
               .select("vec_id", "ox", "oy", "oz", *[(F.col(f"r{a}") / F.col("rlen")).alias(f"d{a}") for a in "xyz"]))
-    zones = cut(emb.groupBy(F.col("label").alias("ball")).agg(
+    # zones materialised once together with their row count (one job)
+    zones, n_zones = write_round(emb.groupBy(F.col("label").alias("ball")).agg(
         *[F.avg(e[i]).alias(f"c{a}") for i, a in enumerate("xyz")]).withColumn("r", F.lit(BALL_RADIUS)))
 
     def entry_t(cx, cy, cz, r, bind: bool = False):
@@ -368,7 +369,7 @@ def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROW
             return V.let(F.struct(*[v.alias(k) for k, v in q.items()]), with_q)
         return with_q(q)
 
-    if fits(zones, fold_max_rows):
+    if n_zones <= fold_max_rows:
         best = nearest_by_fold(tracks, zones, order_key="ball", drop_unmatched=True,
                                score=lambda z: entry_t(z["cx"], z["cy"], z["cz"], z["r"], bind=True))
         hits = best.select(
@@ -392,13 +393,14 @@ def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROW
 def q_nearest_centroid(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                        fold_max_rows: int = FOLD_MAX_ROWS):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
-    centroids = _centroids(emb).select(F.col("label").alias("nearest"), "centroid")
+    centroids, n_centroids = _centroids(emb)
+    centroids = centroids.select(F.col("label").alias("nearest"), "centroid")
     probes = emb.select("vec_id", "label", V.as_double("embedding").alias("v"))
 
     def d2(c):
         return V.sqdist("v", c)
 
-    if fits(centroids, fold_max_rows):
+    if n_centroids <= fold_max_rows:
         best = nearest_by_fold(probes, centroids, order_key="nearest", score=lambda c: d2(c["centroid"]))
         best = best.select("label", F.col("best.item.nearest").alias("nearest"))
     else:
@@ -446,8 +448,11 @@ def q_vec_normalize(spark, sf_dir):
 
 def q_vec_remove_direction(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
-    dirs = _centroids(emb).select("label", V.normalize("centroid").alias("n"))
-    j = emb.select("vec_id", "label", V.as_double("embedding").alias("v")).join(maybe_broadcast(dirs), "label")
+    centroids, n_centroids = _centroids(emb)
+    dirs = centroids.select("label", V.normalize("centroid").alias("n"))
+    # joined on label: broadcast when the counted number of directions is small
+    dirs = F.broadcast(dirs) if n_centroids <= MAX_LOOKUP_ROWS else dirs
+    j = emb.select("vec_id", "label", V.as_double("embedding").alias("v")).join(dirs, "label")
     j = j.withColumns({"w": V.remove_direction("v", "n", 1.0), "dv": V.dot("n", "v")})
     return j.select("vec_id",
                     snap("dv").alias("dot_before"),
