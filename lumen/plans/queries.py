@@ -22,7 +22,7 @@ from lumen.operators.assemble import global_line_numbers, ordered_concat
 from lumen.operators.broadcast import MAX_BROADCAST_ROWS as MAX_LOOKUP_ROWS
 from lumen.operators.broadcast import maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
-from lumen.operators.lineage import co_partitioned, write_round
+from lumen.operators.lineage import co_partitioned, cut, write_round
 from lumen.operators.match import FOLD_MAX_ROWS, MAX_BROADCAST_ROWS, nearest_by_fold, nearest_match
 from lumen.operators.spatial import grid_candidates
 from lumen.operators.route import route
@@ -245,7 +245,7 @@ def q_redraw_until_accept(spark, sf_dir, max_lookup_rows: int = MAX_LOOKUP_ROWS)
 def q_date_spine_counts(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "ts")
     counts = ev.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("n_events"))
-    counts = counts.checkpoint(eager=True)          # one row per hour; read twice below
+    counts = cut(counts)                             # one row per hour; read twice below
     lo, hi = counts.agg(F.min("hour"), F.max("hour")).first()
     if lo is None:
         return counts.select(_day("hour").alias("hour"), "n_events")
