@@ -32,7 +32,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 def write_round(df: DataFrame, counted: Column | None = None) -> tuple[DataFrame, int]:
     """Persist ``df`` as parquet in the shared checkpoint folder; return the re-read frame
-    and the number of rows for which ``counted`` holds (all rows when None)."""
+    and the number of rows for which ``counted`` holds (all rows when None).
+
+    The count comes from an Observation (accumulator-based): if a stage is re-run after an
+    executor loss it may count some rows twice, never fewer.  Callers use it only where
+    that is harmless: as a stop test (zero stays zero), as a partition-count hint, or to
+    choose between plans that return the same rows.
+    """
     spark = df.sparkSession
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/lumen-round-{uuid.uuid4().hex}"
     obs = Observation(f"round_{uuid.uuid4().hex[:12]}")
