@@ -142,23 +142,27 @@ def journeys_unrolled(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS
     return hit.select("journey_id", "user_id", F.inline(out))
 
 
-def journey_paths(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
-    """One row per journey: (journey_id, user_id, nxt, stop, cum).
+def journey_paths(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, running: bool = True) -> DataFrame:
+    """One row per journey: (journey_id, user_id, nxt, stop, cum | weight).
 
-    ``nxt`` holds the signup's next K events (``with_following``: a frame of K rows per
+    ``nxt`` holds the signup's next K events (``with_following``: K lead offsets per
     (user, split), continued across splits from a per-split summary); ``stop`` is the
-    1-based position of the first stop in ``nxt`` (0: none); ``cum`` the running weights
-    for depths 0..len(nxt), multiplied in the same order as the loop does.
+    1-based position of the first stop in ``nxt`` (0: none).  With ``running`` ``cum``
+    holds the running weights for depths 0..len(nxt); without, ``weight`` is only the
+    product over all of ``nxt``.  Both multiply in the same order as the loop does.
     """
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     starts = with_following(ev, "user_id", "ts", "event_id", hops, ["event_type"],
                             where=F.col("event_type") == "signup", name="nxt")
     nxt = F.col("nxt")
     stop = F.array_position(F.transform(nxt, lambda e: e["event_type"] == JOURNEY_STOP), F.lit(True))
-    cum = F.aggregate(nxt, F.array(F.lit(1.0)),
-                      lambda acc, e: F.concat(acc, F.array(F.element_at(acc, -1) * _journey_factor(e["event_type"]))))
+    if running:
+        acc = F.aggregate(nxt, F.array(F.lit(1.0)), lambda a, e: F.concat(
+            a, F.array(F.element_at(a, -1) * _journey_factor(e["event_type"])))).alias("cum")
+    else:
+        acc = F.aggregate(nxt, F.lit(1.0), lambda a, e: a * _journey_factor(e["event_type"])).alias("weight")
     return starts.select(F.col("event_id").alias("journey_id"), "user_id", nxt.alias("nxt"),
-                         stop.cast("int").alias("stop"), cum.alias("cum"))
+                         stop.cast("int").alias("stop"), acc)
 
 
 def journeys_windowed(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
@@ -182,11 +186,11 @@ def journey_last_states(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HO
     """(journey_id, user_id, depth, weight) of each journey's last row, read off its path
     arrays without exploding them: the stop row, else the terminal row after K active
     steps, else the last event reached."""
-    t = journey_paths(spark, sf_dir, hops)
+    t = journey_paths(spark, sf_dir, hops, running=False)
     n = F.size("nxt")
     stopped, capped = F.col("stop") > 0, n == hops
     depth = F.when(stopped, F.col("stop")).when(capped, F.lit(hops + 1)).otherwise(n)
-    weight = F.when(stopped | capped, F.lit(0.0)).otherwise(F.element_at("cum", n + 1))
+    weight = F.when(stopped | capped, F.lit(0.0)).otherwise(F.col("weight"))
     return t.select("journey_id", "user_id", depth.alias("depth"), weight.alias("weight"))
 
 
