@@ -31,3 +31,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["user_id", "n_journeys", "avg_weight", "max_depth"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, duck, name):
+    spark_types = dict(E.queries()[name](spark, SF01).dtypes)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE ({E.oracle_sql()[name]})").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_types.items()} == duck_types
