@@ -1,4 +1,4 @@
-"""Next row / position in a per-key sequence, without one task per key.
+"""Next row(s), positions and as-of matches in a per-key sequence, without one task per key.
 
 A window partitioned by the key alone sends every row of a key to one task; with one user
 holding a third of all events that task holds a third of the data.  The operators here
@@ -139,11 +139,11 @@ def with_following(df: DataFrame, key: str, ts: str, tiebreak: str, k: int, carr
     of structs (ts, tiebreak, *carry); shorter at the end of a key.
 
     k ``lead`` offsets per (key, split) answer every row whose k successors lie in its own
-    split.  For the rest, each split contributes its first k rows
-    to a summary with one row per (key, split), and a frame over the following k splits of
-    that summary gives the continuation (each split holds at least one row, so k splits
-    always suffice).  Only rows matching ``where`` (default: all) are returned, and only
-    they and the split heads are materialised.
+    split.  For the rest, each split contributes its first k rows to a summary with one
+    row per (key, split), and a frame over the following k splits of that summary gives
+    the continuation (each split holds at least one row, so k splits always suffice).
+    Only rows matching ``where`` (default: all) are returned, and only they and the split
+    heads are materialised.
     """
     item = F.struct(*[F.col(c) for c in [ts, tiebreak, *carry]])
     rows = add_split(df, key, [ts, tiebreak], split=split, bucket_seconds=bucket_seconds)
