@@ -72,38 +72,57 @@ def _journey_factor(event_type):
     return factor
 
 
-def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
+def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, hop: int = 2) -> DataFrame:
     """All journey rows (journey_id, user_id, depth, event_id, active, weight) by the
-    frontier loop: each round joins the active rows to their next event."""
+    frontier loop: each round joins the tip of every active path to its next ``hop`` events
+    and emits one row per step taken, cutting at the first stop and at depth K.
+
+    ``hop`` = 1 is the one-step recursion; larger values take several steps per round
+    (fewer rounds, same rows).  Only the newest row of each path (its tip) goes on.
+    """
+    if hops < 1 or hop < 1:
+        raise ValueError("hops and hop must be at least 1")
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
-    # next event per event (with_next_row checkpoints its window output), kept hash-partitioned
-    # and sorted on event_id in cache so each round only shuffles the frontier to meet it
-    edges = co_partitioned(with_next_row(ev, "user_id", "ts", "event_id", ["event_type"])
-                           .select("event_id", "next_event_id", "next_event_type")
-                           .where(F.col("next_event_id").isNotNull()), "event_id", materialize=False)
+    # the next `hop` events of every event (skew-split, see with_following), cached
+    # hash-partitioned and sorted on event_id so each round only shuffles the frontier
+    edges = co_partitioned(with_following(ev, "user_id", "ts", "event_id", hop, ["event_type"], name="nxt")
+                           .select("event_id", "nxt").where(F.size("nxt") > 0), "event_id", materialize=False)
     seed = (ev.where(F.col("event_type") == "signup")
             .select(F.col("event_id").alias("journey_id"), "user_id", F.lit(0).alias("depth"), "event_id",
-                    F.lit(True).alias("active"), F.lit(1.0).alias("weight")))
-    factor = _journey_factor("next_event_type")
+                    F.lit(True).alias("active"), F.lit(1.0).alias("weight"), F.lit(True).alias("tip")))
 
     def step(frontier: DataFrame, _r: int) -> DataFrame:
-        moving = frontier.join(edges, "event_id")            # the frontier holds depth < K only
-        stop = F.col("next_event_type") == JOURNEY_STOP
-        row = F.struct((F.col("depth") + 1).alias("depth"), F.col("next_event_id").alias("event_id"),
-                       (~stop).alias("active"),
-                       F.when(stop, F.lit(0.0)).otherwise(F.col("weight") * factor).alias("weight"))
+        moving = frontier.join(edges, "event_id")
+        # the steps this round may take: at most `hop`, never past depth K
+        steps = F.slice("nxt", 1, F.least(F.lit(hop), F.lit(hops) - F.col("depth")))
+        stop_at = F.array_position(F.transform(steps, lambda e: e["event_type"] == JOURNEY_STOP), F.lit(True))
+        taken = F.when(stop_at > 0, F.slice(steps, 1, stop_at)).otherwise(steps)
+        t = moving.select("journey_id", "user_id", "depth", "weight", taken.alias("taken"))
+        n = F.size("taken")
+
+        def row(e, i):                      # i: 0-based step index within the round
+            stop = e["event_type"] == JOURNEY_STOP
+            depth = F.col("depth") + i + 1
+            return F.struct(depth.alias("depth"), e["event_id"].alias("event_id"), (~stop).alias("active"),
+                            F.when(stop, F.lit(0.0)).otherwise(
+                                F.aggregate(F.slice("taken", 1, i + 1), F.col("weight"),
+                                            lambda acc, x: acc * _journey_factor(x["event_type"]))).alias("weight"),
+                            (i + 1 == n).alias("tip"))
+
+        rows = F.transform("taken", row)
+        last = F.element_at(rows, -1)
         # a path still active when it reaches depth K ends with its terminal row in the same round
         term = F.struct(F.lit(hops + 1).alias("depth"), F.lit(None).cast("bigint").alias("event_id"),
-                        F.lit(False).alias("active"), F.lit(0.0).alias("weight"))
-        rows = F.when((F.col("depth") + 1 == hops) & ~stop, F.array(row, term)).otherwise(F.array(row))
-        return moving.select("journey_id", "user_id", F.inline(rows))
-
-    if hops < 1:
-        raise ValueError("hops must be at least 1")
-    # continue from active rows below the cap; rows at depth K already carry their terminal row
-    rows = frontier_loop(seed, step, active=F.col("active") & (F.col("depth") < hops), max_rounds=hops)
+                        F.lit(False).alias("active"), F.lit(0.0).alias("weight"), F.lit(False).alias("tip"))
+        rows = F.when(last["active"] & (last["depth"] == hops), F.concat(rows, F.array(term))).otherwise(rows)
+        return t.select("journey_id", "user_id", F.inline(rows))
+
+    # only the tip of an active path below the cap goes on to the next round
+    rounds = -(-hops // hop)
+    rows = frontier_loop(seed, step, active=F.col("tip") & F.col("active") & (F.col("depth") < hops),
+                         max_rounds=rounds)
     edges.unpersist()      # every round is written out; the cached copy is no longer read
-    return rows
+    return rows.drop("tip")
 
 
 def journeys_unrolled(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:

@@ -13,6 +13,8 @@ def test_journey_strategies_agree(spark):
     a = rows_of(Q.journeys(spark, SF001, strategy="loop"))
     assert a == rows_of(Q.journeys(spark, SF001, strategy="unrolled"))
     assert a == rows_of(Q.journeys(spark, SF001, strategy="windowed"))
+    for hop in (1, 3):                        # one step per round, and steps not dividing K
+        assert a == rows_of(Q.journeys_loop(spark, SF001, hop=hop))
 
 
 def test_journey_properties(spark):
