@@ -51,6 +51,10 @@ ERROR_GAP_US = 60_000_000                            # O12: more than 60 s
 QUANT_LEVELS = 255                                   # O24
 NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]  # O28
 
+# tuning (not a fixed value): steps a journey path may take per loop round; more steps mean
+# fewer rounds and frontier shuffles but a wider cached next-events table
+LOOP_STEPS_PER_ROUND = 2
+
 
 def _hours_since_epoch(ts: str):
     micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EPOCH}', {ts})")
@@ -72,7 +76,8 @@ def _journey_factor(event_type):
     return factor
 
 
-def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, hop: int = 2) -> DataFrame:
+def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS,
+                  hop: int = LOOP_STEPS_PER_ROUND) -> DataFrame:
     """All journey rows (journey_id, user_id, depth, event_id, active, weight) by the
     frontier loop: each round joins the tip of every active path to its next ``hop`` events
     and emits one row per step taken, cutting at the first stop and at depth K.
