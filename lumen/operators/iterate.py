@@ -4,14 +4,14 @@
 function that emits the rows of the next round (the recursive term of a WITH RECURSIVE).
 The general step may aggregate, rank or join over the frontier, which Spark's native
 recursive CTE forbids, so the loop runs on the driver and each round is an ordinary
-distributed job: only the (small) frontier moves, and each round's rows are checkpointed
-to the shared checkpoint folder, so the plan never grows and a lost executor never
-reaches back more than one round.
+distributed job: only the frontier moves, and each round's rows are written as a parquet
+table to the shared checkpoint folder (the active rows counted in the same job), so the
+plan never grows and a lost executor never reaches back more than one round.
 
 ``redraw_until_accepted``: per key, keyed draws are tested until one is accepted; only the
-keys still rejected go round again.  Draws are generated in batches of ``batch`` per round
-(exact: the first accepted draw number wins), which trades a few extra candidate rows for
-fewer rounds, i.e. fewer shuffles.
+keys still rejected go round again.  Draws are generated in batches (``batch``, doubling
+each round; exact: the first accepted draw number wins), which trades a few extra
+candidate rows for fewer rounds, i.e. fewer shuffles.
 """
 
 from __future__ import annotations
