@@ -368,3 +368,11 @@ def test_redraw_empty_keys(spark):
     out = redraw_until_accepted(keys, "k", draw=lambda i: F.lit(0).cast("bigint"),
                                 accept=lambda t: t.withColumn("accepted", F.lit(True)))
     assert out.count() == 0
+
+
+def test_line_numbers_with_ties_are_a_permutation(spark):
+    df = spark.range(0, 3000, 1, 5).select(F.col("id"), (F.col("id") % 7).alias("k"))   # heavy ties on k
+    rows = global_line_numbers(df, ["k"], n_partitions=4).collect()
+    assert sorted(r.line_no for r in rows) == list(range(1, 3001))
+    by_line = sorted(rows, key=lambda r: r.line_no)
+    assert [r.k for r in by_line] == sorted(r.k for r in rows)      # numbering follows the order
