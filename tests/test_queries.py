@@ -95,3 +95,19 @@ def test_last_states_equal_last_rows(spark):
 def test_redraw_lookup_paths_agree(spark):
     broadcast = rows_of(Q.q_redraw_until_accept(spark, SF001))
     assert broadcast == rows_of(Q.q_redraw_until_accept(spark, SF001, max_lookup_rows=10))   # co-partitioned copy
+
+
+def test_route_forms_agree_on_events(spark):
+    from pyspark.sql import functions as F
+
+    from lumen.functions.numeric import cents
+    from lumen.operators.route import route_and_union
+    ev = load(spark, SF001, "events", "event_type", "value")
+    c = cents("value")
+    branches = [("purchase", F.col("event_type") == "purchase", lambda d: d.withColumn("amount", c * F.lit(70))),
+                ("view", F.col("event_type") == "view", lambda d: d.withColumn("amount", c)),
+                ("click", F.col("event_type") == "click", lambda d: d.withColumn("amount", F.lit(500).cast("bigint")))]
+    unioned = route_and_union(ev, branches, ("other", lambda d: d.withColumn("amount", F.lit(0).cast("bigint"))))
+    per_route = unioned.groupBy("route").agg(F.count(F.lit(1)).alias("n"),
+                                             (F.sum("amount").cast("double") / F.lit(10000.0)).alias("total"))
+    assert rows_of(per_route) == rows_of(E.queries()["route_and_union"](spark, SF001))
