@@ -67,6 +67,8 @@ def redraw_until_accepted(keys: DataFrame, key: str, *, draw: Callable[[Column],
     the batch sizes.  Every key is kept: the loop runs until all keys are accepted and raises
     rather than return a truncated answer if ``max_rounds`` rounds are not enough.
     """
+    if batch < 1 or max_batch < batch:
+        raise ValueError("need 1 <= batch <= max_batch")
     frontier = keys.select(key)
     done = []
     lo = 1

@@ -145,6 +145,8 @@ def with_following(df: DataFrame, key: str, ts: str, tiebreak: str, k: int, carr
     Only rows matching ``where`` (default: all) are returned, and only they and the split
     heads are materialised.
     """
+    if k < 1:
+        raise ValueError("k must be at least 1")
     item = F.struct(*[F.col(c) for c in [ts, tiebreak, *carry]])
     rows = add_split(df, key, [ts, tiebreak], split=split, bucket_seconds=bucket_seconds)
     w = Window.partitionBy(key, SPLIT).orderBy(ts, tiebreak)

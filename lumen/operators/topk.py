@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1,
                 with_ties: bool = False) -> DataFrame:
     """Rows ranked 1..n per key by ``order``; ``with_ties`` keeps every row tied at rank n."""
+    if n < 1:
+        raise ValueError("n must be at least 1")
     w = Window.partitionBy(*keys).orderBy(*order)
     rk = (F.rank() if with_ties else F.row_number()).over(w)
     return df.withColumn("__rk", rk).where(F.col("__rk") <= n).drop("__rk")

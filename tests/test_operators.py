@@ -16,7 +16,7 @@ from lumen.operators.assemble import global_line_numbers, ordered_concat
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
 from lumen.operators.match import nearest_match
 from lumen.operators.route import route, route_and_union
-from lumen.operators.sequence import first_match_after, with_next_row, with_positions
+from lumen.operators.sequence import first_match_after, with_following, with_next_row, with_positions
 from lumen.operators.topk import dedup_by_key, rows_at_group_max, top_per_key
 
 T0 = dt.datetime(2024, 1, 1)
@@ -376,3 +376,13 @@ def test_line_numbers_with_ties_are_a_permutation(spark):
     assert sorted(r.line_no for r in rows) == list(range(1, 3001))
     by_line = sorted(rows, key=lambda r: r.line_no)
     assert [r.k for r in by_line] == sorted(r.k for r in rows)      # numbering follows the order
+
+
+def test_parameter_guards(spark):
+    df, _ = _events(spark, n=10)
+    with pytest.raises(ValueError):
+        with_following(df, "user_id", "ts", "event_id", 0, [])
+    with pytest.raises(ValueError):
+        top_per_key(df, ["user_id"], [F.col("ts")], n=0)
+    with pytest.raises(ValueError):
+        redraw_until_accepted(df.select("event_id"), "event_id", draw=lambda i: i, accept=lambda t: t, batch=0)
