@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumen.llm import chat_format, exact_dedup, line_dedup
+from lumen.llm import bpe, chat_format, exact_dedup, line_dedup, token_files
 from lumen.sources.tables import load
 
 #: The conversation that the chat query formats besides the table's: text that looks like control strings.
@@ -34,12 +35,25 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE of all documents and the texts decoded from it, as digests."""
+    coded = bpe.encode_decode(load(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token ids, written to Arrow files of equal-length sequences and read back."""
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    manifest = token_files.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(spark, manifest)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the later copies of three-line windows."""
     return line_dedup.dedup_lines(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op6_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op5_token_files, op6_line_dedup)}
 
 ORACLES = {
     "op1_exact_dedup": """
