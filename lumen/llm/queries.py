@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumen.llm import bpe, chat_format, exact_dedup, line_dedup, token_files
+from lumen.llm import bpe, chat_format, exact_dedup, line_dedup, near_dedup, token_files
 from lumen.sources.tables import load
 
 #: The conversation that the chat query formats besides the table's: text that looks like control strings.
@@ -41,6 +41,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: three-word shingles, similarity 0.85 or more."""
+    return near_dedup.near_dedup(load(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=85, rows=6)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' token ids, written to Arrow files of equal-length sequences and read back."""
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
@@ -53,7 +58,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op5_token_files, op6_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op4_near_dedup, op5_token_files, op6_line_dedup)}
 
 ORACLES = {
     "op1_exact_dedup": """
