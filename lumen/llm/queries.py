@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumen.llm import bpe, chat_format, exact_dedup, line_dedup, near_dedup, token_files
+from lumen.llm import bpe, chat_format, exact_dedup, line_dedup, near_dedup, quality, token_files
 from lumen.sources.tables import load
 
 #: The conversation that the chat query formats besides the table's: text that looks like control strings.
@@ -58,7 +58,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op4_near_dedup, op5_token_files, op6_line_dedup)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned outside the held-out fold."""
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, load(spark, sf_dir, "labels", "doc_id", "quality"))
+    return (quality.with_quality(docs, model)
+            .select("doc_id", quality.held_out().alias("held_out"), "score", "predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op4_near_dedup, op5_token_files, op6_line_dedup,
+                                  op10_quality)}
 
 ORACLES = {
     "op1_exact_dedup": """
