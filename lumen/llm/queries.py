@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumen.llm import bpe, chat_format, exact_dedup, line_dedup, near_dedup, quality, token_files
+from lumen.llm import bpe, chat_format, decontaminate, exact_dedup, line_dedup, near_dedup, quality, token_files
 from lumen.sources.tables import load
 
 #: The conversation that the chat query formats besides the table's: text that looks like control strings.
@@ -58,6 +58,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document contains."""
+    return decontaminate.contained_items(load(spark, sf_dir, "documents", "doc_id", "text"),
+                                         load(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned outside the held-out fold."""
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
@@ -67,7 +73,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op4_near_dedup, op5_token_files, op6_line_dedup,
-                                  op10_quality)}
+                                  op7_decontaminate, op10_quality)}
 
 ORACLES = {
     "op1_exact_dedup": """
@@ -92,6 +98,17 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
        (sum(upto) FILTER (role = 'assistant' OR k = n))::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op7_decontaminate": r"""
+WITH t AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS words FROM t),
+s AS (SELECT DISTINCT kind, id, unnest(CASE WHEN len(words) >= 5
+             THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+             ELSE [array_to_string(words, ' ')] END) AS shingle FROM w WHERE len(words) > 0),
+n AS (SELECT *, count(*) OVER (PARTITION BY id) AS n_item FROM s WHERE kind = 'i')
+SELECT d.id AS doc_id, n.id AS item_id, count(*) AS n_shared, n.n_item FROM n JOIN s d ON d.kind = 'd' AND d.shingle = n.shingle
+GROUP BY d.id, n.id, n.n_item HAVING 100 * count(*) >= 80 * n.n_item""",
     "op6_line_dedup": """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 p AS (SELECT doc_id, text, lines, unnest(range(1, len(lines) - 1)) AS i FROM d),
