@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumen.llm import bpe, chat_format, decontaminate, exact_dedup, line_dedup, near_dedup, quality, token_files
+from lumen.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, near_dedup, quality, token_files
 from lumen.sources.tables import load
 
 #: The conversation that the chat query formats besides the table's: text that looks like control strings.
@@ -64,6 +64,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          load(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_extract.main_text(load(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned outside the held-out fold."""
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
@@ -73,7 +78,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op4_near_dedup, op5_token_files, op6_line_dedup,
-                                  op7_decontaminate, op10_quality)}
+                                  op7_decontaminate, op8_html_extract, op10_quality)}
 
 ORACLES = {
     "op1_exact_dedup": """
