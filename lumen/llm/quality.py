@@ -28,6 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumen.llm.logistic import ridge_logistic
 from lumen.llm.shared import text_of
 
 #: Texts of each class that the classifier is fitted on, and the longest of them.
@@ -84,28 +85,6 @@ def design(features: np.ndarray) -> np.ndarray:
     return np.column_stack([difference, ratio, difference**2, ratio**2, difference * ratio])
 
 
-def ridge_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Coefficients (intercept first) on standardised columns, by damped Newton steps."""
-    x = np.column_stack([np.ones(len(x)), x])
-    ridge = np.array([1e-9] + [RIDGE] * (x.shape[1] - 1))
-    sign = np.where(y == 1, -1.0, 1.0)
-
-    def loss(b: np.ndarray) -> float:
-        return float(weight @ np.logaddexp(0, sign * (x @ b)) + ridge @ b**2 / 2)
-
-    b = np.zeros(x.shape[1])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-(x @ b)))
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (weight * (y - p)) - ridge * b)
-        size = 1.0
-        while size > 1e-6 and loss(b + size * step) > loss(b):
-            size /= 2
-        b = b + size * step
-        if np.abs(size * step).max() < 1e-8:
-            break
-    return b
-
-
 def fit(good: list[str], bad: list[str], share: float) -> dict | None:
     """The model from texts of both labels; share: of label 1 among the labelled rows."""
     if not good or not bad:
@@ -121,7 +100,7 @@ def fit(good: list[str], bad: list[str], share: float) -> dict | None:
     mean, deviation = x.mean(axis=0), x.std(axis=0) + 1e-9
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     return {"good": dictionary(good), "bad": dictionary(bad), "mean": mean, "deviation": deviation,
-            "coefficients": ridge_logistic((x - mean) / deviation, y, weight)}
+            "coefficients": ridge_logistic((x - mean) / deviation, y, weight, RIDGE)}
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumen.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, near_dedup, quality, token_files
+from lumen.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, near_dedup, pii, quality, token_files
 from lumen.sources.tables import load
 
 #: The conversation that the chat query formats besides the table's: text that looks like control strings.
@@ -69,6 +69,17 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(load(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    found = pii.find_pii(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.as_text(F.col("spans")).alias("spans"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned outside the held-out fold."""
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
@@ -78,7 +89,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op4_near_dedup, op5_token_files, op6_line_dedup,
-                                  op7_decontaminate, op8_html_extract, op10_quality)}
+                                  op7_decontaminate, op8_html_extract, op9_pii, op10_quality)}
 
 ORACLES = {
     "op1_exact_dedup": """
