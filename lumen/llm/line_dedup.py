@@ -25,11 +25,11 @@ WINDOW = 3
 
 def _window_keys(lines: Column) -> Column:
     """Array of (k1, k2) for the windows of an array of lines."""
-    def key(i: Column) -> Column:
-        three = [F.get(lines, i + d) for d in range(WINDOW)]
-        return F.struct(F.xxhash64(*three).alias("k1"), F.xxhash64(F.lit(WINDOW), *reversed(three)).alias("k2"))
-    last = F.size(lines) - WINDOW
-    return F.when(lines.isNotNull() & (last >= 0), F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), key))
+    # the arrays are arguments, evaluated once for a text; inside the lambda they would be for each line
+    count = F.greatest(F.size(lines) - (WINDOW - 1), F.lit(0))
+    three = F.arrays_zip(*[F.slice(lines, d + 1, count).alias(f"l{d}") for d in range(WINDOW)])
+    return F.transform(three, lambda w: F.struct(F.xxhash64(*[w[f"l{d}"] for d in range(WINDOW)]).alias("k1"),
+                                                 F.xxhash64(F.lit(WINDOW), *[w[f"l{d}"] for d in reversed(range(WINDOW))]).alias("k2")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
