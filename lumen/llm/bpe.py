@@ -9,7 +9,7 @@ Words of up to ``WIDEST`` bytes go through many trees at once (``merge_many``: o
 numpy table for each word's tree), longer ones through one (``merge_all``); both do the same
 merges.  The tokenizer file (JSON of a byte-level BPE) is read on the driver and broadcast; a
 file is a few megabytes whatever the input.  Each Python worker remembers recent words
-(``CACHED_WORDS`` in each of two generations).  Documents are encoded where they lie: no shuffle.
+(``REMEMBERED`` bytes in each of two generations).  Documents are encoded where they lie: no shuffle.
 
 Defined cases: null text is the empty text and has no ids; added tokens (such as
 ``<|endoftext|>``) inside a text become their id; rows are independent, so ties, repeated
@@ -35,7 +35,8 @@ from lumen.llm.shared import text_of
 
 # Fixed value: the word pattern of byte-level BPE files.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 300_000
+#: Bytes of words that a Python worker remembers, in each of two generations.
+REMEMBERED = 60_000_000
 #: Bytes of the longest word that is merged together with others.
 WIDEST = 64
 #: Rows handed to Arrow at a time.
@@ -174,7 +175,7 @@ class Codec:
         self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in vocab.items()}
         self.bytes_of |= {i: content.encode() for content, i in self.added.items()}
         self.pattern = regex.compile(WORD)
-        self.recent = Recent(CACHED_WORDS, self.merged)
+        self.recent = Recent(REMEMBERED, self.merged)
 
     def merged(self, words: list[str]) -> list[bytes]:
         """The ids of each word (or added token)."""

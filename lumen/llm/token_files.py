@@ -40,8 +40,8 @@ LENGTH = 1024
 ROWS = 64
 #: Sequences after which a task begins a new file.
 FILE_ROWS = 1 << 16
-#: Parts, and words without punctuation, that a worker remembers in each of two generations.
-CACHED_PARTS, CACHED_WORDS = 100_000, 300_000
+#: Bytes of parts, and of pieces, that a Python worker remembers in each of two generations.
+REMEMBERED = 60_000_000
 #: Rows encoded at a time.
 SLICE = 256
 # The first letter after the Latin blocks, and ASCII punctuation that a part may end in
@@ -75,13 +75,16 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.model, self.letters, self.kind = self.library.model, byte_letters(), kind
-        self.recent, self.pieces = Recent(CACHED_PARTS, self.parts), Recent(CACHED_WORDS, self.ids)
+        self.recent, self.pieces = Recent(REMEMBERED, self.parts), Recent(REMEMBERED, self.ids)
 
     def ids(self, pieces: list[str]) -> list[bytes]:
         out: list = [None] * len(pieces)
         others = []
         for k, piece in enumerate(pieces):
-            lower = "".join(c.lower() for c in piece) if piece.isalpha() and max(piece) < LATIN_END else ""
+            if piece.isascii():
+                lower = piece.lower()
+            else:
+                lower = "".join(c.lower() for c in piece) if piece.isalpha() and max(piece) < LATIN_END else ""
             if lower.isalpha():                          # one letter's lower case has a mark, which is no letter
                 letters = lower if lower.isascii() else "".join(map(self.letters.__getitem__, lower.encode()))
                 out[k] = array(self.kind, [t.id for t in self.model.tokenize(letters)]).tobytes()
@@ -92,11 +95,11 @@ class Encoder:
         return out
 
     def parts(self, parts: list[str]) -> list[bytes]:
-        split = []
-        for part in parts:
-            word = part.rstrip(PUNCTUATION)
-            split.append([word.lower() if word.isascii() else word, part[len(word):]] if word.isalpha() else [part])
-        return self.pieces.joined(split)
+        words = [part.rstrip(PUNCTUATION) for part in parts]
+        pieces = [(word.lower() if word.isascii() else word) if word.isalpha() else part for word, part in zip(words, parts, strict=True)]
+        tails = [part[len(word):] if word.isalpha() else "" for word, part in zip(words, parts, strict=True)]
+        known = self.pieces.table({*pieces, *tails}).__getitem__
+        return [known(piece) + known(tail) if tail else known(piece) for piece, tail in zip(pieces, tails, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.recent.joined([t.replace("\n", " ").split(" ") for t in texts])
