@@ -5,7 +5,8 @@ after an executor loss) can draw different numbers.  A keyed draw hashes
 ``seed | key | draw-number`` instead: the same row always gets the same number, on any
 cluster shape, and a lost task recomputes exactly what it produced before.
 
-u = first 32 bits of md5(seed|key...|i) / 2^32, uniform in [0, 1).
+u = first 52 bits of md5(seed|key...|i) / 2^52, uniform in [0, 1): every double it takes is exact
+and any table's keys can be reached.
 """
 
 from __future__ import annotations
@@ -13,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO_32 = 4294967296.0
+DIGITS, RANGE = 13, float(1 << 52)
 
 
 def keyed_uniform(seed: str, *keys) -> Column:
     parts = [F.lit(str(seed))] + [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
     h = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / F.lit(TWO_32)
+    return F.conv(F.substring(h, 1, DIGITS), 16, 10).cast("bigint") / F.lit(RANGE)
 
 
 def keyed_index(seed: str, n, *keys) -> Column:
@@ -31,7 +32,7 @@ def keyed_index(seed: str, n, *keys) -> Column:
 def sql_keyed_uniform(seed: str, *key_exprs: str) -> str:
     """DuckDB twin of :func:`keyed_uniform` (same bits)."""
     parts = ", ".join([f"'{seed}'"] + [f"CAST({k} AS VARCHAR)" for k in key_exprs])
-    return f"(('0x' || substr(md5(concat_ws('|', {parts})), 1, 8))::BIGINT / {TWO_32})"
+    return f"(('0x' || substr(md5(concat_ws('|', {parts})), 1, {DIGITS}))::BIGINT / {RANGE})"
 
 
 def by_cut_points(u, labels: list[str], cuts: list[float]) -> Column:

@@ -1,13 +1,11 @@
-"""Numeric helpers that make results identical across engines.
+"""Numeric helpers that make results identical across engines and partitionings.
 
-* ``exact_sum`` / ``exact_avg``: money-like columns hold two decimals; summing them as
-  integer cents (bigint) is exact and independent of the order in which partial aggregates
-  are merged, so a 1000-executor run returns the same bits as a local one.  Cents keep the
-  aggregation buffer a fixed-width long (fast HashAggregate), about twice as fast as a
-  ``decimal`` sum; ANSI mode raises on overflow instead of wrapping.
+* ``exact_sum`` / ``exact_avg``: values of up to six decimals are summed as decimals, which is
+  exact and independent of the order in which partial aggregates are merged.  A group that
+  holds a NaN, an infinity or a value of ``EXACT_LIMIT`` or more is summed as doubles instead,
+  so a broken input shows in the result.
 * ``snap``: fixed-point snap ``floor(x * 10^d + 0.5) / 10^d`` for doubles whose value depends
-  on summation order (means of means, centroids).  Written with plain IEEE operations so the
-  DuckDB twin computes the same formula (``round`` differs between engines on near-ties).
+  on summation order (means of means, centroids); NaN and values too large to snap pass.
 """
 
 from __future__ import annotations
@@ -19,42 +17,32 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def snap(x, digits: int = 6) -> Column:
-    scale = float(10 ** digits)
-    return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+#: Values from here on don't fit the decimals of an exact sum.
+EXACT_LIMIT = 1e11
+SNAP_LIMIT = 9e12
+
 
+def snap(x, digits: int = 6) -> Column:
+    x, scale = _c(x).cast("double"), float(10 ** digits)
+    return F.when(F.isnan(x) | (F.abs(x) > SNAP_LIMIT * 1e6 / scale), x).otherwise(F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
 
-def cents(x) -> Column:
-    """A 2-decimal double as an exact integer number of hundredths.
 
-    ``floor(x * 100 + 0.5)``: x * 100 lies within a few ulps of an integer, so this is the
-    nearest integer; plain double arithmetic (``round`` goes through BigDecimal and is
-    about a third slower here).
-    """
-    return F.floor(_c(x) * F.lit(100.0) + F.lit(0.5))
+def as_decimal(x) -> Column:
+    """A double as a decimal of six places, null where it is none (NaN) or too large."""
+    x = _c(x).cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) < F.lit(EXACT_LIMIT)), x).cast("decimal(18,6)")
 
 
 def exact_sum(x) -> Column:
-    """Order-independent sum of a 2-decimal double column, returned as double."""
-    return F.sum(cents(x)).cast("double") / F.lit(100.0)
+    """Order-independent sum of a double column, returned as double."""
+    x = _c(x).cast("double")
+    exact = F.sum(as_decimal(x)).cast("double")
+    return F.when(F.count(as_decimal(x)) < F.count(x), F.sum(x)).otherwise(exact)
 
 
 def exact_avg(x) -> Column:
     """Order-independent mean: exact sum divided by the non-null count."""
-    c = _c(x)
-    return (F.sum(cents(c)).cast("double") / F.lit(100.0)) / F.count(c).cast("double")
-
-
-def sql_cents(expr: str) -> str:
-    return f"floor(({expr}) * 100.0 + 0.5)::BIGINT"
-
-
-def sql_exact_sum(expr: str) -> str:
-    return f"(CAST(sum({sql_cents(expr)}) AS DOUBLE) / 100.0)"
-
-
-def sql_exact_avg(expr: str) -> str:
-    return f"({sql_exact_sum(expr)} / count({expr}))"
+    return exact_sum(x) / F.count(_c(x)).cast("double")
 
 
 def sql_snap(expr: str, digits: int = 6) -> str:

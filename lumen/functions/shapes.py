@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,47 +24,26 @@ def guarded_inverse(x, numerator: float = 1.0) -> Column:
 
 
 def quantize_sqrt(x, x_max, levels: int = 255) -> Column:
-    """floor(sqrt(x / x_max) * levels): square-root compression then quantising."""
-    return F.floor(F.sqrt(_c(x) / _c(x_max)) * F.lit(float(levels))).cast("bigint")
-
+    """floor(sqrt(x / x_max) * levels): square-root compression then quantising.
 
-# Fixed values of the six-sector cyclic map (value 0.45, saturation 0.75), per sector the
-# (a, b, c) outputs in terms of V, p, q, t:
-#   sector 0: V t p | 1: q V p | 2: p V t | 3: p q V | 4: t p V | 5: V p q
-SIX_SECTOR_VALUE = 0.45
-SIX_SECTOR_SATURATION = 0.75
-SIX_SECTOR_TABLE = (
-    ("V", "t", "p"),
-    ("q", "V", "p"),
-    ("p", "V", "t"),
-    ("p", "q", "V"),
-    ("t", "p", "V"),
-    ("V", "p", "q"),
-)
+    Null where x is negative, or the maximum is not positive or not a number.
+    """
+    x, x_max = _c(x), _c(x_max)
+    usable = (x >= 0) & (x_max > 0) & ~F.isnan(x) & ~F.isnan(x_max)
+    return F.floor(F.sqrt(F.when(usable, x / F.when(x_max > 0, x_max))) * F.lit(float(levels))).cast("bigint")
 
 
-def six_sector(h) -> tuple[Column, Column, Column]:
-    """Cyclic piecewise-linear triple for h in [0, 6): sector = floor(h), f = h - sector.
+def triangle_wave(phase, shift: float, low: float, high: float, period: float = 6.0) -> Column:
+    """A periodic trapezoid between ``low`` and ``high``, shifted along the period.
 
-    Values outside [0, 6) fall to 0, the ELSE branch of the original CASE chain.
+    At distance d (around the period) from the phase ``shift`` it is ``high`` up to a sixth of the
+    period, ``low`` from a third on, and linear between.
     """
-    h = _c(h)
-    v, s = SIX_SECTOR_VALUE, SIX_SECTOR_SATURATION
-    f = h - F.floor(h)
-    parts = {
-        "V": F.lit(v),
-        "p": F.lit(v * (1 - s)),
-        "q": F.lit(v) * (F.lit(1.0) - F.lit(s) * f),
-        "t": F.lit(v) * (F.lit(1.0) - F.lit(s) * (F.lit(1.0) - f)),
-    }
-    out = []
-    for k in range(3):
-        expr = None
-        for sector, row in enumerate(SIX_SECTOR_TABLE):
-            cond = (h >= F.lit(float(sector))) & (h < F.lit(float(sector + 1)))
-            expr = F.when(cond, parts[row[k]]) if expr is None else expr.when(cond, parts[row[k]])
-        out.append(expr.otherwise(F.lit(0.0)))
-    return out[0], out[1], out[2]
+    unit = F.lit(period / 6.0)
+    at = F.pmod(_c(phase) - F.lit(float(shift)), F.lit(float(period)))
+    distance = F.least(at, F.lit(float(period)) - at) / unit
+    rise = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(2.0) - distance))
+    return F.lit(low) + F.lit(high - low) * rise
 
 
 def parity_even(*cells) -> Column:
@@ -76,9 +53,3 @@ def parity_even(*cells) -> Column:
         c = _c(c).cast("bigint")
         total = c if total is None else total + c
     return F.pmod(total, F.lit(2)) == 0
-
-
-def sine_parity_even(x, y, freq: float = 1.0) -> Column:
-    """Checkerboard by floor parity; sin(k x) > 0 exactly when floor(k x / pi) is even."""
-    k = F.lit(float(freq) / math.pi)
-    return parity_even(F.floor(_c(x) * k), F.floor(_c(y) * k))

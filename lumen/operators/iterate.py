@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumen.operators.lineage import write_round
+from lumen.operators.lineage import drop_round, write_round
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -37,7 +37,8 @@ def frontier_loop(seed: DataFrame, step: Callable[[DataFrame, int], DataFrame],
     stops early when a round emits no active row.  Every round's output has the seed's
     columns.  ``step`` is responsible for any terminal rows (rows it emits inactive).
     Each round is one job: its rows are written to the shared checkpoint folder while the
-    active rows are counted (see :func:`lumen.operators.lineage.write_round`).
+    active rows are counted (see :func:`lumen.operators.lineage.write_round`).  Raises when
+    active rows are left after ``max_rounds`` rounds, rather than return a cut result.
     """
     cols = seed.columns
     current, n_active = write_round(seed.select(*cols), active)
@@ -47,6 +48,10 @@ def frontier_loop(seed: DataFrame, step: Callable[[DataFrame, int], DataFrame],
             break
         current, n_active = write_round(step(current.where(active), r).select(*cols), active)
         rounds.append(current)
+    if n_active > 0:
+        for done in rounds:
+            drop_round(done)
+        raise RuntimeError(f"frontier_loop: {n_active} rows still active after {max_rounds} rounds")
     return union_all(rounds)
 
 

@@ -9,10 +9,7 @@ die with the executor, and never a machine-local folder).
 * ``write_round``: writes the rows as a parquet table under the checkpoint folder and
   reads it back, while an ``Observation`` counts rows in the same job; a loop gets its
   lineage cut *and* its stop test from one job instead of two.
-* ``co_partitioned``: a checkpointed table re-partitioned and sorted on a join key and
-  cached, so a join against it each round only shuffles the other side.  A checkpoint
-  alone reports unknown partitioning; the cached copy keeps it, and a lost cached block
-  is rebuilt from the checkpoint files, not from the original plan.
+* ``drop_round``: deletes a round's table once nothing reads it.
 """
 
 from __future__ import annotations
@@ -48,25 +45,10 @@ def write_round(df: DataFrame, counted: Column | None = None) -> tuple[DataFrame
     return spark.read.schema(df.schema).parquet(path), int(n)
 
 
-ROWS_PER_PARTITION = 2_000_000
-
-
-def co_partitioned(df: DataFrame, key: str, n_partitions: int | None = None,
-                   rows_per_partition: int = ROWS_PER_PARTITION, materialize: bool = True) -> DataFrame:
-    """Checkpoint, hash-partition on ``key``, sort within partitions, cache.
-
-    A cached side keeps a fixed partition count that AQE cannot coalesce, so unless one is
-    given it is sized from the row count (about ``rows_per_partition`` rows per partition),
-    capped by ``spark.sql.shuffle.partitions``.  ``materialize=False`` skips the write for
-    input that is itself a cheap step away from a checkpoint (lost cache blocks are rebuilt
-    from there); its rows are then only counted.
-    """
+def drop_round(df: DataFrame) -> None:
+    """Delete the table behind a frame that ``write_round`` returned."""
     spark = df.sparkSession
-    if materialize:
-        fixed, n_rows = write_round(df)      # lineage cut and row count in one job
-    else:
-        fixed, n_rows = df, (df.count() if not n_partitions else 0)
-    if not n_partitions:
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n_partitions = max(1, min(cap, -(-n_rows // rows_per_partition)))
-    return fixed.repartition(n_partitions, key).sortWithinPartitions(key).cache()
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.getName().startswith("lumen-round-"):
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,96 +1,60 @@
-"""Nearest valid match between probe rows and a catalogue (theta join + top-1 per probe).
+"""Nearest valid match between probe rows and a catalogue (theta join + best per probe).
 
-The catalogue is broadcast only after its row count is checked.  Up to ``max_broadcast_rows``
-it goes whole.  Beyond that, an index join supplied by the caller (for geometry: the grid
-of :mod:`lumen.operators.spatial`) produces only the pairs that can match, as an equi-join.
-Without one (e.g. nearest centroid in 64 dimensions, where every centroid is a candidate by
-definition) the catalogue is cut into exact chunks of at most ``max_broadcast_rows`` rows
-(by global row number, so the bound is proven, not hoped for) and each chunk is broadcast in
-turn; the final top-1 per probe runs over their union.
+The catalogue is packed into blocks of at most ``block_rows`` entries, one row for each block.
+Every probe meets every block by an equi-join on the block's number; inside a block one fold
+keeps the best entry, so no probe x catalogue rows are made.  The best over the blocks is a
+minimum per probe with map-side partial aggregates.  One block or five thousand: the same plan.
+
+A score that is null or NaN is no match.  A probe without any match stays, with a null result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumen.functions.vectors import let
 from lumen.operators.assemble import global_line_numbers
-from lumen.operators.broadcast import fits
-from lumen.operators.topk import top_per_key
+from lumen.operators.lineage import cut
 
-MAX_BROADCAST_ROWS = 20_000
-FOLD_MAX_ROWS = 2_000
+BLOCK_ROWS = 512
 
 
-def catalogue_chunks(catalogue: DataFrame, order: list[str], max_rows: int) -> list[DataFrame]:
-    n = catalogue.count()
-    if n <= max_rows:
-        return [catalogue]
-    numbered = global_line_numbers(catalogue, order, start=0, name="__row")
-    k = -(-n // max_rows)
-    return [numbered.where(F.floor(F.col("__row") / max_rows) == i).drop("__row") for i in range(k)]
+def blocks_of(catalogue: DataFrame, order_key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(block, entries): the catalogue in order of ``order_key``, ``block_rows`` entries to a row."""
+    numbered = global_line_numbers(catalogue, [order_key], start=0, name="__row")
+    entry = F.struct("__row", F.struct(*catalogue.columns).alias("item"))
+    return cut(numbered.groupBy(F.floor(F.col("__row") / block_rows).cast("bigint").alias("block"))
+               .agg(F.array_sort(F.collect_list(entry)).alias("entries")))
 
 
-def nearest_match(probes: DataFrame, catalogue: DataFrame, probe_key: list[str], *,
-                  pair: Callable[[DataFrame], DataFrame], valid: Column, order: list[Column],
-                  catalogue_order: list[str], max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                  candidates: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
-    """For each probe, the catalogue row with the smallest ``order`` among pairs where
-    ``valid`` holds.  ``pair`` adds pair columns to probe x catalogue rows.  Probes with no
-    valid pair produce no row (like an inner join).
+def nearest_in_blocks(probes: DataFrame, probe_key: str, catalogue: DataFrame, *, order_key: str,
+                      score: Callable[[Column], Column], item: str, carry: list[str] | None = None,
+                      block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(probe_key, carry..., score, item): for each probe the catalogue entry with the least score.
 
-    Up to ``max_broadcast_rows`` catalogue rows the catalogue is broadcast.  Beyond that,
-    ``candidates(probes, catalogue)`` — an index join that returns a superset of the valid
-    pairs, e.g. :func:`lumen.operators.spatial.grid_candidates` — is used when given;
-    otherwise the catalogue is broadcast in exact chunks.
+    Ties go to the least ``order_key``.  ``score(entry)`` receives an entry as a struct and may use
+    the probe's columns.  ``probe_key`` identifies a probe; ``item`` is the entry's column returned.
     """
-    if candidates is not None and not fits(catalogue, max_broadcast_rows):
-        pairs = pair(candidates(probes, catalogue)).where(valid)
-        return top_per_key(pairs, probe_key, order)
-    per_chunk = []
-    for chunk in catalogue_chunks(catalogue, catalogue_order, max_broadcast_rows):
-        pairs = pair(probes.crossJoin(F.broadcast(chunk))).where(valid)
-        per_chunk.append(pairs)
-    found = reduce(lambda a, b: a.unionByName(b), per_chunk)
-    return top_per_key(found, probe_key, order)
-
-
-def nearest_by_fold(probes: DataFrame, catalogue: DataFrame, *, order_key: str,
-                    score: Callable[[Column], Column], name: str = "best",
-                    drop_unmatched: bool = False) -> DataFrame:
-    """For each probe row, the catalogue row with the smallest ``score`` (ties: smallest
-    ``order_key``), as struct column ``name`` = (score, item); null when no score is valid.
-    With ``drop_unmatched`` probes without a valid score are dropped (inner-join meaning);
-    that is done with a generator, not a filter, because a filter on the fold's result would
-    be pushed below the projection and evaluate the fold twice.
-
-    The catalogue (checked small by the caller) is packed into one array sorted by
-    ``order_key`` and attached to every probe as a one-row broadcast; each row then folds
-    over the array with ``aggregate``.  No probe x catalogue rows are materialised and
-    nothing is shuffled: the nearest match is a narrow map.  ``score(item)`` receives the
-    catalogue entry as a struct and may use the probe's columns; null means "no match".
-    """
-    cols = catalogue.columns
-    packed = catalogue.agg(F.array_sort(F.collect_list(F.struct(F.col(order_key).alias("__k"), *cols)))
-                           .alias("__cat"))
-    packed = packed.select(F.transform("__cat", lambda e: F.struct(*[e[c].alias(c) for c in cols])).alias("__cat"))
-    items = F.col("__cat")
-    item_type = ",".join(f"{c}:{t}" for c, t in catalogue.dtypes)
-    start = F.lit(None).cast(f"struct<score:double,item:struct<{item_type}>>")
-
-    def merge(acc, item):
-        def pick(s):
-            better = s.isNotNull() & (acc.isNull() | (s < acc["score"]))
-            return F.when(better, F.struct(s.alias("score"), item.alias("item"))).otherwise(acc)
-        return let(score(item), pick)
-
-    out = probes.crossJoin(F.broadcast(packed))      # one row, size checked by the caller
-    best = F.aggregate(items, start, merge)
-    if drop_unmatched:
-        found = F.filter(F.array(best), lambda b: b.isNotNull())
-        return out.select(*probes.columns, F.explode(found).alias(name))
-    return out.withColumn(name, best).drop("__cat")
+    blocks = blocks_of(catalogue, order_key, block_rows)
+    n_blocks = blocks.count()
+    carried = [probe_key, *(carry or [])]
+    item_type = dict(catalogue.dtypes)[item]
+    if n_blocks == 0:
+        return probes.select(*carried, F.lit(None).cast("double").alias("score"), F.lit(None).cast(item_type).alias(item))
+    start = F.lit(None).cast(f"struct<score:double,row:bigint,item:{item_type}>")
+
+    def merge(best: Column, entry: Column) -> Column:
+        def pick(s: Column) -> Column:
+            better = s.isNotNull() & ~F.isnan(s) & (best.isNull() | (s < best["score"]))
+            found = F.struct(s.alias("score"), entry["__row"].alias("row"), entry["item"][item].alias("item"))
+            return F.when(better, found).otherwise(best)
+        return let(score(entry["item"]).cast("double"), pick)
+
+    met = (probes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))))
+           .join(blocks, "block"))
+    folded = met.select(*carried, F.aggregate("entries", start, merge).alias("best"))
+    return (folded.groupBy(*carried).agg(F.min("best").alias("best"))
+            .select(*carried, F.col("best.score").alias("score"), F.col("best.item").alias(item)))

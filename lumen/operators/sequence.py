@@ -53,6 +53,13 @@ def add_split(df: DataFrame, key: str, order: list[str], *, split: str = "range"
     return cut(out) if materialize else out
 
 
+def join_splits(rows: DataFrame, summary: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``rows`` joined to a per-(key, split) summary; a null key is a key like any other."""
+    right = summary.withColumnsRenamed({key: "__key", SPLIT: "__of_split"})
+    on = F.col(key).eqNullSafe(F.col("__key")) & (F.col(SPLIT) == F.col("__of_split"))
+    return rows.join(right, on, how).drop("__key", "__of_split")
+
+
 def with_next_row(df: DataFrame, key: str, ts: str, tiebreak: str, carry: list[str], *,
                   split: str = "range", bucket_seconds: int = DAY, prefix: str = "next_") -> DataFrame:
     """Add ``prefix + c`` for c in [ts, tiebreak, *carry]: the following row of the same key
@@ -68,8 +75,7 @@ def with_next_row(df: DataFrame, key: str, ts: str, tiebreak: str, carry: list[s
     wk = Window.partitionBy(key).orderBy(SPLIT)
     next_heads = heads.select(key, SPLIT, F.lead("__head").over(wk).alias("__next_head"))
     inner = rows.where(F.col("__next").isNotNull())
-    tails = (rows.where(F.col("__next").isNull()).drop("__next")
-             .join(next_heads, [key, SPLIT], "left")
+    tails = (join_splits(rows.where(F.col("__next").isNull()).drop("__next"), next_heads, key)
              .withColumnRenamed("__next_head", "__next"))
     out = inner.unionByName(tails)
     return out.select(*df.columns, *[F.col("__next." + f).alias(prefix + f) for f in fields])
@@ -88,7 +94,7 @@ def with_positions(df: DataFrame, key: str, ts: str, tiebreak: str, *, split: st
     sizes = rows.groupBy(key, SPLIT).agg(F.count(F.lit(1)).alias("__n"))
     wk = Window.partitionBy(key).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(key, SPLIT, F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__off"))
-    out = rows.join(offsets, [key, SPLIT])
+    out = join_splits(rows, offsets, key, "inner")
     return out.select(*df.columns, (F.col("__rn") + F.col("__off")).cast("bigint").alias(name))
 
 
@@ -99,14 +105,18 @@ def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
     ``cand_ts - probe_ts > min_gap_us`` (microseconds), earliest by (cand_ts, cand_id).
 
     Returns (key, probe_id, probe_ts, match_id, match_ts); match_* null when none (an
-    as-of join that keeps every probe).
+    as-of join that keeps every probe).  Keys are equal as in an equi join: a probe with a
+    null key, or a null time, has no match.
     """
     # candidate c is after probe p iff c.ts - gap > p.ts: compare both on one "sort time"
     shift = F.expr(f"INTERVAL {min_gap_us} MICROSECOND")
-    p = probes.select(F.col(key).alias("k"), F.col(probe_id).alias("pid"), F.col(probe_ts).alias("pts"),
+    usable = F.col(key).isNotNull() & F.col(probe_ts).isNotNull()
+    alone = probes.where(~usable).select(key, probe_id, probe_ts, F.lit(None).cast("bigint").alias("match_id"),
+                                         F.lit(None).cast("timestamp_ntz").alias("match_ts"))
+    p = probes.where(usable).select(F.col(key).alias("k"), F.col(probe_id).alias("pid"), F.col(probe_ts).alias("pts"),
                       F.col(probe_ts).alias("st"), F.lit(1).alias("rank"),
                       F.lit(None).cast("struct<st:timestamp_ntz,cid:bigint,cts:timestamp_ntz>").alias("cand"))
-    c = candidates.select(F.col(key).alias("k"), F.lit(None).cast("bigint").alias("pid"),
+    c = candidates.where(F.col(key).isNotNull() & F.col(cand_ts).isNotNull()).select(F.col(key).alias("k"), F.lit(None).cast("bigint").alias("pid"),
                           F.lit(None).cast("timestamp_ntz").alias("pts"),
                           (F.col(cand_ts) - shift).alias("st"), F.lit(0).alias("rank"),
                           F.struct((F.col(cand_ts) - shift).alias("st"), F.col(cand_id).cast("bigint").alias("cid"),
@@ -125,11 +135,11 @@ def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
     wk = Window.partitionBy("k").orderBy(F.desc(SPLIT)).rowsBetween(Window.unboundedPreceding, -1)
     later = heads.select("k", SPLIT, F.min("__head").over(wk).alias("__later"))
     ok = found.where(F.col("__best").isNotNull())
-    miss = (found.where(F.col("__best").isNull()).drop("__best")
-            .join(later, ["k", SPLIT], "left").withColumnRenamed("__later", "__best"))
+    miss = join_splits(found.where(F.col("__best").isNull()).drop("__best"), later, "k").withColumnRenamed("__later", "__best")
     out = ok.unionByName(miss)
-    return out.select(F.col("k").alias(key), F.col("pid").alias(probe_id), F.col("pts").alias(probe_ts),
-                      F.col("__best.cid").alias("match_id"), F.col("__best.cts").alias("match_ts"))
+    matched = out.select(F.col("k").alias(key), F.col("pid").alias(probe_id), F.col("pts").alias(probe_ts),
+                         F.col("__best.cid").alias("match_id"), F.col("__best.cts").alias("match_ts"))
+    return matched.unionByName(alone)
 
 
 def with_following(df: DataFrame, key: str, ts: str, tiebreak: str, k: int, carry: list[str], *,
@@ -166,7 +176,7 @@ def with_following(df: DataFrame, key: str, ts: str, tiebreak: str, k: int, carr
     conts = heads.select(key, SPLIT, F.slice(F.flatten(F.collect_list("__head").over(wk)), 1, k).alias("__cont"))
     out = needed.where("__keep")
     full = out.where(F.size("__ahead") == k).withColumn(name, F.col("__ahead"))
-    short = (out.where(F.size("__ahead") < k).join(conts, [key, SPLIT], "left")
+    short = (join_splits(out.where(F.size("__ahead") < k), conts, key)
              .withColumn(name, F.when(F.col("__cont").isNull(), F.col("__ahead"))
                          .otherwise(F.slice(F.concat("__ahead", "__cont"), 1, k))))
     return full.unionByName(short.drop("__cont")).select(*df.columns, name)

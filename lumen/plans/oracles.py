@@ -1,14 +1,13 @@
 """DuckDB twins of the registered queries (same column names, types and values).
 
-These are written independently of the Spark plans, in plain SQL over the parquet views,
-and serve as the correctness check.  Loops become recursive CTEs; the keyed draw and the
-6-decimal snap use the shared SQL spellings so both sides compute the same bits.
+Plain SQL over the parquet views, as the correctness check.  Loops become recursive CTEs and
+sums of plain numbers DuckDB's own decimal sums.  Three things are shared with the library: the
+fixed values of the queries, the keyed draw, and the 6-decimal snap of float means.
 """
 
 from __future__ import annotations
 
 from lumen.functions.draws import sql_keyed_uniform as U
-from lumen.functions.numeric import sql_exact_avg, sql_exact_sum
 from lumen.functions.numeric import sql_snap as S
 from lumen.plans import queries as Q
 
@@ -18,11 +17,25 @@ K = Q.JOURNEY_HOPS
 
 
 def _dsum(col: str) -> str:
-    return sql_exact_sum(col)
+    return f"CAST(sum(CAST({col} AS DECIMAL(18, 6))) AS DOUBLE)"
 
 
 def _davg(col: str) -> str:
-    return sql_exact_avg(col)
+    return f"({_dsum(col)} / count({col}))"
+
+
+def _mean_vectors(where: str = "") -> str:
+    """CTEs x and m: each label's mean vector over as many dimensions as its vectors have."""
+    return f"""x AS (
+  SELECT label, i, avg(embedding[i]::DOUBLE) AS m
+  FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings {where})
+  GROUP BY label, i
+), m AS (SELECT label, list(m ORDER BY i) AS c FROM x GROUP BY label)"""
+
+
+def _dist2(a: str, b: str) -> str:
+    return (f"list_reduce(list_transform(range(1, greatest(len({a}), len({b})) + 1), "
+            f"lambda k: ({a}[k]::DOUBLE - {b}[k]) * ({a}[k]::DOUBLE - {b}[k])), lambda s, t: s + t)")
 
 
 JOURNEYS = f"""
@@ -56,6 +69,23 @@ ORACLES = {
 )
 SELECT user_id, count(*) AS n_journeys, {S('avg(weight)')} AS avg_weight, max(depth) AS max_depth
 FROM last WHERE rn = 1 GROUP BY user_id
+""",
+
+    "cooldown_chain": f"""
+WITH RECURSIVE j(journey_id, user_id, depth, event_id, ts, weight, active) AS (
+  SELECT event_id, user_id, 0, event_id, ts, 1.0::DOUBLE, true FROM events WHERE event_type = 'signup'
+  UNION ALL
+  SELECT journey_id, user_id, depth + 1, nxt.event_id, nxt.ts,
+         CASE nxt.event_type WHEN 'error' THEN 0.0::DOUBLE ELSE weight * (CASE nxt.event_type WHEN 'view' THEN 0.9::DOUBLE
+           WHEN 'purchase' THEN 0.7::DOUBLE ELSE 1.0::DOUBLE END) END,
+         nxt.event_type <> 'error' AND depth + 1 < {Q.CHAIN_STEPS}
+  FROM (SELECT j.journey_id, j.user_id, j.depth, j.weight,
+               min({{'ts': e.ts, 'event_id': e.event_id, 'event_type': e.event_type}}) AS nxt
+        FROM j JOIN events e ON e.user_id = j.user_id
+         AND e.ts > j.ts + to_seconds((floor((1.0 - j.weight) * 10 + 1e-9)::BIGINT + 1) * {Q.CHAIN_HOUR})
+        WHERE j.active GROUP BY j.journey_id, j.user_id, j.depth, j.weight)
+)
+SELECT journey_id, depth, event_id, {S('weight')} AS weight, active FROM j
 """,
 
     "redraw_until_accept": f"""
@@ -127,54 +157,21 @@ FROM orders CROSS JOIN p WHERE o_totalprice > threshold
 GROUP BY 1
 """,
 
-    "line_ball_entry": f"""
-WITH tr AS (
-  SELECT vec_id, embedding[1]::DOUBLE AS ox, embedding[2]::DOUBLE AS oy, embedding[3]::DOUBLE AS oz,
-         embedding[4]::DOUBLE AS rx, embedding[5]::DOUBLE AS ry, embedding[6]::DOUBLE AS rz
-  FROM embeddings
-), t2 AS (
-  SELECT vec_id, ox, oy, oz, rx / l AS dx, ry / l AS dy, rz / l AS dz
-  FROM (SELECT *, sqrt(rx * rx + ry * ry + rz * rz) AS l FROM tr) WHERE l > 0
-), z AS (
-  SELECT label AS ball, avg(embedding[1]::DOUBLE) AS cx, avg(embedding[2]::DOUBLE) AS cy,
-         avg(embedding[3]::DOUBLE) AS cz
-  FROM embeddings GROUP BY label
-), q AS (
-  SELECT t2.*, z.*, dx * dx + dy * dy + dz * dz AS qa,
-         (ox - cx) * dx + (oy - cy) * dy + (oz - cz) * dz AS qb,
-         ((ox - cx) * (ox - cx) + (oy - cy) * (oy - cy) + (oz - cz) * (oz - cz)) - {Q.BALL_RADIUS} * {Q.BALL_RADIUS} AS qc
-  FROM t2 CROSS JOIN z
-), r AS (
-  SELECT *, (-qb - sqrt(disc)) / qa AS r1, (-qb + sqrt(disc)) / qa AS r2
-  FROM (SELECT *, qb * qb - qa * qc AS disc FROM q) WHERE disc >= 0
-), h AS (
-  SELECT *, CASE WHEN r1 > {Q.T_MIN} THEN r1 WHEN r2 > {Q.T_MIN} THEN r2 END AS t FROM r
-), best AS (
-  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY t, ball) AS rn FROM h WHERE t IS NOT NULL
-), pt AS (
-  SELECT vec_id, ball, t, dx, dy, dz, ox + dx * t AS px, oy + dy * t AS py, oz + dz * t AS pz, cx, cy, cz
-  FROM best WHERE rn = 1
-), nn AS (
-  SELECT *, (px - cx) / {Q.BALL_RADIUS} AS nx, (py - cy) / {Q.BALL_RADIUS} AS ny, (pz - cz) / {Q.BALL_RADIUS} AS nz FROM pt
-)
-SELECT vec_id, ball, {S('t')} AS t, {S('px')} AS px, {S('py')} AS py, {S('pz')} AS pz,
-       {S('nx')} AS nx, {S('ny')} AS ny, {S('nz')} AS nz, (dx * nx + dy * ny + dz * nz) < 0 AS front
-FROM nn
+    "nearest_zone": f"""
+WITH {_mean_vectors()},
+z AS (
+  SELECT m.label AS zone, any_value(m.c) AS c, {S("avg(sqrt(" + _dist2("e.embedding", "m.c") + "))")} AS radius
+  FROM embeddings e JOIN m ON m.label = e.label GROUP BY m.label
+), d AS (SELECT e.vec_id, z.zone, z.radius, sqrt({_dist2("e.embedding", "z.c")}) AS d FROM embeddings e CROSS JOIN z),
+b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, zone) AS rn FROM d WHERE d <= radius)
+SELECT e.vec_id, b.zone, {S("b.d")} AS distance FROM embeddings e LEFT JOIN b ON b.vec_id = e.vec_id AND b.rn = 1
 """,
 
     "nearest_centroid": f"""
-WITH x AS (
-  SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings CROSS JOIN range(1, {Q.EMBED_DIMS + 1}) r(i)
-  GROUP BY label, i
-), c AS (SELECT label AS nearest, list(m ORDER BY i) AS c FROM x GROUP BY label),
-d AS (
-  SELECT e.vec_id, e.label, c.nearest,
-         list_reduce(list_transform(range(1, {Q.EMBED_DIMS + 1}),
-                     lambda k: (e.embedding[k]::DOUBLE - c.c[k]) * (e.embedding[k]::DOUBLE - c.c[k])),
-                     lambda a, b: a + b) AS d2
-  FROM embeddings e CROSS JOIN c
-), b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, nearest) AS rn FROM d)
-SELECT label, nearest, count(*) AS n FROM b WHERE rn = 1 GROUP BY 1, 2
+WITH {_mean_vectors()},
+d AS (SELECT e.vec_id, m.label AS nearest, {_dist2("e.embedding", "m.c")} AS d2 FROM embeddings e CROSS JOIN m),
+b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, nearest) AS rn FROM d WHERE d2 IS NOT NULL AND NOT isnan(d2))
+SELECT e.label, b.nearest, count(*) AS n FROM embeddings e LEFT JOIN b ON b.vec_id = e.vec_id AND b.rn = 1 GROUP BY 1, 2
 """,
 
     "next_event_after": f"""
@@ -216,14 +213,31 @@ u AS (SELECT vec_id, len_before, CASE WHEN len_before > 0 THEN list_transform(v,
 SELECT vec_id, {S('len_before')} AS len_before,
        {S('sqrt(list_reduce(list_transform(u, lambda x: x * x), lambda a, b: a + b))')} AS len_after
 FROM u
+""",
+
+    "frame_vectors": f"""
+WITH v AS (SELECT vec_id, CAST(embedding[1:3] AS DOUBLE[]) AS a, CAST(embedding[4:6] AS DOUBLE[]) AS b FROM embeddings),
+w AS (
+  SELECT *, [a[1] + b[1], a[2] + b[2], a[3] + b[3]] AS s,
+         [a[2] * b[3] - a[3] * b[2], a[3] * b[1] - a[1] * b[3], a[1] * b[2] - a[2] * b[1]] AS n,
+         sqrt(b[1] * b[1] + b[2] * b[2] + b[3] * b[3]) AS lb FROM v
+), u AS (
+  SELECT *, sqrt(n[1] * n[1] + n[2] * n[2] + n[3] * n[3]) AS ln,
+         CASE WHEN lb > 0 THEN [b[1] / lb, b[2] / lb, b[3] / lb] END AS ub FROM w
+), t AS (
+  SELECT *, CASE WHEN ln > 0 THEN [n[1] / ln, n[2] / ln, n[3] / ln] END AS un,
+         ub[1] * a[1] + ub[2] * a[2] + ub[3] * a[3] AS along FROM u
+), o AS (
+  SELECT *, CASE WHEN un[1] * a[1] + un[2] * a[2] + un[3] * a[3] < 0 THEN 1.0 ELSE -1.0 END AS side FROM t
+)
+SELECT vec_id, greatest(abs(s[1]), abs(s[2]), abs(s[3])) < {Q.NEAR_ZERO} AS cancels,
+       {", ".join(f"{S(f's[{k}]')} AS s{k}, {S(f'n[{k}]')} AS n{k}, {S(f'side * un[{k}]')} AS o{k}, {S(f'a[{k}] - 2.0::DOUBLE * along * ub[{k}]')} AS m{k}" for k in (1, 2, 3))}
+FROM o
 """,
 
     "vec_remove_direction": f"""
-WITH x AS (
-  SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings CROSS JOIN range(1, {Q.EMBED_DIMS + 1}) r(i)
-  GROUP BY label, i
-), c AS (SELECT label, list(m ORDER BY i) AS c FROM x GROUP BY label),
-cl AS (SELECT label, c, sqrt(list_reduce(list_transform(c, lambda x: x * x), lambda a, b: a + b)) AS l FROM c),
+WITH {_mean_vectors()},
+cl AS (SELECT label, c, sqrt(list_reduce(list_transform(c, lambda x: x * x), lambda a, b: a + b)) AS l FROM m),
 nd AS (SELECT label, CASE WHEN l > 0 THEN list_transform(c, lambda x: x / l) END AS n FROM cl),
 j AS (
   SELECT e.vec_id, CAST(e.embedding AS DOUBLE[]) AS v, nd.n FROM embeddings e JOIN nd ON nd.label = e.label
@@ -240,11 +254,9 @@ FROM w
 """,
 
     "plane_projection": f"""
-WITH x AS (
-  SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings CROSS JOIN range(1, {Q.EMBED_DIMS + 1}) r(i)
-  WHERE label IN (0, 1) GROUP BY label, i
-), c AS (
-  SELECT list(m ORDER BY i) FILTER (WHERE label = 0) AS c0, list(m ORDER BY i) FILTER (WHERE label = 1) AS c1 FROM x
+WITH {_mean_vectors("WHERE label IN (0, 1)")},
+c AS (
+  SELECT any_value(c) FILTER (WHERE label = 0) AS c0, any_value(c) FILTER (WHERE label = 1) AS c1 FROM m
 ), b1 AS (
   SELECT c0, c1, sqrt(list_reduce(list_transform(c0, lambda x: x * x), lambda a, b: a + b)) AS l0 FROM c
 ), b2 AS (SELECT c1, list_transform(c0, lambda x: x / l0) AS e1 FROM b1),
@@ -281,13 +293,13 @@ FROM customer GROUP BY 1
 WITH r AS (
   SELECT CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'view' THEN 'view' WHEN 'click' THEN 'click'
               ELSE 'other' END AS route,
-         CASE event_type WHEN 'purchase' THEN floor(value * 100.0 + 0.5)::BIGINT * 70
-                         WHEN 'view' THEN floor(value * 100.0 + 0.5)::BIGINT
-                         WHEN 'click' THEN 500
-                         ELSE 0 END AS amount
+         CAST(CASE event_type WHEN 'purchase' THEN value::DECIMAL(18, 6) * 0.7
+                              WHEN 'view' THEN value::DECIMAL(18, 6) * 0.01
+                              WHEN 'click' THEN 0.05
+                              ELSE 0 END AS DECIMAL(24, 8)) AS amount
   FROM events
 )
-SELECT route, count(*) AS n, CAST(sum(amount) AS DOUBLE) / 10000.0 AS total FROM r GROUP BY route
+SELECT route, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total FROM r GROUP BY route
 """,
 
     "group_averages": f"""
@@ -302,30 +314,17 @@ FROM o GROUP BY 1
 
     "quantize_histogram": f"""
 WITH m AS (SELECT max(l_extendedprice) AS mx FROM lineitem)
-SELECT floor(sqrt(l_extendedprice / mx) * {float(Q.QUANT_LEVELS)})::BIGINT AS level, count(*) AS n
+SELECT CASE WHEN l_extendedprice >= 0 AND mx > 0 THEN floor(sqrt(l_extendedprice / mx) * {float(Q.QUANT_LEVELS)})::BIGINT END AS level,
+       count(*) AS n
 FROM lineitem CROSS JOIN m GROUP BY 1
 """,
 
     "cyclic_piecewise": f"""
-WITH p AS (
-  SELECT event_type, h, h - floor(h) AS f
-  FROM (SELECT event_type, (hour(ts) + minute(ts) / 60.0) / 4.0 AS h FROM events)
-), v AS (
-  SELECT event_type, h, 0.45::DOUBLE AS vv, (0.45::DOUBLE * (1 - 0.75::DOUBLE))::DOUBLE AS pp,
-         0.45::DOUBLE * (1.0::DOUBLE - 0.75::DOUBLE * f) AS qq,
-         0.45::DOUBLE * (1.0::DOUBLE - 0.75::DOUBLE * (1.0::DOUBLE - f)) AS tt
-  FROM p
-), s AS (
-  SELECT event_type,
-    CASE WHEN h >= 0 AND h < 1 THEN vv WHEN h >= 1 AND h < 2 THEN qq WHEN h >= 2 AND h < 3 THEN pp
-         WHEN h >= 3 AND h < 4 THEN pp WHEN h >= 4 AND h < 5 THEN tt WHEN h >= 5 AND h < 6 THEN vv ELSE 0.0 END AS a,
-    CASE WHEN h >= 0 AND h < 1 THEN tt WHEN h >= 1 AND h < 2 THEN vv WHEN h >= 2 AND h < 3 THEN vv
-         WHEN h >= 3 AND h < 4 THEN qq WHEN h >= 4 AND h < 5 THEN pp WHEN h >= 5 AND h < 6 THEN pp ELSE 0.0 END AS b,
-    CASE WHEN h >= 0 AND h < 1 THEN pp WHEN h >= 1 AND h < 2 THEN pp WHEN h >= 2 AND h < 3 THEN tt
-         WHEN h >= 3 AND h < 4 THEN vv WHEN h >= 4 AND h < 5 THEN vv WHEN h >= 5 AND h < 6 THEN qq ELSE 0.0 END AS c
-  FROM v
-)
-SELECT event_type, {S('avg(a)')} AS a, {S('avg(b)')} AS b, {S('avg(c)')} AS c FROM s GROUP BY 1
+WITH p AS (SELECT event_type, (hour(ts) + minute(ts) / 60.0) / 4.0 AS h FROM events),
+d AS (SELECT event_type, least(abs(h), 6.0 - abs(h)) AS a, least(abs(h - 2.0), 6.0 - abs(h - 2.0)) AS b,
+             least(abs(h - 4.0), 6.0 - abs(h - 4.0)) AS c FROM p)
+SELECT event_type, {", ".join(S(f"avg({Q.WAVE[0]}::DOUBLE + ({Q.WAVE[1]}::DOUBLE - {Q.WAVE[0]}::DOUBLE) * greatest(0.0, least(1.0, 2.0 - {x})))") + f" AS {x}" for x in "abc")}
+FROM d GROUP BY 1
 """,
 
     "parity_cells": f"""

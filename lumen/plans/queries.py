@@ -3,30 +3,26 @@
 Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole input tables.  Output
 columns are named and typed like their DuckDB twins in :mod:`lumen.plans.oracles`.
 Timestamps leave as ISO text, doubles that depend on summation order are snapped to
-6 decimals, money sums are exact decimal sums.
+6 decimals, sums of plain numbers are exact decimal sums.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumen.functions import vectors as V
 from lumen.functions.draws import by_cut_points, keyed_index, keyed_uniform
-from lumen.functions.numeric import cents, exact_avg, exact_sum, snap
-from lumen.functions.shapes import (guarded_inverse, guarded_sqrt, parity_even, quantize_sqrt,
-                                    six_sector)
+from lumen.functions.numeric import as_decimal, exact_avg, exact_sum, snap
+from lumen.functions.shapes import guarded_inverse, guarded_sqrt, parity_even, quantize_sqrt, triangle_wave
 from lumen.operators.assemble import global_line_numbers, ordered_concat
-from lumen.operators.broadcast import MAX_BROADCAST_ROWS as MAX_LOOKUP_ROWS
-from lumen.operators.broadcast import maybe_broadcast
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
-from lumen.operators.lineage import co_partitioned, cut, write_round
-from lumen.operators.match import FOLD_MAX_ROWS, MAX_BROADCAST_ROWS, nearest_by_fold, nearest_match
-from lumen.operators.spatial import grid_candidates
+from lumen.operators.lineage import cut, write_round
+from lumen.operators.match import BLOCK_ROWS, nearest_in_blocks
 from lumen.operators.route import route
-from lumen.operators.sequence import first_match_after, with_following, with_next_row, with_positions
+from lumen.operators.sequence import first_match_after, with_following
 from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max
 from lumen.sources.tables import load
 
@@ -42,19 +38,16 @@ SPLITS = (["train", "valid", "test"], [0.8, 0.95])   # O7: 80 / 15 / 5
 DEFAULT_MEMBERS = [(-1, "unknown"), (-2, "n/a"), (-3, "missing"), (-4, "other")]  # O8
 DEFAULT_REGION = "UNKNOWN"                           # O8
 THRESHOLD_FACTOR = 1.5                               # O9
-BALL_RADIUS = 0.1                                    # O10
-T_MIN = 0.001                                        # O10
-EMBED_DIMS = 64                                      # O11, O17, O18
+CHAIN_STEPS = 5                                      # cool-down chain: most jumps
+CHAIN_HOUR = 3600                                    # cool-down seconds, for each tenth of weight lost and one more
+NEAR_ZERO = 1e-8                                     # frame_vectors: tolerance
+WAVE = (0.1125, 0.45)                                # O25: low and high
 TRUNCATE_DIMS = 16                                   # O16
 BLEND = (0.7, 0.3)                                   # O19: size, price weights
 ERROR_GAP_US = 60_000_000                            # O12: more than 60 s
 QUANT_LEVELS = 255                                   # O24
 NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]  # O28
 
-# tuning (not a fixed value): steps a journey path may take per loop round; more steps mean
-# fewer rounds and frontier shuffles but a wider cached next-events table
-LOOP_STEPS_PER_ROUND = 2
-
 
 def _hours_since_epoch(ts: str):
     micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EPOCH}', {ts})")
@@ -65,7 +58,7 @@ def _day(col: str):
     return F.date_format(col, "yyyy-MM-dd")
 
 
-# ---- O1 / O20: frontier loop over next events -------------------------------------------
+# ---- O1 / O20: journeys over next events ------------------------------------------------
 
 def _journey_factor(event_type):
     """Weight factor of a step onto an event of this type (1 for types without one)."""
@@ -76,96 +69,6 @@ def _journey_factor(event_type):
     return factor
 
 
-def journeys_loop(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS,
-                  hop: int = LOOP_STEPS_PER_ROUND) -> DataFrame:
-    """All journey rows (journey_id, user_id, depth, event_id, active, weight) by the
-    frontier loop: each round joins the tip of every active path to its next ``hop`` events
-    and emits one row per step taken, cutting at the first stop and at depth K.
-
-    ``hop`` = 1 is the one-step recursion; larger values take several steps per round
-    (fewer rounds, same rows).  Only the newest row of each path (its tip) goes on.
-    """
-    if hops < 1 or hop < 1:
-        raise ValueError("hops and hop must be at least 1")
-    ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
-    # the next `hop` events of every event (skew-split, see with_following), cached
-    # hash-partitioned and sorted on event_id so each round only shuffles the frontier
-    edges = co_partitioned(with_following(ev, "user_id", "ts", "event_id", hop, ["event_type"], name="nxt")
-                           .select("event_id", "nxt").where(F.size("nxt") > 0), "event_id", materialize=False)
-    seed = (ev.where(F.col("event_type") == "signup")
-            .select(F.col("event_id").alias("journey_id"), "user_id", F.lit(0).alias("depth"), "event_id",
-                    F.lit(True).alias("active"), F.lit(1.0).alias("weight"), F.lit(True).alias("tip")))
-
-    def step(frontier: DataFrame, _r: int) -> DataFrame:
-        moving = frontier.join(edges, "event_id")
-        # the steps this round may take: at most `hop`, never past depth K
-        steps = F.slice("nxt", 1, F.least(F.lit(hop), F.lit(hops) - F.col("depth")))
-        stop_at = F.array_position(F.transform(steps, lambda e: e["event_type"] == JOURNEY_STOP), F.lit(True))
-        taken = F.when(stop_at > 0, F.slice(steps, 1, stop_at)).otherwise(steps)
-        t = moving.select("journey_id", "user_id", "depth", "weight", taken.alias("taken"))
-        n = F.size("taken")
-
-        def row(e, i):                      # i: 0-based step index within the round
-            stop = e["event_type"] == JOURNEY_STOP
-            depth = F.col("depth") + i + 1
-            return F.struct(depth.alias("depth"), e["event_id"].alias("event_id"), (~stop).alias("active"),
-                            F.when(stop, F.lit(0.0)).otherwise(
-                                F.aggregate(F.slice("taken", 1, i + 1), F.col("weight"),
-                                            lambda acc, x: acc * _journey_factor(x["event_type"]))).alias("weight"),
-                            (i + 1 == n).alias("tip"))
-
-        rows = F.transform("taken", row)
-        last = F.element_at(rows, -1)
-        # a path still active when it reaches depth K ends with its terminal row in the same round
-        term = F.struct(F.lit(hops + 1).alias("depth"), F.lit(None).cast("bigint").alias("event_id"),
-                        F.lit(False).alias("active"), F.lit(0.0).alias("weight"), F.lit(False).alias("tip"))
-        rows = F.when(last["active"] & (last["depth"] == hops), F.concat(rows, F.array(term))).otherwise(rows)
-        return t.select("journey_id", "user_id", F.inline(rows))
-
-    # only the tip of an active path below the cap goes on to the next round
-    rounds = -(-hops // hop)
-    rows = frontier_loop(seed, step, active=F.col("tip") & F.col("active") & (F.col("depth") < hops),
-                         max_rounds=rounds)
-    edges.unpersist()      # every round is written out; the cached copy is no longer read
-    return rows.drop("tip")
-
-
-def journeys_unrolled(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
-    """The same rows as :func:`journeys_loop` in one declarative plan.
-
-    The step of the loop only follows a fixed successor chain, so the whole frontier can
-    be unrolled: every signup fans out to its K+1 positions in its user's sequence, one
-    equi-join on (user, position) fetches the events, and a window over each journey
-    (at most K+1 rows, so no hot partition) carries the weight and cuts at the first stop.
-    """
-    ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
-    # read twice below (signups and join target): the second read reuses the shuffle files
-    seq = with_positions(ev, "user_id", "ts", "event_id")
-    starts = seq.where(F.col("event_type") == "signup").select(
-        F.col("event_id").alias("journey_id"), "user_id", F.col("pos").alias("pos0"))
-    fan = starts.select("journey_id", "user_id", "pos0",
-                        F.explode(F.sequence(F.lit(0), F.lit(hops))).alias("depth"))
-    fan = fan.withColumn("pos", F.col("pos0") + F.col("depth"))
-    hit = fan.join(seq.select("user_id", "pos", "event_id", "event_type"), ["user_id", "pos"])
-    w = Window.partitionBy("journey_id").orderBy("depth")
-    stop = (F.col("depth") > 0) & (F.col("event_type") == JOURNEY_STOP)
-    factor = F.when(F.col("depth") > 0, _journey_factor("event_type")).otherwise(F.lit(1.0))
-    hit = hit.withColumns({
-        "stop": stop,
-        "stops_before": F.coalesce(F.sum(stop.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                   F.lit(0)),
-        "factors": F.collect_list(factor).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-    }).where(F.col("stops_before") == 0)
-    weight = F.when(F.col("stop"), F.lit(0.0)).otherwise(F.aggregate("factors", F.lit(1.0), lambda acc, x: acc * x))
-    row = F.struct(F.col("depth").alias("depth"), F.col("event_id").alias("event_id"),
-                   (~F.col("stop")).alias("active"), weight.alias("weight"))
-    # a path still active at depth K also emits its terminal row, in the same pass
-    term = F.struct(F.lit(hops + 1).alias("depth"), F.lit(None).cast("bigint").alias("event_id"),
-                    F.lit(False).alias("active"), F.lit(0.0).alias("weight"))
-    out = F.when((F.col("depth") == hops) & ~F.col("stop"), F.array(row, term)).otherwise(F.array(row))
-    return hit.select("journey_id", "user_id", F.inline(out))
-
-
 def journey_paths(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, running: bool = True) -> DataFrame:
     """One row per journey: (journey_id, user_id, nxt, stop, cum | weight).
 
@@ -173,7 +76,7 @@ def journey_paths(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, ru
     (user, split), continued across splits from a per-split summary); ``stop`` is the
     1-based position of the first stop in ``nxt`` (0: none).  With ``running`` ``cum``
     holds the running weights for depths 0..len(nxt); without, ``weight`` is only the
-    product over all of ``nxt``.  Both multiply in the same order as the loop does.
+    product over all of ``nxt``.  Both multiply in path order.
     """
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     starts = with_following(ev, "user_id", "ts", "event_id", hops, ["event_type"],
@@ -189,9 +92,10 @@ def journey_paths(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, ru
                          stop.cast("int").alias("stop"), acc)
 
 
-def journeys_windowed(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
-    """The same rows as :func:`journeys_loop`, exploded from :func:`journey_paths`: the first
-    stop cuts the path, a path still active after K steps gets its terminal row."""
+def journeys(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS) -> DataFrame:
+    """All journey rows (journey_id, user_id, depth, event_id, active, weight), exploded from
+    :func:`journey_paths`: the first stop cuts the path, a path still active after K steps
+    gets its terminal row."""
     t = journey_paths(spark, sf_dir, hops)
     last = F.when(F.col("stop") > 0, F.col("stop")).otherwise(F.size("nxt"))
     depth_rows = F.transform(F.sequence(F.lit(0), last), lambda d: F.struct(
@@ -222,18 +126,8 @@ def _stops_at(d):
     return (F.col("stop") > 0) & (d == F.col("stop"))
 
 
-def journeys(spark: SparkSession, sf_dir: str, hops: int = JOURNEY_HOPS, strategy: str = "windowed") -> DataFrame:
-    if strategy == "loop":
-        return journeys_loop(spark, sf_dir, hops)
-    if strategy == "unrolled":
-        return journeys_unrolled(spark, sf_dir, hops)
-    if strategy == "windowed":
-        return journeys_windowed(spark, sf_dir, hops)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
 def q_journey_trace(spark, sf_dir):
-    return journeys(spark, sf_dir, strategy="loop").select("journey_id", "depth", "event_id", "active", "weight")
+    return journeys(spark, sf_dir).select("journey_id", "depth", "event_id", "active", "weight")
 
 
 def q_journey_score(spark, sf_dir):
@@ -245,26 +139,57 @@ def q_journey_score(spark, sf_dir):
         F.max("depth").alias("max_depth"))
 
 
+# ---- a frontier whose next step depends on the state it carries --------------------------
+
+def q_cooldown_chain(spark, sf_dir):
+    """From each signup jump to the user's first event after a cool-down that grows with the
+    weight lost so far; an error or ``CHAIN_STEPS`` jumps end the chain.
+
+    The next event depends on the carried weight, so no successor table can be made ahead:
+    every round is an as-of match of the frontier against the events, both split by range.
+    """
+    ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    seed = (ev.where(F.col("event_type") == "signup")
+            .select(F.col("event_id").alias("journey_id"), "user_id", F.lit(0).alias("depth"), "event_id", "ts",
+                    F.lit(1.0).alias("weight"), F.lit(True).alias("active")))
+
+    def step(frontier: DataFrame, _round: int) -> DataFrame:
+        lost = F.floor((F.lit(1.0) - F.col("weight")) * 10 + F.lit(1e-9)).cast("int")
+        due = F.col("ts") + F.make_dt_interval(secs=((lost + 1) * CHAIN_HOUR).cast("decimal(18,6)"))
+        waiting = frontier.withColumn("due", due).select("journey_id", "user_id", "depth", "weight", "due")
+        found = first_match_after(waiting, ev, "user_id", probe_ts="due", probe_id="journey_id", cand_ts="ts", cand_id="event_id")
+        reached = (found.where(F.col("match_id").isNotNull()).select("journey_id", F.col("match_id").alias("event_id"))
+                   .join(ev.select("event_id", "ts", "event_type"), "event_id"))
+        stop = F.col("event_type") == JOURNEY_STOP
+        depth = F.col("depth") + 1
+        return (waiting.drop("due").join(reached, "journey_id")
+                .select("journey_id", "user_id", depth.alias("depth"), "event_id", "ts",
+                        F.when(stop, F.lit(0.0)).otherwise(F.col("weight") * _journey_factor("event_type")).alias("weight"),
+                        (~F.coalesce(stop, F.lit(False)) & (depth < CHAIN_STEPS)).alias("active")))
+
+    rows = frontier_loop(seed, step, active=F.col("active"), max_rounds=CHAIN_STEPS)
+    return rows.select("journey_id", "depth", "event_id", snap("weight").alias("weight"), "active")
+
+
 # ---- O2: redraw until accepted ----------------------------------------------------------
 
-def q_redraw_until_accept(spark, sf_dir, max_lookup_rows: int = MAX_LOOKUP_ROWS):
+def q_redraw_until_accept(spark, sf_dir):
     cust = load(spark, sf_dir, "customer", "c_custkey")
     part = load(spark, sf_dir, "part", "p_partkey", "p_size")
-    # one scan gives the draw range (max key + 1) and the exact size of the lookup
-    stats = part.agg(F.max("p_partkey"), F.count(F.lit(1))).first()
-    n = (stats[0] + 1) if stats[0] is not None else 0
+    # one scan gives the draw range (max key + 1) and whether any part can be accepted at all
+    stats = part.agg(F.max("p_partkey"), F.count(F.when(F.col("p_size") <= REDRAW_MAX_SIZE, 1))).first()
+    if not stats[1]:
+        raise ValueError(f"no part has p_size <= {REDRAW_MAX_SIZE}: no draw can be accepted")
+    n = stats[0] + 1
     lookup = part.select(F.col("p_partkey").alias("candidate"), (F.col("p_size") <= REDRAW_MAX_SIZE).alias("ok"))
-    # joined once per round: broadcast when its counted size is small, else co-partitioned
-    eligible = F.broadcast(lookup) if stats[1] <= max_lookup_rows else co_partitioned(lookup, "candidate")
 
     def accept(tries):
-        return (tries.join(eligible, "candidate", "left")
+        return (tries.join(lookup, "candidate", "left")
                 .withColumn("accepted", F.coalesce(F.col("ok"), F.lit(False))))
 
     out = redraw_until_accepted(cust, "c_custkey",
                                 draw=lambda i: keyed_index("redraw", F.lit(n), F.col("c_custkey"), i),
                                 accept=accept, batch=4)
-    eligible.unpersist()   # all rounds are written out; a cached copy (large catalogue) is done
     return out.select("c_custkey", "draws", F.col("candidate").alias("p_partkey"))
 
 
@@ -276,7 +201,7 @@ def q_date_spine_counts(spark, sf_dir):
     counts = cut(counts)                             # one row per hour; read twice below
     lo, hi = counts.agg(F.min("hour"), F.max("hour")).first()
     if lo is None:
-        return counts.select(_day("hour").alias("hour"), "n_events")
+        return counts.select(F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour"), "n_events")
     n_hours = int((hi - lo).total_seconds() // 3600) + 1
     spine = spark.range(n_hours).select(
         (F.lit(lo).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("hour"))
@@ -297,9 +222,10 @@ def q_replicate_rows(spark, sf_dir):
 def q_grid_cells(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "ts", "value")
     h = _hours_since_epoch("ts")
-    cells = (ev.select(F.pmod(h, F.lit(24)).alias("col"), F.floor(h / F.lit(24.0)).cast("bigint").alias("row"), "value")
+    # one row per cell; read twice below
+    cells = cut(ev.select(F.pmod(h, F.lit(24)).alias("col"), F.floor(h / F.lit(24.0)).cast("bigint").alias("row"), "value")
              .groupBy("col", "row").agg(F.count(F.lit(1)).alias("n"), exact_avg("value").alias("avg_value")))
-    # grid height as an uncorrelated scalar subquery: evaluated once, inlined as a literal
+    # grid height as an uncorrelated scalar subquery over the cells
     n_rows = cells.agg(F.max("row") + 1).scalar()
     return cells.select("col", "row",
                         ((F.col("col") + F.lit(0.5)) / F.lit(24.0)).alias("u"),
@@ -330,7 +256,7 @@ def q_weighted_split(spark, sf_dir):
 def q_default_members_union(spark, sf_dir):
     nation = load(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = load(spark, sf_dir, "region", "r_regionkey", "r_name")
-    dim = (nation.join(maybe_broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
+    dim = (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
            .select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("name"),
                    F.coalesce("r_name", F.lit(DEFAULT_REGION)).alias("region_name"),
                    F.lit(False).alias("is_default")))
@@ -358,83 +284,33 @@ def _centroids(emb: DataFrame) -> tuple[DataFrame, int]:
     return write_round(V.mean_vectors(emb.select("label", V.as_double("embedding").alias("v")), ["label"], "v"))
 
 
-def q_line_ball_entry(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                      fold_max_rows: int = FOLD_MAX_ROWS):
+def q_nearest_zone(spark, sf_dir, block_rows: int = BLOCK_ROWS):
+    """Each vector's nearest zone among those it lies in.
+
+    A zone is a label's mean vector with the label's mean distance from it as radius, so radii
+    differ; a vector is in a zone when its distance, over all dimensions, is at most the radius.
+    """
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
-    e = V.as_double("embedding")
-    tracks = emb.select("vec_id", *[e[i].alias(f"o{a}") for i, a in enumerate("xyz")],
-                        *[e[3 + i].alias(f"r{a}") for i, a in enumerate("xyz")])
-    rlen = F.sqrt(F.col("rx") * F.col("rx") + F.col("ry") * F.col("ry") + F.col("rz") * F.col("rz"))
-    tracks = (tracks.withColumn("rlen", rlen).where(F.col("rlen") > 0)
-              .select("vec_id", "ox", "oy", "oz", *[(F.col(f"r{a}") / F.col("rlen")).alias(f"d{a}") for a in "xyz"]))
-    # zones materialised once together with their row count (one job)
-    zones, n_zones = write_round(emb.groupBy(F.col("label").alias("ball")).agg(
-        *[F.avg(e[i]).alias(f"c{a}") for i, a in enumerate("xyz")]).withColumn("r", F.lit(BALL_RADIUS)))
-
-    def entry_t(cx, cy, cz, r, bind: bool = False):
-        """Entry parameter t of the track into zone (c, r), null when it misses.
-
-        With ``bind`` the shared terms are computed once through lambda bindings (inside the
-        fold's lambdas nothing is shared otherwise); the arithmetic is the same either way.
-        """
-        ocx, ocy, ocz = F.col("ox") - cx, F.col("oy") - cy, F.col("oz") - cz
-        dx, dy, dz = (F.col(f"d{a}") for a in "xyz")
-        q = {"a": dx * dx + dy * dy + dz * dz, "b": ocx * dx + ocy * dy + ocz * dz,
-             "c": (ocx * ocx + ocy * ocy + ocz * ocz) - r * r}
-
-        def roots(q, sq):
-            r1 = (-q["b"] - sq) / q["a"]
-            r2 = (-q["b"] + sq) / q["a"]
-            # nearer root above t_min, else the farther one (a track starting inside a zone)
-            return F.when(r1 > F.lit(T_MIN), r1).when(r2 > F.lit(T_MIN), r2)
-
-        def with_q(q):
-            disc = q["b"] * q["b"] - q["a"] * q["c"]
-            sq = F.when(disc >= 0, F.sqrt(disc))
-            return V.let(sq, lambda s: roots(q, s)) if bind else roots(q, sq)
-
-        if bind:
-            return V.let(F.struct(*[v.alias(k) for k, v in q.items()]), with_q)
-        return with_q(q)
-
-    if n_zones <= fold_max_rows:
-        best = nearest_by_fold(tracks, zones, order_key="ball", drop_unmatched=True,
-                               score=lambda z: entry_t(z["cx"], z["cy"], z["cz"], z["r"], bind=True))
-        hits = best.select(
-            "vec_id", "ox", "oy", "oz", "dx", "dy", "dz", F.col("best.score").alias("t"),
-            *[F.col(f"best.item.{c}").alias(c) for c in ("ball", "cx", "cy", "cz", "r")])
-    else:
-        grid = partial(grid_candidates, track_key=["vec_id"], ball_key=["ball"], t_min=T_MIN)
-        hits = nearest_match(tracks, zones, ["vec_id"],
-                             pair=lambda df: df.withColumn("t", entry_t(F.col("cx"), F.col("cy"), F.col("cz"), F.col("r"))),
-                             valid=F.col("t").isNotNull(), order=[F.col("t").asc(), F.col("ball").asc()],
-                             catalogue_order=["ball"], max_broadcast_rows=max_broadcast_rows, candidates=grid)
-    p = {a: F.col(f"o{a}") + F.col(f"d{a}") * F.col("t") for a in "xyz"}
-    nrm = {a: (p[a] - F.col(f"c{a}")) / F.col("r") for a in "xyz"}
-    front = (F.col("dx") * nrm["x"] + F.col("dy") * nrm["y"] + F.col("dz") * nrm["z"]) < 0
-    return hits.select("vec_id", "ball", snap("t").alias("t"),
-                       *[snap(p[a]).alias(f"p{a}") for a in "xyz"],
-                       *[snap(nrm[a]).alias(f"n{a}") for a in "xyz"],
-                       front.alias("front"))
-
-
-def q_nearest_centroid(spark, sf_dir, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                       fold_max_rows: int = FOLD_MAX_ROWS):
+    centroids, _ = _centroids(emb)
+    v = emb.select("vec_id", "label", V.as_double("embedding").alias("v"))
+    spread = (v.join(centroids, "label").select("label", F.sqrt(V.sqdist("v", "centroid")).alias("d"))
+              .groupBy("label").agg(snap(F.avg("d")).alias("radius")))
+    zones = centroids.join(spread, "label").select(F.col("label").alias("zone"), "centroid", "radius")
+
+    def inside(z):
+        return V.let(F.sqrt(V.sqdist("v", z["centroid"])), lambda d: F.when(d <= z["radius"], d))
+
+    best = nearest_in_blocks(v, "vec_id", zones, order_key="zone", score=inside, item="zone", block_rows=block_rows)
+    return best.select("vec_id", "zone", snap("score").alias("distance"))
+
+
+def q_nearest_centroid(spark, sf_dir, block_rows: int = BLOCK_ROWS):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
-    centroids, n_centroids = _centroids(emb)
+    centroids, _ = _centroids(emb)
     centroids = centroids.select(F.col("label").alias("nearest"), "centroid")
     probes = emb.select("vec_id", "label", V.as_double("embedding").alias("v"))
-
-    def d2(c):
-        return V.sqdist("v", c)
-
-    if n_centroids <= fold_max_rows:
-        best = nearest_by_fold(probes, centroids, order_key="nearest", score=lambda c: d2(c["centroid"]))
-        best = best.select("label", F.col("best.item.nearest").alias("nearest"))
-    else:
-        best = nearest_match(probes, centroids, ["vec_id"], pair=lambda df: df.withColumn("d2", d2(F.col("centroid"))),
-                             valid=F.lit(True), order=[F.col("d2").asc(), F.col("nearest").asc()],
-                             catalogue_order=["nearest"], max_broadcast_rows=max_broadcast_rows)
+    best = nearest_in_blocks(probes, "vec_id", centroids, order_key="nearest", score=lambda c: V.sqdist("v", c["centroid"]),
+                             item="nearest", carry=["label"], block_rows=block_rows)
     return best.groupBy("label", "nearest").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -471,15 +347,29 @@ def q_vec_normalize(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding")
     v = V.dims(V.as_double("embedding"), 1, TRUNCATE_DIMS)
     t = emb.select("vec_id", v.alias("v"))
-    return t.select("vec_id", snap(V.norm("v")).alias("len_before"), snap(V.norm(V.normalize("v"))).alias("len_after"))
+    unit = t.select("vec_id", V.norm("v").alias("len"), V.normalize("v").alias("u"))
+    return unit.select("vec_id", snap("len").alias("len_before"), snap(V.norm("u")).alias("len_after"))
+
+
+def q_frame_vectors(spark, sf_dir):
+    """Of each embedding, with a its first three dimensions and b the next: a + b and whether it is
+    near zero, a x b and its unit vector turned against a, and a mirrored in the plane across b."""
+    emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    e = V.as_double("embedding")
+    t = emb.select("vec_id", V.dims(e, 1, 3).alias("a"), V.dims(e, 4, 3).alias("b"))
+    t = t.select("vec_id", "a", V.add("a", "b").alias("s"), V.cross3("a", "b").alias("n"), V.normalize("b").alias("ub"))
+    t = t.select("vec_id", "a", "s", "n", V.normalize("n").alias("un"), V.remove_direction("a", "ub", 2.0).alias("m"))
+    t = t.select("vec_id", "s", "n", "m", V.orient("un", "a").alias("o"))
+
+    def parts(name):
+        return [snap(F.get(F.col(name), F.lit(k))).alias(f"{name}{k + 1}") for k in range(3)]
+    return t.select("vec_id", F.forall("s", lambda x: F.abs(x) < NEAR_ZERO).alias("cancels"), *parts("s"), *parts("n"), *parts("o"), *parts("m"))
 
 
 def q_vec_remove_direction(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
-    centroids, n_centroids = _centroids(emb)
+    centroids, _ = _centroids(emb)
     dirs = centroids.select("label", V.normalize("centroid").alias("n"))
-    # joined on label: broadcast when the counted number of directions is small
-    dirs = F.broadcast(dirs) if n_centroids <= MAX_LOOKUP_ROWS else dirs
     j = emb.select("vec_id", "label", V.as_double("embedding").alias("v")).join(dirs, "label")
     j = j.withColumns({"w": V.remove_direction("v", "n", 1.0), "dv": V.dot("n", "v")})
     return j.select("vec_id",
@@ -493,6 +383,9 @@ def q_plane_projection(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     e = V.as_double("embedding")
     pair_means = V.mean_vectors(emb.where(F.col("label").isin(0, 1)).select("label", e.alias("v")), ["label"], "v")
+    pair_means = cut(pair_means)                     # two rows
+    if pair_means.count() < 2:
+        raise ValueError("plane_projection needs vectors of labels 0 and 1")
     two = pair_means.agg(*[F.max(F.when(F.col("label") == lab, F.col("centroid"))).alias(f"c{lab}") for lab in (0, 1)])
     # Gram-Schmidt: e1 along c0, e2 the unit part of c1 orthogonal to e1
     basis = (two.withColumn("e1", V.normalize("c0"))
@@ -526,15 +419,17 @@ def q_guarded_metrics(spark, sf_dir):
 
 def q_route_and_union(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "event_type", "value")
-    # amounts in exact integer units of 1/10000 (value has two decimals)
-    c = cents("value")
+    value = as_decimal("value")
+
+    def amount(factor):
+        return (value * F.lit(Decimal(factor))).cast("decimal(24,8)")
     routed = route(ev, [
-        ("purchase", F.col("event_type") == "purchase", c * F.lit(70)),      # value * 0.7
-        ("view", F.col("event_type") == "view", c),                          # value * 0.01
-        ("click", F.col("event_type") == "click", F.lit(500).cast("bigint")),  # 0.05 flat
-    ], default=("other", F.lit(0).cast("bigint")))
+        ("purchase", F.col("event_type") == "purchase", amount("0.7")),
+        ("view", F.col("event_type") == "view", amount("0.01")),
+        ("click", F.col("event_type") == "click", F.lit(Decimal("0.05")).cast("decimal(24,8)")),
+    ], default=("other", F.lit(Decimal(0)).cast("decimal(24,8)")))
     return routed.groupBy("route").agg(
-        F.count(F.lit(1)).alias("n"), (F.sum("amount").cast("double") / F.lit(10000.0)).alias("total"))
+        F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("total"))
 
 
 def q_group_averages(spark, sf_dir):
@@ -555,7 +450,7 @@ def q_quantize_histogram(spark, sf_dir):
 def q_cyclic_piecewise(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "event_type", "ts")
     phase = (F.hour("ts") + F.minute("ts") / F.lit(60.0)) / F.lit(4.0)
-    a, b, c = six_sector(phase)
+    a, b, c = (triangle_wave(phase, shift, *WAVE) for shift in (0, 2, 4))
     t = ev.select("event_type", a.alias("a"), b.alias("b"), c.alias("c"))
     return t.groupBy("event_type").agg(*[snap(F.avg(x)).alias(x) for x in "abc"])
 
@@ -590,6 +485,7 @@ def q_framed_export(spark, sf_dir):
 
 QUERIES = {
     "journey_trace": q_journey_trace,
+    "cooldown_chain": q_cooldown_chain,
     "redraw_until_accept": q_redraw_until_accept,
     "date_spine_counts": q_date_spine_counts,
     "replicate_rows": q_replicate_rows,
@@ -598,13 +494,14 @@ QUERIES = {
     "weighted_split": q_weighted_split,
     "default_members_union": q_default_members_union,
     "param_join": q_param_join,
-    "line_ball_entry": q_line_ball_entry,
+    "nearest_zone": q_nearest_zone,
     "nearest_centroid": q_nearest_centroid,
     "next_event_after": q_next_event_after,
     "latest_per_key": q_latest_per_key,
     "rows_at_group_max": q_rows_at_group_max,
     "dedup_by_key": q_dedup_by_key,
     "vec_normalize": q_vec_normalize,
+    "frame_vectors": q_frame_vectors,
     "vec_remove_direction": q_vec_remove_direction,
     "plane_projection": q_plane_projection,
     "linear_blend": q_linear_blend,

@@ -38,8 +38,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when the cluster named none.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...), which is
-    what makes ``DataFrame.checkpoint()`` survive executor loss.  Only when nothing is
-    configured (local tests) do we fall back to a fresh folder under the system temp dir.
+    what makes ``DataFrame.checkpoint()`` survive executor loss.  Where nothing is
+    configured, a local session gets a fresh folder under the system temp dir; any other
+    session raises, since its executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         configured = tempfile.mkdtemp(prefix="lumen-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,2 +1,2 @@
 from lumen.sources.export import write_ordered_text  # noqa: F401
-from lumen.sources.tables import TABLES, load, register_views  # noqa: F401
+from lumen.sources.tables import TABLES, load  # noqa: F401

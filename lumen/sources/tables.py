@@ -26,9 +26,3 @@ def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every table as a temp view (for the SQL spelling of the operators)."""
-    for name in TABLES:
-        load(spark, sf_dir, name).createOrReplaceTempView(name)

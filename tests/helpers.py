@@ -3,7 +3,7 @@ import math
 
 def canon(v):
     if v is None:
-        return None
+        return "NULL"      # sorts with text
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(v + 0.0)
     if hasattr(v, "item"):

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from lumen.functions import vectors as V
 from lumen.functions.draws import keyed_uniform
-from lumen.functions.shapes import guarded_inverse, guarded_sqrt, six_sector
+from lumen.functions.shapes import guarded_inverse, guarded_sqrt, quantize_sqrt, triangle_wave
 from lumen.operators.assemble import global_line_numbers, ordered_concat
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
-from lumen.operators.match import nearest_match
+from lumen.operators.match import nearest_in_blocks
 from lumen.operators.route import route, route_and_union
 from lumen.operators.sequence import first_match_after, with_following, with_next_row, with_positions
 from lumen.operators.topk import dedup_by_key, rows_at_group_max, top_per_key
@@ -140,7 +140,56 @@ def test_frontier_loop_counts_down(spark):
 
 def _py_uniform(seed, *keys):
     h = hashlib.md5("|".join([seed] + [str(k) for k in keys]).encode()).hexdigest()
-    return int(h[:8], 16) / 4294967296.0
+    return int(h[:13], 16) / float(1 << 52)
+
+
+def test_frontier_loop_raises_when_rounds_run_out(spark):
+    import glob
+
+    from lumen.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/lumen-round-*"))
+    seed = spark.createDataFrame([(1, True)], "k int, active boolean")
+    with pytest.raises(RuntimeError, match="1 rows still active after 3 rounds"):
+        frontier_loop(seed, lambda fr, r: fr, active=F.col("active"), max_rounds=3)
+    assert set(glob.glob(f"{folder}/lumen-round-*")) == before          # and leaves no table behind
+
+
+def test_only_a_local_session_may_use_a_local_folder():
+    from types import SimpleNamespace
+
+    from lumen.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=conf))
+    context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=conf))
+
+
+# ---- null keys ----------------------------------------------------------------------------
+
+@pytest.mark.parametrize("n_splits", [1, 5, 50])
+def test_null_keys_are_one_key_however_rows_are_split(spark, n_splits, monkeypatch):
+    from lumen.operators import sequence as S
+    plain = S.add_split
+    monkeypatch.setattr(S, "add_split", lambda df, key, order, **kw: plain(df, key, order, **{**kw, "n_splits": n_splits}))
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i * 7 % 40), None if i % 3 else i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, ts timestamp_ntz, k bigint").repartition(4)
+    by_key = {}
+    for i, t, k in sorted(rows, key=lambda r: (r[1], r[0])):
+        by_key.setdefault(k, []).append((t, i))
+    place = {i: (k, p) for k, own in by_key.items() for p, (_, i) in enumerate(own)}
+    following = {r.id: [x.id for x in r.following] for r in with_following(df, "k", "ts", "id", 3, []).collect()}
+    assert following == {i: [j for _, j in by_key[k][p + 1:p + 4]] for i, (k, p) in place.items()}
+    assert {r.id: r.pos for r in with_positions(df, "k", "ts", "id").collect()} == {i: p for i, (_, p) in place.items()}
+    nexts = {r.id: r.next_id for r in with_next_row(df, "k", "ts", "id", []).collect()}
+    assert nexts == {i: by_key[k][p + 1][1] if p + 1 < len(by_key[k]) else None for i, (k, p) in place.items()}
+    found = first_match_after(df, df, "k", probe_ts="ts", probe_id="id", cand_ts="ts", cand_id="id")
+    when = {i: t for i, t, _ in rows}
+    want = {i: next((j for t, j in by_key[k] if t > when[i]), None) if k is not None else None for i, (k, _) in place.items()}
+    assert {r.id: r.match_id for r in found.collect()} == want
 
 
 def test_keyed_uniform_equals_python_md5(spark):
@@ -170,35 +219,38 @@ def test_redraw_until_accepted_first_accepted_draw(spark, batch):
 
 # ---- nearest match ------------------------------------------------------------------------
 
-def _lines_and_balls(spark):
-    # probe 1 hits ball 10 and 11 at the same t (tie -> lower ball), probe 2 starts inside
-    # ball 12 (far root), probe 3 misses everything
-    probes = spark.createDataFrame([(1, 0.0, 0.0, 1.0), (2, 5.0, 0.0, 1.0), (3, 100.0, 100.0, 1.0)],
-                                   "pid int, ox double, oy double, dy double")
-    balls = spark.createDataFrame([(11, 0.0, 3.0, 1.0), (10, 0.0, 3.0, 1.0), (12, 5.0, 0.5, 1.0),
-                                   (13, 0.0, 9.0, 1.0), (14, 0.0, -5.0, 1.0)],
-                                  "ball int, cx double, cy double, r double")
-    return probes, balls
-
-
-def _pair(df):
-    # line x = ox, y = oy + t * dy against circle (cx, cy, r)
-    dx2 = (F.col("ox") - F.col("cx")) * (F.col("ox") - F.col("cx"))
-    disc = F.col("r") * F.col("r") - dx2
-    sq = F.when(disc >= 0, F.sqrt(disc))
-    r1 = (F.col("cy") - sq - F.col("oy")) / F.col("dy")
-    r2 = (F.col("cy") + sq - F.col("oy")) / F.col("dy")
-    return df.withColumn("t", F.when(r1 > 0.001, r1).when(r2 > 0.001, r2))
-
-
-@pytest.mark.parametrize("max_rows", [2, 100])
-def test_nearest_match_ties_inside_and_miss(spark, max_rows):
-    probes, balls = _lines_and_balls(spark)
-    out = nearest_match(probes, balls, ["pid"], pair=_pair, valid=F.col("t").isNotNull(),
-                        order=[F.col("t").asc(), F.col("ball").asc()], catalogue_order=["ball"],
-                        max_broadcast_rows=max_rows)
-    got = {r.pid: (r.ball, round(r.t, 9)) for r in out.collect()}
-    assert got == {1: (10, 2.0), 2: (12, 1.5)}
+BALLS = [(11, [0.0, 3.0], 1.0), (10, [0.0, 3.0], 1.0), (12, [5.0, 0.5], 0.2), (13, [500.0, 0.0], 1000.0), (14, None, 1.0),
+         (15, [float("nan"), 0.0], 1e9), (16, [1.0], 1e9), (17, [7.0, 7.0], 0.0)]
+POINTS = [(1, [0.0, 3.5]), (2, [5.0, 0.6]), (3, [-900.0, 0.0]), (4, None), (5, [float("nan"), 0.0]), (6, [1.0]), (7, [7.0, 7.0]),
+          (8, [0.0, 3.0])]
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 100])
+def test_nearest_in_blocks_equals_brute_force(spark, block_rows):
+    probes = spark.createDataFrame(POINTS, "pid int, p array<double>")
+    balls = spark.createDataFrame(BALLS, "ball int, c array<double>, r double")
+
+    def inside(b):
+        return V.let(F.sqrt(V.sqdist("p", b["c"])), lambda d: F.when(d <= b["r"], d))
+    out = nearest_in_blocks(probes, "pid", balls, order_key="ball", score=inside, item="ball", block_rows=block_rows)
+    want = {}
+    for pid, p in POINTS:
+        found = []
+        for ball, c, r in BALLS:
+            if p is not None and c is not None and len(p) == len(c):
+                d = math.sqrt(sum((x - y) ** 2 for x, y in zip(p, c)))
+                if d <= r:
+                    found.append((d, ball))
+        want[pid] = min(found)[1] if found else None
+    assert {r.pid: r.ball for r in out.collect()} == want
+    assert want[1] == 10 and want[7] == 17 and want[3] is None and want[2] == 12
+
+
+def test_nearest_in_blocks_without_a_catalogue(spark):
+    probes = spark.createDataFrame(POINTS, "pid int, p array<double>")
+    balls = spark.createDataFrame([], "ball int, c array<double>, r double")
+    out = nearest_in_blocks(probes, "pid", balls, order_key="ball", score=lambda b: V.sqdist("p", b["c"]), item="ball")
+    assert out.count() == len(POINTS) and out.where("ball IS NOT NULL").count() == 0
 
 
 # ---- vectors and guards -------------------------------------------------------------------
@@ -222,16 +274,31 @@ def test_guards_never_raise(spark):
     assert out == [(None, None), (0.0, None), (2.0, 2.5), (None, None)]
 
 
-def test_six_sector_is_hsv(spark):
-    hs = [i * 0.05 for i in range(120)] + [6.0, -0.5]
-    df = spark.createDataFrame([(h,) for h in hs], "h double")
-    a, b, c = six_sector(F.col("h"))
-    for r in df.select("h", a.alias("a"), b.alias("b"), c.alias("c")).collect():
-        if 0 <= r.h < 6:
-            want = colorsys.hsv_to_rgb(r.h / 6.0, 0.75, 0.45)
-        else:
-            want = (0.0, 0.0, 0.0)
-        assert (r.a, r.b, r.c) == pytest.approx(want, abs=1e-12)
+def test_three_shifted_waves_are_a_hue_circle(spark):
+    df = spark.createDataFrame([(i * 0.05,) for i in range(120)], "h double")
+    rows = df.select("h", *[triangle_wave("h", shift, 0.1125, 0.45).alias(x) for shift, x in ((0, "a"), (2, "b"), (4, "c"))]).collect()
+    for r in rows:
+        assert (r.a, r.b, r.c) == pytest.approx(colorsys.hsv_to_rgb(r.h / 6.0, 0.75, 0.45), abs=1e-12)
+
+
+def test_numbers_that_are_not_plain(spark):
+    from lumen.functions.numeric import exact_avg, exact_sum, snap
+    def frame(*xs):
+        return spark.createDataFrame([(float(x) if x is not None else None,) for x in xs], "x double")
+    assert frame(0.004, 0.004, 0.004).agg(exact_avg("x")).first()[0] == 0.004
+    assert frame(0.1, 0.2, None).agg(exact_sum("x")).first()[0] == 0.3
+    assert math.isnan(frame(1, "nan").agg(exact_avg("x")).first()[0])
+    assert frame(1, 1e13).agg(exact_sum("x")).first()[0] == 1e13 + 1
+    assert frame(1, "inf").agg(exact_sum("x")).first()[0] == math.inf
+    assert frame(None).agg(exact_sum("x"), exact_avg("x")).first()[:] == (None, None)
+    assert repr(frame(-0.0, 0.0, -0.0).agg(exact_sum("x")).first()[0]) == "0.0"
+    got = [r[0] for r in frame("nan", 1e13, "inf", "-inf", None, 0.1234567, -2.5).select(snap("x")).collect()]
+    assert math.isnan(got[0]) and got[1:] == [1e13, math.inf, -math.inf, None, 0.123457, -2.5]
+
+
+def test_quantising_without_a_positive_maximum(spark):
+    df = spark.createDataFrame([(4.0, 16.0), (4.0, 0.0), (4.0, -1.0), (-4.0, 16.0), (float("nan"), 16.0), (4.0, None)], "x double, m double")
+    assert [r[0] for r in df.select(quantize_sqrt("x", "m", 10)).collect()] == [5, None, None, None, None, None]
 
 
 # ---- routing and assembly -----------------------------------------------------------------
@@ -294,53 +361,6 @@ def test_frontier_null_state_is_inactive(spark):
     assert got == [(1, 0), (2, 0), (2, 1)]
 
 
-def test_zero_radius_and_negative_zero(spark):
-    from lumen.functions.numeric import exact_sum
-    probes, balls = _lines_and_balls(spark)
-    balls = balls.union(spark.createDataFrame([(20, 0.0, 1.0, 0.0)], balls.schema))
-    out = nearest_match(probes, balls, ["pid"], pair=_pair, valid=F.col("t").isNotNull(),
-                        order=[F.col("t").asc(), F.col("ball").asc()], catalogue_order=["ball"])
-    assert {r.pid: r.ball for r in out.collect()}[1] == 20      # touching a point ball at t = 1
-    df = spark.createDataFrame([(-0.0,), (0.0,), (-0.0,)], "x double")
-    assert repr(df.agg(exact_sum("x").alias("s")).first().s) == "0.0"
-
-
-def test_grid_candidates_equal_broadcast_on_random_scene(spark):
-    from functools import partial
-
-    from lumen.operators.spatial import grid_candidates
-    rnd = random.Random(3)
-    balls = spark.createDataFrame(
-        [(i, rnd.uniform(-5, 5), rnd.uniform(-5, 5), rnd.uniform(-5, 5), rnd.uniform(0.05, 0.6)) for i in range(300)],
-        "ball int, cx double, cy double, cz double, r double")
-    rays = []
-    for i in range(250):
-        d = [rnd.gauss(0, 1) for _ in range(3)]
-        n = math.sqrt(sum(x * x for x in d))
-        d = [x / n for x in d]
-        if i % 25 == 0:
-            d = [1.0, 0.0, 0.0]                      # axis-parallel rays (zero direction parts)
-        rays.append((i, rnd.uniform(-6, 6), rnd.uniform(-6, 6), rnd.uniform(-6, 6), *d))
-    tracks = spark.createDataFrame(rays, "vec_id int, ox double, oy double, oz double, dx double, dy double, dz double")
-
-    def pair(df):
-        oc = [F.col(f"o{a}") - F.col(f"c{a}") for a in "xyz"]
-        hb = sum((oc[i] * F.col(f"d{a}") for i, a in enumerate("xyz")), F.lit(0.0))
-        c = sum((x * x for x in oc), F.lit(0.0)) - F.col("r") * F.col("r")
-        disc = hb * hb - c
-        sq = F.when(disc >= 0, F.sqrt(disc))
-        r1, r2 = -hb - sq, -hb + sq
-        return df.withColumn("t", F.when(r1 > 0.001, r1).when(r2 > 0.001, r2))
-
-    kw = dict(pair=pair, valid=F.col("t").isNotNull(), order=[F.col("t").asc(), F.col("ball").asc()],
-              catalogue_order=["ball"])
-    grid = partial(grid_candidates, track_key=["vec_id"], ball_key=["ball"], t_min=0.001)
-    a = {r.vec_id: (r.ball, r.t) for r in nearest_match(tracks, balls, ["vec_id"], **kw).collect()}
-    b = {r.vec_id: (r.ball, r.t) for r in
-         nearest_match(tracks, balls, ["vec_id"], max_broadcast_rows=10, candidates=grid, **kw).collect()}
-    assert len(a) > 20 and a == b
-
-
 def test_cross_and_orient(spark):
     df = spark.createDataFrame([([1.0, 0.0, 0.0], [0.0, 1.0, 0.0]), ([2.0, 3.0, 4.0], [5.0, 6.0, 7.0])],
                                "a array<double>, b array<double>")

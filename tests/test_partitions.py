@@ -7,7 +7,7 @@ from tests.conftest import SF001
 from tests.helpers import rows_of
 
 NAMES = ["journey_score", "journey_trace", "redraw_until_accept", "next_event_after", "latest_per_key",
-         "rows_at_group_max", "dedup_by_key", "framed_export", "keyed_uniform", "line_ball_entry",
+         "rows_at_group_max", "dedup_by_key", "framed_export", "keyed_uniform", "nearest_zone", "cooldown_chain",
          "nearest_centroid", "ordered_documents", "group_averages", "date_spine_counts"]
 
 

@@ -1,5 +1,9 @@
 """Properties of the registered queries on the smoke tables."""
 
+import datetime as dt
+from decimal import Decimal
+
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -9,14 +13,6 @@ from tests.conftest import SF001
 from tests.helpers import rows_of
 
 
-def test_journey_strategies_agree(spark):
-    a = rows_of(Q.journeys(spark, SF001, strategy="loop"))
-    assert a == rows_of(Q.journeys(spark, SF001, strategy="unrolled"))
-    assert a == rows_of(Q.journeys(spark, SF001, strategy="windowed"))
-    for hop in (1, 3):                        # one step per round, and steps not dividing K
-        assert a == rows_of(Q.journeys_loop(spark, SF001, hop=hop))
-
-
 def test_journey_properties(spark):
     rows = Q.journeys(spark, SF001).collect()
     by = {}
@@ -64,50 +60,75 @@ def test_framed_export_lines(spark, tmp_path):
     assert [int(x.split("|")[0]) for x in got[1:]] == sorted(int(x.split("|")[0]) for x in got[1:])
 
 
-def test_line_ball_entry_grid_path_matches_oracle(spark, duck):
-    from tests.conftest import SF01
-    from tests.helpers import canon
-    df = Q.q_line_ball_entry(spark, SF01, max_broadcast_rows=1, fold_max_rows=0)     # forces the grid join
-    cols = sorted(df.columns)
-    got = sorted(tuple(canon(r[c]) for c in cols) for r in df.collect())
-    rel = duck.execute(E.oracle_sql()["line_ball_entry"])
-    dcols = [d[0] for d in rel.description]
-    idx = [dcols.index(c) for c in cols]
-    assert got == sorted(tuple(canon(r[i]) for i in idx) for r in rel.fetchall())
-
-
-def test_nearest_centroid_all_paths_agree(spark):
-    from tests.conftest import SF01
-    fold = rows_of(Q.q_nearest_centroid(spark, SF01))
-    assert fold == rows_of(Q.q_nearest_centroid(spark, SF01, fold_max_rows=0))                        # one broadcast
-    assert fold == rows_of(Q.q_nearest_centroid(spark, SF01, fold_max_rows=0, max_broadcast_rows=3))  # chunks
+def test_matches_do_not_depend_on_the_block_size(spark):
+    for query in (Q.q_nearest_centroid, Q.q_nearest_zone):
+        assert rows_of(query(spark, SF001)) == rows_of(query(spark, SF001, block_rows=1)) == rows_of(query(spark, SF001, block_rows=3))
 
 
 def test_last_states_equal_last_rows(spark):
     from pyspark.sql import functions as F
 
     from lumen.operators.topk import top_per_key
-    rows = Q.journeys(spark, SF001, strategy="loop")
+    rows = Q.journeys(spark, SF001)
     last = top_per_key(rows, ["journey_id"], [F.col("depth").desc()]).select("journey_id", "user_id", "depth", "weight")
     assert rows_of(last) == rows_of(Q.journey_last_states(spark, SF001))
 
 
-def test_redraw_lookup_paths_agree(spark):
-    broadcast = rows_of(Q.q_redraw_until_accept(spark, SF001))
-    assert broadcast == rows_of(Q.q_redraw_until_accept(spark, SF001, max_lookup_rows=10))   # co-partitioned copy
+def test_redraw_without_an_eligible_part_raises_at_once(spark, tmp_path):
+    part = load(spark, SF001, "part").withColumn("p_size", F.lit(99))
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    load(spark, SF001, "customer").write.parquet(str(tmp_path / "customer.parquet"))
+    with pytest.raises(ValueError, match="p_size"):
+        Q.q_redraw_until_accept(spark, str(tmp_path))
+
+
+def test_plane_projection_needs_both_labels(spark, tmp_path):
+    load(spark, SF001, "embeddings").where("label <> 1").write.parquet(str(tmp_path / "embeddings.parquet"))
+    with pytest.raises(ValueError, match="labels 0 and 1"):
+        Q.q_plane_projection(spark, str(tmp_path))
+
+
+def test_date_spine_of_no_events(spark, tmp_path):
+    load(spark, SF001, "events").limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    assert Q.q_date_spine_counts(spark, str(tmp_path)).count() == 0
+
+
+def test_cooldown_chain_by_hand(spark):
+    events = sorted((r.ts, r.event_id, r.user_id, r.event_type) for r in load(spark, SF001, "events").collect())
+    want = []
+    for ts, event_id, user, kind in events:
+        if kind != "signup":
+            continue
+        at, depth, weight, active, last = ts, 0, 1.0, True, event_id
+        want.append((event_id, 0, last, weight, True))
+        while active:
+            due = at + dt.timedelta(seconds=(int((1 - weight) * 10 + 1e-9) + 1) * Q.CHAIN_HOUR)
+            after = [e for e in events if e[2] == user and e[0] > due]
+            if not after:
+                break
+            at, last, _, kind_now = after[0]
+            depth += 1
+            weight = 0.0 if kind_now == "error" else weight * Q.JOURNEY_FACTORS.get(kind_now, 1.0)
+            active = kind_now != "error" and depth < Q.CHAIN_STEPS
+            want.append((event_id, depth, last, weight, active))
+    got = sorted((r.journey_id, r.depth, r.event_id, round(r.weight, 6), r.active) for r in Q.q_cooldown_chain(spark, SF001).collect())
+    assert got == sorted((a, b, c, round(w, 6), x) for a, b, c, w, x in want)
 
 
 def test_route_forms_agree_on_events(spark):
     from pyspark.sql import functions as F
 
-    from lumen.functions.numeric import cents
+    from lumen.functions.numeric import as_decimal
     from lumen.operators.route import route_and_union
     ev = load(spark, SF001, "events", "event_type", "value")
-    c = cents("value")
-    branches = [("purchase", F.col("event_type") == "purchase", lambda d: d.withColumn("amount", c * F.lit(70))),
-                ("view", F.col("event_type") == "view", lambda d: d.withColumn("amount", c)),
-                ("click", F.col("event_type") == "click", lambda d: d.withColumn("amount", F.lit(500).cast("bigint")))]
-    unioned = route_and_union(ev, branches, ("other", lambda d: d.withColumn("amount", F.lit(0).cast("bigint"))))
-    per_route = unioned.groupBy("route").agg(F.count(F.lit(1)).alias("n"),
-                                             (F.sum("amount").cast("double") / F.lit(10000.0)).alias("total"))
+
+    def times(factor):
+        return lambda d: d.withColumn("amount", (as_decimal("value") * F.lit(Decimal(factor))).cast("decimal(24,8)"))
+
+    def flat(amount):
+        return lambda d: d.withColumn("amount", F.lit(Decimal(amount)).cast("decimal(24,8)"))
+    branches = [("purchase", F.col("event_type") == "purchase", times("0.7")), ("view", F.col("event_type") == "view", times("0.01")),
+                ("click", F.col("event_type") == "click", flat("0.05"))]
+    unioned = route_and_union(ev, branches, ("other", flat("0")))
+    per_route = unioned.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("total"))
     assert rows_of(per_route) == rows_of(E.queries()["route_and_union"](spark, SF001))

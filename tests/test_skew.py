@@ -12,7 +12,7 @@ from lumen.sources.tables import TABLES
 from tests.conftest import SF01
 from tests.helpers import canon
 
-SKEWED = ["journey_score", "journey_trace", "next_event_after", "date_spine_counts", "parity_cells"]
+SKEWED = ["journey_score", "journey_trace", "cooldown_chain", "next_event_after", "date_spine_counts", "parity_cells"]
 
 
 @pytest.fixture(scope="module")
