@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lumen.llm import chat_format, exact_dedup, line_dedup
 from lumen.llm.queries import ORACLES, QUERIES
 from tests.conftest import SF01
-from tests.helpers import rows_of
+from tests.helpers import canon, rows_of
 
 DOCS = "doc_id long, text string, key long, keep_id string, lines string, rest string"
 
@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, duck, name):
     columns = sorted(c[0] for c in want.description)
     place = [c[0] for c in want.description]
     assert sorted(got.columns) == columns
-    expected = sorted(tuple(None if r[place.index(c)] is None else repr(r[place.index(c)]) for c in columns) for r in want.fetchall())
+    expected = sorted(tuple(canon(r[place.index(c)]) for c in columns) for r in want.fetchall())
     assert rows_of(got, columns) == expected
 
 
