@@ -15,8 +15,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     neighbour, so a hub's edges shrink to a star and chains halve.  Only minima are gathered
     by node, with map-side partial aggregates; nothing is collected to a task or the driver.
     """
-    current, state = written(edges.select("a", "b").where("a <> b").distinct(), "edges"), None
-    while True:
+    def fingerprint(frame: DataFrame) -> tuple:
+        return tuple(frame.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b") % 1_000_003)).first())
+
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    current = written(down, "edges")
+    state = fingerprint(current)
+    while state[0]:
         both = current.union(current.select("b", "a"))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
@@ -26,9 +31,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = (hooked.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
                  .union(lower.select("a", F.col("least").alias("b"))).distinct())
         current = written(small, "edges")
-        found = current.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b") % 1_000_003)).first()
-        if found == state:
+        before, state = state, fingerprint(current)
+        if state == before:
             break
-        state = found
     stars = current.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return stars.union(stars.select("component", "component").distinct())

@@ -11,10 +11,19 @@ Banding.  ``rows`` registers hash to one band key.  The number of bands follows
 threshold so that a pair right at it misses every band with probability ``MISS`` at most.
 
 Candidates.  In a bucket (equal band key) of m representatives not all m(m-1)/2 pairs are made.
-Round 1 pairs the bucket's least id with the others, which settles a group of copies around
-one text.  A bucket whose members are in one component is settled; only in unsettled ones do
-later rounds pair more pivots (four times as many each round, up to all) with the members of
-other components.  So no link that joins two components is lost, whatever a bucket's size.
+Its least id is the pivot and is paired with each other member, which settles a group of
+copies around one text.  What is left are pairs of members in different components:
+
+* Both close to the pivot (estimate of ``CLOSE`` or more).  With D(x) the shingles in which x
+  differs from the pivot, x and y differ in exactly D(x) xor D(y).  So similar x and y share a
+  known number of elements of D, and the first elements of both, in one order for all, must meet
+  (a prefix filter on what is left after the pivot is taken out).  Where they meet, bitmaps of
+  D(x) and D(y) must not differ in more bits than similar x and y in elements.  Copies edited in
+  different places make no pairs, however many there are, and no similar pair is missed.
+* One far from the pivot.  Such a member met the bucket by chance or by a shared passage; it is
+  paired with the bucket's members of other components.
+
+So no link that joins two components is lost, whatever a bucket's size.
 
 Check.  A pair's Jaccard similarity is estimated from its registers, corrected for registers
 that agree by chance; pairs below the threshold by ``SIGMAS`` standard errors go.  The others
@@ -47,6 +56,10 @@ MISS = 1e-7
 SIGMAS = 5
 #: Shingles hashed at a time, for bounded memory on long texts.
 BLOCK = 2048
+#: Estimated similarity to the pivot from which a member's differences from it are listed.
+CLOSE = 0.5
+#: 64-bit words of the bitmap of those differences.
+BITMAP = 8
 #: Sets a verifying task keeps.
 KEPT_SETS = 64
 
@@ -114,28 +127,39 @@ def sketch(docs: DataFrame, words: int, registers: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, registers binary")
 
 
-def likely(pairs: DataFrame, reps: DataFrame, registers: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose estimate does not rule the similarity out."""
-    floor = similarity - SIGMAS * math.sqrt(similarity * (1 - similarity) / registers)
-
+def estimates(pairs: DataFrame, reps: DataFrame, registers: int) -> DataFrame:
+    """(a, b, n_a, n_b, estimate) of pairs (a, b)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            n, m = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
-            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, registers) for k in (4, 5))
-            keep = estimated((one == two).sum(axis=1), registers, n, m) >= floor
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+            if batch.num_rows:
+                n, m = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
+                one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, registers) for k in (4, 5))
+                found = estimated((one == two).sum(axis=1), registers, n, m)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found)], names=["a", "b", "n_a", "n_b", "estimate"])
 
     side = [reps.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}")) for c in "ab"]
-    both = pairs.join(side[0], "a").join(side[1], "b")
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    sized = both.where(small >= large * similarity - 1e-6)            # a similarity is at most the ratio of the sizes
-    return sized.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
+    both = pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
+    return both.mapInArrow(run, "a long, b long, n_a long, n_b long, estimate double")
+
 
+def likely(measured: DataFrame, similarity: float, registers: int) -> DataFrame:
+    """The pairs whose estimate and sizes do not rule the similarity out."""
+    floor = similarity - SIGMAS * math.sqrt(similarity * (1 - similarity) / registers)
+    # a similarity is at most the ratio of the sizes
+    sized = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-6
+    return measured.where((F.col("estimate") >= floor) & sized)
+
+
+def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, differences: bool) -> DataFrame:
+    """(a, b, linked, delta, n, few, bits, tokens) of pairs (a, b), on the full sets of both texts.
+
+    linked: 100 * intersection >= percent * union; delta: elements in one set only; n: of b's set.
+    With ``differences`` tokens holds elements of delta, b's own first, each part in order of
+    hash: as many as a partner of b can need, of which ``few`` suffice if b has the smaller delta;
+    bits is a bitmap of all of delta.
+    """
+    share = (100 - percent) / (100 + percent)            # similar x, y differ in share * (|x| + |y|) elements at most
 
-def linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union, on the full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: OrderedDict[str, np.ndarray] = OrderedDict()
 
@@ -148,53 +172,89 @@ def linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
             return sets[text]
 
         for batch in batches:
-            keep = []
+            rows = []
             for one, two in zip(batch.column(2), batch.column(3), strict=True):
                 a, b = set_of(one.as_py()), set_of(two.as_py())
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                own = np.setdiff1d(b, a, assume_unique=True)
+                common = len(b) - len(own)
+                delta = len(a) + len(b) - 2 * common
+                near = 100 * common >= percent * (len(a) + len(b) - common)
+                # the least number of shared differences that a similar partner of another component has
+                if near:
+                    need = math.ceil((delta - share * abs(len(b) - len(a))) / 2 - 1e-9)
+                    few = delta - need + 1
+                else:
+                    most = share * (len(b) + len(b) * 100 / percent)
+                    need = max(1, math.ceil((delta - most) / 2 - 1e-9))
+                    few = math.floor(most / 2) + 2
+                every = np.concatenate([own, np.setdiff1d(a, b, assume_unique=True)]) if differences else own[:0]
+                bits = np.zeros(64 * BITMAP, np.uint8)
+                bits[(every % np.uint64(64 * BITMAP)).astype(np.int64)] = 1
+                rows.append((near, delta, len(b), few, np.packbits(bits).view(np.int64), every[:delta - need + 1].view(np.int64)))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(columns[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[1:4]),
+                 *(pa.array(c, pa.list_(pa.int64())) for c in columns[4:])], names=["a", "b", "linked", "delta", "n", "few", "bits", "tokens"])
 
     side = [texts.select(F.col("id").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"]
-    return pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
+    return (pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "t_a", "t_b")
+            .mapInArrow(run, "a long, b long, linked boolean, delta long, n long, few long, bits array<long>, tokens array<long>"))
+
+
+def component_of(rows: DataFrame, column: str, components: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the component of an id column; an id without links is its own."""
+    known = components.select(F.col("id").alias(column), F.col("component").alias(name))
+    return rows.join(known, column, "left").withColumn(name, F.coalesce(name, column))
+
+
+def close_pairs(stars: DataFrame, components: DataFrame, share: float) -> DataFrame:
+    """Pairs (a, b) of members of other components that share enough of their differences from a pivot."""
+    placed = component_of(component_of(stars, "a", components, "of_pivot"), "b", components, "component")
+    open_pivots = placed.where("component <> of_pivot").select("a").distinct()
+    listed = (placed.join(open_pivots, "a").withColumnsRenamed({"a": "pivot", "b": "id"})
+              .select("pivot", "id", "component", "delta", "n", "few", "bits", F.posexplode("tokens").alias("rank", "token")))
+    several = (listed.groupBy("pivot", "token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+               .where("low <> high").select("pivot", "token"))
+    listed = written(listed.join(several, ["pivot", "token"]), "differences")
+    left = listed.withColumnsRenamed({c: f"l_{c}" for c in ("id", "component", "delta", "n", "few", "bits", "rank")})
+    small = listed.where("rank < few").withColumnsRenamed({c: f"r_{c}" for c in ("id", "component", "delta", "n", "few", "bits", "rank")})
+    shared = F.greatest(F.lit(1), F.ceil((F.col("l_delta") + F.col("r_delta") - share * (F.col("l_n") + F.col("r_n"))) / 2 - 1e-9))
+    larger = (F.col("l_delta") > F.col("r_delta")) | ((F.col("l_delta") == F.col("r_delta")) & (F.col("l_id") > F.col("r_id")))
+    meet = (F.col("l_rank") <= F.col("l_delta") - shared) & (F.col("r_rank") <= F.col("r_delta") - shared)
+    # two elements may share a bit, so bitmaps differ in no more bits than the sets in elements
+    apart = sum((F.bit_count(F.get("l_bits", F.lit(k)).bitwiseXOR(F.get("r_bits", F.lit(k)))) for k in range(BITMAP)), F.lit(0))
+    likewise = apart <= share * (F.col("l_n") + F.col("r_n")) + 1e-9
+    met = left.join(small, ["pivot", "token"]).where((F.col("l_component") != F.col("r_component")) & larger & meet & likewise)
+    return met.select(F.least("l_id", "r_id").alias("a"), F.greatest("l_id", "r_id").alias("b"))
+
+
+def far_pairs(members: DataFrame, far: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a member far from its bucket's pivot and any member of another component."""
+    placed = component_of(members, "id", components, "component")
+    outside = placed.join(far.select(F.col("a").alias("pivot"), F.col("b").alias("id")), ["pivot", "id"])
+    met = placed.join(outside.select("band", F.col("id").alias("other"), F.col("component").alias("c")), "band").where("component <> c")
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
 
 
 def near_components(docs: DataFrame, members: DataFrame, reps: DataFrame, words: int, percent: int, registers: int) -> DataFrame:
-    """(id, component) of the representatives that any link touches; members: (band, id) of shared bands."""
+    """(id, component) of the representatives that any link touches; members: (band, id, pivot) of shared bands."""
     similarity = percent / 100
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = written(docs.join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text").distinct(), "texts")
-    buckets = members.groupBy("band").agg(F.min("id").alias("pivot"), F.count("*").alias("size"))
-    # a bucket's rounds: 4^rounds covers its size
-    members = written(members.join(buckets, "band").withColumn("rounds", F.ceil(F.log(F.col("size").cast("double")) / math.log(4) + 1e-9)), "members")
+    texts = written(docs.join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text"), "texts")
     pairs = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    tested, links, components, step = None, None, None, 0
-    while True:
-        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            found = None
-        else:
-            tested = pairs if tested is None else tested.union(pairs)
-            found = written(linked(written(likely(pairs, reps, registers, similarity), "likely"), texts, words, percent).distinct(), "links")
-            links = found if links is None else links.union(found)
-            components = written(connected_components(links), "components")
-        if components is None:
-            return members.sparkSession.createDataFrame([], "id long, component long")
-        placed = members.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        unsettled = (placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                     .where("low <> high").select("band"))
-        step += 1
-        live = written(placed.where(F.col("rounds") >= step).join(unsettled, "band").select("band", "id", "component", "rounds"), "live")
-        if live.isEmpty():
-            return components
-        # in round ``step`` one member in 4^(rounds - step) is a pivot, in the last round every one
-        spread = F.expr(f"shiftleft(1L, cast(2 * (rounds - {step}) as int)) - 1")
-        pivots = live.where(F.xxhash64("id", "band").bitwiseAND(spread) == 0).select("band", F.col("id").alias("p"), F.col("component").alias("c"))
-        crossing = live.join(pivots, "band").where("component <> c")
-        pairs = crossing.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
-
-
-def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85, rows: int = 6, id_col: str = "doc_id",
+    measured = written(estimates(pairs, reps, registers), "stars")
+    stars = written(compared(measured.where(F.col("estimate") >= CLOSE), texts, words, percent, True), "compared-stars")
+    links = stars.where("linked").select("a", "b")
+    components = written(connected_components(links), "components")
+    more = (close_pairs(stars, components, (100 - percent) / (100 + percent))
+            .union(far_pairs(members, measured.where(F.col("estimate") < CLOSE), components)).distinct()
+            .join(measured.select("a", "b"), ["a", "b"], "left_anti"))
+    tested = likely(estimates(more, reps, registers), similarity, registers)
+    crossing = written(compared(tested, texts, words, percent, False).where("linked").select("a", "b"), "crossing-links")
+    return components if crossing.isEmpty() else written(connected_components(links.union(crossing)), "components")
+
+
+def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85, rows: int = 5, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -211,8 +271,8 @@ def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85, rows: int = 6
     band_keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                             lambda j: F.xxhash64(j, F.substring(F.col("registers"), j * size + 1, F.lit(size))))
     banded = reps.select(F.col("rep").alias("id"), F.explode(band_keys).alias("band"))
-    shared = banded.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("band")
-    members = written(banded.join(shared, "band").distinct(), "band-members")
+    shared = banded.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("high")).where("pivot <> high").select("band", "pivot")
+    members = written(banded.join(shared, "band"), "band-members")
     components = near_components(docs.where("doc_id IS NOT NULL"), members, reps.select("rep", "n_shingles", "registers"),
                                  words, percent, bands * rows)
     classes = (reps.select("set_key", "rep").join(components, F.col("rep") == F.col("id"), "left")

@@ -43,7 +43,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: three-word shingles, similarity 0.85 or more."""
-    return near_dedup.near_dedup(load(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=85, rows=6)
+    return near_dedup.near_dedup(load(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=85, rows=5)
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
