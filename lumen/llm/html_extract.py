@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.boosted_trees import BoostedTrees
-from lumen.llm.shared import text_of
+from lumen.llm.shared import drawn, text_of
 
 SAMPLE, LONGEST_SAMPLE = 400, 100_000
 #: Log-odds of a block that a name speaks for or against.
@@ -282,9 +282,8 @@ def extract(pages: list[str], model: BoostedTrees | None) -> list[str]:
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> BoostedTrees | None:
-    chosen = (pages.select(F.col(id_col).alias("id"), text_of(html_col).alias("html")).where(F.length("html") <= LONGEST_SAMPLE)
-              .orderBy(F.xxhash64("id"), "html").limit(sample).collect())
-    return fit([r["html"] for r in chosen])
+    rows = pages.select(F.col(id_col).alias("id"), text_of(html_col).alias("html")).where(F.length("html") <= LONGEST_SAMPLE)
+    return fit(sorted(r["html"] for r in drawn(rows, "id", sample, pages.count()).collect()))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.logistic import ridge_logistic
-from lumen.llm.shared import text_of
+from lumen.llm.shared import drawn, text_of
 
 #: Texts of each class that the classifier is fitted on, and the longest of them.
 SAMPLE, LONGEST_SAMPLE = 2_000, 20_000
@@ -107,8 +107,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | No
     """A model from rows (doc_id, text) and (doc_id, quality)."""
     usable = labels.where(F.col("quality").isin(0, 1) & ~held_out()).select(F.col("doc_id").alias("labelled"), "quality")
     counts = {r[0]: r[1] for r in usable.groupBy("quality").count().collect()}          # two rows
-    drawn = [usable.where(F.col("quality") == q).orderBy(F.xxhash64("labelled"), "labelled").limit(sample) for q in (0, 1)]
-    chosen = drawn[0].union(drawn[1]).distinct()
+    good, bad = (drawn(usable.where(F.col("quality") == q), "labelled", sample, counts.get(q, 0)) for q in (1, 0))
+    chosen = good.union(bad).distinct()
     body = docs.select("doc_id", text_of("text").alias("text")).where(F.length("text") <= LONGEST_SAMPLE)
     rows = (body.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))        # 2 * sample rows at most
             .select("quality", "text", "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(2 * sample).collect())
