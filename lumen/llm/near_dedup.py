@@ -57,7 +57,7 @@ SIGMAS = 5
 #: Shingles hashed at a time, for bounded memory on long texts.
 BLOCK = 2048
 #: Estimated similarity to the pivot from which a member's differences from it are listed.
-CLOSE = 0.5
+CLOSE = 0.2
 #: 64-bit words of the bitmap of those differences.
 BITMAP = 8
 #: Sets a verifying task keeps.
