@@ -18,7 +18,8 @@ is one row of the sketch side, and the adaptive skew join splits its documents.
 Defined cases: words are runs of anything but ASCII white space, A-Z in lower case; a text of
 fewer words than a shingle is one shingle and only equals another such text; texts without words
 (null, empty) match nothing; an item with a null id is not searched; rows that share a doc_id
-are one document, whose shingles are those of all its rows; rows that share an item_id but not
+are one document, whose shingles are those of all its rows (``contained_items``), but each row
+stays or goes by its own text (``without_contaminated``); rows that share an item_id but not
 the shingles are searched one by one.  Very long texts are read in full; other columns are ignored.
 """
 
@@ -87,45 +88,60 @@ def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
 
 
 def document_hits(docs: DataFrame, present: np.ndarray, words: int) -> DataFrame:
-    """(doc_id, h): the distinct shingles of each document that the filter lets through."""
+    """(keys, h) of rows (keys, text): the distinct shingles of each row that the filter lets through."""
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(present, bitorder="little").tobytes())
-    bits = len(present)
+    bits, keys = len(present), docs.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = np.unpackbits(np.frombuffer(packed.value, np.uint8), bitorder="little").view(bool)
         for batch in batches:
             ids, found = [], []
-            for k, text in enumerate(batch.column(1)):
+            for k, text in enumerate(batch.column(len(keys))):
                 hashes = shingle_set(text.as_py(), words)
                 hashes = hashes[filled[(hashes & np.uint64(bits - 1)).astype(np.int64)]]
                 ids.append(np.full(len(hashes), k))
                 found.append(hashes)
             rows = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int64), pa.int64())
             h = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(h)], names=["doc_id", "h"])
-    return docs.mapInArrow(run, "doc_id long, h long")
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in range(len(keys))), pa.array(h)], names=[*keys, "h"])
+    return docs.mapInArrow(run, ", ".join(f"{k} long" for k in [*keys, "h"]))
 
 
-def contained_items(docs: DataFrame, items: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = BITS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_shared, n_item) for every item (item_id, text) contained in a document."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+def contained_in(docs: DataFrame, items: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
+    """(keys, item_id, n_shared, n_item) for every item (item_id, text) contained in a document.
+
+    docs: rows (keys, text) with keys of type long; rows with equal keys, null among them, are one document.
+    """
+    keys = docs.columns[:-1]
     items = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("long"), text_of("text").alias("text"))
     shingles = written(item_shingles(items, words, percent), "item-shingles")
     hits = written(document_hits(docs, bitmap(shingles.select("h"), bits), words).distinct(), "hits")
     item = ["item_id", "item_key", "n_item"]
-    candidates = (hits.join(shingles.where("sketched"), "h").groupBy("doc_id", *item, "need").agg(F.count("*").alias("met"))
-                  .where("met >= need").select("doc_id", *item))
+    candidates = (hits.join(shingles.where("sketched"), "h").groupBy(*keys, *item, "need").agg(F.count("*").alias("met"))
+                  .where("met >= need").select(*keys, *item))
     candidates = written(candidates, "candidates")
     wanted = candidates.select("item_id", "item_key").distinct()
-    checked = hits.join(shingles.join(wanted, ["item_id", "item_key"]), "h").groupBy("doc_id", *item).agg(F.count("*").alias("n_shared"))
-    contained = checked.where(F.col("n_shared") * 100 >= F.col("n_item") * percent).withColumnRenamed("doc_id", "in_doc")
-    pairs = contained.join(candidates.withColumnRenamed("doc_id", "of_doc"), F.col("in_doc").eqNullSafe(F.col("of_doc"))
-                           & (contained["item_id"] == candidates["item_id"]) & (contained["item_key"] == candidates["item_key"]), "left_semi")
-    return pairs.groupBy(F.col("in_doc").alias("doc_id"), "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item"))
+    checked = hits.join(shingles.join(wanted, ["item_id", "item_key"]), "h").groupBy(*keys, *item).agg(F.count("*").alias("n_shared"))
+    contained = checked.where(F.col("n_shared") * 100 >= F.col("n_item") * percent).withColumnsRenamed({k: f"in_{k}" for k in keys})
+    same = (contained["item_id"] == candidates["item_id"]) & (contained["item_key"] == candidates["item_key"])
+    for k in keys:
+        same = same & F.col(f"in_{k}").eqNullSafe(F.col(f"of_{k}"))
+    pairs = contained.join(candidates.withColumnsRenamed({k: f"of_{k}" for k in keys}), same, "left_semi")
+    return (pairs.groupBy(*(F.col(f"in_{k}").alias(k) for k in keys), "item_id")
+            .agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item")))
+
+
+def contained_items(docs: DataFrame, items: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = BITS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, item_id, n_shared, n_item) for every item (item_id, text) contained in a document."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    return contained_in(docs, items, words, percent, bits)
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` less the documents that contain an item."""
-    found = contained_items(docs, items, words, percent).select(F.col("doc_id").alias("contaminated_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("contaminated_id")), "left_anti")
+    """``docs`` less the rows whose own text contains an item."""
+    row_key = F.xxhash64("text")
+    rows = docs.select(F.col("doc_id").cast("long"), row_key.alias("row_key"), text_of("text").alias("text"))
+    found = (contained_in(rows, items, words, percent, BITS)
+             .select(F.col("doc_id").alias("contaminated_id"), F.col("row_key").alias("contaminated_key")).distinct())
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("contaminated_id")) & (row_key == F.col("contaminated_key")), "left_anti")

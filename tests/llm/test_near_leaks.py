@@ -160,6 +160,19 @@ def test_decontaminate_cases(spark):
     assert sorted((r["doc_id"] for r in left.collect()), key=str) == sorted((i for i, _ in docs if i not in bad), key=str)
 
 
+def test_rows_go_by_their_own_text(spark):
+    item = " ".join(f"i{k}" for k in range(20))
+    half, rest = " ".join(item.split()[:12]), " ".join(item.split()[8:])
+    clean = [(None, f"clean text number {k} of those without an id") for k in range(6)] + [(None, None), (None, half), (None, rest)]
+    clean += [(1, "a clean text whose id another text repeats"), (2, half), (2, rest), (3, None)]
+    leaked = [(None, "before " + item), (None, "before " + item), (1, item + " after"), (4, item)]
+    frame = spark.createDataFrame([(i, t, 7) for i, t in clean + leaked], "doc_id long, text string, n_chars long").repartition(3)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontaminate.without_contaminated(frame, items)
+    assert left.columns == frame.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(clean, key=str)
+
+
 def test_decontaminate_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")

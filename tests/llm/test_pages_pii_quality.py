@@ -223,3 +223,14 @@ def test_pipeline_run_is_its_stages_in_turn(spark):
         docs = stage(spark, docs, SF001)
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF001).collect()) == sorted(r["doc_id"] for r in docs.collect())
     assert QUERIES.get("pipeline") is None and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_decontamination_stage_keeps_clean_rows_without_id(spark):
+    docs = load(spark, SF001, "documents").limit(30).withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id"))).cache()
+    items = [tuple(r) for r in load(spark, SF001, "benchmark").collect()]
+    leaked = docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.lit(max(items)[1]))
+    rows = [(r["doc_id"], r["text"]) for r in docs.union(leaked).collect()]
+    bad = {i for i, *_ in expect_leaks([(k, t) for k, (_, t) in enumerate(rows)], items, 5, 80)}
+    got = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs.union(leaked), SF001)
+    assert len(rows) - 1 in bad and sum(i is None and k not in bad for k, (i, _) in enumerate(rows)) > 3
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted((r for k, r in enumerate(rows) if k not in bad), key=str)
