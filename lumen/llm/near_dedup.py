@@ -236,15 +236,19 @@ def far_pairs(members: DataFrame, far: DataFrame, components: DataFrame) -> Data
     return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
 
 
-def near_components(docs: DataFrame, members: DataFrame, reps: DataFrame, words: int, percent: int, registers: int) -> DataFrame:
-    """(id, component) of the representatives that any link touches; members: (band, id, pivot) of shared bands."""
+def near_components(docs: DataFrame, members: DataFrame, reps: DataFrame, same: DataFrame, words: int, percent: int,
+                    registers: int) -> DataFrame:
+    """(id, component) of the ids that any link touches.
+
+    members: (band, id, pivot) of shared bands; same: (a, b) of an id and the representatives of its texts.
+    """
     similarity = percent / 100
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     texts = written(docs.join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text"), "texts")
     pairs = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     measured = written(estimates(pairs, reps, registers), "stars")
     stars = written(compared(measured.where(F.col("estimate") >= CLOSE), texts, words, percent, True), "compared-stars")
-    links = stars.where("linked").select("a", "b")
+    links = stars.where("linked").select("a", "b").union(same)
     components = written(connected_components(links), "components")
     more = (close_pairs(stars, components, (100 - percent) / (100 + percent))
             .union(far_pairs(members, measured.where(F.col("estimate") < CLOSE), components)).distinct()
@@ -273,12 +277,22 @@ def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85, rows: int = 5
     banded = reps.select(F.col("rep").alias("id"), F.explode(band_keys).alias("band"))
     shared = banded.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("high")).where("pivot <> high").select("band", "pivot")
     members = written(banded.join(shared, "band"), "band-members")
+    # ids with several texts, empty ones among them, link the classes of these
+    key = F.xxhash64("set_key")
+    several = written(slim.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+                      .where("low <> high").select("doc_id"), "several")
+    same = written(slim.join(several, "doc_id").join(reps.select("set_key", "rep"), "set_key").where("doc_id <> rep")
+                   .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "same-id")
     components = near_components(docs.where("doc_id IS NOT NULL"), members, reps.select("rep", "n_shingles", "registers"),
-                                 words, percent, bands * rows)
+                                 same, words, percent, bands * rows)
     classes = (reps.select("set_key", "rep").join(components, F.col("rep") == F.col("id"), "left")
                .select("set_key", F.coalesce("component", "rep").alias("component_id")))
+    # an empty text has no class of its own: it goes with the other texts of its id
+    of_several = components.join(several, F.col("id") == F.col("doc_id"), "left_semi").select("id", "component")
+    empty = (slim.where("n_shingles = 0").join(of_several, F.col("doc_id") == F.col("id"), "left")
+             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
     # one row for each class; a class of many copies is split by the adaptive skew join
-    alone = F.col("n_shingles") == 0
-    return (slim.join(classes, "set_key", "left")
-            .withColumn("component_id", F.when(alone | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+    filled = (slim.where("n_shingles > 0").join(classes, "set_key", "left")
+              .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+    return (filled.union(empty)
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))

@@ -86,6 +86,19 @@ def test_links_between_members_that_the_pivot_does_not_reach(spark):
     assert sorted((tuple(r) for r in near_dedup.near_dedup(frame).collect()), key=str) == expect_near(rows, 3, 85)
 
 
+def test_rows_that_share_an_id_link_their_texts(spark):
+    random.seed(5)
+    text = [" ".join(f"t{k}w{random.randrange(10**6)}" for _ in range(40)) for k in range(9)]
+    rows = [(3, text[0]), (4, text[1]), (5, text[0]), (5, text[1])]                       # 3 and 4 meet in 5 only
+    rows += [(9, ""), (9, text[1]), (10, ""), (10, None), (11, ""), (None, text[0]), (None, "")]
+    rows += [(20, text[2]), (20, text[3]), (21, text[3] + " more"), (22, text[2] + " more"), (22, "")]
+    rows += [(30, text[4]), (31, text[5]), (32, text[6]), (33, text[4]), (33, text[5]), (34, text[5]), (34, text[6] + " more")]
+    rows += [(40, text[7]), (40, text[7]), (41, text[8]), (41, text[8])]
+    random.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in near_dedup.near_dedup(frame).collect()), key=str) == expect_near(rows, 3, 85)
+
+
 def test_near_dedup_of_nothing(spark):
     assert near_dedup.near_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
