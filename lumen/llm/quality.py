@@ -21,9 +21,11 @@ ties, repeated rows and other columns do not matter.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +39,7 @@ DICTIONARY_BYTES = 112_640
 LEVEL = 3
 #: Bytes compressed at a time, so that a dictionary matters as much in a long text.
 PIECE = 1_000
-#: Pieces of a sampled text that a dictionary is trained on, and their bytes.
+#: Pieces of a sampled text, spread over all of it, that a dictionary is trained on, and their bytes.
 TRAINED_PIECES, TRAINED_BYTES = 4, 500
 RIDGE = 0.1
 THRESHOLD = 0.3
@@ -48,10 +50,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def trained_pieces(text: str) -> list[bytes]:
+    """All of a short text; of a longer one a piece of each of its equal parts, placed by the text's hash."""
+    data = text.encode()
+    if len(data) <= TRAINED_PIECES * TRAINED_BYTES:
+        return [data[at:at + TRAINED_BYTES] for at in range(0, len(data), TRAINED_BYTES)]
+    ends = [k * len(data) // TRAINED_PIECES for k in range(TRAINED_PIECES + 1)]
+    starts = [low + xxhash.xxh3_64_intdigest(data, seed=low) % (high - low - TRAINED_BYTES + 1) for low, high in pairwise(ends)]
+    return [data[at:at + TRAINED_BYTES] for at in starts]
+
+
 def dictionary(texts: list[str]) -> bytes:
     """A zstandard dictionary of the texts; of few texts their plain content."""
-    pieces = [t.encode()[k * TRAINED_BYTES:(k + 1) * TRAINED_BYTES] for t in texts for k in range(TRAINED_PIECES)]
-    pieces = [p for p in pieces if p]
+    pieces = [p for t in texts for p in trained_pieces(t)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
     except zstandard.ZstdError:

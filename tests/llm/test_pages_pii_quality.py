@@ -190,6 +190,21 @@ def test_quality_cases(spark):
     none = frame.limit(0)
     assert quality.with_quality(none, quality.train(none, labels)).count() == 0
 
+
+def test_dictionaries_learn_from_the_whole_text():
+    for n in (0, 1, 499, 500, 501, 1999, 2000):
+        text = "".join(chr(97 + k % 26) for k in range(n))
+        assert b"".join(quality.trained_pieces(text)) == text.encode()
+    seen = set()
+    for t in range(400):
+        text = "".join(f"{k:05d}" for k in range(t, t + 2000)).encode()
+        starts = [text.index(p) for p in quality.trained_pieces(text.decode())]
+        assert all(k * 2500 <= at <= k * 2500 + 2000 for k, at in enumerate(starts)) and len(starts) == 4
+        seen |= {(at + d) // 100 for at in starts for d in range(500)}
+    assert seen == set(range(100))
+    late = ["".join(random.choice("abcdefgh ") for _ in range(3000)) + " mark of the end" * 100 for _ in range(50)]
+    assert b"mark of the end" in quality.dictionary(late)
+
 # --- the pipeline
 
 
