@@ -9,9 +9,10 @@ most likely labelling in which no kept block lies in a dropped one: bottom-up, a
 dropped with all below it or kept with the best choice for each child.
 
 There are no labels, so the trees learn from markup that names its purpose: in a sample of up to
-``SAMPLE`` pages (least hash of the id, at most ``LONGEST_SAMPLE`` characters) that have an
+``SAMPLE`` pages (least hash of the id) that have an
 article or main element, the blocks in the largest one are main text unless they or an
-ancestor inside it are named as furniture (tag or attribute token).  Each sample page is also shown
+ancestor inside it are named as furniture (tag or attribute token).  A page of more than
+``LONGEST_SAMPLE`` characters is described whole, too, but shown by ``SAMPLED_BLOCKS`` blocks drawn from all of it.  Each sample page is also shown
 with names blanked out, so the trees learn to do without them, and once more with depth, place
 and number of siblings drawn from other blocks, so that they don't learn one site's layout.
 
@@ -33,9 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.boosted_trees import BoostedTrees
-from lumen.llm.shared import drawn, text_of
+from lumen.llm.shared import drawn, text_of, thinned
 
 SAMPLE, LONGEST_SAMPLE = 400, 100_000
+#: Blocks of a sample page that is longer.
+SAMPLED_BLOCKS = 500
 #: Log-odds of a block that a name speaks for or against.
 NAMED = 6.0
 #: Pages decoded together.
@@ -235,16 +238,34 @@ def weak_labels(blocks: list[Block]) -> np.ndarray | None:
     return labels
 
 
-def fit(pages: list[str]) -> BoostedTrees | None:
-    x, y = [], []
-    for page in pages:
-        blocks, _ = parse(page)
-        labels = weak_labels(blocks)
-        if labels is not None:
-            x += [describe(blocks), describe(blocks, blank=True)]
-            y += [labels, labels]
-    if not x:
+def examples(page: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """The features of a page's blocks, those without names, and the labels; None if it names no content."""
+    blocks, _ = parse(page)
+    labels = weak_labels(blocks)
+    return None if labels is None else (describe(blocks), describe(blocks, blank=True), labels)
+
+
+def packed_examples(page: str) -> bytes | None:
+    """``SAMPLED_BLOCKS`` of a page's examples."""
+    found = examples(page)
+    if found is None:
+        return None
+    at = np.sort(np.random.default_rng(8).permutation(len(found[2]))[:SAMPLED_BLOCKS])
+    return np.column_stack([part[at] for part in found]).astype(float).tobytes()
+
+
+def unpacked_examples(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    width = describe([Block("html", None, "")]).shape[1]
+    rows = np.frombuffer(packed).reshape(-1, 2 * width + 1)
+    return rows[:, :width], rows[:, width:-1], rows[:, -1] > 0
+
+
+def fit(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> BoostedTrees | None:
+    """The trees from the examples of pages."""
+    if not found:
         return None
+    x = [features for shown, blank, _ in found for features in (shown, blank)]
+    y = [labels for _, _, labels in found for _ in range(2)]
     rows, labels, draw = np.vstack(x), np.concatenate(y), np.random.default_rng(8)
     moved = np.vstack(x[1::2])
     for column in LAYOUT:
@@ -282,8 +303,22 @@ def extract(pages: list[str], model: BoostedTrees | None) -> list[str]:
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> BoostedTrees | None:
-    rows = pages.select(F.col(id_col).alias("id"), text_of(html_col).alias("html")).where(F.length("html") <= LONGEST_SAMPLE)
-    return fit(sorted(r["html"] for r in drawn(rows, "id", sample, pages.count()).collect()))
+    rows = pages.select(F.col(id_col).alias("id"), text_of(html_col).alias("html"))
+    total = pages.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            short = [t if len(t) <= LONGEST_SAMPLE else None for t in texts]
+            packed = [packed_examples(t) if s is None else None for t, s in zip(texts, short, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.string()), pa.array(packed, pa.binary())],
+                                             names=["id", "short", "packed"])
+
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, short string, packed binary"
+    sampled = drawn(thinned(rows, "id", sample, total).mapInArrow(run, schema), "id", sample, total).collect()
+    found = [examples(page) for page in sorted(r["short"] for r in sampled if r["short"] is not None)]
+    found += [unpacked_examples(b) for b in sorted(bytes(r["packed"]) for r in sampled if r["packed"] is not None)]
+    return fit([f for f in found if f is not None])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

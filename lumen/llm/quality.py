@@ -6,9 +6,10 @@ two sizes, (bad - good) / (bad + good), says which kind of text it resembles, an
 without a dictionary how repetitive it is.  A ridge logistic regression on both (with squares
 and product) calibrates them to the probability of label 1.
 
-Fitting uses a bounded sample: up to ``SAMPLE`` labelled texts of each class of at most
-``LONGEST_SAMPLE`` characters, the ones with the least hash of their id among the rows outside
-the held-out fold (crc32 of the id as text mod 5 is 0).  The regression sees sizes from
+Fitting uses a bounded sample: up to ``SAMPLE`` labelled texts of each class, the ones with the
+least hash of their id among the rows outside the held-out fold (crc32 of the id as text mod 5
+is 0).  Of a text of more than ``LONGEST_SAMPLE`` characters it has as many, in pieces from all
+of the text.  The regression sees sizes from
 dictionaries that were trained on the other half of the sample; the final dictionaries use all
 of it.  Class weights restore the shares of the labels.  Every text is scored whole.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from lumen.llm.logistic import ridge_logistic
 from lumen.llm.shared import drawn, text_of
 
-#: Texts of each class that the classifier is fitted on, and the longest of them.
+#: Texts of each class that the classifier is fitted on, and the characters of each.
 SAMPLE, LONGEST_SAMPLE = 2_000, 20_000
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
@@ -114,16 +115,29 @@ def fit(good: list[str], bad: list[str], share: float) -> dict | None:
             "coefficients": ridge_logistic((x - mean) / deviation, y, weight, RIDGE)}
 
 
+def excerpt(column: str) -> Column:
+    """A text, or of a longer one LONGEST_SAMPLE characters: a piece of each of its equal parts, placed by the text's hash."""
+    text, parts = F.col(column), LONGEST_SAMPLE // PIECE
+    n, pieces = F.length(text).cast("long"), []
+    for k in range(parts):
+        low, high = F.floor(n * k / parts), F.floor(n * (k + 1) / parts)
+        moved = F.pmod(F.xxhash64(F.xxhash64(text), F.lit(k)), F.greatest(high - low - PIECE + 1, F.lit(1)))
+        pieces.append(F.substring(text, (low + moved + 1).cast("int"), F.lit(PIECE)))
+    return F.when(n <= LONGEST_SAMPLE, text).otherwise(F.concat(*pieces))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None:
     """A model from rows (doc_id, text) and (doc_id, quality)."""
     usable = labels.where(F.col("quality").isin(0, 1) & ~held_out()).select(F.col("doc_id").alias("labelled"), "quality")
     counts = {r[0]: r[1] for r in usable.groupBy("quality").count().collect()}          # two rows
     good, bad = (drawn(usable.where(F.col("quality") == q), "labelled", sample, counts.get(q, 0)) for q in (1, 0))
     chosen = good.union(bad).distinct()
-    body = docs.select("doc_id", text_of("text").alias("text")).where(F.length("text") <= LONGEST_SAMPLE)
+    body = docs.select("doc_id", text_of("text").alias("text"))
     rows = (body.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))        # 2 * sample rows at most
-            .select("quality", "text", "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(2 * sample).collect())
-    texts = [[r["text"] for r in rows if r["quality"] == q] for q in (0, 1)]
+            .select("quality", excerpt("text").alias("text"), (F.length("text") > LONGEST_SAMPLE).alias("long"), "doc_id")
+            .orderBy(F.xxhash64("doc_id"), "text").limit(2 * sample).collect())
+    # excerpts come last, so that they do not deal the other texts anew to the halves
+    texts = [[r["text"] for r in sorted(rows, key=lambda r: r["long"]) if r["quality"] == q] for q in (0, 1)]
     return fit(texts[1], texts[0], counts.get(1, 0) / max(1, sum(counts.values())))
 
 

@@ -31,12 +31,16 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def thinned(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
+    """About 2n of about ``total`` rows, by the hash of ``key``."""
+    share = min(1.0, 2 * n / max(total, 1))
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) <= int(share * (1 << 30)))
+
+
 def drawn(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
     """Up to ``n`` rows of about ``total``, the ones with the least hash of ``key``.
 
     Rows are first thinned to about 2n by their hash, so that tasks hand on a few rows each
     however many tasks there are.
     """
-    share = min(1.0, 2 * n / max(total, 1))
-    thin = df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) <= int(share * (1 << 30)))
-    return thin.orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(n)
+    return thinned(df, key, n, total).orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(n)

@@ -96,6 +96,21 @@ def test_boosted_trees_learn_an_interaction():
     model = BoostedTrees.fit(x[:3000], y[:3000], none[:3000])
     assert ((model.logits(x[3000:], none[3000:]) > 0) == y[3000:]).mean() > 0.95
 
+
+def test_trees_learn_from_long_pages_too(spark):
+    def page(k):
+        body = "".join(f"<p>Sentence {j} of page {k}, with words as prose has. " + "More of it follows. " * 20 + "</p>" for j in range(300))
+        links = "".join(f"<li><a href={j}>Link {j}</a>" for j in range(40))
+        return f"<body><div><ul>{links}</ul></div><main>{body}</main><div><ul>{links}</ul></div></body>"
+    rows = [(k, f"u{k}", page(k)) for k in range(12)]
+    assert min(len(h) for _, _, h in rows) > html_extract.LONGEST_SAMPLE
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    model = html_extract.train(frame)
+    assert model is not None
+    unnamed = page(99).replace("main>", "div>")
+    text = html_extract.extract([unnamed], model)[0]
+    assert text.count("Sentence") == 300 and "Link" not in text
+
 # --- personal data
 
 
@@ -205,6 +220,33 @@ def test_dictionaries_learn_from_the_whole_text():
     late = ["".join(random.choice("abcdefgh ") for _ in range(3000)) + " mark of the end" * 100 for _ in range(50)]
     assert b"mark of the end" in quality.dictionary(late)
 
+
+def test_a_class_of_long_texts_is_learned(spark):
+    random.seed(4)
+
+    def text(words, n):
+        return " ".join(random.choice(words) for _ in range(n))
+    good, bad = ([f"{c}{random.randrange(10**6)}" for _ in range(300)] for c in "gb")
+    rows = [(k, text(good, 5000), 1) for k in range(30)] + [(100 + k, text(bad, 100), 0) for k in range(30)]
+    assert min(len(t) for _, t, q in rows if q) > quality.LONGEST_SAMPLE
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.train(frame.drop("quality"), frame.drop("text"))
+    assert model is not None
+    scores = quality.scorer(frame, model)("text")
+    got = frame.select("quality", scores.alias("score")).collect()
+    assert auc(np.array([r["score"] for r in got]), np.array([r["quality"] for r in got])) > 0.95
+
+
+def test_excerpts_are_spread_over_the_text(spark):
+    texts = ["", "é" * 20_000, "".join(f"{k:05d}" for k in range(4001)), "".join(f"é{k:06d}" for k in range(30_000))]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in frame.select(quality.excerpt("text")).collect()]
+    assert got[:2] == texts[:2]
+    for whole, some in zip(texts[2:], got[2:], strict=True):
+        starts = [whole.index(some[at:at + 1000]) for at in range(0, 20_000, 1000)]
+        assert len(some) == 20_000
+        assert all(k * len(whole) // 20 <= at <= (k + 1) * len(whole) // 20 - 1000 for k, at in enumerate(starts))
+
 # --- the pipeline
 
 
