@@ -49,7 +49,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCKS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption""".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
-UNSEEN = set("head script style noscript template title iframe object svg math canvas audio video select button textarea".split())
+UNSEEN = set("head script style noscript template title iframe svg annotation annotation-xml canvas audio video select button textarea".split())
 RAW = set("script style textarea title noscript iframe".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 # Names of page furniture and of content, as tags and as tokens of class, id and role.

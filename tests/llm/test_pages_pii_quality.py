@@ -51,6 +51,13 @@ def test_furniture_goes_and_references_are_decoded(spark):
         "Second linked paragraph goes on for a while, as prose does. It ends."]
 
 
+def test_formulas_and_fallback_text_are_text():
+    page = ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='application/x-tex'>x=2 TeX</annotation></math> holds."
+            "<p>Map: <object data=m.svg>a <b>coast</b> line</object> here.<div class=ad><math><mi>no</mi></math></div>"
+            "<object data=a><p>Its fallback.</p></object><p>End.</article>")
+    assert html_extract.extract([page], None) == ["So x=2 holds.\n\nMap: a coast line here.\n\nIts fallback.\n\nEnd."]
+
+
 CASES = [(1, None), (2, ""), (3, "plain text, no markup"), (4, "<p>open <b>x<p>y"), (5, "<div class='a"), (6, "a < b & c"), (7, "</p></div>"),
          (8, "<article><p>" + "word " * 40_000 + "</p></article>"), (8, "<article><p>twice</p></article>"), (8, "<article><p>twice</p></article>"),
          (None, "<p>no id</p>"), (9, "<div>" * 3000 + "deep" + "</div>" * 3000), (10, "<script>x"), (11, "<!-- open <p>x</p>"), (12, "<>"), (13, "<a href=\"x>y</a>")]
