@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumen.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, near_dedup, pii, quality, token_files
+from lumen.llm import (bpe, chat_format, decontaminate, exact_dedup, fingerprints, html_extract, lexical_search, line_dedup, near_dedup,
+                       phrases, pii, quality, token_files)
 from lumen.sources.tables import load
 
 #: The conversation that the chat query formats besides the table's: text that looks like control strings.
@@ -88,8 +89,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", quality.held_out().alias("held_out"), "score", "predicted"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk fingerprints of all documents and of their edited texts."""
+    return fingerprints.edited_fingerprints(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(spark, load(spark, sf_dir, "documents", "doc_id", "text"),
+                                 load(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language of all documents."""
+    return phrases.collocations(load(spark, sf_dir, "documents", "lang", "text"))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_bpe, op4_near_dedup, op5_token_files, op6_line_dedup,
-                                  op7_decontaminate, op8_html_extract, op9_pii, op10_quality)}
+                                  op7_decontaminate, op8_html_extract, op9_pii, op10_quality, op11_fingerprints,
+                                  op12_lexical_search, op13_phrases)}
 
 ORACLES = {
     "op1_exact_dedup": """
@@ -136,4 +154,41 @@ k AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (c.i IS N
 SELECT d.doc_id, CASE WHEN k.n_removed > 0 THEN coalesce(left_text, '') ELSE text END AS text,
        coalesce(len(lines), 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
 FROM d LEFT JOIN k USING (doc_id)""",
+    "op12_lexical_search": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+i AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+s AS (SELECT count(*) AS n_all, sum(len(words))::BIGINT AS l_all FROM d WHERE len(words) > 0),
+t AS (SELECT doc_id, any_value(n) AS n, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM d)
+      WHERE term IN (SELECT term FROM i) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term, n_all),
+p AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_all) // l_all))) AS part
+      FROM t JOIN w USING (term), s),
+r AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM i JOIN p USING (term) GROUP BY item_id, doc_id HAVING sum(part) > 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM r)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""",
+    "op13_phrases": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS words FROM d),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: words[i:i + k - 1])) AS words
+      FROM p, (SELECT unnest([1, 2, 3, 4]) AS k)),
+f AS (SELECT lang, k, words, count(*) AS f FROM g GROUP BY lang, k, words HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM p GROUP BY lang),
+c AS (SELECT lang, words, k, f AS a, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.words, c.k, c.a, c.cut, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+      FROM c JOIN f x ON x.lang = c.lang AND x.words = c.words[1:c.cut] JOIN f y ON y.lang = c.lang AND y.words = c.words[c.cut + 1:]),
+b AS (SELECT lang, words, any_value(k) AS k, any_value(a) AS a, min({'score': score, 'cut': cut, 'l': l, 'r': r}) AS best
+      FROM s GROUP BY lang, words),
+i AS (SELECT lang, f, unnest(list_concat(
+        list_transform(range(1, k), lambda i: words[i:i + 1]),
+        CASE WHEN k = 4 THEN [words[1:3], words[2:4]] ELSE [] END)) AS words FROM f WHERE k > 2),
+m AS (SELECT lang, words, max(f) AS f FROM i GROUP BY lang, words),
+o AS (SELECT b.lang, array_to_string(b.words, ' ') AS phrase, b.a, b.best.l AS l, b.best.r AS r, b.best.score::BIGINT AS score
+      FROM b LEFT JOIN m ON m.lang = b.lang AND m.words = b.words WHERE m.f IS NULL OR 100 * m.f < 80 * b.a),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, n, score FROM k JOIN n USING (lang) WHERE rank <= 2000""",
 }
