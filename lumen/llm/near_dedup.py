@@ -14,20 +14,24 @@ Candidates.  In a bucket (equal band key) of m representatives not all m(m-1)/2
 Its least id is the pivot and is paired with each other member, which settles a group of
 copies around one text.  What is left are pairs of members in different components:
 
-* Both close to the pivot (estimate of ``CLOSE`` or more).  With D(x) the shingles in which x
-  differs from the pivot, x and y differ in exactly D(x) xor D(y).  So similar x and y share a
-  known number of elements of D, and the first elements of both, in one order for all, must meet
-  (a prefix filter on what is left after the pivot is taken out).  Where they meet, bitmaps of
-  D(x) and D(y) must not differ in more bits than similar x and y in elements.  Copies edited in
-  different places make no pairs, however many there are, and no similar pair is missed.
-* One far from the pivot.  Such a member met the bucket by chance or by a shared passage; it is
-  paired with the bucket's members of other components.
-
-So no link that joins two components is lost, whatever a bucket's size.
-
-Check.  A pair's Jaccard similarity is estimated from its registers, corrected for registers
-that agree by chance; pairs below the threshold by ``SIGMAS`` standard errors go.  The others
-are decided on the full sets of both texts.
+* With D(x) the shingles in which x differs from the pivot, x and y differ in exactly D(x) xor
+  D(y).  Similar x and y in different components share at least one element of D, and a known
+  number of them, so the first elements of both, in one order for all, must meet (a prefix filter
+  on what is left after the pivot is taken out).  A member far from the pivot lists no more
+  elements than the shingles in which it may differ from a similar text, and one.
+* Members that share a passage meet at each element of it.  A meeting goes when an element among
+  the ``RECENT`` before is shared too: the two have met there, or before that, so the pair is not
+  lost and is made about once.
+* Where members meet, bitmaps of D(x) and D(y) must not differ in more bits than similar x and y
+  in elements.  Copies edited in different places make no pairs, however many there are.
+
+So no link that joins two components is lost, whatever a bucket's size, and no bucket is paired
+as a whole.
+
+Check.  A member's differences from its pivot decide exactly whether the two are linked.  For
+other pairs the Jaccard similarity is estimated from the registers, corrected for registers that
+agree by chance; pairs below the threshold by ``SIGMAS`` standard errors go, the others are decided
+on the full sets of both texts.
 
 Defined cases: a text without words (null and empty too) has an empty set and is linked with
 nothing; a document with null id is linked with nothing, its component_id is null and it is
@@ -56,10 +60,10 @@ MISS = 1e-7
 SIGMAS = 5
 #: Shingles hashed at a time, for bounded memory on long texts.
 BLOCK = 2048
-#: Estimated similarity to the pivot from which a member's differences from it are listed.
-CLOSE = 0.2
 #: 64-bit words of the bitmap of those differences.
 BITMAP = 8
+#: Elements before one that are compared to see whether two members have met already.
+RECENT = 16
 #: Sets a verifying task keeps.
 KEPT_SETS = 64
 
@@ -184,8 +188,8 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, diffe
                     need = math.ceil((delta - share * abs(len(b) - len(a))) / 2 - 1e-9)
                     few = delta - need + 1
                 else:
-                    most = share * (len(b) + len(b) * 100 / percent)
-                    need = max(1, math.ceil((delta - most) / 2 - 1e-9))
+                    most = share * (len(b) + len(b) * 100 / percent) + 1e-9
+                    need = max(1, math.ceil((delta - most) / 2), delta - math.floor(most))
                     few = math.floor(most / 2) + 2
                 every = np.concatenate([own, np.setdiff1d(a, b, assume_unique=True)]) if differences else own[:0]
                 bits = np.zeros(64 * BITMAP, np.uint8)
@@ -194,10 +198,12 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, diffe
             columns = list(zip(*rows, strict=True)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(columns[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[1:4]),
-                 *(pa.array(c, pa.list_(pa.int64())) for c in columns[4:])], names=["a", "b", "linked", "delta", "n", "few", "bits", "tokens"])
+                 *(pa.array(c, pa.list_(pa.int64())) for c in columns[4:])],
+                names=["a", "b", "linked", "delta", "n", "few", "bits", "tokens"])
 
-    side = [texts.select(F.col("id").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"]
-    return (pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "t_a", "t_b")
+    # the member's text first: it moves with its row, and the pivot's text moves once, not once for each member
+    side = {c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"}
+    return (pairs.join(side["b"], "b").join(side["a"], "a").select("a", "b", "t_a", "t_b")
             .mapInArrow(run, "a long, b long, linked boolean, delta long, n long, few long, bits array<long>, tokens array<long>"))
 
 
@@ -212,30 +218,25 @@ def close_pairs(stars: DataFrame, components: DataFrame, share: float) -> DataFr
     placed = component_of(component_of(stars, "a", components, "of_pivot"), "b", components, "component")
     open_pivots = placed.where("component <> of_pivot").select("a").distinct()
     listed = (placed.join(open_pivots, "a").withColumnsRenamed({"a": "pivot", "b": "id"})
-              .select("pivot", "id", "component", "delta", "n", "few", "bits", F.posexplode("tokens").alias("rank", "token")))
+              .select("*", F.posexplode("tokens").alias("rank", "token"))
+              .withColumn("recent", F.slice("tokens", F.greatest(F.col("rank") - (RECENT - 1), F.lit(1)), F.least(F.col("rank"), F.lit(RECENT))))
+              .select("pivot", "id", "component", "delta", "n", "few", "bits", "rank", "token", "recent"))
     several = (listed.groupBy("pivot", "token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                .where("low <> high").select("pivot", "token"))
     listed = written(listed.join(several, ["pivot", "token"]), "differences")
-    left = listed.withColumnsRenamed({c: f"l_{c}" for c in ("id", "component", "delta", "n", "few", "bits", "rank")})
-    small = listed.where("rank < few").withColumnsRenamed({c: f"r_{c}" for c in ("id", "component", "delta", "n", "few", "bits", "rank")})
+    left, right = (listed.withColumnsRenamed({c: f"{side}_{c}" for c in listed.columns if c not in ("pivot", "token")}) for side in "lr")
+    small = right.where("r_rank < r_few")
     shared = F.greatest(F.lit(1), F.ceil((F.col("l_delta") + F.col("r_delta") - share * (F.col("l_n") + F.col("r_n"))) / 2 - 1e-9))
     larger = (F.col("l_delta") > F.col("r_delta")) | ((F.col("l_delta") == F.col("r_delta")) & (F.col("l_id") > F.col("r_id")))
     meet = (F.col("l_rank") <= F.col("l_delta") - shared) & (F.col("r_rank") <= F.col("r_delta") - shared)
     # two elements may share a bit, so bitmaps differ in no more bits than the sets in elements
     apart = sum((F.bit_count(F.get("l_bits", F.lit(k)).bitwiseXOR(F.get("r_bits", F.lit(k)))) for k in range(BITMAP)), F.lit(0))
     likewise = apart <= share * (F.col("l_n") + F.col("r_n")) + 1e-9
-    met = left.join(small, ["pivot", "token"]).where((F.col("l_component") != F.col("r_component")) & larger & meet & likewise)
+    first = ~F.arrays_overlap("l_recent", "r_recent")
+    met = left.join(small, ["pivot", "token"]).where((F.col("l_component") != F.col("r_component")) & larger & meet & likewise & first)
     return met.select(F.least("l_id", "r_id").alias("a"), F.greatest("l_id", "r_id").alias("b"))
 
 
-def far_pairs(members: DataFrame, far: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a member far from its bucket's pivot and any member of another component."""
-    placed = component_of(members, "id", components, "component")
-    outside = placed.join(far.select(F.col("a").alias("pivot"), F.col("b").alias("id")), ["pivot", "id"])
-    met = placed.join(outside.select("band", F.col("id").alias("other"), F.col("component").alias("c")), "band").where("component <> c")
-    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-
-
 def near_components(docs: DataFrame, members: DataFrame, reps: DataFrame, same: DataFrame, words: int, percent: int,
                     registers: int) -> DataFrame:
     """(id, component) of the ids that any link touches.
@@ -246,13 +247,11 @@ def near_components(docs: DataFrame, members: DataFrame, reps: DataFrame, same:
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     texts = written(docs.join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text"), "texts")
     pairs = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    measured = written(estimates(pairs, reps, registers), "stars")
-    stars = written(compared(measured.where(F.col("estimate") >= CLOSE), texts, words, percent, True), "compared-stars")
+    stars = written(compared(pairs, texts, words, percent, True), "stars")
     links = stars.where("linked").select("a", "b").union(same)
     components = written(connected_components(links), "components")
-    more = (close_pairs(stars, components, (100 - percent) / (100 + percent))
-            .union(far_pairs(members, measured.where(F.col("estimate") < CLOSE), components)).distinct()
-            .join(measured.select("a", "b"), ["a", "b"], "left_anti"))
+    more = (close_pairs(stars, components, (100 - percent) / (100 + percent)).distinct()
+            .join(stars.select("a", "b"), ["a", "b"], "left_anti"))
     tested = likely(estimates(more, reps, registers), similarity, registers)
     crossing = written(compared(tested, texts, words, percent, False).where("linked").select("a", "b"), "crossing-links")
     return components if crossing.isEmpty() else written(connected_components(links.union(crossing)), "components")

@@ -205,3 +205,26 @@ def test_sketch_misses_rarely():
 def test_near_query_equals_brute_force(spark):
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF001}/documents.parquet'").fetchall()
     assert sorted((tuple(r) for r in QUERIES["op4_near_dedup"](spark, SF001).collect()), key=str) == expect_near(rows, 3, 85)
+
+
+def test_a_large_group_makes_few_pairs(spark, monkeypatch):
+    """Edited copies of one text, and texts that share a passage their pivot lacks: few pairs, no lost link."""
+    random.seed(23)
+    base = [f"b{k}" for k in range(60)]
+    passages = [[f"p{j}-{k}" for k in range(30)] for j in range(3)]
+    rows = [(k, edited(base, random.randrange(7))) for k in range(900)]
+    for k in range(300):
+        own = [f"o{k // 2}-{j}" for j in range(30 + k % 2)]                # pairs of likely texts share a passage with many
+        rows.append((2000 + k, " ".join(base[:40] + passages[k % 6 // 2] + own)))
+    made = {}
+    plain = near_dedup.close_pairs
+
+    def counted(*args):
+        pairs = plain(*args)
+        made["rows"], made["pairs"] = pairs.count(), pairs.distinct().count()
+        return pairs
+    monkeypatch.setattr(near_dedup, "close_pairs", counted)
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), words=5, percent=80)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expect_near(rows, 5, 80)
+    assert made["rows"] <= 3 * made["pairs"] + 100
+    assert made["pairs"] < 30_000                                            # of 720,000
