@@ -1,11 +1,8 @@
 """Numeric helpers that make results identical across engines and partitionings.
 
-* ``exact_sum`` / ``exact_avg``: values of up to six decimals are summed as decimals, which is
-  exact and independent of the order in which partial aggregates are merged.  A group that
-  holds a NaN, an infinity or a value of ``EXACT_LIMIT`` or more is summed as doubles instead,
-  so a broken input shows in the result.
-* ``snap``: fixed-point snap ``floor(x * 10^d + 0.5) / 10^d`` for doubles whose value depends
-  on summation order (means of means, centroids); NaN and values too large to snap pass.
+``snap``: fixed-point snap ``floor(x * 10^d + 0.5) / 10^d`` for doubles whose value depends on
+summation order (means of means, centroids); NaN and values too large to snap pass.  Sums and
+means that do not depend on order are in :mod:`lumen.operators.exact`.
 """
 
 from __future__ import annotations
@@ -13,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-#: Values from here on don't fit the decimals of an exact sum.
-EXACT_LIMIT = 1e11
 SNAP_LIMIT = 9e12
 
 
@@ -27,24 +23,6 @@ def snap(x, digits: int = 6) -> Column:
     return F.when(F.isnan(x) | (F.abs(x) > SNAP_LIMIT * 1e6 / scale), x).otherwise(F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
 
 
-def as_decimal(x) -> Column:
-    """A double as a decimal of six places, null where it is none (NaN) or too large."""
-    x = _c(x).cast("double")
-    return F.when(~F.isnan(x) & (F.abs(x) < F.lit(EXACT_LIMIT)), x).cast("decimal(18,6)")
-
-
-def exact_sum(x) -> Column:
-    """Order-independent sum of a double column, returned as double."""
-    x = _c(x).cast("double")
-    exact = F.sum(as_decimal(x)).cast("double")
-    return F.when(F.count(as_decimal(x)) < F.count(x), F.sum(x)).otherwise(exact)
-
-
-def exact_avg(x) -> Column:
-    """Order-independent mean: exact sum divided by the non-null count."""
-    return exact_sum(x) / F.count(_c(x)).cast("double")
-
-
 def sql_snap(expr: str, digits: int = 6) -> str:
     """DuckDB spelling of :func:`snap`."""
     scale = f"CAST(1e{digits} AS DOUBLE)"

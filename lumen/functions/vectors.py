@@ -7,6 +7,8 @@ column so the same builders work for 3 and 64 dimensions.  Sums run left to righ
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,14 +94,23 @@ def remove_direction(v, n, c: float = 1.0) -> Column:
 def mean_vectors(df, keys: list[str], v, name: str = "centroid"):
     """DataFrame (keys..., name): element-wise mean of the vectors of each key.
 
-    Vectors are exploded to (key, dim, x) and averaged per (key, dim) in one hash
-    aggregation with map-side combine, then reassembled in dim order; works for any
-    dimension without one aggregate expression per dim.
+    ``Summarizer`` adds whole vectors up, with partial sums before the shuffle: one row for each key and
+    length of vector, no row for each element.  A dimension's mean is over the vectors that have it.
+    Null and empty vectors, and those with a null element, are left out; NaN stays NaN.
     """
-    per_dim = (df.select(*keys, F.posexplode(_c(v)).alias("__i", "__x"))
-               .groupBy(*keys, "__i").agg(F.avg("__x").alias("__m")))
-    return (per_dim.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__i", "__m"))).alias("__s"))
-            .select(*keys, F.transform("__s", lambda e: e["__m"]).alias(name)))
+    rows = df.select(*keys, _c(v).cast("array<double>").alias("__v")).where("size(__v) > 0 AND NOT exists(__v, x -> x IS NULL)")
+    sums = rows.groupBy(*keys, F.size("__v").alias("d")).agg(
+        F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.sum(array_to_vector("__v"))).alias("s"))
+    lengths = F.array_sort(F.collect_list(F.struct("d", "n", "s")))          # few: a row for each length of vector
+
+    def plus(one, other):
+        return F.zip_with(one, other, lambda a, b: F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0)))
+
+    def add(state, x):
+        return F.struct(plus(state["s"], x["s"]).alias("s"), plus(state["n"], F.transform(x["s"], lambda _: x["n"].cast("double"))).alias("n"))
+    nothing = F.array().cast("array<double>")
+    mean = F.aggregate("__l", F.struct(nothing.alias("s"), nothing.alias("n")), add, lambda t: F.zip_with(t["s"], t["n"], lambda a, b: a / b))
+    return sums.groupBy(*keys).agg(lengths.alias("__l")).select(*keys, mean.alias(name))
 
 
 def cross3(a, b) -> Column:

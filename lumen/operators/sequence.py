@@ -99,35 +99,39 @@ def with_positions(df: DataFrame, key: str, ts: str, tiebreak: str, *, split: st
 
 
 def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
-                      probe_ts: str, probe_id: str, cand_ts: str, cand_id: str,
+                      probe_ts: str, probe_id: str, cand_ts: str, cand_id: str, carry: list[str] | None = None,
                       min_gap_us: int = 0, split: str = "range", bucket_seconds: int = DAY) -> DataFrame:
     """For each probe row, the first candidate of the same key with
     ``cand_ts - probe_ts > min_gap_us`` (microseconds), earliest by (cand_ts, cand_id).
 
-    Returns (key, probe_id, probe_ts, match_id, match_ts); match_* null when none (an
-    as-of join that keeps every probe).  Keys are equal as in an equi join: a probe with a
-    null key, or a null time, has no match.
+    Returns (key, probe_id, probe_ts, match_id, match_ts) and match_<c> for each candidate
+    column of ``carry``; match_* null when none (an as-of join that keeps every probe).  Keys are
+    equal as in an equi join: a probe with a null key, or a null time, has no match.  Only probes
+    and one row per (key, split) are written, never the candidates.
     """
     # candidate c is after probe p iff c.ts - gap > p.ts: compare both on one "sort time"
     shift = F.expr(f"INTERVAL {min_gap_us} MICROSECOND")
     usable = F.col(key).isNotNull() & F.col(probe_ts).isNotNull()
+    carried, types = list(carry or []), dict(candidates.dtypes)
+    more = "".join(f",c{k}:{types[c]}" for k, c in enumerate(carried))
     alone = probes.where(~usable).select(key, probe_id, probe_ts, F.lit(None).cast("bigint").alias("match_id"),
-                                         F.lit(None).cast("timestamp_ntz").alias("match_ts"))
+                                         F.lit(None).cast("timestamp_ntz").alias("match_ts"),
+                                         *[F.lit(None).cast(types[c]).alias(f"match_{c}") for c in carried])
     p = probes.where(usable).select(F.col(key).alias("k"), F.col(probe_id).alias("pid"), F.col(probe_ts).alias("pts"),
                       F.col(probe_ts).alias("st"), F.lit(1).alias("rank"),
-                      F.lit(None).cast("struct<st:timestamp_ntz,cid:bigint,cts:timestamp_ntz>").alias("cand"))
+                      F.lit(None).cast(f"struct<st:timestamp_ntz,cid:bigint,cts:timestamp_ntz{more}>").alias("cand"))
     c = candidates.where(F.col(key).isNotNull() & F.col(cand_ts).isNotNull()).select(F.col(key).alias("k"), F.lit(None).cast("bigint").alias("pid"),
                           F.lit(None).cast("timestamp_ntz").alias("pts"),
                           (F.col(cand_ts) - shift).alias("st"), F.lit(0).alias("rank"),
                           F.struct((F.col(cand_ts) - shift).alias("st"), F.col(cand_id).cast("bigint").alias("cid"),
-                                   F.col(cand_ts).alias("cts")).alias("cand"))
+                                   F.col(cand_ts).alias("cts"), *[F.col(x).alias(f"c{k}") for k, x in enumerate(carried)]).alias("cand"))
     both = add_split(p.unionByName(c), "k", ["st", "rank"], split=split, bucket_seconds=bucket_seconds)
     # descending sort time; at equal sort time the probe comes first, so a candidate with
     # the same sort time (gap exactly min_gap) is not counted as after it
     ws = Window.partitionBy("k", SPLIT).orderBy(F.desc("st"), F.desc("rank"))
     w = ws.rowsBetween(Window.unboundedPreceding, -1)
-    scanned = cut(both.withColumns({"__best": F.min("cand").over(w),
-                                    "__last": F.lead(F.lit(1)).over(ws).isNull()}))
+    scanned = cut(both.withColumns({"__best": F.min("cand").over(w), "__last": F.lead(F.lit(1)).over(ws).isNull()})
+                  .where("rank = 1 OR __last"))
     found = scanned.where("rank = 1")
     # one row per (key, split) seen on either side: the split's last row in the scan order
     # holds the minimum over the whole split (null where the split has no candidate)
@@ -138,7 +142,8 @@ def first_match_after(probes: DataFrame, candidates: DataFrame, key: str, *,
     miss = join_splits(found.where(F.col("__best").isNull()).drop("__best"), later, "k").withColumnRenamed("__later", "__best")
     out = ok.unionByName(miss)
     matched = out.select(F.col("k").alias(key), F.col("pid").alias(probe_id), F.col("pts").alias(probe_ts),
-                         F.col("__best.cid").alias("match_id"), F.col("__best.cts").alias("match_ts"))
+                         F.col("__best.cid").alias("match_id"), F.col("__best.cts").alias("match_ts"),
+                         *[F.col(f"__best.c{k}").alias(f"match_{c}") for k, c in enumerate(carried)])
     return matched.unionByName(alone)
 
 

@@ -16,8 +16,12 @@ HOURS = f"floor(date_diff('microsecond', {EPOCH}, ts) / 3600000000.0)::BIGINT"
 K = Q.JOURNEY_HOPS
 
 
+#: 2^75: times this, the tables' amounts are whole numbers, which HUGEINT sums exactly.
+SCALE = float(1 << 75)
+
+
 def _dsum(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(18, 6))) AS DOUBLE)"
+    return f"(CAST(sum(CAST({col} * {SCALE:.1f}::DOUBLE AS HUGEINT)) AS DOUBLE) / {SCALE:.1f}::DOUBLE)"
 
 
 def _davg(col: str) -> str:
@@ -110,14 +114,14 @@ FROM s LEFT JOIN c ON c.h = s.h
 
     "replicate_rows": f"""
 SELECT o_orderpriority, CAST(i AS INTEGER) AS instalment, count(*) AS n,
-       {_dsum('o_totalprice')} / {float(Q.INSTALMENTS)} AS amount
+       {S(_dsum('o_totalprice') + f" / {float(Q.INSTALMENTS)}")} AS amount
 FROM orders CROSS JOIN range(0, {Q.INSTALMENTS}) t(i)
 GROUP BY 1, 2
 """,
 
     "grid_cells": f"""
 WITH cells AS (
-  SELECT h % 24 AS col, floor(h / 24.0)::BIGINT AS row, count(*) AS n, {_davg('value')} AS avg_value
+  SELECT h % 24 AS col, floor(h / 24.0)::BIGINT AS row, count(*) AS n, {S(_davg('value'))} AS avg_value
   FROM (SELECT {HOURS} AS h, value FROM events) GROUP BY 1, 2
 )
 SELECT col, row, (col + 0.5) / 24.0 AS u, (row + 0.5) / (SELECT max(row) + 1 FROM cells) AS v, n, avg_value
@@ -151,7 +155,7 @@ SELECT * FROM (VALUES {", ".join(f"({k}, '{n}', '{Q.DEFAULT_REGION}', true)" for
 """,
 
     "param_join": f"""
-WITH p AS (SELECT {_davg('o_totalprice')} * {Q.THRESHOLD_FACTOR} AS threshold FROM orders)
+WITH p AS (SELECT {S(_davg('o_totalprice') + f" * {Q.THRESHOLD_FACTOR}")} AS threshold FROM orders)
 SELECT o_orderpriority, count(*) AS n_above, max(threshold) AS threshold
 FROM orders CROSS JOIN p WHERE o_totalprice > threshold
 GROUP BY 1
@@ -172,6 +176,82 @@ WITH {_mean_vectors()},
 d AS (SELECT e.vec_id, m.label AS nearest, {_dist2("e.embedding", "m.c")} AS d2 FROM embeddings e CROSS JOIN m),
 b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, nearest) AS rn FROM d WHERE d2 IS NOT NULL AND NOT isnan(d2))
 SELECT e.label, b.nearest, count(*) AS n FROM embeddings e LEFT JOIN b ON b.vec_id = e.vec_id AND b.rn = 1 GROUP BY 1, 2
+""",
+
+    "nearest_supplied_part": f"""
+WITH p AS (SELECT p_partkey, p_retailprice AS x, {Q.SIZE_SCALE}::DOUBLE * p_size AS y, {Q.REACH}::DOUBLE + p_size AS reach FROM part),
+d AS (SELECT a.p_partkey, min({{'d': sqrt((a.x - e.x) * (a.x - e.x) + (a.y - e.y) * (a.y - e.y)), 'entry': e.p_partkey}}) AS best
+      FROM p a JOIN p e ON a.p_partkey % 3 <> 0 AND e.p_partkey % 3 = 0
+       AND sqrt((a.x - e.x) * (a.x - e.x) + (a.y - e.y) * (a.y - e.y)) <= e.reach GROUP BY a.p_partkey)
+SELECT p.p_partkey, d.best.entry AS entry, {S('d.best.d')} AS distance FROM p LEFT JOIN d USING (p_partkey) WHERE p.p_partkey % 3 <> 0
+""",
+
+    "shipments_in_window": """
+WITH w AS (SELECT o_custkey, o_orderpriority, o_orderdate::DATE AS day,
+                  lead(o_orderdate::DATE) OVER (PARTITION BY o_custkey ORDER BY o_orderdate::DATE, o_orderkey) AS until FROM orders),
+s AS (SELECT o_custkey, l_shipdate::DATE AS ship_day FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT o_orderpriority, count(*) AS n, sum(ship_day - day)::BIGINT AS days, max(until - day)::BIGINT AS longest
+FROM s JOIN w ON w.o_custkey = s.o_custkey AND w.day <= s.ship_day AND s.ship_day < w.until GROUP BY 1
+""",
+
+    "cheapest_supply": f"""
+WITH RECURSIVE s AS (SELECT l_partkey AS part, -1 - l_suppkey AS supplier, min(1 + round(l_discount * 100))::BIGINT AS cost
+                     FROM lineitem GROUP BY 1, 2),
+e AS (SELECT part AS src, supplier AS dst, cost FROM s UNION ALL SELECT supplier, part, cost FROM s),
+r(node, cost, hops) USING KEY (node) AS (
+  SELECT -1 - s_suppkey, 0::BIGINT, 0::BIGINT FROM supplier WHERE s_nationkey = {Q.START_NATION}
+  UNION
+  SELECT o.node, o.best.cost, o.best.hops
+  FROM (SELECT e.dst AS node, min({{'cost': r.cost + e.cost, 'hops': r.hops + 1}}) AS best FROM r JOIN e ON e.src = r.node GROUP BY e.dst) o
+  LEFT JOIN recurring.r v ON v.node = o.node
+  WHERE v.node IS NULL OR o.best < {{'cost': v.cost, 'hops': v.hops}}
+)
+SELECT node, cost, hops FROM r
+""",
+
+    # both loops as one: a row is a draw, and the next row draws again or buys
+    "restock_walk": f"""
+WITH RECURSIVE n AS (SELECT max(p_partkey) + 1 AS n FROM part),
+d(s_suppkey, round, draws, balance, candidate) AS (
+  SELECT s_suppkey, 1, 1::BIGINT, s_acctbal, floor({U('restock', 's_suppkey', '1', '1')} * n.n)::BIGINT
+  FROM supplier CROSS JOIN n WHERE s_acctbal >= 0
+  UNION ALL
+  SELECT s_suppkey, round, draws, balance, floor({U('restock', 's_suppkey', 'round', 'draws')} * n)::BIGINT
+  FROM (SELECT d.s_suppkey, n.n, CASE WHEN p.p_size <= {Q.REDRAW_MAX_SIZE} THEN d.round + 1 ELSE d.round END AS round,
+               CASE WHEN p.p_size <= {Q.REDRAW_MAX_SIZE} THEN 1 ELSE d.draws + 1 END AS draws,
+               CASE WHEN p.p_size <= {Q.REDRAW_MAX_SIZE} THEN d.balance - p.p_retailprice ELSE d.balance END AS balance
+        FROM d CROSS JOIN n LEFT JOIN part p ON p.p_partkey = d.candidate)
+  WHERE balance >= 0 AND round <= {Q.RESTOCK_ROUNDS}
+),
+b AS (SELECT s_suppkey, round, draws, p_partkey, balance - p_retailprice AS balance
+      FROM d JOIN part ON p_partkey = candidate WHERE p_size <= {Q.REDRAW_MAX_SIZE})
+SELECT s_suppkey, 0 AS round, NULL::BIGINT AS draws, NULL::BIGINT AS p_partkey, {S('s_acctbal')} AS balance, s_acctbal >= 0 AS active FROM supplier
+UNION ALL SELECT s_suppkey, round, draws, p_partkey, {S('balance')}, balance >= 0 AND round < {Q.RESTOCK_ROUNDS} FROM b
+""",
+
+    "instalment_plan": f"""
+WITH RECURSIVE r(o_orderkey, instalment, cents) AS (
+  SELECT o_orderkey, 0, round(o_totalprice * 100)::BIGINT FROM orders
+  UNION ALL
+  SELECT o_orderkey, instalment + 1, cents - least(cents, greatest(cents // 4, {Q.LEAST_INSTALMENT})) FROM r WHERE cents > 0
+)
+SELECT o_orderkey, instalment, cents FROM r
+""",
+
+    "document_folds": f"""
+WITH RECURSIVE n AS (SELECT count(*) AS n, (ceil(sqrt(count(*))))::BIGINT AS a FROM documents),
+s AS (SELECT n, a, (n + a - 1) // a AS b FROM n),
+p(doc_id, x, walks) AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1, 0 FROM documents
+  UNION ALL
+  SELECT doc_id, r3 * b + c4, walks + 1 FROM (
+    SELECT *, (c2 + floor({U('folds', '3', 'r3')} * b)::BIGINT) % b AS c4 FROM (
+      SELECT *, (r1 + floor({U('folds', '2', 'c2')} * a)::BIGINT) % a AS r3 FROM (
+        SELECT *, (c0 + floor({U('folds', '1', 'r1')} * b)::BIGINT) % b AS c2 FROM (
+          SELECT *, (x // b + floor({U('folds', '0', 'x % b')} * a)::BIGINT) % a AS r1, x % b AS c0 FROM p, s
+          WHERE walks = 0 OR x >= n))))
+)
+SELECT doc_id, x AS position, floor(x * {Q.FOLDS} / n)::INTEGER AS fold FROM p, s WHERE walks > 0 AND x < n
 """,
 
     "next_event_after": f"""
@@ -289,17 +369,15 @@ SELECT c_mktsegment, count(*) AS n, count(*) FILTER (WHERE c_acctbal < 0) AS n_g
 FROM customer GROUP BY 1
 """,
 
-    "route_and_union": """
+    "route_and_union": f"""
 WITH r AS (
   SELECT CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'view' THEN 'view' WHEN 'click' THEN 'click'
               ELSE 'other' END AS route,
-         CAST(CASE event_type WHEN 'purchase' THEN value::DECIMAL(18, 6) * 0.7
-                              WHEN 'view' THEN value::DECIMAL(18, 6) * 0.01
-                              WHEN 'click' THEN 0.05
-                              ELSE 0 END AS DECIMAL(24, 8)) AS amount
+         CASE event_type WHEN 'purchase' THEN value * 0.7::DOUBLE WHEN 'view' THEN value * 0.01::DOUBLE
+                         WHEN 'click' THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END AS amount
   FROM events
 )
-SELECT route, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total FROM r GROUP BY route
+SELECT route, count(*) AS n, {S(_dsum('amount'))} AS total FROM r GROUP BY route
 """,
 
     "group_averages": f"""
@@ -329,7 +407,7 @@ FROM d GROUP BY 1
 
     "parity_cells": f"""
 SELECT CASE WHEN (floor({HOURS} / 6.0)::BIGINT + user_id) % 2 = 0 THEN 'A' ELSE 'B' END AS arm,
-       count(*) AS n, {_davg('value')} AS avg_value
+       count(*) AS n, {S(_davg('value'))} AS avg_value
 FROM events GROUP BY 1
 """,
 

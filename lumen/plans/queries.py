@@ -8,21 +8,24 @@ Timestamps leave as ISO text, doubles that depend on summation order are snapped
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumen.functions import vectors as V
 from lumen.functions.draws import by_cut_points, keyed_index, keyed_uniform
-from lumen.functions.numeric import as_decimal, exact_avg, exact_sum, snap
+from lumen.functions.numeric import snap
 from lumen.functions.shapes import guarded_inverse, guarded_sqrt, parity_even, quantize_sqrt, triangle_wave
 from lumen.operators.assemble import global_line_numbers, ordered_concat
+from lumen.operators.deal import folds
+from lumen.operators.exact import exact_means, exact_sums
 from lumen.operators.iterate import frontier_loop, redraw_until_accepted
 from lumen.operators.lineage import cut, write_round
-from lumen.operators.match import BLOCK_ROWS, nearest_in_blocks
+from lumen.operators.metric import nearest_valid
+from lumen.operators.ranges import range_join
+from lumen.operators.recurse import recursed
+from lumen.operators.relax import cheapest_paths
 from lumen.operators.route import route
-from lumen.operators.sequence import first_match_after, with_following
+from lumen.operators.sequence import first_match_after, with_following, with_next_row
 from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max
 from lumen.sources.tables import load
 
@@ -46,6 +49,11 @@ TRUNCATE_DIMS = 16                                   # O16
 BLEND = (0.7, 0.3)                                   # O19: size, price weights
 ERROR_GAP_US = 60_000_000                            # O12: more than 60 s
 QUANT_LEVELS = 255                                   # O24
+SIZE_SCALE, REACH = 10.0, 4.0                         # nearest_supplied_part: size against price, least reach
+START_NATION = 0                                     # cheapest_supply
+LEAST_INSTALMENT = 500_000                           # instalment_plan: cents
+FOLDS = 5                                            # document_folds
+RESTOCK_ROUNDS = 6                                   # restock_walk: most purchases
 NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]  # O28
 
 
@@ -157,9 +165,10 @@ def q_cooldown_chain(spark, sf_dir):
         lost = F.floor((F.lit(1.0) - F.col("weight")) * 10 + F.lit(1e-9)).cast("int")
         due = F.col("ts") + F.make_dt_interval(secs=((lost + 1) * CHAIN_HOUR).cast("decimal(18,6)"))
         waiting = frontier.withColumn("due", due).select("journey_id", "user_id", "depth", "weight", "due")
-        found = first_match_after(waiting, ev, "user_id", probe_ts="due", probe_id="journey_id", cand_ts="ts", cand_id="event_id")
-        reached = (found.where(F.col("match_id").isNotNull()).select("journey_id", F.col("match_id").alias("event_id"))
-                   .join(ev.select("event_id", "ts", "event_type"), "event_id"))
+        found = first_match_after(waiting, ev, "user_id", probe_ts="due", probe_id="journey_id", cand_ts="ts", cand_id="event_id",
+                                  carry=["event_type"])
+        reached = found.where(F.col("match_id").isNotNull()).select(
+            "journey_id", F.col("match_id").alias("event_id"), F.col("match_ts").alias("ts"), F.col("match_event_type").alias("event_type"))
         stop = F.col("event_type") == JOURNEY_STOP
         depth = F.col("depth") + 1
         return (waiting.drop("due").join(reached, "journey_id")
@@ -193,6 +202,35 @@ def q_redraw_until_accept(spark, sf_dir):
     return out.select("c_custkey", "draws", F.col("candidate").alias("p_partkey"))
 
 
+def instalments_left(cents: int) -> int:
+    """Instalments that pay off a balance: a quarter of what is left each, ``LEAST_INSTALMENT`` at least."""
+    n = 0
+    while cents > 0:
+        cents -= min(cents, max(cents // 4, LEAST_INSTALMENT))
+        n += 1
+    return n
+
+
+def q_instalment_plan(spark, sf_dir):
+    """Each order's balance after each instalment, by Spark's own recursion: a step needs its row only.
+
+    A larger balance never takes fewer instalments, so the largest one bounds levels and rows.
+    """
+    o = load(spark, sf_dir, "orders", "o_orderkey", "o_totalprice")
+    base = o.select("o_orderkey", F.lit(0).alias("instalment"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    largest, n = base.agg(F.max("cents"), F.count(F.lit(1))).first()
+    levels = instalments_left(largest or 0)
+    step = {"o_orderkey": "o_orderkey", "instalment": "instalment + 1",
+            "cents": f"cents - least(cents, greatest(cents div 4, {LEAST_INSTALMENT}L))"}
+    return recursed(base, step, "cents > 0", levels=levels, rows=n * (levels + 1))
+
+
+def q_document_folds(spark, sf_dir):
+    """All documents in a keyed random order, dealt to equal folds without a sort."""
+    docs = load(spark, sf_dir, "documents", "doc_id")
+    return folds(docs, "doc_id", FOLDS, "folds").select("doc_id", "position", "fold")
+
+
 # ---- O3-O9: series, fan-out, grids, draws, unions, parameters ---------------------------
 
 def q_date_spine_counts(spark, sf_dir):
@@ -214,17 +252,17 @@ def q_replicate_rows(spark, sf_dir):
     o = load(spark, sf_dir, "orders", "o_orderpriority", "o_totalprice")
     rep = o.select("o_orderpriority", "o_totalprice",
                    F.explode(F.sequence(F.lit(0), F.lit(INSTALMENTS - 1))).alias("instalment"))
-    return rep.groupBy("o_orderpriority", "instalment").agg(
-        F.count(F.lit(1)).alias("n"),
-        (exact_sum("o_totalprice") / F.lit(float(INSTALMENTS))).alias("amount"))
+    sums = exact_sums(rep, ["o_orderpriority", "instalment"], {"total": "o_totalprice"})
+    return sums.select("o_orderpriority", "instalment", F.col("n_rows").alias("n"), snap(F.col("total") / F.lit(float(INSTALMENTS))).alias("amount"))
 
 
 def q_grid_cells(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "ts", "value")
     h = _hours_since_epoch("ts")
     # one row per cell; read twice below
-    cells = cut(ev.select(F.pmod(h, F.lit(24)).alias("col"), F.floor(h / F.lit(24.0)).cast("bigint").alias("row"), "value")
-             .groupBy("col", "row").agg(F.count(F.lit(1)).alias("n"), exact_avg("value").alias("avg_value")))
+    placed = ev.select(F.pmod(h, F.lit(24)).alias("col"), F.floor(h / F.lit(24.0)).cast("bigint").alias("row"), "value")
+    cells = cut(exact_means(placed, ["col", "row"], {"avg_value": "value"})
+                .select("col", "row", F.col("n_rows").alias("n"), snap("avg_value").alias("avg_value")))
     # grid height as an uncorrelated scalar subquery over the cells
     n_rows = cells.agg(F.max("row") + 1).scalar()
     return cells.select("col", "row",
@@ -271,7 +309,7 @@ def q_default_members_union(spark, sf_dir):
 def q_param_join(spark, sf_dir):
     o = load(spark, sf_dir, "orders", "o_orderpriority", "o_totalprice")
     # the one-row parameter as an uncorrelated scalar subquery (evaluated once)
-    threshold = o.agg(exact_avg("o_totalprice") * F.lit(THRESHOLD_FACTOR)).scalar()
+    threshold = exact_means(o, [], {"mean": "o_totalprice"}).select(snap(F.col("mean") * F.lit(THRESHOLD_FACTOR)).alias("threshold")).scalar()
     j = o.withColumn("threshold", threshold).where(F.col("o_totalprice") > F.col("threshold"))
     return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_above"), F.max("threshold").alias("threshold"))
 
@@ -284,7 +322,7 @@ def _centroids(emb: DataFrame) -> tuple[DataFrame, int]:
     return write_round(V.mean_vectors(emb.select("label", V.as_double("embedding").alias("v")), ["label"], "v"))
 
 
-def q_nearest_zone(spark, sf_dir, block_rows: int = BLOCK_ROWS):
+def q_nearest_zone(spark, sf_dir):
     """Each vector's nearest zone among those it lies in.
 
     A zone is a label's mean vector with the label's mean distance from it as radius, so radii
@@ -296,24 +334,94 @@ def q_nearest_zone(spark, sf_dir, block_rows: int = BLOCK_ROWS):
     spread = (v.join(centroids, "label").select("label", F.sqrt(V.sqdist("v", "centroid")).alias("d"))
               .groupBy("label").agg(snap(F.avg("d")).alias("radius")))
     zones = centroids.join(spread, "label").select(F.col("label").alias("zone"), "centroid", "radius")
-
-    def inside(z):
-        return V.let(F.sqrt(V.sqdist("v", z["centroid"])), lambda d: F.when(d <= z["radius"], d))
-
-    best = nearest_in_blocks(v, "vec_id", zones, order_key="zone", score=inside, item="zone", block_rows=block_rows)
+    best = nearest_valid(v, "vec_id", "v", zones, order_key="zone", vector="centroid", radius="radius", item="zone")
     return best.select("vec_id", "zone", snap("score").alias("distance"))
 
 
-def q_nearest_centroid(spark, sf_dir, block_rows: int = BLOCK_ROWS):
+def q_nearest_centroid(spark, sf_dir):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     centroids, _ = _centroids(emb)
-    centroids = centroids.select(F.col("label").alias("nearest"), "centroid")
-    probes = emb.select("vec_id", "label", V.as_double("embedding").alias("v"))
-    best = nearest_in_blocks(probes, "vec_id", centroids, order_key="nearest", score=lambda c: V.sqdist("v", c["centroid"]),
-                             item="nearest", carry=["label"], block_rows=block_rows)
+    best = nearest_valid(emb, "vec_id", "embedding", centroids.withColumnRenamed("label", "nearest"), order_key="nearest", vector="centroid",
+                         item="nearest", carry=["label"])
     return best.groupBy("label", "nearest").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_nearest_supplied_part(spark, sf_dir):
+    """Each part's nearest other catalogue entry in price and size, among parts within reach: an entry
+    of size s reaches ``REACH`` + s.  Every third part is a catalogue entry, the others ask."""
+    part = load(spark, sf_dir, "part", "p_partkey", "p_size", "p_retailprice")
+    part = part.withColumn("at", F.array(F.col("p_retailprice"), F.lit(SIZE_SCALE) * F.col("p_size")))
+    third = F.pmod("p_partkey", F.lit(3)) == 0
+    shown = part.where(third).select("p_partkey", "at", (F.lit(REACH) + F.col("p_size")).alias("reach"))
+    best = nearest_valid(part.where(~third), "p_partkey", "at", shown.withColumnRenamed("p_partkey", "entry"), order_key="entry", vector="at",
+                         radius="reach", item="entry")
+    return best.select("p_partkey", "entry", snap("score").alias("distance"))
+
+
+def q_shipments_in_window(spark, sf_dir):
+    """Lineitems shipped between an order of their customer and the customer's next one.
+
+    Windows are a day to years long; the last one of a customer is open and holds nothing.
+    """
+    orders = load(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    days = orders.withColumn("day", F.unix_date(F.to_date("o_orderdate")).cast("bigint"))
+    windows = (with_next_row(days.select("o_custkey", "day", "o_orderkey", "o_orderpriority"), "o_custkey", "day", "o_orderkey", [])
+               .select("o_custkey", "o_orderpriority", "day", F.col("next_day").alias("until")))
+    shipped = (load(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_shipdate")
+               .join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+               .select("o_custkey", "l_quantity", F.unix_date(F.to_date("l_shipdate")).cast("bigint").alias("ship_day")))
+    met = range_join(shipped, windows, point="ship_day", low="day", high="until", on=["o_custkey"])
+    return met.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("ship_day") - F.col("day")).alias("days"),
+                                              F.max(F.col("until") - F.col("day")).alias("longest"))
+
+
+def q_cheapest_supply(spark, sf_dir):
+    """The cheapest way from the suppliers of nation 0 to every part and supplier, along shared lineitems.
+
+    A step between a part and a supplier costs 1 and the least discount, in hundredths, at which
+    the supplier sold the part.  Parts are nodes from 0, suppliers from -1 downwards.
+    """
+    li = load(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_discount")
+    sold = li.select(F.col("l_partkey").alias("part"), (-1 - F.col("l_suppkey")).alias("supplier"),
+                     (1 + F.round(F.col("l_discount") * 100)).cast("bigint").alias("cost"))
+    there = sold.select(F.col("supplier").alias("src"), F.col("part").alias("dst"), "cost")
+    back = sold.select(F.col("part").alias("src"), F.col("supplier").alias("dst"), "cost")
+    supplier = load(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey").where(F.col("s_nationkey") == START_NATION)
+    seeds = supplier.select((-1 - F.col("s_suppkey")).alias("node"), F.lit(0).cast("bigint").alias("cost"))
+    return cheapest_paths(seeds, there.union(back))
+
+
+def q_restock_walk(spark, sf_dir):
+    """A loop nested in a loop: suppliers spend their balance on drawn parts.
+
+    Each round every supplier that still buys redraws a part until it is small enough
+    (``REDRAW_MAX_SIZE``) and pays its price; a balance below 0 or ``RESTOCK_ROUNDS`` rounds end it.
+    The draws' keys hold the supplier and the outer round, so a task that is run again draws the same.
+    """
+    part = load(spark, sf_dir, "part", "p_partkey", "p_size", "p_retailprice")
+    n, fit = part.agg(F.max("p_partkey") + 1, F.count(F.when(F.col("p_size") <= REDRAW_MAX_SIZE, 1))).first()
+    if not fit:
+        raise ValueError(f"no part has p_size <= {REDRAW_MAX_SIZE}: no draw can be accepted")
+    small = part.select(F.col("p_partkey").alias("candidate"), (F.col("p_size") <= REDRAW_MAX_SIZE).alias("ok"))
+    supplier = load(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal")
+    nothing = F.lit(None).cast("bigint")
+    seed = supplier.select("s_suppkey", F.lit(0).alias("round"), nothing.alias("draws"), nothing.alias("p_partkey"),
+                           F.col("s_acctbal").alias("balance"), (F.col("s_acctbal") >= 0).alias("active"))
+
+    def step(frontier: DataFrame, r: int) -> DataFrame:
+        drawn = redraw_until_accepted(
+            frontier, "s_suppkey", draw=lambda i: keyed_index("restock", F.lit(n), F.col("s_suppkey"), F.lit(r), i),
+            accept=lambda tries: tries.join(small, "candidate", "left").withColumn("accepted", F.coalesce("ok", F.lit(False))))
+        bought = drawn.withColumnRenamed("candidate", "p_partkey").join(part.select("p_partkey", "p_retailprice"), "p_partkey")
+        left = F.col("balance") - F.col("p_retailprice")
+        return (frontier.select("s_suppkey", "balance").join(bought, "s_suppkey")
+                .select("s_suppkey", F.lit(r).alias("round"), F.col("draws").cast("bigint").alias("draws"), "p_partkey", left.alias("balance"),
+                        ((left >= 0) & F.lit(r < RESTOCK_ROUNDS)).alias("active")))
+
+    rows = frontier_loop(seed, step, active=F.col("active"), max_rounds=RESTOCK_ROUNDS)
+    return rows.select("s_suppkey", "round", "draws", "p_partkey", snap("balance").alias("balance"), "active")
+
+
 def q_next_event_after(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     errors = ev.where(F.col("event_type") == "error")
@@ -419,23 +527,18 @@ def q_guarded_metrics(spark, sf_dir):
 
 def q_route_and_union(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "event_type", "value")
-    value = as_decimal("value")
-
-    def amount(factor):
-        return (value * F.lit(Decimal(factor))).cast("decimal(24,8)")
+    value = F.col("value")
     routed = route(ev, [
-        ("purchase", F.col("event_type") == "purchase", amount("0.7")),
-        ("view", F.col("event_type") == "view", amount("0.01")),
-        ("click", F.col("event_type") == "click", F.lit(Decimal("0.05")).cast("decimal(24,8)")),
-    ], default=("other", F.lit(Decimal(0)).cast("decimal(24,8)")))
-    return routed.groupBy("route").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("total"))
+        ("purchase", F.col("event_type") == "purchase", value * F.lit(0.7)),
+        ("view", F.col("event_type") == "view", value * F.lit(0.01)),
+        ("click", F.col("event_type") == "click", F.lit(0.05)),
+    ], default=("other", F.lit(0.0)))
+    return exact_sums(routed, ["route"], {"total": "amount"}).select("route", F.col("n_rows").alias("n"), snap("total").alias("total"))
 
 
 def q_group_averages(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem", "l_orderkey", "l_returnflag", "l_quantity", "l_extendedprice", "l_discount")
-    per_order = li.groupBy("l_returnflag", "l_orderkey").agg(
-        exact_avg("l_quantity").alias("q"), exact_avg("l_extendedprice").alias("p"), exact_avg("l_discount").alias("d"))
+    per_order = exact_means(li, ["l_returnflag", "l_orderkey"], {"q": "l_quantity", "p": "l_extendedprice", "d": "l_discount"})
     return per_order.groupBy("l_returnflag").agg(
         snap(F.avg("q")).alias("avg_qty"), snap(F.avg("p")).alias("avg_price"), snap(F.avg("d")).alias("avg_disc"))
 
@@ -459,8 +562,8 @@ def q_parity_cells(spark, sf_dir):
     ev = load(spark, sf_dir, "events", "ts", "user_id", "value")
     block = F.floor(_hours_since_epoch("ts") / F.lit(6.0))
     arm = F.when(parity_even(block, F.col("user_id")), F.lit("A")).otherwise(F.lit("B"))
-    return ev.select(arm.alias("arm"), "value").groupBy("arm").agg(
-        F.count(F.lit(1)).alias("n"), exact_avg("value").alias("avg_value"))
+    means = exact_means(ev.select(arm.alias("arm"), "value"), ["arm"], {"avg_value": "value"})
+    return means.select("arm", F.col("n_rows").alias("n"), snap("avg_value").alias("avg_value"))
 
 
 # ---- O27, O28: ordered text -------------------------------------------------------------
@@ -496,6 +599,12 @@ QUERIES = {
     "param_join": q_param_join,
     "nearest_zone": q_nearest_zone,
     "nearest_centroid": q_nearest_centroid,
+    "nearest_supplied_part": q_nearest_supplied_part,
+    "shipments_in_window": q_shipments_in_window,
+    "cheapest_supply": q_cheapest_supply,
+    "restock_walk": q_restock_walk,
+    "instalment_plan": q_instalment_plan,
+    "document_folds": q_document_folds,
     "next_event_after": q_next_event_after,
     "latest_per_key": q_latest_per_key,
     "rows_at_group_max": q_rows_at_group_max,

@@ -282,16 +282,10 @@ def test_three_shifted_waves_are_a_hue_circle(spark):
 
 
 def test_numbers_that_are_not_plain(spark):
-    from lumen.functions.numeric import exact_avg, exact_sum, snap
+    from lumen.functions.numeric import snap
+
     def frame(*xs):
         return spark.createDataFrame([(float(x) if x is not None else None,) for x in xs], "x double")
-    assert frame(0.004, 0.004, 0.004).agg(exact_avg("x")).first()[0] == 0.004
-    assert frame(0.1, 0.2, None).agg(exact_sum("x")).first()[0] == 0.3
-    assert math.isnan(frame(1, "nan").agg(exact_avg("x")).first()[0])
-    assert frame(1, 1e13).agg(exact_sum("x")).first()[0] == 1e13 + 1
-    assert frame(1, "inf").agg(exact_sum("x")).first()[0] == math.inf
-    assert frame(None).agg(exact_sum("x"), exact_avg("x")).first()[:] == (None, None)
-    assert repr(frame(-0.0, 0.0, -0.0).agg(exact_sum("x")).first()[0]) == "0.0"
     got = [r[0] for r in frame("nan", 1e13, "inf", "-inf", None, 0.1234567, -2.5).select(snap("x")).collect()]
     assert math.isnan(got[0]) and got[1:] == [1e13, math.inf, -math.inf, None, 0.123457, -2.5]
 

@@ -42,11 +42,16 @@ def test_parameters_are_scalar_subqueries(plans, name):
     assert "Subquery" in plans[name] or "subquery" in plans[name]
 
 
-@pytest.mark.parametrize("name", ["nearest_zone", "nearest_centroid"])
-def test_match_folds_inside_blocks(plans, name):
-    assert "NestedLoopJoin" not in plans[name]         # probes meet blocks by an equi-join
+@pytest.mark.parametrize("name", ["nearest_zone", "nearest_centroid", "nearest_supplied_part"])
+def test_match_makes_no_pair_rows(plans, name):
+    assert "NestedLoopJoin" not in plans[name]
     assert "Window" not in plans[name].split("\n\n")[0]  # no top-1 over pair rows
-    assert plans[name].count("aggregate(entries") == 1  # the fold is evaluated once per row and block
+    assert "Generate" not in plans[name].split("\n\n")[0] or name == "nearest_supplied_part"
+
+
+@pytest.mark.parametrize("name", ["vec_remove_direction", "plane_projection", "nearest_zone", "nearest_centroid"])
+def test_vector_means_make_no_row_for_each_element(plans, name):
+    assert "posexplode" not in plans[name]
 
 
 def test_scans_read_only_needed_columns(plans):

@@ -1,7 +1,6 @@
 """Properties of the registered queries on the smoke tables."""
 
 import datetime as dt
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,17 +117,18 @@ def test_cooldown_chain_by_hand(spark):
 def test_route_forms_agree_on_events(spark):
     from pyspark.sql import functions as F
 
-    from lumen.functions.numeric import as_decimal
+    from lumen.functions.numeric import snap
+    from lumen.operators.exact import exact_sums
     from lumen.operators.route import route_and_union
     ev = load(spark, SF001, "events", "event_type", "value")
 
     def times(factor):
-        return lambda d: d.withColumn("amount", (as_decimal("value") * F.lit(Decimal(factor))).cast("decimal(24,8)"))
+        return lambda d: d.withColumn("amount", F.col("value") * F.lit(factor))
 
     def flat(amount):
-        return lambda d: d.withColumn("amount", F.lit(Decimal(amount)).cast("decimal(24,8)"))
-    branches = [("purchase", F.col("event_type") == "purchase", times("0.7")), ("view", F.col("event_type") == "view", times("0.01")),
-                ("click", F.col("event_type") == "click", flat("0.05"))]
-    unioned = route_and_union(ev, branches, ("other", flat("0")))
-    per_route = unioned.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("total"))
+        return lambda d: d.withColumn("amount", F.lit(amount))
+    branches = [("purchase", F.col("event_type") == "purchase", times(0.7)), ("view", F.col("event_type") == "view", times(0.01)),
+                ("click", F.col("event_type") == "click", flat(0.05))]
+    unioned = route_and_union(ev, branches, ("other", flat(0.0)))
+    per_route = exact_sums(unioned, ["route"], {"total": "amount"}).select("route", F.col("n_rows").alias("n"), snap("total").alias("total"))
     assert rows_of(per_route) == rows_of(E.queries()["route_and_union"](spark, SF001))
