@@ -10,8 +10,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from lumen.operators.lineage import cut
 
@@ -40,3 +46,31 @@ def global_line_numbers(df: DataFrame, order: list[str], *, start: int = 1, n_pa
     out = ranged.join(F.broadcast(offsets), "__pid")
     return out.select(*df.columns,
                       (F.col("__mid") - F.col("__m0") + F.col("__off") + F.lit(start)).alias(name))
+
+
+def running_total(df: DataFrame, order: list[str], value: str, name: str, number: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` (bigint) over the rows before in the order, and ``number``,
+    the count of them, from 0.
+
+    Rows are range-partitioned and sorted; each task adds up its own rows in order, and one row for
+    each partition gives what comes before it.  The order must be total up to equal values.
+    """
+    schema = StructType([*df.schema.fields, StructField("__pid", IntegerType()), StructField("__sum", LongType()), StructField("__no", LongType())])
+    at = df.columns.index(value)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, rows, pid = 0, 0, TaskContext.get().partitionId()
+        for batch in batches:
+            values = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            upto = before + np.cumsum(values)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(values), pid, np.int32)), pa.array(upto - values),
+                                              pa.array(rows + np.arange(len(values)))], names=schema.names)
+            before, rows = int(upto[-1]) if len(upto) else before, rows + len(values)
+
+    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema))
+    parts = ranged.groupBy("__pid").agg(F.max(F.col("__sum") + F.col(value)).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: bounded by the partition count, so broadcasting it is safe
+    offsets = parts.select("__pid", F.coalesce(F.sum("__s").over(w), F.lit(0)).alias("__s0"), F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__n0"))
+    return (ranged.join(F.broadcast(offsets), "__pid")
+            .select(*df.columns, (F.col("__sum") + F.col("__s0")).alias(name), (F.col("__no") + F.col("__n0")).alias(number)))

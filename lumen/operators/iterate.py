@@ -55,6 +55,27 @@ def frontier_loop(seed: DataFrame, step: Callable[[DataFrame, int], DataFrame],
     return union_all(rounds)
 
 
+def branching(branches: list[tuple[Column, Callable[[DataFrame, int], DataFrame]]], *,
+              otherwise: Callable[[DataFrame, int], DataFrame] | None = None) -> Callable[[DataFrame, int], DataFrame]:
+    """A step for :func:`frontier_loop` made of branches of different shape.
+
+    Each row of the frontier goes to the first branch whose condition holds (null does not), the
+    rest to ``otherwise`` (terminal rows) or nowhere.  A branch is a step of its own, with its own
+    joins; all return the same columns.  The frontier is the written round, so each branch is one
+    scan of that table with its filter, and nothing is computed twice.
+    """
+    def step(frontier: DataFrame, r: int) -> DataFrame:
+        out, left = [], F.lit(True)
+        for condition, branch in branches:
+            holds = F.coalesce(condition, F.lit(False))
+            out.append(branch(frontier.where(left & holds), r))
+            left = left & ~holds
+        if otherwise is not None:
+            out.append(otherwise(frontier.where(left), r))
+        return union_all(out)
+    return step
+
+
 def redraw_until_accepted(keys: DataFrame, key: str, *, draw: Callable[[Column], Column],
                           accept: Callable[[DataFrame], DataFrame], batch: int = 4,
                           max_batch: int = 256, max_rounds: int = 10_000) -> DataFrame:

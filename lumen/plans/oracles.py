@@ -227,6 +227,44 @@ b AS (SELECT s_suppkey, round, draws, p_partkey, balance - p_retailprice AS bala
       FROM d JOIN part ON p_partkey = candidate WHERE p_size <= {Q.REDRAW_MAX_SIZE})
 SELECT s_suppkey, 0 AS round, NULL::BIGINT AS draws, NULL::BIGINT AS p_partkey, {S('s_acctbal')} AS balance, s_acctbal >= 0 AS active FROM supplier
 UNION ALL SELECT s_suppkey, round, draws, p_partkey, {S('balance')}, balance >= 0 AND round < {Q.RESTOCK_ROUNDS} FROM b
+""",
+
+    "event_walk": f"""
+WITH RECURSIVE e AS (SELECT event_id, user_id, ts, event_type AS kind, floor(value / {Q.VALUE_CLASS})::BIGINT AS class,
+                            lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS following FROM events),
+m AS (SELECT class, max({{'user_id': user_id, 'ts': ts, 'event_id': event_id}}).event_id AS latest FROM e GROUP BY class),
+w(walk, depth, event_id, kind, class, active) AS (
+  SELECT event_id, 0, event_id, kind, class, true FROM e WHERE kind = 'signup'
+  UNION ALL
+  SELECT s.walk, s.depth + 1, t.event_id, coalesce(t.kind, 'end'), t.class, t.event_id IS NOT NULL AND s.depth + 1 < {Q.WALK_STEPS}
+  FROM (SELECT w.*, w.kind IN ('view', 'signup', 'click', 'purchase') AS goes,
+               CASE WHEN w.kind IN ('view', 'signup') THEN e.following WHEN w.kind = 'click' THEN w.event_id + {Q.CLICK_STRIDE} ELSE m.latest END AS next_id
+        FROM w LEFT JOIN e ON e.event_id = w.event_id LEFT JOIN m ON m.class = w.class AND w.kind = 'purchase' WHERE w.active) s
+  LEFT JOIN e t ON t.event_id = s.next_id AND s.goes
+  WHERE NOT s.goes OR t.event_id IS NOT NULL
+)
+SELECT walk, depth, event_id, kind, active FROM w
+""",
+
+    # the same construction by running sums over all items at once
+    "supplier_draws": f"""
+WITH i AS (SELECT s_suppkey AS item, greatest(round(s_acctbal * 100)::BIGINT, 0) AS weight FROM supplier),
+p AS (SELECT item, weight, count(*) OVER () AS n, (sum(weight) OVER ())::BIGINT AS w FROM i WHERE weight > 0),
+u AS (SELECT item, n * weight AS units, n, w FROM p),
+l AS (SELECT item, w - units AS gap, (sum(w - units) OVER (ORDER BY item))::BIGINT - (w - units) AS gap_at, row_number() OVER (ORDER BY item) - 1 AS slot
+      FROM u WHERE units <= w),
+h AS (SELECT item, (sum(units - w) OVER (ORDER BY item))::BIGINT AS high, row_number() OVER (ORDER BY item) AS rank, lead(item) OVER (ORDER BY item) AS next,
+             (sum(units - w) OVER (ORDER BY item))::BIGINT - (units - w) AS low FROM u WHERE units > w),
+s AS (
+  SELECT slot, (SELECT any_value(w) FROM u) - gap AS own, l.item, CASE WHEN gap = 0 THEN l.item ELSE h.item END AS other
+  FROM l LEFT JOIN h ON h.low <= l.gap_at AND l.gap_at < h.high
+  UNION ALL
+  SELECT (SELECT count(*) FROM l) + rank - 1, (SELECT any_value(w) FROM u) - coalesce((SELECT min(gap_at + gap) FROM l WHERE gap_at < high AND high < gap_at + gap) - high, 0),
+         item, coalesce(next, item) FROM h),
+o AS (SELECT o_orderkey, floor({U('supplier', 'o_orderkey', "'slot'")} * (SELECT any_value(n) FROM u))::BIGINT AS slot,
+             {U('supplier', 'o_orderkey', "'unit'")} * (SELECT any_value(w) FROM u)::DOUBLE AS unit FROM orders)
+SELECT CASE WHEN unit < own THEN item ELSE other END AS s_suppkey, count(*) AS n_orders, min(o_orderkey) AS first_order
+FROM o JOIN s USING (slot) GROUP BY 1
 """,
 
     "instalment_plan": f"""
@@ -421,5 +459,11 @@ SELECT 0::BIGINT AS line_no, '{"|".join(Q.NATION_COLUMNS)}' AS line
 UNION ALL
 SELECT row_number() OVER (ORDER BY n_nationkey) AS line_no, concat_ws('|', {", ".join(Q.NATION_COLUMNS)}) AS line
 FROM nation
+""",
+
+    "lineitem_export": """
+WITH t AS (SELECT l_orderkey, l_linenumber, concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, strftime(l_shipdate, '%Y-%m-%d')) AS line FROM lineitem)
+SELECT row_number() OVER o - 1 AS line_no, (sum(strlen(line) + 1) OVER o)::BIGINT - (strlen(line) + 1) AS byte_start, line
+FROM t WINDOW o AS (ORDER BY l_orderkey, l_linenumber, line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """,
 }

@@ -16,17 +16,19 @@ from lumen.functions.draws import by_cut_points, keyed_index, keyed_uniform
 from lumen.functions.numeric import snap
 from lumen.functions.shapes import guarded_inverse, guarded_sqrt, parity_even, quantize_sqrt, triangle_wave
 from lumen.operators.assemble import global_line_numbers, ordered_concat
+from lumen.operators.alias import alias_table, drawn
 from lumen.operators.deal import folds
 from lumen.operators.exact import exact_means, exact_sums
-from lumen.operators.iterate import frontier_loop, redraw_until_accepted
+from lumen.operators.iterate import branching, frontier_loop, redraw_until_accepted
 from lumen.operators.lineage import cut, write_round
-from lumen.operators.metric import nearest_valid
+from lumen.operators.metric import BLOCK, nearest_valid
 from lumen.operators.ranges import range_join
 from lumen.operators.recurse import recursed
 from lumen.operators.relax import cheapest_paths
 from lumen.operators.route import route
 from lumen.operators.sequence import first_match_after, with_following, with_next_row
 from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max
+from lumen.sources.export import with_offsets
 from lumen.sources.tables import load
 
 # ---- fixed values of the queries -------------------------------------------------------
@@ -51,6 +53,7 @@ ERROR_GAP_US = 60_000_000                            # O12: more than 60 s
 QUANT_LEVELS = 255                                   # O24
 SIZE_SCALE, REACH = 10.0, 4.0                         # nearest_supplied_part: size against price, least reach
 START_NATION = 0                                     # cheapest_supply
+WALK_STEPS, CLICK_STRIDE, VALUE_CLASS = 5, 17, 10.0  # event_walk
 LEAST_INSTALMENT = 500_000                           # instalment_plan: cents
 FOLDS = 5                                            # document_folds
 RESTOCK_ROUNDS = 6                                   # restock_walk: most purchases
@@ -180,6 +183,54 @@ def q_cooldown_chain(spark, sf_dir):
     return rows.select("journey_id", "depth", "event_id", snap("weight").alias("weight"), "active")
 
 
+def q_event_walk(spark, sf_dir):
+    """From every signup a walk whose steps differ by what it stands on, each with a join of its own.
+
+    From a view or a signup to the user's next event; from a click ``CLICK_STRIDE`` event ids on,
+    whoever's event that is; from a purchase to the latest event of the user of greatest id that
+    has the same value class; from anything else nowhere: the walk ends with a row that says so.
+    """
+    ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    following = with_next_row(ev.select("event_id", "ts", "user_id", "event_type"), "user_id", "ts", "event_id", [])
+    following = cut(following.where("next_event_id IS NOT NULL").select("event_id", F.col("next_event_id").alias("to")))
+    kinds = ev.select(F.col("event_id").alias("to"), F.col("event_type").alias("kind"), value_class("value").alias("class"))
+    latest = ev.groupBy(value_class("value").alias("class")).agg(F.max(F.struct("user_id", "ts", "event_id"))["event_id"].alias("to"))
+    seed = (ev.where(F.col("event_type") == "signup")
+            .select(F.col("event_id").alias("walk"), F.lit(0).alias("depth"), "event_id", F.col("event_type").alias("kind"),
+                    value_class("value").alias("class"), F.lit(True).alias("active")))
+
+    def arrived(steps: DataFrame) -> DataFrame:
+        depth = F.col("depth") + 1
+        return (steps.select("walk", "depth", "to").join(kinds, "to")
+                .select("walk", depth.alias("depth"), F.col("to").alias("event_id"), "kind", "class", (depth < WALK_STEPS).alias("active")))
+
+    def ended(rows: DataFrame, _r: int) -> DataFrame:
+        return rows.select("walk", (F.col("depth") + 1).alias("depth"), F.lit(None).cast("bigint").alias("event_id"), F.lit("end").alias("kind"),
+                           F.lit(None).cast("bigint").alias("class"), F.lit(False).alias("active"))
+
+    step = branching([
+        (F.col("kind").isin("view", "signup"), lambda rows, r: arrived(rows.join(following, "event_id"))),
+        (F.col("kind") == "click", lambda rows, r: arrived(rows.withColumn("to", F.col("event_id") + CLICK_STRIDE))),
+        (F.col("kind") == "purchase", lambda rows, r: arrived(rows.join(latest, "class"))),
+    ], otherwise=ended)
+    return (frontier_loop(seed, step, active=F.col("active"), max_rounds=WALK_STEPS)
+            .select("walk", "depth", "event_id", "kind", "active"))
+
+
+def value_class(value: str):
+    return F.floor(F.col(value) / VALUE_CLASS).cast("bigint")
+
+
+def q_supplier_draws(spark, sf_dir):
+    """A supplier for each order, drawn by balance: suppliers with 0 or less are never drawn."""
+    supplier = load(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal")
+    weights = supplier.select(F.col("s_suppkey").alias("item"), F.greatest(F.round(F.col("s_acctbal") * 100).cast("bigint"), F.lit(0)).alias("weight"))
+    table, slots, each = alias_table(weights)
+    orders = load(spark, sf_dir, "orders", "o_orderkey")
+    picked = drawn(orders, "o_orderkey", table, slots, each, "supplier")
+    return picked.groupBy(F.col("item").alias("s_suppkey")).agg(F.count(F.lit(1)).alias("n_orders"), F.min("o_orderkey").alias("first_order"))
+
+
 # ---- O2: redraw until accepted ----------------------------------------------------------
 
 def q_redraw_until_accept(spark, sf_dir):
@@ -322,7 +373,7 @@ def _centroids(emb: DataFrame) -> tuple[DataFrame, int]:
     return write_round(V.mean_vectors(emb.select("label", V.as_double("embedding").alias("v")), ["label"], "v"))
 
 
-def q_nearest_zone(spark, sf_dir):
+def q_nearest_zone(spark, sf_dir, block_rows: int = BLOCK):
     """Each vector's nearest zone among those it lies in.
 
     A zone is a label's mean vector with the label's mean distance from it as radius, so radii
@@ -334,15 +385,15 @@ def q_nearest_zone(spark, sf_dir):
     spread = (v.join(centroids, "label").select("label", F.sqrt(V.sqdist("v", "centroid")).alias("d"))
               .groupBy("label").agg(snap(F.avg("d")).alias("radius")))
     zones = centroids.join(spread, "label").select(F.col("label").alias("zone"), "centroid", "radius")
-    best = nearest_valid(v, "vec_id", "v", zones, order_key="zone", vector="centroid", radius="radius", item="zone")
+    best = nearest_valid(v, "vec_id", "v", zones, order_key="zone", vector="centroid", radius="radius", item="zone", block=block_rows)
     return best.select("vec_id", "zone", snap("score").alias("distance"))
 
 
-def q_nearest_centroid(spark, sf_dir):
+def q_nearest_centroid(spark, sf_dir, block_rows: int = BLOCK):
     emb = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     centroids, _ = _centroids(emb)
     best = nearest_valid(emb, "vec_id", "embedding", centroids.withColumnRenamed("label", "nearest"), order_key="nearest", vector="centroid",
-                         item="nearest", carry=["label"])
+                         item="nearest", carry=["label"], block=block_rows)
     return best.groupBy("label", "nearest").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -586,6 +637,14 @@ def q_framed_export(spark, sf_dir):
     return framed_lines(spark, sf_dir)
 
 
+def q_lineitem_export(spark, sf_dir):
+    """All lineitems as one text in order, each line with its number and the byte where it begins."""
+    li = load(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate")
+    fields = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")]
+    lines = li.select("l_orderkey", "l_linenumber", F.concat_ws("|", *fields, _day("l_shipdate")).alias("line"))
+    return with_offsets(lines, ["l_orderkey", "l_linenumber"], "line").select("line_no", "byte_start", "line")
+
+
 QUERIES = {
     "journey_trace": q_journey_trace,
     "cooldown_chain": q_cooldown_chain,
@@ -603,7 +662,9 @@ QUERIES = {
     "shipments_in_window": q_shipments_in_window,
     "cheapest_supply": q_cheapest_supply,
     "restock_walk": q_restock_walk,
+    "event_walk": q_event_walk,
     "instalment_plan": q_instalment_plan,
+    "supplier_draws": q_supplier_draws,
     "document_folds": q_document_folds,
     "next_event_after": q_next_event_after,
     "latest_per_key": q_latest_per_key,
@@ -623,4 +684,5 @@ QUERIES = {
     "parity_cells": q_parity_cells,
     "ordered_documents": q_ordered_documents,
     "framed_export": q_framed_export,
+    "lineitem_export": q_lineitem_export,
 }

@@ -299,3 +299,83 @@ def test_matches_write_probes_not_candidates(spark):
         return held() - before
     left_by(100)
     assert left_by(60_000) < 3 * left_by(2_000) + 20_000
+
+
+# ---- branches, alias tables, running sums and documents --------------------------------------
+
+def test_branches_take_each_row_once(spark):
+    from lumen.operators.iterate import branching
+    seed = spark.createDataFrame([(k, k % 4 if k % 5 else None, 0, True) for k in range(20)], "k long, kind long, depth int, active boolean")
+    other = spark.createDataFrame([(0, 1), (1, 2)], "kind long, next long")
+    nothing = F.lit(None).cast("long")
+
+    def joined(rows, r):
+        return rows.join(other, "kind").select("k", F.col("next").alias("kind"), F.lit(r).alias("depth"), F.lit(True).alias("active"))
+
+    def grouped(rows, r):
+        return rows.groupBy("k").agg(F.max("kind").alias("kind")).select("k", (F.col("kind") + 1).alias("kind"), F.lit(r).alias("depth"), F.lit(True).alias("active"))
+
+    def ended(rows, r):
+        return rows.select("k", nothing.alias("kind"), F.lit(r).alias("depth"), F.lit(False).alias("active"))
+    step = branching([(F.col("kind") < 2, joined), (F.col("kind") == 2, grouped), (F.col("kind") <= 2, ended)], otherwise=ended)
+    got = sorted(((r.k, r.depth, r.kind, r.active) for r in frontier_loop(seed, step, active=F.col("active"), max_rounds=6).collect()), key=str)
+    want = []
+    for k in range(20):
+        kind = k % 4 if k % 5 else None
+        want.append((k, 0, kind, True))
+        depth = 0
+        while kind in (0, 1, 2):
+            depth, kind = depth + 1, kind + 1
+            want.append((k, depth, kind, True))
+        want.append((k, depth + 1, None, False))
+    assert got == sorted(want, key=str)
+
+
+WEIGHTS = [[5], [1, 1, 1], [0, 3, 0, 7, 1], [1, 1, 1, 1, 96], [50, 50, 1, 2, 3], [10**9, 1, 10**9 + 1, 3, 5, 5, 5], [2, 4, 6, 8, 10, 12], list(range(1, 40)),
+           [1000] * 3 + [1] * 50 + [777, 5000, 2]]
+
+
+@pytest.mark.parametrize("weights", WEIGHTS)
+def test_alias_tables_hold_the_exact_shares(spark, weights):
+    from lumen.operators.alias import alias_table
+    rows = spark.createDataFrame([(k, w) for k, w in enumerate(weights)] + [(500, None)], "item long, weight long").repartition(3)
+    table, n, each = alias_table(rows)
+    slots = table.collect()
+    assert n == sum(w > 0 for w in weights) == len(slots) and sorted(r.slot for r in slots) == list(range(n)) and each == sum(weights)
+    share = defaultdict(int)
+    for r in slots:
+        assert 0 <= r.own <= each
+        share[r.item] += r.own
+        share[r.other] += each - r.own
+    assert {k: s for k, s in share.items() if s} == {k: n * w for k, w in enumerate(weights) if w}
+
+
+def test_alias_draws_follow_the_weights(spark):
+    from lumen.operators.alias import alias_table, drawn
+    weights = [1, 2, 3, 10, 30, 54]
+    rows = spark.createDataFrame(list(enumerate(weights)), "item long, weight long")
+    table, n, each = alias_table(rows)
+    counts = {r.item: r["count"] for r in drawn(spark.range(20_000), "id", table, n, each, "t").groupBy("item").count().collect()}
+    chi = sum((counts.get(k, 0) - 200 * w) ** 2 / (200 * w) for k, w in enumerate(weights))
+    assert sum(counts.values()) == 20_000 and chi < 25
+    for bad, match in (([(1, -1)], "negative"), ([(1, 0)], "no item"), ([(1, 2**62), (2, 2**62)], "below")):
+        with pytest.raises(ValueError, match=match):
+            alias_table(spark.createDataFrame(bad, "item long, weight long"))
+
+
+def test_documents_of_many_files(spark, tmp_path):
+    from lumen.sources.export import with_offsets, write_document
+    rows = [(k % 7, f"line {k} é" * (k % 4)) for k in range(300)] + [(3, None)] + [(1, "same")] * 40
+    lines = spark.createDataFrame(rows, "k long, line string").repartition(5)
+    index = write_document(lines, ["k"], "line", str(tmp_path / "doc")).orderBy("file").collect()
+    files = sorted((tmp_path / "doc").glob("part-*.txt"))
+    parts = {int(f.name[5:10]): f.read_bytes() for f in files}
+    whole = b"".join(parts[k] for k in sorted(parts))
+    assert whole == b"".join((t or "").encode() + b"\n" for _, t in sorted(rows, key=lambda r: (r[0], r[1] is not None, (r[1] or "").encode())))
+    for r in index:
+        assert len(parts[r.file]) == r.bytes and whole[r.byte_start:r.byte_start + r.bytes] == parts[r.file]
+        assert whole[:r.byte_start].count(b"\n") == r.line_no and parts[r.file].count(b"\n") == r.lines
+    for r in with_offsets(lines, ["k"], "line").collect():
+        text = (r.line or "").encode()
+        assert whole[r.byte_start:r.byte_start + len(text) + 1] == text + b"\n"
+    assert with_offsets(lines.where("false"), ["k"], "line").count() == 0
