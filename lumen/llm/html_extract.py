@@ -17,7 +17,8 @@ with names blanked out, so the trees learn to do without them, and once more wit
 and number of siblings drawn from other blocks, so that they don't learn one site's layout.
 
 Defined cases: null html is the empty page, whose text is empty; unclosed and unknown tags,
-truncated pages and plain text are parsed leniently; without any page to learn from, blocks
+truncated pages and plain text are parsed leniently; a slash does not end a script or another raw
+element, as in HTML; without any page to learn from, blocks
 named as furniture are dropped and the others kept; rows are independent, so ties, repeated
 rows and other columns do not matter.  Pages are read whole.
 """
@@ -41,6 +42,8 @@ SAMPLE, LONGEST_SAMPLE = 400, 100_000
 SAMPLED_BLOCKS = 500
 #: Log-odds of a block that a name speaks for or against.
 NAMED = 6.0
+#: Words, share of linked characters and stops a word of prose that outvotes an ambiguous name.
+PROSE_WORDS, PROSE_LINKED, PROSE_STOPS = 120, 0.1, 0.04
 #: Pages decoded together.
 SLICE = 64
 
@@ -57,12 +60,16 @@ FURNITURE_TAGS = set("nav header footer aside form menu dialog address".split())
 FURNITURE = set("""ad ads advert adverts advertisement aside banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright
 discussion footer form gdpr header login menu meta modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted
 related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe tags teaser toolbar widget""".split())
+#: Of these, words that also head prose (related work, a social history, a meta-analysis).
+AMBIGUOUS = set("header meta related share social tags".split())
 CONTENT_TAGS = {"article", "main"}
 CONTENT = set("article content main body post entry story text".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>"
     r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*+)([^>]*+)>|<[a-zA-Z/!?][^>]*+\Z|[^<]++|<", re.S)
+#: A tag that ends in a slash of its own, not in that of an unquoted value.
+EMPTY = re.compile(r"(?:\A|[\s\"'])/\Z")
 NAMES = re.compile(r"(?:\bclass|\bid|\brole|\bitemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -156,11 +163,11 @@ def parse(page: str) -> tuple[list[Block], list[tuple[Block, str]]]:
             if tag != "hr":
                 block = inner
                 stack.append((tag, inner))
-        elif not attributes.endswith("/"):
-            if tag in RAW:
-                end = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
-                continue
+        elif tag in RAW:
+            # a slash does not end these, unless nothing else does
+            end = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
+            at = end.end() if end else at if EMPTY.search(attributes) else len(page)
+        elif not EMPTY.search(attributes):
             stack.append((tag, block))
             unseen += tag in UNSEEN
             links += tag == "a"
@@ -172,6 +179,28 @@ def named(block: Block, tags: set[str], tokens: set[str]) -> int:
     return (block.tag in tags) + sum(w.lower() in tokens for w in WORDS.findall(block.names)) if block.names else int(block.tag in tags)
 
 
+def furniture_named(blocks: list[Block]) -> list[int]:
+    """How many names speak of furniture in each block.
+
+    Ambiguous words do not count where a block inside content holds prose: as many words as
+    ``PROSE_WORDS``, with stops and hardly a link.  The trees judge such a block by its shape.
+    """
+    order = {id(b): k for k, b in enumerate(blocks)}
+    sums = [[b.own, b.linked, b.stops, b.words] for b in blocks]
+    for k in range(len(blocks) - 1, 0, -1):
+        above = sums[order[id(blocks[k].parent)]]
+        for j in range(4):
+            above[j] += sums[k][j]
+    inside, out = [False] * len(blocks), []
+    for k, b in enumerate(blocks):
+        chars, linked, stops, words = sums[k]
+        up = order[id(b.parent)] if b.parent else 0
+        inside[k] = inside[up] or b.tag in CONTENT_TAGS
+        prose = inside[up] and words >= PROSE_WORDS and linked <= PROSE_LINKED * chars and stops >= PROSE_STOPS * words
+        out.append(named(b, FURNITURE_TAGS, FURNITURE - AMBIGUOUS if prose else FURNITURE))
+    return out
+
+
 def describe(blocks: list[Block], blank: bool = False) -> np.ndarray:
     """The features of a page's blocks; blank: as if no tag or attribute named a purpose."""
     order = {id(b): k for k, b in enumerate(blocks)}
@@ -181,7 +210,7 @@ def describe(blocks: list[Block], blank: bool = False) -> np.ndarray:
     below = own.copy()
     for k in range(n - 1, 0, -1):
         below[up[k]] += below[k]
-    furniture = np.array([0 if blank else named(b, FURNITURE_TAGS, FURNITURE) for b in blocks], float)
+    furniture = np.zeros(n) if blank else np.array(furniture_named(blocks), float)
     content = np.array([0 if blank else named(b, CONTENT_TAGS, CONTENT) for b in blocks], float)
     above_furniture, above_content = np.zeros(n), np.zeros(n)
     siblings, place = np.ones(n), np.zeros(n)
@@ -226,11 +255,11 @@ def weak_labels(blocks: list[Block]) -> np.ndarray | None:
     if not roots or not size.max():
         return None
     root = max(roots, key=lambda k: (size[k], -k))
-    labels = np.zeros(len(blocks), bool)
+    labels, furniture = np.zeros(len(blocks), bool), furniture_named(blocks)
     labels[root] = True
     for k in range(root + 1, len(blocks)):
         b = blocks[k]
-        labels[k] = labels[order[id(b.parent)]] and not named(b, FURNITURE_TAGS, FURNITURE)
+        labels[k] = labels[order[id(b.parent)]] and not furniture[k]
     b = blocks[root].parent
     while b:
         labels[order[id(b)]] = True

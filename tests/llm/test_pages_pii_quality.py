@@ -298,3 +298,29 @@ def test_decontamination_stage_keeps_clean_rows_without_id(spark):
     got = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs.union(leaked), SF001)
     assert len(rows) - 1 in bad and sum(i is None and k not in bad for k, (i, _) in enumerate(rows)) > 3
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted((r for k, r in enumerate(rows) if k not in bad), key=str)
+
+
+@pytest.mark.parametrize("script", ['<script src="x"/>var leak=1;</script>', "<script src=/x/>var leak=1;</script>", "<style/>p {}</style>",
+                                    "<button data=/x/>leak</button>", "<iframe src='x' />leak</iframe>"])
+def test_a_slash_does_not_end_a_raw_element(script):
+    _, pieces = html_extract.parse(f"<p>a</p>{script}<p>b</p>")
+    assert [t for _, t in pieces] == ["a", "b"]
+    _, pieces = html_extract.parse("<p>a</p><script src='x' /><p>b <a href=/y/>c</a></p>")
+    assert [t for _, t in pieces] == ["a", "b c"]
+
+
+def test_long_prose_outvotes_an_ambiguous_name(spark):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+    model = html_extract.train(pages)
+    sentence = "The {0} of the valley grew from a few farms, and by {0} winters later it had a school of its own."
+    prose = "".join(f"<p>{sentence.format(k)}</p>" for k in range(20))
+    start = "".join(f"<p>{sentence.format(k)}</p>" for k in range(50, 56))
+
+    def kept(name, inner):
+        page = f"<html><body><nav><a href='/'>Home</a></nav><article><h1>A valley</h1>{start}<div class='{name}'>{inner}</div></article></body></html>"
+        return html_extract.extract([page], model)[0]
+    for name in ("related-work", "social-history", "tags", "meta-analysis", "chapter"):
+        assert all(sentence.format(k) in kept(name, prose) for k in range(20)), name
+    links = "".join(f"<li><a href='/{k}'>More about the valley {k}</a></li>" for k in range(30))
+    for name, inner in (("related", f"<ul>{links}</ul>"), ("comments", prose), ("sidebar", prose), ("tags", "<a href='/t'>valley</a>")):
+        assert "More about" not in kept(name, inner) and sentence.format(3) not in kept(name, inner) and "valley</a>" not in kept(name, inner), name
