@@ -1,11 +1,12 @@
 """Range join: points x against intervals low <= x < high, as one equi-join.
 
 An interval of length up to 2^k lies in at most two cells of size 2^k.  Each interval goes to its
-own level k and to the one or two cells it touches there; each point goes to its cell at every
-level that any interval uses (at most 64, read off the intervals).  Short and long intervals so
+own level k, the next even one (a level more for points costs more than a wider cell), and to the
+one or two cells it touches there; each point goes to its cell at every level that any interval
+uses (at most 33, read off the intervals).  Short and long intervals so
 share one equi-join on (keys, level, cell), and a recheck keeps the exact range.  A point lies in
-one cell of a level, so no pair is made twice.  The rows joined are at most four times the
-pairs of a uniform table, and an interval that covers everything is one row, not one for each cell.
+one cell of a level, so no pair is made twice, and an interval that covers everything is one row
+or two, not one for each cell.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ LEVEL, CELL = "__level", "__cell"
 def with_cells(intervals: DataFrame, low: str, high: str) -> DataFrame:
     """The non-empty intervals with level and cell, a row for each cell."""
     held = intervals.where(F.col(low) < F.col(high))
-    # the number of bits of length - 1: the least k with length <= 2^k
+    # the number of bits of length - 1: the least k with length <= 2^k; from there the next even one
     last = F.col(high) - F.col(low) - 1
-    held = held.withColumn(LEVEL, F.when(last == 0, F.lit(0)).otherwise(F.length(F.bin(last))))
+    bits = F.when(last == 0, F.lit(0)).otherwise(F.length(F.bin(last)))
+    held = held.withColumn(LEVEL, F.least(bits + bits % 2, F.lit(63)))
     first, end = F.expr(f"shiftright(`{low}`, {LEVEL})"), F.expr(f"shiftright(`{high}` - 1, {LEVEL})")
     return held.withColumn(CELL, F.explode(F.array_distinct(F.array(first, end))))
 
@@ -34,7 +36,7 @@ def range_join(points: DataFrame, intervals: DataFrame, *, point: str, low: str,
     """
     keys = list(on or [])
     cells = with_cells(intervals, low, high)
-    levels = sorted(r[0] for r in cells.select(LEVEL).distinct().collect())          # at most 64
+    levels = sorted(r[0] for r in cells.select(LEVEL).distinct().collect())          # at most 33
     if not levels:
         return points.join(intervals.where("false"), keys) if keys else points.crossJoin(intervals.limit(0))
     places = F.array(*[F.struct(F.lit(k).alias(LEVEL), F.shiftright(point, k).alias(CELL)) for k in levels])
