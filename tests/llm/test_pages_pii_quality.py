@@ -324,3 +324,48 @@ def test_long_prose_outvotes_an_ambiguous_name(spark):
     links = "".join(f"<li><a href='/{k}'>More about the valley {k}</a></li>" for k in range(30))
     for name, inner in (("related", f"<ul>{links}</ul>"), ("comments", prose), ("sidebar", prose), ("tags", "<a href='/t'>valley</a>")):
         assert "More about" not in kept(name, inner) and sentence.format(3) not in kept(name, inner) and "valley</a>" not in kept(name, inner), name
+
+
+def plain_score(text, model):
+    """The score of a text, piece by piece with fresh compressors, in plain arithmetic."""
+    import math
+
+    import zstandard
+    data = (text or "").encode()
+    sizes = []
+    for d in (model["good"], model["bad"], None):
+        more = {"dict_data": zstandard.ZstdCompressionDict(d)} if d else {}
+        total = 2
+        for at in range(0, len(data), 1000):
+            c = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, write_dict_id=False, **more)
+            total += len(c.compress(data[at:at + 1000])) - 2
+        sizes.append(total)
+    good, bad, plain = sizes
+    d, r = (bad - good) / (bad + good), math.log((plain + 2) / (len(data) + 2))
+    z = model["coefficients"][0]
+    for x, mean, deviation, c in zip((d, r, d * d, r * r, d * r), model["mean"], model["deviation"], model["coefficients"][1:], strict=True):
+        z += c * (x - mean) / deviation
+    return 1 / (1 + math.exp(-z))
+
+
+def test_quality_scores_equal_a_plain_version(spark):
+    docs = load(spark, SF01, "documents", "doc_id", "text")
+    model = quality.train(docs, load(spark, SF01, "labels", "doc_id", "quality"))
+    got = {r.doc_id: (r.score, r.predicted) for r in QUERIES["op10_quality"](spark, SF01).collect()}
+    for r in docs.collect():
+        want = plain_score(r.text, model)
+        assert abs(got[r.doc_id][0] - want) < 1e-9
+        assert abs(want - 0.3) < 1e-9 or got[r.doc_id][1] == int(want >= 0.3)
+
+
+def test_stages_keep_rows_without_an_id_apart(spark):
+    """Rows without an id pass line dedup and near-dedup on their own, and quality judges them by their text."""
+    good = [r.text for r in load(spark, SF01, "documents", "doc_id", "text").where("doc_id < 6").orderBy("doc_id").collect()]
+    rows = [(k if k % 2 else None, t, "en", "s", len(t or "")) for k, t in enumerate([*good, good[0], good[0], None, None])]
+    docs = spark.createDataFrame(rows, load(spark, SF01, "documents").schema)
+    judged = corpus_pipeline.keep_good(spark, docs, SF01)
+    assert judged.columns == docs.columns and {r.text for r in judged.where("doc_id IS NULL").collect()} <= {t for i, t, *_ in rows if i is None}
+    assert corpus_pipeline.drop_repeated_lines(spark, docs, SF01).count() == len(rows)
+    kept = corpus_pipeline.one_of_each(spark, docs, SF01)
+    assert kept.where("doc_id IS NULL").count() == sum(i is None for i, *_ in rows)
+    assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == sorted({i for i, *_ in rows if i is not None})
