@@ -51,6 +51,8 @@ BLOCK_BYTES = 1 << 21
 HELD_WORDS, HELD_PHRASES = 400_000, 1_500_000
 #: Sequences that a uniting task gathers before it unites them.
 HELD_PATHS = 2_000_000
+#: Ranges for each shuffle partition: bounds come from a sample, and smaller ranges differ by less.
+RANGES = 2
 #: Texts, and phrases of each, drawn for the bounds of the ranges.
 BOUND_TEXTS, BOUND_PHRASES = 4000, 16
 
@@ -251,7 +253,7 @@ def bounds_of(paths: list[tuple[bytes, ...]], n: int, ranges: int) -> list[tuple
 
 def counted(docs: DataFrame, least: int) -> tuple[DataFrame, list[list[tuple[bytes, ...]]]]:
     """The united transducers of all levels, and each level's bounds."""
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     paths = sampled_paths(docs)
     levels, present, bounds = None, None, []
     for n in range(1, LONGEST + 1):
