@@ -28,6 +28,20 @@ def with_cells(intervals: DataFrame, low: str, high: str) -> DataFrame:
     return held.withColumn(CELL, F.explode(F.array_distinct(F.array(first, end))))
 
 
+def levels_of(cells: DataFrame) -> list[int]:
+    """The levels in use, at most 33."""
+    return sorted(r[0] for r in cells.select(LEVEL).distinct().collect())
+
+
+def met_in_cells(points: DataFrame, cells: DataFrame, levels: list[int], *, point: str, low: str, high: str, keys: list[str]) -> DataFrame:
+    """Points joined to the intervals of :func:`with_cells` that hold them; ``levels``: those in use."""
+    places = F.array(*[F.struct(F.lit(k).alias(LEVEL), F.shiftright(point, k).alias(CELL)) for k in levels])
+    places = places if levels else F.array().cast(f"array<struct<{LEVEL}:int,{CELL}:bigint>>")
+    spread = points.where(F.col(point).isNotNull()).select("*", F.inline(places))
+    met = spread.join(cells, [*keys, LEVEL, CELL])
+    return met.where((F.col(low) <= F.col(point)) & (F.col(point) < F.col(high))).drop(LEVEL, CELL)
+
+
 def range_join(points: DataFrame, intervals: DataFrame, *, point: str, low: str, high: str, on: list[str] | None = None) -> DataFrame:
     """Points joined to the intervals that hold them: ``low <= point < high`` and equal ``on`` columns.
 
@@ -36,10 +50,7 @@ def range_join(points: DataFrame, intervals: DataFrame, *, point: str, low: str,
     """
     keys = list(on or [])
     cells = with_cells(intervals, low, high)
-    levels = sorted(r[0] for r in cells.select(LEVEL).distinct().collect())          # at most 33
+    levels = levels_of(cells)
     if not levels:
         return points.join(intervals.where("false"), keys) if keys else points.crossJoin(intervals.limit(0))
-    places = F.array(*[F.struct(F.lit(k).alias(LEVEL), F.shiftright(point, k).alias(CELL)) for k in levels])
-    spread = points.where(F.col(point).isNotNull()).select("*", F.inline(places))
-    met = spread.join(cells, [*keys, LEVEL, CELL])
-    return met.where((F.col(low) <= F.col(point)) & (F.col(point) < F.col(high))).drop(LEVEL, CELL)
+    return met_in_cells(points, cells, levels, point=point, low=low, high=high, keys=keys)

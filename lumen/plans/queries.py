@@ -27,6 +27,7 @@ from lumen.operators.recurse import recursed
 from lumen.operators.relax import cheapest_paths
 from lumen.operators.route import route
 from lumen.operators.sequence import first_match_after, with_following, with_next_row
+from lumen.operators.timeline import timeline
 from lumen.operators.topk import dedup_by_key, latest_per_key, rows_at_group_max
 from lumen.sources.export import with_offsets
 from lumen.sources.tables import load
@@ -157,9 +158,10 @@ def q_cooldown_chain(spark, sf_dir):
     weight lost so far; an error or ``CHAIN_STEPS`` jumps end the chain.
 
     The next event depends on the carried weight, so no successor table can be made ahead:
-    every round is an as-of match of the frontier against the events, both split by range.
+    every round is an as-of match of the frontier against the events, which are put in order once.
     """
     ev = load(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    line = timeline(ev, "user_id", "ts", "event_id", ["event_type"])
     seed = (ev.where(F.col("event_type") == "signup")
             .select(F.col("event_id").alias("journey_id"), "user_id", F.lit(0).alias("depth"), "event_id", "ts",
                     F.lit(1.0).alias("weight"), F.lit(True).alias("active")))
@@ -167,19 +169,16 @@ def q_cooldown_chain(spark, sf_dir):
     def step(frontier: DataFrame, _round: int) -> DataFrame:
         lost = F.floor((F.lit(1.0) - F.col("weight")) * 10 + F.lit(1e-9)).cast("int")
         due = F.col("ts") + F.make_dt_interval(secs=((lost + 1) * CHAIN_HOUR).cast("decimal(18,6)"))
-        waiting = frontier.withColumn("due", due).select("journey_id", "user_id", "depth", "weight", "due")
-        found = first_match_after(waiting, ev, "user_id", probe_ts="due", probe_id="journey_id", cand_ts="ts", cand_id="event_id",
-                                  carry=["event_type"])
-        reached = found.where(F.col("match_id").isNotNull()).select(
-            "journey_id", F.col("match_id").alias("event_id"), F.col("match_ts").alias("ts"), F.col("match_event_type").alias("event_type"))
-        stop = F.col("event_type") == JOURNEY_STOP
+        found = line.after(frontier.select("journey_id", "user_id", "depth", "weight", due.alias("due")), "due")
+        kind = F.col("match.event_type")
+        stop = kind == JOURNEY_STOP
         depth = F.col("depth") + 1
-        return (waiting.drop("due").join(reached, "journey_id")
-                .select("journey_id", "user_id", depth.alias("depth"), "event_id", "ts",
-                        F.when(stop, F.lit(0.0)).otherwise(F.col("weight") * _journey_factor("event_type")).alias("weight"),
-                        (~F.coalesce(stop, F.lit(False)) & (depth < CHAIN_STEPS)).alias("active")))
+        return found.select("journey_id", "user_id", depth.alias("depth"), "match.event_id", "match.ts",
+                            F.when(stop, F.lit(0.0)).otherwise(F.col("weight") * _journey_factor(kind)).alias("weight"),
+                            (~F.coalesce(stop, F.lit(False)) & (depth < CHAIN_STEPS)).alias("active"))
 
     rows = frontier_loop(seed, step, active=F.col("active"), max_rounds=CHAIN_STEPS)
+    line.drop()                                          # every round is written
     return rows.select("journey_id", "depth", "event_id", snap("weight").alias("weight"), "active")
 
 

@@ -301,6 +301,54 @@ def test_matches_write_probes_not_candidates(spark):
     assert left_by(60_000) < 3 * left_by(2_000) + 20_000
 
 
+@pytest.mark.parametrize("n_splits,block", [(1, 1), (5, 3), (50, 128)])
+def test_timeline_finds_the_first_row_after(spark, monkeypatch, n_splits, block):
+    """Ties, a hot key, null keys and times, probes before the first and at or after the last row."""
+    import datetime as dt
+
+    from lumen.operators import timeline as T
+    plain = T.add_split
+    monkeypatch.setattr(T, "add_split", lambda df, key, order: plain(df, key, order, n_splits=n_splits))
+    t0, rnd = dt.datetime(2024, 1, 1), random.Random(n_splits)
+    rows = [(i, None if i % 37 == 0 else t0 + dt.timedelta(seconds=rnd.choice([rnd.randrange(60), rnd.randrange(10**6), 30])),
+             rnd.choice([0, 0, 0, 1, 2, None]), str(i)) for i in range(400)]
+    rows.append((400, t0, 3, "alone"))
+    probes = [(i, None if i % 41 == 0 else t0 + dt.timedelta(seconds=rnd.choice([-10**9, -1, rnd.randrange(70), rnd.randrange(10**6), 10**7])),
+               rnd.choice([0, 0, 1, 2, 3, 4, None])) for i in range(600)]
+    line = T.timeline(spark.createDataFrame(rows, "id long, t timestamp_ntz, k long, kind string"), "k", "t", "id", ["kind"], block=block)
+    got = {r.kind: tuple(r.match) for r in line.after(spark.createDataFrame(probes, "kind long, u timestamp_ntz, k long"), "u").collect()}
+    want = {}
+    for p, u, k in probes:
+        later = [(t, i, kind) for i, t, of, kind in rows if None not in (u, t, k) and of == k and t > u]
+        if later:
+            want[p] = min(later)
+    assert got == want
+
+
+def test_timeline_of_nothing_and_drop(spark):
+    import os
+
+    from lumen.operators.timeline import timeline
+    rows = spark.createDataFrame([], "k long, t timestamp_ntz, id long")
+    line = timeline(rows, "k", "t", "id")
+    assert line.levels == [] and line.after(rows, "t").count() == 0
+    folder = os.path.dirname(line.cells.inputFiles()[0]).removeprefix("file:").replace("///", "/") if line.cells.inputFiles() else None
+    line.drop()
+    assert folder is None or not os.path.exists(folder)
+
+
+def test_cooldown_chain_leaves_its_rounds_only(spark):
+    """The events, ordered once, are written and dropped again; no round writes them."""
+    import os
+
+    from lumen.plans import queries as Q
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    Q.q_cooldown_chain(spark, "/root/testdata/sf0.001").collect()
+    left = set(os.listdir(folder)) - before
+    assert len(left) <= Q.CHAIN_STEPS + 1 and all(name.startswith("lumen-round-") for name in left)
+
+
 # ---- branches, alias tables, running sums and documents --------------------------------------
 
 def test_branches_take_each_row_once(spark):
