@@ -1,7 +1,8 @@
 """Token ids in Arrow files of equal-length sequences.
 
 Documents are put in ascending doc_id order by a range partitioning, encoded, closed with an
-end id and laid end to end.  Each task cuts its stream into sequences of ``LENGTH`` ids and
+end id and laid end to end.  The ranges are cut by doc_id and the beginning of the text, which
+keeps that order and spreads rows that share an id (or have none) over many tasks.  Each task cuts its stream into sequences of ``LENGTH`` ids and
 writes them in the Arrow file format: record batches of ``ROWS`` sequences, each a fixed-size
 list of ids and one of mask bits (false: padding, only at the end of a file).  As every
 sequence has the same length, sequence k is row k mod ROWS of batch k div ROWS: a reader maps
@@ -13,7 +14,8 @@ twice leaves no wrong file in it.  A file's place in the whole is the sum of the
 it, from one manifest row for each file.
 
 Defined cases: null text is the empty text, whose only id is the end id; a null doc_id sorts
-first; repeated doc_ids are ordered by text; other columns are ignored; an empty table gives
+first; repeated doc_ids are ordered by text (only those whose texts also begin with the same
+``CUT_BY`` characters are sure to meet in one task); other columns are ignored; an empty table gives
 an empty manifest.
 """
 
@@ -44,6 +46,8 @@ FILE_ROWS = 1 << 16
 REMEMBERED = 60_000_000
 #: Rows encoded at a time.
 SLICE = 256
+#: Characters of a text that the ranges of equal doc_ids are cut by.
+CUT_BY = 32
 # The first letter after the Latin blocks, and ASCII punctuation that a part may end in
 # without changing how its letters are encoded.
 LATIN_END = "\u0250"
@@ -194,7 +198,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, id_col:
             yield closed()
 
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+               .repartitionByRange("doc_id", F.substring("text", 1, CUT_BY)).sortWithinPartitions("doc_id", "text"))
     manifest = f"{folder}-manifest"
     ordered.mapInArrow(run, MANIFEST).write.parquet(manifest)
     return manifest

@@ -108,6 +108,19 @@ def test_token_files_are_fixed_size_lists_read_without_a_copy(spark):
             assert batches[0].column(0).flatten().to_numpy(zero_copy_only=True) is not None
 
 
+def test_a_hot_id_is_spread_over_tasks(spark):
+    """A third of the rows have no id: several files hold them, in the order of their texts."""
+    rows = [(k if k % 3 else None, f"{k * 7919 % 3000} words of row {k}") for k in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")     # these few rows would be one task
+    try:
+        manifest = token_files.write_token_files(frame(spark, rows).repartition(8), WORD, 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(manifest).collect()
+    assert sum(r["first_doc"] is None for r in files) >= 2 and max(r["n_docs"] for r in files) < 1000
+    assert sorted((tuple(r) for r in token_files.read_token_files(spark, manifest).collect()), key=str) == expect_files(rows)
+
+
 def test_token_files_of_nothing(spark):
     manifest = token_files.write_token_files(frame(spark, []), WORD, 2)
     assert token_files.read_token_files(spark, manifest).count() == 0
