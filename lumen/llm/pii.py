@@ -2,13 +2,16 @@
 
 Base spans come from four patterns (email, ip, card, phone) with their exact checks; they are
 always returned.  Looser patterns give further candidates: spelled-out addresses, IPv6, cards
-that fail their check digit, national phone numbers.  Four labelers vote yes, no or nothing on every
-candidate: the base pattern, a format check, a gazetteer (top-level domains, issuer prefixes,
-country codes) and words in the text before it.  Expectation-maximisation on the counts of vote
-patterns (81 for each kind at most) estimates how reliable each labeler is for each kind, and
-gives every pattern a probability.  A logistic regression on kind and votes, trained on those
-probabilities, is the final span classifier; a loose candidate that it accepts and that
-overlaps no base span is added.
+that fail their check digit, national phone numbers; one that overlaps a base span is no
+candidate.  Four labelers, each with a test of its own, vote yes, no or nothing on every
+candidate: how it is written out (check digit, marks for at and dot, country sign or even
+separators), its format (grouping, leading characters), a gazetteer (top-level domains, issuer
+prefixes, allocated addresses, area codes) and words in the text before it, for and against.
+Expectation-maximisation on the counts of vote patterns (81 for each kind at most) estimates how
+reliable each labeler is for each kind, and gives every pattern a probability.  A logistic
+regression trained on those probabilities is the final span classifier; besides kind and votes
+it sees the span's shape, which no labeler votes on: free edges, separators, length and a colon
+or equals sign before it.  A loose candidate that it accepts is added.
 
 Everything that sees text or spans is a DataFrame expression; one pass over the documents writes
 each document's candidates with their votes, later steps read only those.  Patterns are written
@@ -21,6 +24,8 @@ and other columns do not matter.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,14 +48,21 @@ LOOSE = {
     "phone": r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![.-]?[0-9])",
 }
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-# The labelers' formats, gazetteers and context words.
+# The labelers' patterns, formats, gazetteers and context words for and against.
+WRITTEN = {
+    "email": r"@|[\[(]",
+    "ip": r"^[0-9.]+$|[A-Fa-f]",
+    "phone": r"^\+|^\([0-9]{3}\) [0-9]{3}-|^[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}$",
+}
 FORMAT = {
     "email": r"(?i)^[a-z0-9][a-z0-9._%+-]*(@| ?[\[(]at[\])] ?| at ).*[a-z]{2,24}$",
     "ip": r"^(?!0)[0-9A-Fa-f.:]+$",
-    "phone": r"^\+?(?:[^0-9]*[0-9]){10,13}[^0-9]*$",
+    "card": r"^(?:[0-9]{13,16}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$",
+    "phone": r"^\+(?:[^0-9]*[0-9]){10,13}[^0-9]*$|^\(?[0-9]{3}\)?[ .-][2-9]",
 }
 GAZETTEER = {
     "email": r"(?i)(?:\.|dot[\])]? ?)(?:com|org|net|edu|gov|info|io|de|fr|es|it|uk|eu|us|ca|au|nl|ch|at|be|ru|cn|jp|in|br|mx)$",
+    "ip": r"(?i)^(?:[1-9]|[1-9][0-9]|1[0-9]{2}|2[01][0-9]|22[0-3])\.|^(?:2[0-9a-f]{3}|f[cde][0-9a-f]{2}):",
     "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|3[068]|6011|65|35)",
     "phone": r"^\+(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])(?![0-9]{0,3}$)|^\(?[2-9][0-9]{2}",
 }
@@ -60,6 +72,17 @@ CONTEXT = {
     "card": r"(?i)\b(?:card|visa|mastercard|credit|payment|karte|carte|tarjeta)\b",
     "phone": r"(?i)\b(?:phone|tel|telephone|call|mobile|fax|telefon|t[eé]l[eé]phone|tel[eé]fono)\b",
 }
+AGAINST = {
+    "email": r"(?i)\b(?:look|looked|meet|met|stay|arrive|arrived|available)\b",
+    "ip": r"(?i)\b(?:version|release|section|chapter|build|hash|key)\b",
+    "card": r"(?i)\b(?:order|invoice|isbn|serial|tracking|reference|account|number)\b",
+    "phone": r"(?i)\b(?:order|invoice|isbn|serial|part|ref|sku|pages)\b",
+}
+# The classifier's shape inputs, read in the characters before a span, in it, and after it.
+SHAPES = ("free", "separated", "long", "introduced")
+EDGE_BEFORE, EDGE_AFTER = r"(?:^|[\s(\[<:=\x22'])$", r"^(?:$|[\s)\]>,;.!?\x22'])"
+SEPARATOR, INTRODUCED = r"[ ().-]", r"[:=]\s*$"
+LONG = 16
 #: Characters before a candidate that the context labeler reads.
 BEFORE = 40
 LABELERS = ("pattern", "format", "gazetteer", "context")
@@ -106,28 +129,28 @@ def base_check(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def votes(kind: str, span: Column, text: Column, pattern: Column) -> list[Column]:
-    """The labelers' votes on a candidate, in the order of ``LABELERS``."""
+def described(kind: str, is_base: bool, text: Column, span: Column) -> Column:
+    """A candidate with the labelers' votes, in the order of ``LABELERS``, and its shape, in that of ``SHAPES``."""
     value, start = span["value"], span["start"]
-    before = F.substring(text, F.greatest(start - BEFORE, F.lit(0)) + 1, F.least(start, F.lit(BEFORE)))
-    form = luhn(value) if kind == "card" else value.rlike(FORMAT[kind])
-    known = digits(value).rlike(GAZETTEER[kind]) if kind == "card" else value.rlike(GAZETTEER[kind]) if kind in GAZETTEER else None
-    yes_no = [F.when(c, YES).otherwise(NO) if c is not None else F.lit(ABSTAIN) for c in (pattern, form, known)]
-    return [*yes_no, F.when(before.rlike(CONTEXT[kind]), YES).otherwise(ABSTAIN)]
+    lead = F.least(start, F.lit(BEFORE))
+    around = F.substring(text, start - lead + 1, lead + F.length(value) + 1)     # one walk through the text
+    before, after = F.substring(around, F.lit(1), lead), F.substring(around, lead + F.length(value) + 1, F.lit(1))
+    spelled = luhn(value) if kind == "card" else value.rlike(WRITTEN[kind])
+    known = (digits(value) if kind == "card" else value).rlike(GAZETTEER[kind])
+    yes_no = [F.when(c, YES).otherwise(NO) for c in (spelled, value.rlike(FORMAT[kind]), known)]
+    words = F.when(before.rlike(CONTEXT[kind]), YES).when(before.rlike(AGAINST[kind]), NO).otherwise(ABSTAIN)
+    shape = [before.rlike(EDGE_BEFORE) & after.rlike(EDGE_AFTER), value.rlike(SEPARATOR), F.length(value) >= LONG, before.rlike(INTRODUCED)]
+    base = luhn(value) if kind == "card" else F.lit(is_base)
+    return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), span["end"].alias("end"), base.alias("base"),
+                    F.array(*yes_no, words).alias("votes"), F.array(*[c.cast("int") for c in shape]).alias("shape"))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): spans is an array of (start, kind, end, base, votes), one row per document."""
+    """(doc_id, spans): spans is an array of (start, kind, end, base, votes, shape), one row per document:
+    base spans and the loose candidates that overlap none."""
     patterns = [(kind, source is BASE, p) for source in (BASE, LOOSE) for kind, p in source.items()]
     rows = docs.select("doc_id", "text", *[F.split("text", p, -1).alias(f"gaps{i}") for i, (_, _, p) in enumerate(patterns)])
 
-    def described(kind: str, is_base: bool):
-        def row(s: Column) -> Column:
-            base = luhn(s["value"]) if kind == "card" else F.lit(is_base)
-            return F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end"), base.alias("base"),
-                            F.array(*votes(kind, s, F.col("text"), base)).alias("votes"))
-        return row
-
     def checked(kind: str):
         return lambda s: base_check(kind, s["value"])
 
@@ -136,8 +159,10 @@ def candidates(docs: DataFrame) -> DataFrame:
         found = found_spans(F.col("text"), F.col(f"gaps{i}"), p)
         if is_base and kind != "card":                   # a failing match is dropped; a card's is a loose candidate
             found = F.filter(found, checked(kind))
-        arrays.append(F.transform(found, described(kind, is_base)))
-    return rows.select("doc_id", F.array_sort(F.concat(*arrays)).alias("spans"))
+        arrays.append(F.transform(found, functools.partial(described, kind, is_base, F.col("text"))))
+    listed = rows.select("doc_id", F.concat(*arrays).alias("spans")).select("doc_id", "spans", F.filter("spans", lambda s: s["base"]).alias("base"))
+    clear = F.filter("spans", lambda s: s["base"] | ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    return listed.select("doc_id", F.array_sort(clear).alias("spans"))
 
 
 def reliabilities(patterns: list[tuple[int, tuple[int, ...], int]]) -> list[float]:
@@ -164,20 +189,31 @@ def reliabilities(patterns: list[tuple[int, tuple[int, ...], int]]) -> list[floa
     return out
 
 
-def indicators(kind: int, vote: tuple[int, ...]) -> list[float]:
-    """The classifier's inputs: the kind, and each labeler's yes and no."""
-    return [float(kind == k) for k in range(len(KINDS))] + [float(v == w) for v in vote for w in (YES, NO)]
+def indicators(kind: int, vote: tuple[int, ...], shape: tuple[int, ...]) -> list[float]:
+    """The classifier's inputs: the kind, each labeler's yes and no, and the shape by kind."""
+    own = [float(bit and kind == k) for k in range(len(KINDS)) for bit in shape]
+    return [float(kind == k) for k in range(len(KINDS))] + [float(v == w) for v in vote for w in (YES, NO)] + own
 
 
-def train(found: DataFrame) -> np.ndarray | None:
-    """Coefficients of the span classifier; at most 81 rows for each kind reach the driver."""
-    counted = found.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.votes").count().orderBy("kind", "votes").collect()
-    patterns = [(r["kind"], tuple(r["votes"]), r["count"]) for r in counted]
-    if not patterns:
+def fitted(counts: list[tuple[int, tuple[int, ...], tuple[int, ...], int]]) -> np.ndarray | None:
+    """Coefficients of the span classifier from (kind, votes, shape, count) rows; None without any."""
+    if not counts:
         return None
-    x = np.array([indicators(k, v) for k, v, _ in patterns])
-    n = np.array([c for _, _, c in patterns], float)
-    return ridge_logistic(x, np.array(reliabilities(patterns)), n / n.sum() * len(n), RIDGE / 10)
+    by_votes: dict[tuple, int] = {}
+    for kind, vote, _, n in counts:
+        by_votes[kind, vote] = by_votes.get((kind, vote), 0) + n
+    known = dict(zip(by_votes, reliabilities([(*at, n) for at, n in by_votes.items()]), strict=True))
+    x = np.array([indicators(k, v, s) for k, v, s, _ in counts])
+    y = np.array([known[k, v] for k, v, _, _ in counts])
+    n = np.array([c for *_, c in counts], float)
+    return ridge_logistic(x, y, n / n.sum() * len(n), RIDGE / 10)
+
+
+def train(found: DataFrame) -> np.ndarray | None:
+    """The span classifier; at most 81 votes in 16 shapes for each kind reach the driver, 5,184 rows."""
+    counted = (found.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.votes", "s.shape").count()
+               .orderBy("kind", "votes", "shape").collect())
+    return fitted([(r["kind"], tuple(r["votes"]), tuple(r["shape"]), r["count"]) for r in counted])
 
 
 def accepted(span: Column, model: np.ndarray) -> Column:
@@ -187,6 +223,10 @@ def accepted(span: Column, model: np.ndarray) -> Column:
     for j in range(len(LABELERS)):
         yes, no = (float(model[1 + len(KINDS) + 2 * j + d]) for d in (0, 1))
         logit = logit + F.when(F.get(span["votes"], F.lit(j)) == YES, yes).when(F.get(span["votes"], F.lit(j)) == NO, no).otherwise(0.0)
+    first = 1 + len(KINDS) + 2 * len(LABELERS)
+    for j in range(len(SHAPES)):
+        weight = F.element_at(F.array(*[F.lit(float(model[first + k * len(SHAPES) + j])) for k in range(len(KINDS))]), span["kind"] + 1)
+        logit = logit + F.when(F.get(span["shape"], F.lit(j)) == 1, weight).otherwise(0.0)
     return logit > 0
 
 
@@ -204,10 +244,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     if model is None:
         return split.select("doc_id", short(F.col("base")).alias("base"), short(F.col("base")).alias("spans"))
 
-    def kept(s: Column) -> Column:
-        clear = ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return s["base"] | (accepted(s, model) & clear)
-    return split.select("doc_id", short(F.col("base")).alias("base"), short(F.filter("spans", kept)).alias("spans"))
+    kept = F.filter("spans", lambda s: s["base"] | accepted(s, model))
+    return split.select("doc_id", short(F.col("base")).alias("base"), short(kept).alias("spans"))
 
 
 def as_text(spans: Column) -> Column:

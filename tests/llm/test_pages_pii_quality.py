@@ -168,6 +168,66 @@ def test_added_spans_are_loose_candidates_that_labelers_back(spark):
     assert all(s[1] != "card" for k in range(400) for s in added[2000 + k])
 
 
+def plain_spans(texts):
+    """Base and added spans of every text, by plain patterns and loops; only the two fits are the library's."""
+    found = []
+    for t in texts:
+        base = expect_base(t)
+        loose = [(m.start(), kind, m.end()) for kind, p in pii.LOOSE.items() for m in re.finditer(p, t)]
+        loose += [(m.start(), "card", m.end()) for m in re.finditer(pii.BASE["card"], t) if not check_digit(re.sub("[^0-9]", "", m[0]))]
+        loose = [s for s in loose if not any(b[0] < s[2] and s[0] < b[2] for b in base)]
+        rows = []
+        for start, kind, end in base + loose:
+            value, before, after = t[start:end], t[max(0, start - 40):start], t[end:end + 1]
+            number = re.sub("[^0-9]", "", value)
+            tests = [check_digit(number) if kind == "card" else re.search(pii.WRITTEN[kind], value), re.search(pii.FORMAT[kind], value),
+                     re.search(pii.GAZETTEER[kind], number if kind == "card" else value)]
+            word = 1 if re.search(pii.CONTEXT[kind], before) else 0 if re.search(pii.AGAINST[kind], before) else 2
+            edges = (not before or before[-1] in " \t\n\r\f\v([<:='\"") and (not after or after in " \t\n\r\f\v)]>,;.!?'\"")
+            shape = (edges, any(c in " ().-" for c in value), len(value) >= 16, before.rstrip()[-1:] in (":", "=") and bool(before.rstrip()))
+            rows.append(((start, kind, end), (start, kind, end) in base, (pii.KINDS.index(kind), (*(int(bool(x)) for x in tests), word), tuple(map(int, shape)))))
+        found.append(rows)
+    counts = {}
+    for rows in found:
+        for _, _, at in rows:
+            counts[at] = counts.get(at, 0) + 1
+    model = pii.fitted([(*at, n) for at, n in sorted(counts.items())])
+    order = lambda s: (s[0], pii.KINDS.index(s[1]))                                           # noqa: E731
+    return counts, [sorted((s for s, base, at in rows if base or model[0] + np.dot(model[1:], pii.indicators(*at)) > 0), key=order) for rows in found]
+
+
+def marked_texts():
+    """Texts in which every labeler votes both ways and words for and against stand before candidates."""
+    rnd = random.Random(3)
+    number = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))                    # noqa: E731
+    parts = [lambda: f"please call {number(3)}-{number(3)}-{number(4)} now", lambda: f"invoice {number(3)} {number(3)}.{number(4)}",
+             lambda: f"tel: ({number(3)}) {number(3)}-{number(4)}", lambda: f"+1 {number(3)} 555-{number(4)}", lambda: f"mail joe{number(2)} at site dot com",
+             lambda: f"look at the dot org", lambda: f"e-mail=ann [at] web{number(1)} [dot] de", lambda: f"joe{number(2)}@mail.org",
+             lambda: f"card {number(4)} {number(4)} {number(4)} {number(4)}", lambda: f"order {number(13)}", lambda: f"visa:{number(16)}",
+             lambda: "server " + ":".join(number(4) for _ in range(8)), lambda: "hash " + ":".join("ab" + number(2) for _ in range(8)), lambda: "host 10.1.2.3",
+             lambda: "version 0.4.2.1", lambda: "4111 1111 1111 1111", lambda: "plain words, no marks"]
+    return ["; ".join(rnd.choice(parts)() for _ in range(rnd.randrange(6))) for _ in range(1500)]
+
+
+def test_added_spans_equal_a_plain_version(spark):
+    texts = marked_texts()
+    counts, want = plain_spans(texts)
+    got = {i: s for i, _, s in base_of(spark, list(enumerate(texts)))}
+    assert [got[i] for i in range(len(texts))] == want
+    for kind in range(4):                                # labelers disagree, also about words
+        votes = {v for k, v, _ in counts if k == kind}
+        assert len(votes) > 3 and any(v[3] == 0 for v in votes) and any(v[3] == 1 for v in votes)
+        assert any(v[0] != v[1] for v in votes)
+    base = [len(expect_base(t)) for t in texts]
+    assert sum(len(s) - b for s, b in zip(want, base, strict=True)) > 200
+
+
+def test_candidates_over_base_spans_are_left_out(spark):
+    docs = spark.createDataFrame([(1, "+1 415-555-0134 and 212-555-0188")], "doc_id long, text string")
+    spans = pii.candidates(docs).first()["spans"]
+    assert [(s["start"], s["base"]) for s in spans] == [(0, True), (20, False)]
+
+
 def test_em_tells_good_labelers_from_bad():
     patterns = [(0, (1, 1, 2, 2), 500), (0, (0, 0, 2, 2), 500), (0, (1, 0, 2, 2), 20), (0, (0, 1, 2, 2), 20), (1, (1, 2, 2, 2), 5)]
     p = pii.reliabilities(patterns)
