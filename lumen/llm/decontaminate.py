@@ -21,6 +21,7 @@ fewer words than a shingle is one shingle and only equals another such text; tex
 are one document, whose shingles are those of all its rows (``contained_items``), but each row
 stays or goes by its own text (``without_contaminated``); rows that share an item_id but not
 the shingles are searched one by one.  Very long texts are read in full; other columns are ignored.
+Intermediate tables are deleted at the end of a search.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumen.llm.shared import text_of, written
+from lumen.llm.shared import text_of, workspace, written
 from lumen.llm.shingles import STEP, mixed, shingle_set
 
 WORDS, PERCENT = 5, 80
@@ -112,14 +113,20 @@ def contained_in(docs: DataFrame, items: DataFrame, words: int, percent: int, bi
 
     docs: rows (keys, text) with keys of type long; rows with equal keys, null among them, are one document.
     """
+    with workspace(docs.sparkSession, "containment") as folder:
+        return written(verified(docs, items, words, percent, bits, folder), "contained")
+
+
+def verified(docs: DataFrame, items: DataFrame, words: int, percent: int, bits: int, folder: str) -> DataFrame:
+    """``contained_in``, read from tables in ``folder``."""
     keys = docs.columns[:-1]
     items = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("long"), text_of("text").alias("text"))
-    shingles = written(item_shingles(items, words, percent), "item-shingles")
-    hits = written(document_hits(docs, bitmap(shingles.select("h"), bits), words).distinct(), "hits")
+    shingles = written(item_shingles(items, words, percent), "item-shingles", folder)
+    hits = written(document_hits(docs, bitmap(shingles.select("h"), bits), words).distinct(), "hits", folder)
     item = ["item_id", "item_key", "n_item"]
     candidates = (hits.join(shingles.where("sketched"), "h").groupBy(*keys, *item, "need").agg(F.count("*").alias("met"))
                   .where("met >= need").select(*keys, *item))
-    candidates = written(candidates, "candidates")
+    candidates = written(candidates, "candidates", folder)
     wanted = candidates.select("item_id", "item_key").distinct()
     checked = hits.join(shingles.join(wanted, ["item_id", "item_key"]), "h").groupBy(*keys, *item).agg(F.count("*").alias("n_shared"))
     contained = checked.where(F.col("n_shared") * 100 >= F.col("n_item") * percent).withColumnsRenamed({k: f"in_{k}" for k in keys})

@@ -28,6 +28,10 @@ copies around one text.  What is left are pairs of members in different componen
 So no link that joins two components is lost, whatever a bucket's size, and no bucket is paired
 as a whole.
 
+Hot pivots.  A pivot's members are dealt to parts of about ``MEMBERS`` by their hash, as many as
+its bands have members for, and its text, component and the like are joined once for each part,
+so that a pivot of any number of members is spread over as many tasks as they need.
+
 Check.  A member's differences from its pivot decide exactly whether the two are linked.  For
 other pairs the Jaccard similarity is estimated from the registers, corrected for registers that
 agree by chance; pairs below the threshold by ``SIGMAS`` standard errors go, the others are decided
@@ -37,6 +41,7 @@ Defined cases: a text without words (null and empty too) has an empty set and is
 nothing; a document with null id is linked with nothing, its component_id is null and it is
 kept; repeated rows of one document are all returned, with one component; rows that share an id
 but not the text count as one document with the links of each.  Other columns are ignored.
+Intermediate tables (texts among them) are deleted at the end of a run.
 """
 
 from __future__ import annotations
@@ -52,7 +57,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.components import connected_components
-from lumen.llm.shared import text_of, written
+from lumen.llm.shared import text_of, workspace, written
 from lumen.llm.shingles import shingle_set
 
 MANTISSA = 10
@@ -66,6 +71,8 @@ BITMAP = 8
 RECENT = 16
 #: Sets a verifying task keeps.
 KEPT_SETS = 64
+#: Members of one pivot that are dealt to one part.
+MEMBERS = 512
 
 
 def bands_for(similarity: float, rows: int, miss: float = MISS) -> int:
@@ -155,7 +162,7 @@ def likely(measured: DataFrame, similarity: float, registers: int) -> DataFrame:
 
 
 def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, differences: bool) -> DataFrame:
-    """(a, b, linked, delta, n, few, bits, tokens) of pairs (a, b), on the full sets of both texts.
+    """(a, b, part, linked, delta, n, few, bits, tokens) of pairs (a, b, part), on the full sets of both texts.
 
     linked: 100 * intersection >= percent * union; delta: elements in one set only; n: of b's set.
     With ``differences`` tokens holds elements of delta, b's own first, each part in order of
@@ -177,7 +184,7 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, diffe
 
         for batch in batches:
             rows = []
-            for one, two in zip(batch.column(2), batch.column(3), strict=True):
+            for one, two in zip(batch.column(3), batch.column(4), strict=True):
                 a, b = set_of(one.as_py()), set_of(two.as_py())
                 own = np.setdiff1d(b, a, assume_unique=True)
                 common = len(b) - len(own)
@@ -197,14 +204,15 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, diffe
                 rows.append((near, delta, len(b), few, np.packbits(bits).view(np.int64), every[:delta - need + 1].view(np.int64)))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(columns[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[1:4]),
+                [*batch.columns[:3], pa.array(columns[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[1:4]),
                  *(pa.array(c, pa.list_(pa.int64())) for c in columns[4:])],
-                names=["a", "b", "linked", "delta", "n", "few", "bits", "tokens"])
+                names=["a", "b", "part", "linked", "delta", "n", "few", "bits", "tokens"])
 
-    # the member's text first: it moves with its row, and the pivot's text moves once, not once for each member
+    # the member's text first: it moves with its row, and the pivot's text moves once for each part, not for each member
     side = {c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"}
-    return (pairs.join(side["b"], "b").join(side["a"], "a").select("a", "b", "t_a", "t_b")
-            .mapInArrow(run, "a long, b long, linked boolean, delta long, n long, few long, bits array<long>, tokens array<long>"))
+    pivots = pairs.select("a", "part").distinct().join(side["a"], "a")
+    return (pairs.join(side["b"], "b").join(pivots, ["a", "part"]).select("a", "b", "part", "t_a", "t_b")
+            .mapInArrow(run, "a long, b long, part long, linked boolean, delta long, n long, few long, bits array<long>, tokens array<long>"))
 
 
 def component_of(rows: DataFrame, column: str, components: DataFrame, name: str) -> DataFrame:
@@ -213,17 +221,19 @@ def component_of(rows: DataFrame, column: str, components: DataFrame, name: str)
     return rows.join(known, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def close_pairs(stars: DataFrame, components: DataFrame, share: float) -> DataFrame:
+def close_pairs(stars: DataFrame, components: DataFrame, share: float, folder: str) -> DataFrame:
     """Pairs (a, b) of members of other components that share enough of their differences from a pivot."""
-    placed = component_of(component_of(stars, "a", components, "of_pivot"), "b", components, "component")
+    parts = stars.select("a", "part").distinct()
+    placed = (component_of(stars, "b", components, "component")
+              .join(component_of(parts, "a", components, "of_pivot"), ["a", "part"]))
     open_pivots = placed.where("component <> of_pivot").select("a").distinct()
-    listed = (placed.join(open_pivots, "a").withColumnsRenamed({"a": "pivot", "b": "id"})
+    listed = (placed.join(parts.join(open_pivots, "a"), ["a", "part"]).withColumnsRenamed({"a": "pivot", "b": "id"})
               .select("*", F.posexplode("tokens").alias("rank", "token"))
               .withColumn("recent", F.slice("tokens", F.greatest(F.col("rank") - (RECENT - 1), F.lit(1)), F.least(F.col("rank"), F.lit(RECENT))))
               .select("pivot", "id", "component", "delta", "n", "few", "bits", "rank", "token", "recent"))
     several = (listed.groupBy("pivot", "token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                .where("low <> high").select("pivot", "token"))
-    listed = written(listed.join(several, ["pivot", "token"]), "differences")
+    listed = written(listed.join(several, ["pivot", "token"]), "differences", folder)
     left, right = (listed.withColumnsRenamed({c: f"{side}_{c}" for c in listed.columns if c not in ("pivot", "token")}) for side in "lr")
     small = right.where("r_rank < r_few")
     shared = F.greatest(F.lit(1), F.ceil((F.col("l_delta") + F.col("r_delta") - share * (F.col("l_n") + F.col("r_n"))) / 2 - 1e-9))
@@ -238,23 +248,25 @@ def close_pairs(stars: DataFrame, components: DataFrame, share: float) -> DataFr
 
 
 def near_components(docs: DataFrame, members: DataFrame, reps: DataFrame, same: DataFrame, words: int, percent: int,
-                    registers: int) -> DataFrame:
+                    registers: int, folder: str) -> DataFrame:
     """(id, component) of the ids that any link touches.
 
-    members: (band, id, pivot) of shared bands; same: (a, b) of an id and the representatives of its texts.
+    members: (band, id, pivot, n) of shared bands of n members; same: (a, b) of an id and the representatives of its texts.
     """
     similarity = percent / 100
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = written(docs.join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text"), "texts")
-    pairs = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    stars = written(compared(pairs, texts, words, percent, True), "stars")
+    texts = written(docs.join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text"), "texts", folder)
+    part = F.pmod(F.xxhash64("b"), F.ceil(F.max("n") / MEMBERS)).alias("part")
+    pairs = written(members.where("id <> pivot").groupBy(F.col("pivot").alias("a"), F.col("id").alias("b")).agg(part), "pairs", folder)
+    stars = written(compared(pairs, texts, words, percent, True), "stars", folder)
     links = stars.where("linked").select("a", "b").union(same)
-    components = written(connected_components(links), "components")
-    more = (close_pairs(stars, components, (100 - percent) / (100 + percent)).distinct()
+    components = written(connected_components(links, folder), "components", folder)
+    more = (close_pairs(stars, components, (100 - percent) / (100 + percent), folder).distinct()
             .join(stars.select("a", "b"), ["a", "b"], "left_anti"))
-    tested = likely(estimates(more, reps, registers), similarity, registers)
-    crossing = written(compared(tested, texts, words, percent, False).where("linked").select("a", "b"), "crossing-links")
-    return components if crossing.isEmpty() else written(connected_components(links.union(crossing)), "components")
+    tested = likely(estimates(more, reps, registers), similarity, registers).select("a", "b", F.lit(0).cast("long").alias("part"))
+    tested = written(tested, "tested", folder)
+    crossing = written(compared(tested, texts, words, percent, False).where("linked").select("a", "b"), "crossing-links", folder)
+    return components if crossing.isEmpty() else written(connected_components(links.union(crossing), folder), "components", folder)
 
 
 def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85, rows: int = 5, id_col: str = "doc_id",
@@ -263,27 +275,34 @@ def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85, rows: int = 5
 
     Documents are linked when 100 * |intersection| >= percent * |union| of their shingle sets.
     """
-    bands = bands_for(percent / 100, rows)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    sketches = written(sketch(docs, words, bands * rows), "sketches")
+    with workspace(docs.sparkSession, "near-dedup") as folder:
+        return written(linked_documents(docs, words, percent, rows, folder), "near-dedup")
+
+
+def linked_documents(docs: DataFrame, words: int, percent: int, rows: int, folder: str) -> DataFrame:
+    """``near_dedup`` of rows (doc_id, text), read from tables in ``folder``."""
+    bands = bands_for(percent / 100, rows)
+    sketches = written(sketch(docs, words, bands * rows), "sketches", folder)
     slim = sketches.select("doc_id", "n_shingles", "set_key")
     filled = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = written(filled.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
-                                                 F.first("registers").alias("registers")), "classes")
+                                                 F.first("registers").alias("registers")), "classes", folder)
     size = 2 * rows
     band_keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                             lambda j: F.xxhash64(j, F.substring(F.col("registers"), j * size + 1, F.lit(size))))
     banded = reps.select(F.col("rep").alias("id"), F.explode(band_keys).alias("band"))
-    shared = banded.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("high")).where("pivot <> high").select("band", "pivot")
-    members = written(banded.join(shared, "band"), "band-members")
+    shared = (banded.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("high"), F.count("*").alias("n"))
+              .where("pivot <> high").select("band", "pivot", "n"))
+    members = written(banded.join(shared, "band"), "band-members", folder)
     # ids with several texts, empty ones among them, link the classes of these
     key = F.xxhash64("set_key")
     several = written(slim.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
-                      .where("low <> high").select("doc_id"), "several")
+                      .where("low <> high").select("doc_id"), "several", folder)
     same = written(slim.join(several, "doc_id").join(reps.select("set_key", "rep"), "set_key").where("doc_id <> rep")
-                   .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "same-id")
+                   .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "same-id", folder)
     components = near_components(docs.where("doc_id IS NOT NULL"), members, reps.select("rep", "n_shingles", "registers"),
-                                 same, words, percent, bands * rows)
+                                 same, words, percent, bands * rows, folder)
     classes = (reps.select("set_key", "rep").join(components, F.col("rep") == F.col("id"), "left")
                .select("set_key", F.coalesce("component", "rep").alias("component_id")))
     # an empty text has no class of its own: it goes with the other texts of its id

@@ -1,12 +1,14 @@
 """Intermediate tables of the text operators.
 
 They are Parquet tables in the folder that ``spark.checkpoint.dir`` names, so they cut
-lineage and outlive any executor.
+lineage and outlive any executor.  Those of one run lie in a ``workspace`` and go with it.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +21,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, read back with its own schema."""
-    path = shared_path(df.sparkSession, name)
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, or in a ``workspace`` there, read back with its own schema."""
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder in the shared folder for the tables of one run, deleted at its end.
+
+    What is read afterwards must be ``written`` outside of it before.
+    """
+    folder = shared_path(spark, name)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_of(column: str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

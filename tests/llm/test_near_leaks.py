@@ -2,6 +2,8 @@
 
 import random
 from itertools import combinations
+from pathlib import Path
+from urllib.parse import urlparse
 
 import duckdb
 import numpy as np
@@ -10,7 +12,9 @@ import pytest
 from lumen.llm import decontaminate, near_dedup
 from lumen.llm.components import connected_components
 from lumen.llm.queries import ORACLES, QUERIES
+from lumen.llm.shared import workspace, written
 from lumen.llm.shingles import shingle_set
+from lumen.session import ensure_checkpoint_dir
 from tests.conftest import SF001, SF01
 from tests.helpers import rows_of
 
@@ -86,6 +90,37 @@ def test_links_between_members_that_the_pivot_does_not_reach(spark):
     assert sorted((tuple(r) for r in near_dedup.near_dedup(frame).collect()), key=str) == expect_near(rows, 3, 85)
 
 
+def test_a_pivots_parts_lose_no_link(spark, monkeypatch):
+    random.seed(33)
+    monkeypatch.setattr(near_dedup, "MEMBERS", 7)
+    base = [f"h{k}" for k in range(120)]
+    rows = [(k, edited(base, k % 11)) for k in range(160)]
+    far = edited(base, 9).split()                      # near one another, dealt to several parts of one pivot
+    rows += [(200 + k, edited(far, 1 + k % 2)) for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in near_dedup.near_dedup(frame).collect()), key=str) == expect_near(rows, 3, 85)
+
+
+def test_a_run_leaves_its_result_only(spark):
+    folder = Path(urlparse(ensure_checkpoint_dir(spark)).path)
+    rows = [(k, " ".join(f"t{(k // 3) * 100 + j}" for j in range(40))) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = set(folder.iterdir())
+    near = near_dedup.near_dedup(docs)
+    leaks = decontaminate.contained_items(docs, docs.selectExpr("doc_id AS item_id", "text"))
+    assert sorted(p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before) == ["contained", "near-dedup"]
+    assert near.where("kept").count() == 10 and leaks.count() == 90
+
+
+def test_a_failed_run_leaves_nothing(spark):
+    folder = Path(urlparse(ensure_checkpoint_dir(spark)).path)
+    before = set(folder.iterdir())
+    with pytest.raises(ZeroDivisionError), workspace(spark, "failing") as place:
+        written(spark.range(3), "numbers", place)
+        raise ZeroDivisionError
+    assert set(folder.iterdir()) == before
+
+
 def test_rows_that_share_an_id_link_their_texts(spark):
     random.seed(5)
     text = [" ".join(f"t{k}w{random.randrange(10**6)}" for _ in range(40)) for k in range(9)]
