@@ -57,7 +57,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumen.llm.components import connected_components
-from lumen.llm.shared import text_of, workspace, written
+from lumen.llm.shared import maybe_among, text_of, workspace, written
 from lumen.llm.shingles import shingle_set
 
 MANTISSA = 10
@@ -227,13 +227,17 @@ def close_pairs(stars: DataFrame, components: DataFrame, share: float, folder: s
     placed = (component_of(stars, "b", components, "component")
               .join(component_of(parts, "a", components, "of_pivot"), ["a", "part"]))
     open_pivots = placed.where("component <> of_pivot").select("a").distinct()
-    listed = (placed.join(parts.join(open_pivots, "a"), ["a", "part"]).withColumnsRenamed({"a": "pivot", "b": "id"})
-              .select("*", F.posexplode("tokens").alias("rank", "token"))
+    stars = written(placed.join(parts.join(open_pivots, "a"), ["a", "part"]).withColumnsRenamed({"a": "pivot", "b": "id"}), "open-stars", folder)
+    # narrow rows find the elements that members of several components list; the wide columns come to those alone
+    elements = stars.select("pivot", "id", "component", F.posexplode("tokens").alias("rank", "token"))
+    several = (elements.groupBy("pivot", "token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+               .where("low <> high").select("pivot", "token"))
+    ranks = (elements.select("pivot", "token", "id", "rank").join(several, ["pivot", "token"])
+             .groupBy("pivot", "id").agg(F.collect_list("rank").alias("ranks")))
+    listed = (stars.join(ranks, ["pivot", "id"]).select("*", F.explode("ranks").alias("rank")).withColumn("token", F.get("tokens", "rank"))
               .withColumn("recent", F.slice("tokens", F.greatest(F.col("rank") - (RECENT - 1), F.lit(1)), F.least(F.col("rank"), F.lit(RECENT))))
               .select("pivot", "id", "component", "delta", "n", "few", "bits", "rank", "token", "recent"))
-    several = (listed.groupBy("pivot", "token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-               .where("low <> high").select("pivot", "token"))
-    listed = written(listed.join(several, ["pivot", "token"]), "differences", folder)
+    listed = written(listed, "differences", folder)
     left, right = (listed.withColumnsRenamed({c: f"{side}_{c}" for c in listed.columns if c not in ("pivot", "token")}) for side in "lr")
     small = right.where("r_rank < r_few")
     shared = F.greatest(F.lit(1), F.ceil((F.col("l_delta") + F.col("r_delta") - share * (F.col("l_n") + F.col("r_n"))) / 2 - 1e-9))
@@ -254,8 +258,10 @@ def near_components(docs: DataFrame, members: DataFrame, reps: DataFrame, same:
     members: (band, id, pivot, n) of shared bands of n members; same: (a, b) of an id and the representatives of its texts.
     """
     similarity = percent / 100
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = written(docs.join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text"), "texts", folder)
+    wanted = written(members.select(F.col("id").alias("doc_id")).distinct(), "wanted", folder)
+    # most texts are no member's: they stay where they are
+    asked = maybe_among(docs, "doc_id", wanted, "asked").where("asked")
+    texts = written(asked.join(wanted, "doc_id").select(F.col("doc_id").alias("id"), "text"), "texts", folder)
     part = F.pmod(F.xxhash64("b"), F.ceil(F.max("n") / MEMBERS)).alias("part")
     pairs = written(members.where("id <> pivot").groupBy(F.col("pivot").alias("a"), F.col("id").alias("b")).agg(part), "pairs", folder)
     stars = written(compared(pairs, texts, words, percent, True), "stars", folder)

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from lumen.session import ensure_checkpoint_dir
 
+#: Bits that ``maybe_among`` gives an id, the power of two of all at most, and those of one bitmap row (Spark's).
+BITS, MOST_BITS, BLOCK = 16, 27, 1 << 15
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
@@ -47,6 +50,25 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def maybe_among(df: DataFrame, column: str, ids: DataFrame, name: str) -> DataFrame:
+    """``df`` with a boolean ``name``: false only if ``column`` is none of ``ids`` (one column, each once).
+
+    The hashes of the ids are bits of ``BITS`` to an id, ``MOST_BITS`` at most, so what is broadcast is
+    bounded; with more ids more rows are true by chance.  An exact join of the true rows follows,
+    and wide rows that are false need no shuffle.  A null is false.
+    """
+    key = ids.columns[0]
+    bits = 1 << max(15, min(MOST_BITS, (BITS * ids.count() - 1).bit_length()))
+    place = {c: F.when(F.col(c).isNotNull(), F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(bits))) for c in (column, key)}
+    maps = (ids.where(F.col(key).isNotNull()).select(F.floor(place[key] / BLOCK).alias("__block"), F.pmod(place[key], F.lit(BLOCK)).alias("__at"))
+            .groupBy("__block").agg(F.bitmap_construct_agg("__at").alias("__bits")))
+    # a byte of the bitmap as a number, and its bit
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod("__at", F.lit(8)))), F.lit(2)) == 1
+    return (df.withColumns({"__block": F.floor(place[column] / BLOCK), "__at": F.pmod(place[column], F.lit(BLOCK))})
+            .join(F.broadcast(maps), "__block", "left").withColumn(name, F.coalesce(held, F.lit(False))).drop("__block", "__at", "__bits"))
+
+
 def thinned(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
     """About 2n of about ``total`` rows, by the hash of ``key``."""
     share = min(1.0, 2 * n / max(total, 1))

@@ -8,11 +8,13 @@ from urllib.parse import urlparse
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lumen.llm import decontaminate, near_dedup
 from lumen.llm.components import connected_components
 from lumen.llm.queries import ORACLES, QUERIES
-from lumen.llm.shared import workspace, written
+from lumen.llm.shared import maybe_among, workspace, written
 from lumen.llm.shingles import shingle_set
 from lumen.session import ensure_checkpoint_dir
 from tests.conftest import SF001, SF01
@@ -263,3 +265,44 @@ def test_a_large_group_makes_few_pairs(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=str) == expect_near(rows, 5, 80)
     assert made["rows"] <= 3 * made["pairs"] + 100
     assert made["pairs"] < 30_000                                            # of 720,000
+
+
+def shuffled_mb(spark, run):
+    """What ``run`` returns and the MB that its stages write to shuffles."""
+    sc, group = spark.sparkContext, f"g{random.getrandbits(60)}"
+    sc.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        sc.setJobGroup("", "")
+    stages = {s for j in sc.statusTracker().getJobIdsForGroup(group) for s in sc.statusTracker().getJobInfo(j).stageIds}
+    store = sc._jsc.sc().statusStore()
+    return out, sum(store.lastStageAttempt(s).shuffleWriteBytes() for s in stages) / 1e6
+
+
+def test_texts_without_near_copies_are_not_shuffled(spark):
+    """Without any automatic broadcast, texts that share no band stay where they are, in op4 and in the pipeline's stage."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices([f"{k:x}" for k in range(4096, 65536, 7)], k=2000)) for _ in range(200)]
+    texts += [t + " end" for t in texts[:4]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    docs = written(docs, "plain-docs")
+    text_mb = sum(map(len, texts)) / 1e6
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found, mb = shuffled_mb(spark, lambda: sorted(r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, SF01).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == list(range(200))
+    assert mb < text_mb / 2, (mb, text_mb)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5_000])
+def test_maybe_among_loses_no_id(spark, n):
+    ids = spark.range(n).select((F.col("id") * 7_919 - 3_000_000).alias("kept_id"))
+    rows = spark.range(20_000).select((F.col("id") * 7_919 - 3_000_000).alias("k")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    got = [(r.k, r.hit) for r in maybe_among(rows, "k", ids, "hit").collect()]
+    true = {k for k, hit in got if hit}
+    assert len(got) == 20_001 and {k * 7_919 - 3_000_000 for k in range(n)} <= true and None not in true
+    assert len(true) - n < 0.2 * 20_000
