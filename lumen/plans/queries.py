@@ -232,6 +232,15 @@ def q_supplier_draws(spark, sf_dir):
 
 # ---- O2: redraw until accepted ----------------------------------------------------------
 
+def small_parts_accepted(tries: DataFrame, part: DataFrame) -> DataFrame:
+    """``tries`` with ``accepted``: whether the candidate is a small enough part.
+
+    A loop does this many times, so the parts are shuffled, never sent to the driver for a broadcast in each.
+    """
+    small = part.where(F.col("p_size") <= REDRAW_MAX_SIZE).select(F.col("p_partkey").alias("candidate"), F.lit(True).alias("ok"))
+    return tries.join(small.hint("merge"), "candidate", "left").withColumn("accepted", F.coalesce("ok", F.lit(False)))
+
+
 def q_redraw_until_accept(spark, sf_dir):
     cust = load(spark, sf_dir, "customer", "c_custkey")
     part = load(spark, sf_dir, "part", "p_partkey", "p_size")
@@ -240,15 +249,9 @@ def q_redraw_until_accept(spark, sf_dir):
     if not stats[1]:
         raise ValueError(f"no part has p_size <= {REDRAW_MAX_SIZE}: no draw can be accepted")
     n = stats[0] + 1
-    lookup = part.select(F.col("p_partkey").alias("candidate"), (F.col("p_size") <= REDRAW_MAX_SIZE).alias("ok"))
-
-    def accept(tries):
-        return (tries.join(lookup, "candidate", "left")
-                .withColumn("accepted", F.coalesce(F.col("ok"), F.lit(False))))
-
     out = redraw_until_accepted(cust, "c_custkey",
                                 draw=lambda i: keyed_index("redraw", F.lit(n), F.col("c_custkey"), i),
-                                accept=accept, batch=4)
+                                accept=lambda tries: small_parts_accepted(tries, part), batch=4)
     return out.select("c_custkey", "draws", F.col("candidate").alias("p_partkey"))
 
 
@@ -452,7 +455,7 @@ def q_restock_walk(spark, sf_dir):
     n, fit = part.agg(F.max("p_partkey") + 1, F.count(F.when(F.col("p_size") <= REDRAW_MAX_SIZE, 1))).first()
     if not fit:
         raise ValueError(f"no part has p_size <= {REDRAW_MAX_SIZE}: no draw can be accepted")
-    small = part.select(F.col("p_partkey").alias("candidate"), (F.col("p_size") <= REDRAW_MAX_SIZE).alias("ok"))
+    prices = part.select("p_partkey", "p_retailprice").hint("merge")
     supplier = load(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal")
     nothing = F.lit(None).cast("bigint")
     seed = supplier.select("s_suppkey", F.lit(0).alias("round"), nothing.alias("draws"), nothing.alias("p_partkey"),
@@ -461,8 +464,8 @@ def q_restock_walk(spark, sf_dir):
     def step(frontier: DataFrame, r: int) -> DataFrame:
         drawn = redraw_until_accepted(
             frontier, "s_suppkey", draw=lambda i: keyed_index("restock", F.lit(n), F.col("s_suppkey"), F.lit(r), i),
-            accept=lambda tries: tries.join(small, "candidate", "left").withColumn("accepted", F.coalesce("ok", F.lit(False))))
-        bought = drawn.withColumnRenamed("candidate", "p_partkey").join(part.select("p_partkey", "p_retailprice"), "p_partkey")
+            accept=lambda tries: small_parts_accepted(tries, part))
+        bought = drawn.withColumnRenamed("candidate", "p_partkey").join(prices, "p_partkey")
         left = F.col("balance") - F.col("p_retailprice")
         return (frontier.select("s_suppkey", "balance").join(bought, "s_suppkey")
                 .select("s_suppkey", F.lit(r).alias("round"), F.col("draws").cast("bigint").alias("draws"), "p_partkey", left.alias("balance"),

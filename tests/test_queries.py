@@ -81,6 +81,23 @@ def test_redraw_without_an_eligible_part_raises_at_once(spark, tmp_path):
         Q.q_redraw_until_accept(spark, str(tmp_path))
 
 
+@pytest.mark.parametrize("name", ["restock_walk", "redraw_until_accept"])
+def test_the_rounds_of_a_redraw_send_no_parts_to_the_driver(spark, tmp_path, name):
+    part = spark.range(200_000).select(F.col("id").alias("p_partkey"), (F.col("id") % 50).cast("int").alias("p_size"), F.lit(1.0).alias("p_retailprice"))
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for table in ("supplier", "customer"):
+        load(spark, SF001, table).write.parquet(str(tmp_path / f"{table}.parquet"))
+    sc = spark.sparkContext
+    sc.setJobGroup(f"sent-{name}", name)
+    try:
+        E.queries()[name](spark, str(tmp_path)).collect()
+    finally:
+        sc.setJobGroup("", "")
+    stages = {s for j in sc.statusTracker().getJobIdsForGroup(f"sent-{name}") for s in sc.statusTracker().getJobInfo(j).stageIds}
+    sent = max(sc._jsc.sc().statusStore().lastStageAttempt(s).resultSize() for s in stages)
+    assert sent < 500_000, sent
+
+
 def test_plane_projection_needs_both_labels(spark, tmp_path):
     load(spark, SF001, "embeddings").where("label <> 1").write.parquet(str(tmp_path / "embeddings.parquet"))
     with pytest.raises(ValueError, match="labels 0 and 1"):
